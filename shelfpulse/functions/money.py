@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from shelfpulse.functions.text import trimmed
 
 # Fixed patterns: what a numeric column accepts as a number, the number that text
-# starts with in arithmetic, what money cleaning removes and what must remain.
+# starts with in arithmetic, and what money cleaning removes.
 NUMBER = r"\A[ \t\n\x0B\f\r]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t\n\x0B\f\r]*\z"
 LEADING_NUMBER = r"\A[ \t\n\x0B\f\r]*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)"
 NOT_MONEY = r"[^0-9.\-]"
-MONEY = r"\A-?([0-9]+\.?[0-9]*|\.[0-9]+)\z"
 
 
 def typed_price(raw: Column) -> Column:
@@ -31,13 +30,14 @@ def sort_amount(price: Column, text: Column) -> Column:
     return F.coalesce(price, leading, F.lit(0.0))
 
 
-def cleaned_amount(raw: Column) -> Column:
-    """The amount in a money text after removing everything but digits, dot, minus.
+def cleaned(raw: Column) -> Column:
+    """A money text without anything but digits, dot and minus."""
+    return F.regexp_replace(raw, NOT_MONEY, "")
 
-    Nothing left means 0, a malformed rest means null.
-    """
-    rest = F.regexp_replace(raw, NOT_MONEY, "")
-    return F.when(rest == "", F.lit(0.0)).when(rest.rlike(MONEY), rest.try_cast("double"))
+
+def cleaned_amount(text: Column) -> Column:
+    """The amount in a cleaned text: nothing left means 0, a malformed rest means null."""
+    return F.when(text == "", F.lit(0.0)).otherwise(text.try_cast("double"))
 
 
 def zero_to_null(amount: Column) -> Column:

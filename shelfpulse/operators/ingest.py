@@ -86,7 +86,8 @@ def derive_runs(
     A run reads pages up to the first short one or `max_pages`; later pages were
     never asked for. Its first unusable page fails it and voids its volumes. A run
     that stops without reaching an end has no finish and counts as failed.
-    `last_page` and `truncated` (more pages may exist) are extra columns.
+    `last_page`, `truncated` (more pages may exist) and the registry's `currency`
+    are extra columns.
     """
     per_run = Window.partitionBy(*RUN_KEY)
     short = F.col("error").isNull() & (F.col("n_products") < page_limit)
@@ -108,7 +109,7 @@ def derive_runs(
         F.sum("n_variants").alias("variants"),
         F.sum("n_bytes").alias("volume"),
     )
-    known = registry.where("enabled").select(F.col("slug").alias("merchant"), "method")
+    known = registry.where("enabled").select(F.col("slug").alias("merchant"), "method", "currency")
     whole = F.col("pages") == F.col("last_page")
     at_end = F.col("end_page").isNotNull() | (F.col("last_page") == max_pages)
     no_adapter = F.col("method") != SUPPORTED_METHOD
@@ -137,6 +138,7 @@ def derive_runs(
         F.lit(0.0).alias("cost_usd"),
         "last_page",
         (ok & F.col("end_page").isNull()).alias("truncated"),
+        "currency",
     )
 
 
@@ -164,7 +166,7 @@ def _sent_as_text(value: str, path: str) -> Column:
     return F.when(_has_value(there), _type(there) == "STRING")
 
 
-def decode_pages(pages: DataFrame, runs: DataFrame, registry: DataFrame) -> DataFrame:
+def decode_pages(pages: DataFrame, runs: DataFrame) -> DataFrame:
     """Readings of the successful runs, one row per variant, still as the feed sent them.
 
     `runs` comes from `derive_runs`; written out first, it is small enough for the
@@ -172,11 +174,11 @@ def decode_pages(pages: DataFrame, runs: DataFrame, registry: DataFrame) -> Data
     of a run, which all share one `observed_at`.
     """
     good = runs.where("ok = 1").select(
-        F.col("id").alias("run_id"), "merchant", "last_page", F.col("finished_at").alias("observed_at")
+        F.col("id").alias("run_id"), "merchant", "last_page", "currency",
+        F.col("finished_at").alias("observed_at"),
     )
-    currency = registry.select(F.col("slug").alias("merchant"), "currency")
     products = (
-        pages.join(good.join(currency, "merchant", "left"), list(RUN_KEY))
+        pages.join(good, list(RUN_KEY))
         .where(F.col("page") <= F.col("last_page"))
         .select(
             *RUN_KEY, "page", "currency", "observed_at",

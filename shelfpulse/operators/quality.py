@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfpulse.functions.grading import field_grades
+from shelfpulse.functions.grading import AMOUNTS, field_grades, with_amounts
 from shelfpulse.schemas import FIELDS, STATUSES
 from shelfpulse.session import days_before
 
@@ -16,9 +16,8 @@ OUTCOME_KEY = ("run_id", "field", "status")
 
 def grade(readings: DataFrame) -> DataFrame:
     """Add `<field>_status` for each graded field."""
-    return readings.withColumns(
-        {f"{field}_status": status for field, status in field_grades(readings).items()}
-    )
+    statuses = {f"{f}_status": status for f, status in field_grades(readings).items()}
+    return with_amounts(readings).withColumns(statuses).drop(*AMOUNTS.values())
 
 
 def tally(readings: DataFrame, by: Sequence[str] = ("run_id", "merchant")) -> DataFrame:
@@ -28,28 +27,17 @@ def tally(readings: DataFrame, by: Sequence[str] = ("run_id", "merchant")) -> Da
     and unfolded afterwards, so readings are never multiplied by field.
     """
     grades = field_grades(readings)
-    status_columns = [grades[f].alias(f"{f}_status") for f in FIELDS]
-    counters = [
-        F.count_if(F.col(f"{f}_status") == s).alias(f"{f}:{s}") for f in FIELDS for s in STATUSES
-    ]
-    per_run = (
-        readings.select(*by, *status_columns)
+    cells = [(f, s, f"{f}:{s}") for f in FIELDS for s in STATUSES]
+    counters = [F.expr(f"count_if({f}_status = '{s}') AS `{cell}`") for f, s, cell in cells]
+    unfolded = ", ".join(f"'{f}', '{s}', `{cell}`" for f, s, cell in cells)
+    return (
+        with_amounts(readings)
+        .select(*by, *[grades[f].alias(f"{f}_status") for f in FIELDS])
         .groupBy(*by)
         .agg(*counters)
+        .selectExpr(*by, f"stack({len(cells)}, {unfolded}) AS (field, status, count)")
+        .where("count > 0")
     )
-    unfolded = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(f).alias("field"), F.lit(s).alias("status"),
-                    F.col(f"`{f}:{s}`").alias("count"),
-                )
-                for f in FIELDS
-                for s in STATUSES
-            ]
-        )
-    ).alias("outcome")
-    return per_run.select(*by, unfolded).select(*by, "outcome.*").where("count > 0")
 
 
 def _status_sums() -> list[Column]:

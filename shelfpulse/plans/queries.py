@@ -332,29 +332,31 @@ def page_facts(t: Tables) -> DataFrame:
     return ingest.page_facts(t.pages()).select("run_id", "page", "n_products", "n_variants", "error")
 
 
-def _accounted(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    pages, registry = materialize(t.pages(), "landed"), t.registry()
+def _accounted(t: Tables) -> tuple[DataFrame, DataFrame]:
+    pages = materialize(t.pages(), "landed")
     facts = materialize(ingest.page_facts(pages), "page-facts")
-    return pages, registry, ingest.derive_runs(facts, registry, PAGE_PRODUCTS)
+    return pages, ingest.derive_runs(facts, t.registry(), PAGE_PRODUCTS)
+
+
+def _decoded(t: Tables) -> DataFrame:
+    pages, runs = _accounted(t)
+    return ingest.decode_pages(pages, materialize(runs, "runs"))
 
 
 @query
 def run_accounting(t: Tables) -> DataFrame:
-    return _accounted(t)[2]
+    return _accounted(t)[1].drop("currency")
 
 
 @query
 def feed_decode(t: Tables) -> DataFrame:
-    pages, registry, runs = _accounted(t)
-    return ingest.decode_pages(pages, materialize(runs, "runs"), registry).drop("id")
+    return _decoded(t).drop("id")
 
 
 @query
 def feed_grades(t: Tables) -> DataFrame:
     """Grades at collection time, where the feed's own value types still count."""
-    pages, registry, runs = _accounted(t)
-    readings = ingest.decode_pages(pages, materialize(runs, "runs"), registry)
-    return quality.tally(readings)
+    return quality.tally(_decoded(t))
 
 
 # --- streaming --------------------------------------------------------------

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfpulse.operators import changes
 from shelfpulse.operators.skew import MAX_ROWS, with_previous
 from shelfpulse.schemas import CHANGE_KEY, SERIES_KEY
-from shelfpulse.session import materialize
+from shelfpulse.session import days_before, materialize
 from shelfpulse.sources import store
 
 EPOCH = "epoch"
@@ -34,6 +34,19 @@ def _newest_per_variant(readings: DataFrame) -> DataFrame:
     return readings.groupBy(*SERIES_KEY).agg(newest).select(*SERIES_KEY, "newest.*")
 
 
+def _after_seeds(arriving: DataFrame, seeds: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Variants with late readings, and the series of all others led by their last reading."""
+    touched = arriving.groupBy(*SERIES_KEY).agg(F.min(F.struct("observed_at", "id")).alias("first"))
+    known = seeds.join(touched, list(SERIES_KEY))
+    late = materialize(
+        known.where(F.col("first") < F.struct("observed_at", "id")).select(*SERIES_KEY), "late"
+    )
+    timely = arriving.join(late, list(SERIES_KEY), "left_anti").withColumn("is_seed", F.lit(False))
+    # The last readings act as rows of the batch, so one window serves both.
+    before = known.drop("first").join(late, list(SERIES_KEY), "left_anti")
+    return late, timely.unionByName(before.withColumn("is_seed", F.lit(True)))
+
+
 def detect_batch(
     observations: DataFrame,
     epoch: int,
@@ -43,42 +56,26 @@ def detect_batch(
     max_rows: int = MAX_ROWS,
 ) -> None:
     spark = observations.sparkSession
-    readings = changes.price_readings(observations)
-    if readings.isEmpty():
-        if epoch > 0:
-            last = spark.read.parquet(_last_folder(folder, epoch - 1))
-            last.write.mode("overwrite").parquet(_last_folder(folder, epoch))
-        return
-    arriving = materialize(readings, "readings")
+    arriving = materialize(changes.price_readings(observations), "readings")
+    series = arriving.withColumn("is_seed", F.lit(False))
+    seeds = late = None
     if epoch > 0:
         seeds = spark.read.schema(arriving.schema).parquet(_last_folder(folder, epoch - 1))
-    else:
-        seeds = spark.createDataFrame([], arriving.schema)
-
-    touched = arriving.groupBy(*SERIES_KEY).agg(F.min(F.struct("observed_at", "id")).alias("first"))
-    known = seeds.join(touched, list(SERIES_KEY))
-    late = materialize(
-        known.where(F.col("first") < F.struct("observed_at", "id")).select(*SERIES_KEY), "late"
-    )
-    timely = arriving.join(late, list(SERIES_KEY), "left_anti").withColumn("is_seed", F.lit(False))
-    # The last readings act as rows of the batch, so one window serves both.
-    before = known.drop("first").join(late, list(SERIES_KEY), "left_anti")
-    series = timely.unionByName(before.withColumn("is_seed", F.lit(True)))
+        late, series = _after_seeds(arriving, seeds)
     linked = with_previous(
         series, SERIES_KEY, "observed_at", "id", [*changes.PRICE, "available"], max_rows
     )
     events = changes.change_events(linked.where("NOT is_seed"))
-    if not late.isEmpty():
+    if late is not None and not late.isEmpty():
         again = store.read_observations(spark, readings_path).join(late, list(SERIES_KEY), "left_semi")
         events = events.unionByName(changes.history(again, max_rows))
         late.write.mode("overwrite").parquet(f"{folder}/recomputed/{EPOCH}={epoch}")
     events.write.mode("overwrite").parquet(f"{folder}/changes/{EPOCH}={epoch}")
 
-    last = _newest_per_variant(seeds.unionByName(arriving))
+    last = _newest_per_variant(arriving if seeds is None else seeds.unionByName(arriving))
     if keep_days is not None:
-        newest = arriving.agg(F.max("observed_at")).first()[0]
-        limit = F.lit(newest) - F.make_dt_interval(days=F.lit(int(keep_days)))
-        last = last.where(F.col("observed_at") >= limit)
+        newest = last.agg(F.max("observed_at")).first()[0]
+        last = last.where(F.col("observed_at") >= days_before(last, "observed_at", newest, keep_days))
     last.write.mode("overwrite").parquet(_last_folder(folder, epoch))
     if epoch > 1:  # the one before stays for a repeated batch
         store.delete_folder(spark, _last_folder(folder, epoch - 2))

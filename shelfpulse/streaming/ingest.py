@@ -28,7 +28,7 @@ def ingest_batch(
     spark = pages.sparkSession
     facts = materialize(ingest.page_facts(pages), "page-facts")
     runs = materialize(ingest.derive_runs(facts, registry, page_limit, max_pages), "runs")
-    readings = ingest.decode_pages(pages, runs, registry)
+    readings = ingest.decode_pages(pages, runs)
     store.append_observations(readings, f"{folder}/observations", batch)
     stored = store.read_observations(spark, f"{folder}/observations").where(
         F.col(store.BATCH) == batch
