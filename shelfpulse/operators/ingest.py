@@ -80,9 +80,13 @@ def derive_runs(
     registry: DataFrame,
     page_limit: int = PAGE_LIMIT,
     max_pages: int = MAX_PAGES,
+    starts: DataFrame | None = None,
 ) -> DataFrame:
     """One complete run record per run of an enabled merchant.
 
+    `starts` (run_id, merchant, started_at) names runs that began, so that one
+    without a single landed page is still recorded, as failed.
+
     A run reads pages up to the first short one or `max_pages`; later pages were
     never asked for. Its first unusable page fails it and voids its volumes. A run
     that stops without reaching an end has no finish and counts as failed.
@@ -109,12 +113,16 @@ def derive_runs(
         F.sum("n_variants").alias("variants"),
         F.sum("n_bytes").alias("volume"),
     )
+    if starts is not None:
+        begun = starts.select(*RUN_KEY, F.col("started_at").alias("begun_at"))
+        started = F.coalesce("begun_at", "started_at")
+        folded = folded.join(begun, list(RUN_KEY), "full_outer").withColumn("started_at", started)
     known = registry.where("enabled").select(F.col("slug").alias("merchant"), "method", "currency")
     whole = F.col("pages") == F.col("last_page")
     at_end = F.col("end_page").isNotNull() | (F.col("last_page") == max_pages)
     no_adapter = F.col("method") != SUPPORTED_METHOD
     failed = F.col("failure").isNotNull()
-    ok = ~no_adapter & ~failed & whole & at_end
+    ok = ~no_adapter & ~failed & F.coalesce(whole & at_end, F.lit(False))
     finished = (
         F.when(no_adapter, F.col("started_at"))
         .when(failed, F.col("failure.fetched_at"))

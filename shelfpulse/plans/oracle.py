@@ -489,6 +489,21 @@ FROM with_total t LEFT JOIN (SELECT merchant, concat('merchant-', chr(CAST(64 +
         WITH_TOTAL, base="runs",
     ),
     "run_records": sql("SELECT *, CAST(NULL AS VARCHAR) AS provider FROM evruns", base="ev obs evruns"),
+    "report_json": sql(
+        f"""SELECT 'reliability' AS section, merchant, to_json(struct_pack(merchant := merchant, method := method, runs := runs,
+  ok_runs := ok_runs, ok_rate := ok_rate, variants := variants, avg_ms := avg_ms, bytes := bytes, cost := cost,
+  last_run := strftime(last_run, '%Y-%m-%dT%H:%M:%S.%f'))) AS line FROM recent
+UNION ALL SELECT 'fields', merchant, to_json(struct_pack(merchant := merchant, field := field, ok := ok,
+  missing := missing, invalid := invalid, total := total, rate := rate)) FROM quality
+UNION ALL SELECT 'changes', merchant, to_json(struct_pack(merchant := merchant, variant_ext_id := variant_ext_id,
+  title := title, variant_title := variant_title, prev_price := prev_price, prev_price_text := prev_price_text,
+  prev_available := prev_available, curr_price := curr_price, curr_price_text := curr_price_text,
+  curr_available := curr_available, price_delta := price_delta)) FROM diff
+UNION ALL SELECT 'snapshots', merchant, to_json(struct_pack(merchant := merchant,
+  snaps := COUNT(DISTINCT observed_at), comparable := COUNT(DISTINCT observed_at) > 1)) FROM obs GROUP BY merchant""",
+        DIFF, TALLY, f"recent AS ({RELIABLE.format(where=RUN_WINDOW)})", f"quality AS ({FIELD_WINDOW})",
+        base="ev obs evruns runs readings",
+    ),
     "prune_plan": sql(
         f"SELECT COUNT(*) AS total, COUNT(*) FILTER (NOT {KEPT}) AS doomed, COUNT(*) FILTER ({KEPT}) AS kept FROM obs",
         base="ev obs",

@@ -23,6 +23,8 @@ RUNS_NOW = "2001-01-01 00:00:00"
 DAYS = 14
 RUN_DAYS = 365
 
+JSON_TEXT = {"ignoreNullFields": "false", **snapshot.JSON_OPTIONS}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -244,7 +246,7 @@ def report_json(t: Tables) -> DataFrame:
     lines = [
         section.select(
             F.lit(name).alias("section"), "merchant",
-            F.to_json(F.struct(*section.columns), {"ignoreNullFields": "false"}).alias("line"),
+            F.to_json(F.struct(*section.columns), JSON_TEXT).alias("line"),
         )
         for name, section in sections.items()
     ]

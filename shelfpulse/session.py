@@ -5,6 +5,8 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,15 @@ def _private_dir(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"shelfpulse-{application}-")
 
 
+# Settings the jobs are meant to run with: runtime re-planning with skew joins, and
+# feeds that repeat a JSON key (the last one counts) instead of failing.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.variant.allowDuplicateKeys": "true",
+}
+
+
 def work_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a private one only on a single machine."""
     shared = spark.conf.get(CHECKPOINT_CONF, None)
@@ -27,22 +38,38 @@ def work_dir(spark: SparkSession) -> str:
     return _private_dir(spark.sparkContext.applicationId)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/shelfpulse/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, within: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage so that lost executors do not recompute it, and gives the
     planner the real size of the table for its join choices.
     """
     spark = df.sparkSession
-    folder = new_folder(spark, name)
-    df.write.parquet(folder)
+    folder = new_folder(spark, name) if within is None else f"{within}/{name}"
+    df.write.mode("overwrite").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A shared folder for the intermediate tables of one job, gone when it ends."""
+    folder = new_folder(spark, name)
+    try:
+        yield folder
+    finally:
+        delete_folder(spark, folder)
+
+
 def moment(df: DataFrame, column: str, value: object) -> Column:
     """`value` (text, datetime or Column) in the same time type as `df[column]`."""
     literal = value if isinstance(value, Column) else F.lit(str(value))

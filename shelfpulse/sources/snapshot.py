@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from shelfpulse.operators import catalogue, changes, quality, report
 from shelfpulse.schemas import CHANGES, MAX_CHANGES, SCHEMA_VERSION
-from shelfpulse.session import materialize
+from shelfpulse.session import materialize, scratch
 from shelfpulse.sources.registry import published
 
 # Microseconds survive the round trip, so a change read back keeps its key.
@@ -76,25 +76,25 @@ def publish(
     stamp = F.current_timestamp() if generated_at is None else generated_at
     about = meta(runs, stamp)
     record, products_folder = f"{folder}/snapshot", f"{folder}/catalogue"
-
-    fresh = changes.history(observations)
-    merged = changes.merge(read_published_changes(spark, f"{record}/changes"), fresh)
-    # Written out before the old publication it was read from is replaced.
-    retained = materialize(changes.retain(merged, max_changes), "changes")
-    latest = materialize(catalogue.latest_readings(observations), "latest")
-    product_rows = materialize(catalogue.products(latest), "products")
-
-    write_json(about, f"{record}/meta")
-    write_json(published(registry), f"{record}/merchants")
-    write_json(runs.select(*RUN_COLUMNS).orderBy("started_at"), f"{record}/runs")
-    fields = quality.field_quality(outcomes)
-    write_json(fields.orderBy("merchant", *quality.least_reliable_first()), f"{record}/fields")
-    write_json(retained.orderBy(*changes.newest_first(retained)), f"{record}/changes")
-    write_json(catalogue.totals(latest), f"{record}/totals")
-    write_json(about, f"{products_folder}/meta")
-    documents = catalogue.documents(latest, product_rows)
-    # Ranges keep a merchant's products in few files and still split a large merchant.
-    write_json(documents.repartitionByRange("m", "p", "part"), f"{products_folder}/products", "m")
+    with scratch(spark, "publish") as work:
+        fresh = changes.history(observations)
+        merged = changes.merge(read_published_changes(spark, f"{record}/changes"), fresh)
+        # Written out before the old publication it was read from is replaced.
+        retained = materialize(changes.retain(merged, max_changes), "changes", work)
+        latest = materialize(catalogue.latest_readings(observations), "latest", work)
+        product_rows = materialize(catalogue.products(latest), "products", work)
+
+        write_json(about, f"{record}/meta")
+        write_json(published(registry), f"{record}/merchants")
+        write_json(runs.select(*RUN_COLUMNS).orderBy("started_at"), f"{record}/runs")
+        fields = quality.field_quality(outcomes)
+        write_json(fields.orderBy("merchant", *quality.least_reliable_first()), f"{record}/fields")
+        write_json(retained.orderBy(*changes.newest_first(retained)), f"{record}/changes")
+        write_json(catalogue.totals(latest), f"{record}/totals")
+        write_json(about, f"{products_folder}/meta")
+        documents = catalogue.documents(latest, product_rows)
+        # Ranges keep a merchant's products in few files and still split a large merchant.
+        write_json(documents.repartitionByRange("m", "p", "part"), f"{products_folder}/products", "m")
 
 
 def report_sections(
@@ -110,7 +110,15 @@ def report_sections(
     }
 
 
+def section_order(name: str) -> list[Column]:
+    """The order the report reads in; changes come largest price move first."""
+    if name == "fields":
+        return [F.asc("merchant"), *quality.least_reliable_first()]
+    return changes.diff_order() if name == "changes" else [F.asc("merchant")]
+
+
 def write_report(folder: str, sections: dict[str, DataFrame], labels: DataFrame | None = None) -> None:
     """Write each section as JSON; with `labels`, merchant names are replaced in all of them."""
     for name, section in sections.items():
-        write_json(section if labels is None else report.redact(section, labels), f"{folder}/{name}")
+        shown = section if labels is None else report.redact(section, labels)
+        write_json(shown.orderBy(*section_order(name)), f"{folder}/{name}")

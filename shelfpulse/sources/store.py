@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from shelfpulse.functions.money import typed_price
 from shelfpulse.operators import quality, retention
 from shelfpulse.schemas import FIELD_OUTCOMES, OBSERVATIONS, PAGES, RETENTION_DAYS
+from shelfpulse.session import delete_folder
 
 OBSERVED_DAY = "obs_date"
 RUN_DAY = "run_date"
@@ -105,18 +106,12 @@ def regrade_store(spark: SparkSession, outcomes_path: str, observations: DataFra
     replace_outcomes(outcomes, quality.regraded_tally(observations, runs), runs, outcomes_path)
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def prune_store(
     spark: SparkSession, path: str, as_of: object, days: float = RETENTION_DAYS, dry_run: bool = False
 ) -> dict[str, int]:
     """Delete readings older than the cutoff; returns total, doomed and kept.
 
-    Whole days and batches go by folder; only batches cut in two are rewritten.
+    Whole days and batches go by folder; only the day of the cutoff is rewritten.
     """
     stored = read_observations(spark, path)
     counts = retention.plan(stored, as_of, days).first().asDict()

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfpulse.operators import changes
 from shelfpulse.operators.skew import MAX_ROWS, with_previous
 from shelfpulse.schemas import CHANGE_KEY, SERIES_KEY
-from shelfpulse.session import days_before, materialize
+from shelfpulse.session import days_before, delete_folder, materialize, scratch
 from shelfpulse.sources import store
 
 EPOCH = "epoch"
@@ -34,13 +34,14 @@ def _newest_per_variant(readings: DataFrame) -> DataFrame:
     return readings.groupBy(*SERIES_KEY).agg(newest).select(*SERIES_KEY, "newest.*")
 
 
-def _after_seeds(arriving: DataFrame, seeds: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _after_seeds(
+    arriving: DataFrame, seeds: DataFrame, work: str
+) -> tuple[DataFrame, DataFrame]:
     """Variants with late readings, and the series of all others led by their last reading."""
     touched = arriving.groupBy(*SERIES_KEY).agg(F.min(F.struct("observed_at", "id")).alias("first"))
     known = seeds.join(touched, list(SERIES_KEY))
-    late = materialize(
-        known.where(F.col("first") < F.struct("observed_at", "id")).select(*SERIES_KEY), "late"
-    )
+    overtaken = known.where(F.col("first") < F.struct("observed_at", "id"))
+    late = materialize(overtaken.select(*SERIES_KEY), "late", work)
     timely = arriving.join(late, list(SERIES_KEY), "left_anti").withColumn("is_seed", F.lit(False))
     # The last readings act as rows of the batch, so one window serves both.
     before = known.drop("first").join(late, list(SERIES_KEY), "left_anti")
@@ -54,14 +55,22 @@ def detect_batch(
     folder: str,
     keep_days: float | None = None,
     max_rows: int = MAX_ROWS,
+) -> None:
+    with scratch(observations.sparkSession, "changes") as work:
+        _detect(observations, epoch, readings_path, folder, work, keep_days, max_rows)
+
+
+def _detect(
+    observations: DataFrame, epoch: int, readings_path: str, folder: str, work: str,
+    keep_days: float | None, max_rows: int,
 ) -> None:
     spark = observations.sparkSession
-    arriving = materialize(changes.price_readings(observations), "readings")
+    arriving = materialize(changes.price_readings(observations), "readings", work)
     series = arriving.withColumn("is_seed", F.lit(False))
     seeds = late = None
     if epoch > 0:
         seeds = spark.read.schema(arriving.schema).parquet(_last_folder(folder, epoch - 1))
-        late, series = _after_seeds(arriving, seeds)
+        late, series = _after_seeds(arriving, seeds, work)
     linked = with_previous(
         series, SERIES_KEY, "observed_at", "id", [*changes.PRICE, "available"], max_rows
     )
@@ -78,7 +87,7 @@ def detect_batch(
         last = last.where(F.col("observed_at") >= days_before(last, "observed_at", newest, keep_days))
     last.write.mode("overwrite").parquet(_last_folder(folder, epoch))
     if epoch > 1:  # the one before stays for a repeated batch
-        store.delete_folder(spark, _last_folder(folder, epoch - 2))
+        delete_folder(spark, _last_folder(folder, epoch - 2))
 
 
 def start_changes(

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfpulse.operators import ingest, quality
 from shelfpulse.schemas import MAX_PAGES, PAGE_LIMIT, PAGES, RUNS
-from shelfpulse.session import materialize
+from shelfpulse.session import materialize, scratch
 from shelfpulse.sources import store
 
 
@@ -26,15 +26,14 @@ def ingest_batch(
     known to be so when the bodies are joined with it.
     """
     spark = pages.sparkSession
-    facts = materialize(ingest.page_facts(pages), "page-facts")
-    runs = materialize(ingest.derive_runs(facts, registry, page_limit, max_pages), "runs")
-    readings = ingest.decode_pages(pages, runs)
-    store.append_observations(readings, f"{folder}/observations", batch)
-    stored = store.read_observations(spark, f"{folder}/observations").where(
-        F.col(store.BATCH) == batch
-    )
-    runs.write.mode("overwrite").parquet(f"{folder}/runs/{store.BATCH}={batch}")
-    quality.tally(stored).write.mode("overwrite").parquet(
+    with scratch(spark, "ingest") as work:
+        facts = materialize(ingest.page_facts(pages), "page-facts", work)
+        runs = materialize(ingest.derive_runs(facts, registry, page_limit, max_pages), "runs", work)
+        readings = ingest.decode_pages(pages, runs)
+        store.append_observations(readings, f"{folder}/observations", batch)
+        runs.write.mode("overwrite").parquet(f"{folder}/runs/{store.BATCH}={batch}")
+    stored = store.read_observations(spark, f"{folder}/observations")
+    quality.tally(stored.where(F.col(store.BATCH) == batch)).write.mode("overwrite").parquet(
         f"{folder}/field_outcomes/{store.BATCH}={batch}"
     )
 

@@ -8,7 +8,7 @@ from shelfpulse.operators import quality
 
 PRICE = {
     None: ("missing", "ok"), "": ("missing", "ok"), " ": ("missing", "ok"),
-    " ": ("missing", "ok"), "﻿": ("missing", "ok"), "　\t\n": ("missing", "ok"),
+    "\u00a0": ("missing", "ok"), "\ufeff": ("missing", "ok"), "\u3000\t\n\u2028": ("missing", "ok"),
     "229.99": ("ok", "ok"), "$1,299.00": ("ok", "ok"), ".5": ("ok", "ok"), "5.": ("ok", "ok"),
     "1e3": ("ok", "ok"), "007": ("ok", "ok"), " 12 ": ("ok", "ok"),
     "0": ("invalid", "ok"), "0.00": ("invalid", "ok"), "-0": ("invalid", "ok"), "abc": ("invalid", "ok"),
@@ -36,9 +36,9 @@ def test_flag_and_text(spark):
     rows = graded(
         spark,
         available=[None, True, False, None, None, None],
-        sku=[None, "", "  ", "a", " ", "\u0085"],
-        title=["x", "ab", "\U0001f600", " x ", None, "é"],
-        variant_title=["a", None, "", "b", "﻿", "c"],
+        sku=[None, "", "  ", "a", "\u00a0", "\u0085"],
+        title=["x", "ab", "\U0001f600", " x ", None, "\u00e9"],
+        variant_title=["a", None, "", "b", "\ufeff", "c"],
     )
     assert [r.available_status for r in rows] == ["missing", "ok", "ok", "missing", "missing", "missing"]
     assert [r.sku_status for r in rows] == ["missing", "missing", "missing", "ok", "missing", "ok"]
@@ -49,7 +49,7 @@ def test_flag_and_text(spark):
 TYPED = {
     "229.99": 229.99, " 12 ": 12.0, "1e3": 1000.0, "5.": 5.0, ".5": 0.5, "+5": 5.0, "-5": -5.0,
     "$5.00": None, "1,299.00": None, "": None, "0x10": None, "NaN": None, "Infinity": None,
-    "1d": None, "1f": None, "1 2": None, "5\n": 5.0, " 5": None, "5\u0085": None,
+    "1d": None, "1f": None, "1 2": None, "5\n": 5.0, "\u00a05": None, "5\u0085": None,
 }
 
 

@@ -125,6 +125,20 @@ def test_page_cap_is_visible(spark):
     assert ingest.decode_pages(landed, runs_df).count() == 3
 
 
+def test_run_without_pages_is_recorded(spark):
+    landed = pages(spark, (1, "a", 1, 200, "{}"))
+    starts = spark.createDataFrame(
+        [(1, "a", START), (2, "a", START), (3, "b", START)], "run_id bigint, merchant string, started_at timestamp"
+    )
+    merchants = registry(spark, a=GOOD, b="permission_required")
+    rows = ingest.derive_runs(ingest.page_facts(landed), merchants, 2, 3, starts).collect()
+    runs = {r.id: r for r in rows}
+    assert [runs[i].ok for i in (1, 2, 3)] == [1, 0, 0]
+    assert all(runs[i].started_at == START for i in (1, 2, 3))
+    assert (runs[2].finished_at, runs[2].error, runs[2].variants_seen) == (None, None, 0)
+    assert runs[3].error == 'method "permission_required" has no adapter yet'
+
+
 def test_registry(spark, tmp_path):
     path = tmp_path / "merchants.json"
     entry = {"slug": "a", "name": "A", "method": GOOD, "base_url": "u", "currency": "USD", "enabled": True}
