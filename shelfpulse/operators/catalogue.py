@@ -9,6 +9,7 @@ from shelfpulse.functions.money import price_text, typed_price, zero_to_null
 from shelfpulse.functions.text import empty_to_null
 from shelfpulse.operators.skew import MAX_HOT, MAX_ROWS, latest_rows
 from shelfpulse.schemas import SERIES_KEY
+from shelfpulse.session import materialize
 
 PRODUCT_KEY = ("merchant", "product_ext_id")
 # Variants in one nested product row; a larger product continues in further parts.
@@ -33,12 +34,12 @@ def products(latest: DataFrame) -> DataFrame:
     """
     image = empty_to_null(F.col("image_url"))
     attributes = ("handle", "vendor", "product_type", "currency")
-    folded = latest.groupBy(*PRODUCT_KEY).agg(
+    per_product = latest.groupBy(*PRODUCT_KEY).agg(
         F.min(F.struct(*_position(), *attributes)).alias("first"),
         F.min(F.when(image.isNotNull(), F.struct(*_position(), image.alias("img")))).alias("image"),
         F.count(F.lit(1)).alias("n_variants"),
     )
-    return folded.select(
+    return per_product.select(
         *PRODUCT_KEY,
         F.col("first.handle").alias("handle"),
         F.col("first.title").alias("title"),
@@ -50,6 +51,15 @@ def products(latest: DataFrame) -> DataFrame:
     )
 
 
+def folded(observations: DataFrame, within: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Latest readings and their products, both written to the shared folder.
+
+    The catalogue's parts share them, so neither is computed more than once.
+    """
+    latest = materialize(latest_readings(observations), "latest", within)
+    return latest, materialize(products(latest), "products", within)
+
+
 def _variant_rows(latest: DataFrame) -> DataFrame:
     raw, was = F.col("price_raw"), F.col("compare_at_raw")
     return latest.select(
@@ -72,8 +82,9 @@ def _own_image() -> Column:
 def variants(latest: DataFrame, product_rows: DataFrame) -> DataFrame:
     """Flat catalogue, one row per variant.
 
-    Joined on the product; a product holding most variants is split by AQE's
-    skew join, as nothing after the join needs its partitioning.
+    Pass both inputs written out (`folded`): a small product table is then broadcast
+    by its known size, and for a large one both sides shuffle straight into the
+    join, where AQE splits a product holding most variants.
     """
     images = product_rows.select(*PRODUCT_KEY, F.col("img").alias("product_img"))
     return (

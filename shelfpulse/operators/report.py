@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpulse.functions.text import letter_label
-from shelfpulse.session import days_before
+from shelfpulse.session import days_before, materialize
 
 ALL = "ALL"
 
@@ -96,12 +96,15 @@ def cycle_summary(runs: DataFrame) -> DataFrame:
 def merchant_labels(merchants: DataFrame) -> DataFrame:
     """Share-safe names in alphabetical order of the merchants' own.
 
-    Numbers only the distinct merchants, a list the size of the registry.
+    Numbers only the distinct merchants, a list the size of the registry, and writes
+    it out, so that joins know its size: small it is broadcast, else AQE splits a
+    merchant holding most rows.
     """
     in_order = Window.orderBy("merchant")
-    return merchants.select("merchant").distinct().select(
+    labels = merchants.select("merchant").distinct().select(
         "merchant", letter_label(F.row_number().over(in_order)).alias("label")
     )
+    return materialize(labels, "labels")
 
 
 def redact(df: DataFrame, labels: DataFrame, column: str = "merchant") -> DataFrame:

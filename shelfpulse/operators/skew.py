@@ -9,7 +9,7 @@ are hot only steers the balance; the result is the same for any choice.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,9 +55,14 @@ def slice_number(value: Column, low: Column, high: Column, rows: Column, max_row
 
 @dataclass(frozen=True)
 class SeriesSlices:
-    """Slices of hot time series: by time, and by row id inside one crowded instant."""
+    """Slices of hot time series: by time, and by row id inside one crowded instant.
+
+    `hot` has the hot keys, `crowded` the crowded instants per key and time slice;
+    both are local tables of at most MAX_HOT entries.
+    """
 
     hot: DataFrame
+    crowded: DataFrame | None
     keys: tuple[str, ...]
     at: str
     tie: str
@@ -65,52 +70,66 @@ class SeriesSlices:
 
     COLUMNS = ("slice_time", "slice_instant", "slice_tie")
 
+    def time_slice(self, t: Column) -> Column:
+        low, high, rows = F.col("hot_from"), F.col("hot_to"), F.col("group_rows")
+        return slice_number(t, low, high, rows, self.max_rows)
+
     def attach(self, df: DataFrame, how: str) -> DataFrame:
-        """Slice columns for rows of hot keys, null for the others."""
-        table = F.broadcast(self.hot)  # at most MAX_HOT keys and MAX_HOT instants
-        joined = df.join(table, list(self.keys), how)
+        """Slice columns for rows of hot keys, null for the others.
+
+        Ordered by (slice_time, slice_instant, slice_tie), slices follow each other
+        as their rows do by (at, tie).
+        """
         t, tie = micros(F.col(self.at)), F.col(self.tie)
-        crowded = F.filter("hot_instants", lambda i: i["t"] == t)
-        here = F.try_element_at(crowded, F.lit(1))
-        before = F.size(F.filter("hot_instants", lambda i: i["t"] < t))
-        return joined.withColumns(
-            {
-                "slice_time": slice_number(
-                    t, F.col("hot_from"), F.col("hot_to"), F.col("group_rows"), self.max_rows
-                ),
-                "slice_instant": F.when(
-                    F.col("group_rows").isNotNull(), 2 * before + F.size(crowded)
-                ),
-                "slice_tie": slice_number(
-                    tie, here["id_from"], here["id_to"], here["group_rows"], self.max_rows
-                ),
-            }
-        ).drop("group_rows", "hot_from", "hot_to", "hot_instants")
+        timed = (
+            df.join(F.broadcast(self.hot), list(self.keys), how)
+            .withColumn("slice_time", self.time_slice(t))
+            .drop("group_rows", "hot_from", "hot_to")
+        )
+        if self.crowded is None:
+            none = F.lit(None).cast("bigint")
+            return timed.withColumns({"slice_instant": none, "slice_tie": none})
+        here = F.filter("instants", lambda i: i["t"] == t)
+        before = F.size(F.filter("instants", lambda i: i["t"] < t))
+        instant = F.try_element_at(here, F.lit(1))
+        return (
+            timed.join(F.broadcast(self.crowded), [*self.keys, "slice_time"], "left")
+            .withColumns(
+                {
+                    "slice_instant": (2 * before + F.size(here)).cast("bigint"),
+                    "slice_tie": slice_number(
+                        tie, instant["id_from"], instant["id_to"], instant["group_rows"], self.max_rows
+                    ),
+                }
+            )
+            .drop("instants")
+        )
 
 
 def series_slices(
     df: DataFrame, keys: Sequence[str], at: str, tie: str, max_rows: int = MAX_ROWS
 ) -> SeriesSlices | None:
+    """Slices for the hot series of `df`, or None if no series is hot."""
     points = df.select(*keys, micros(F.col(at)).alias("t"), F.col(tie).alias("tie_id"))
     hot = hot_groups(points, keys, max_rows, hot_from=F.min("t"), hot_to=F.max("t"))
     if hot is None:
         return None
-    hot_points = points.join(F.broadcast(hot.select(*keys)), list(keys))
+    slices = SeriesSlices(hot, None, tuple(keys), at, tie, max_rows)
     instants = hot_groups(
-        hot_points, [*keys, "t"], max_rows, id_from=F.min("tie_id"), id_to=F.max("tie_id")
+        points.join(F.broadcast(hot.select(*keys)), list(keys)), [*keys, "t"], max_rows,
+        id_from=F.min("tie_id"), id_to=F.max("tie_id"),
     )
-    crowded = "array<struct<t:bigint,group_rows:bigint,id_from:bigint,id_to:bigint>>"
     if instants is None:
-        hot = hot.withColumn("hot_instants", F.array().cast(crowded))
-    else:
-        lists = instants.groupBy(*keys).agg(
-            F.array_sort(F.collect_list(F.struct("t", "group_rows", "id_from", "id_to")))
-            .cast(crowded).alias("hot_instants")
-        )
-        hot = hot.join(lists, list(keys), "left").withColumn(
-            "hot_instants", F.coalesce("hot_instants", F.array().cast(crowded))
-        )
-    return SeriesSlices(hot, tuple(keys), at, tie, max_rows)
+        return slices
+    instant = F.struct("t", F.col("instant_rows").alias("group_rows"), "id_from", "id_to")
+    crowded = (
+        instants.withColumnRenamed("group_rows", "instant_rows")
+        .join(hot, list(keys))
+        .withColumn("slice_time", slices.time_slice(F.col("t")))
+        .groupBy(*keys, "slice_time")
+        .agg(F.collect_list(instant).alias("instants"))
+    )
+    return replace(slices, crowded=crowded)
 
 
 def with_previous(

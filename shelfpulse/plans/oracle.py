@@ -457,9 +457,9 @@ UNION ALL SELECT 'field_outcomes', 'unique', concat_ws('|', run_id, field, statu
 UNION ALL SELECT 'field_outcomes', 'status', status, COUNT(*) FROM oldout
   WHERE status NOT IN ('ok', 'missing', 'invalid') GROUP BY status
 UNION ALL SELECT 'field_outcomes', 'run', CAST(run_id AS STRING), COUNT(*) FROM oldout
-  WHERE run_id NOT IN (SELECT id FROM evruns) GROUP BY run_id
+  WHERE run_id NOT IN (SELECT id FROM evruns WHERE ok = 1) GROUP BY run_id
 UNION ALL SELECT 'observations', 'run', CAST(run_id AS STRING), COUNT(*) FROM obs
-  WHERE run_id NOT IN (SELECT id FROM evruns) GROUP BY run_id""",
+  WHERE run_id NOT IN (SELECT id FROM evruns WHERE ok = 1) GROUP BY run_id""",
         base="ev obs evruns oldout",
     ),
     "run_reliability": sql(RELIABLE.format(where=""), base="runs"),

@@ -104,15 +104,13 @@ def catalogue_products(t: Tables) -> DataFrame:
 
 @query
 def catalogue_variants(t: Tables) -> DataFrame:
-    latest = catalogue.latest_readings(t.obs())
-    return catalogue.variants(latest, catalogue.products(latest)).drop("id")
+    return catalogue.variants(*catalogue.folded(t.obs())).drop("id")
 
 
 @query
 def catalogue_documents(t: Tables) -> DataFrame:
     """The nested catalogue, unfolded again with each variant's place in its product."""
-    latest = materialize(catalogue.latest_readings(t.obs()), "latest")
-    nested = catalogue.documents(latest, catalogue.products(latest))
+    nested = catalogue.documents(*catalogue.folded(t.obs()))
     return nested.select(
         "m", "p", "part", "h", "t", "vendor", "type", F.col("img").alias("product_img"), "cur",
         F.posexplode("variants").alias("place", "variant"),
@@ -189,7 +187,8 @@ def regraded_runs(t: Tables) -> DataFrame:
 
 @query
 def constraint_violations(t: Tables) -> DataFrame:
-    return constraints.violations(t.evruns(), t.oldout(), t.obs())
+    """Against the successful runs only, so that rows of failed runs have no run."""
+    return constraints.violations(t.evruns().where("ok = 1"), t.oldout(), t.obs())
 
 
 # --- operating record -------------------------------------------------------
@@ -300,7 +299,7 @@ def regrade_stored(t: Tables) -> DataFrame:
     """Outcomes written to the store and re-graded there."""
     folder = new_folder(t.spark, "outcomes")
     runs = t.evruns()
-    store.write_outcomes(t.oldout(), runs, folder)
+    store.upsert_outcomes(t.spark, folder, t.oldout(), runs)
     store.regrade_store(t.spark, folder, t.obs(), runs)
     return store.read_outcomes(t.spark, folder).drop(store.RUN_DAY)
 

@@ -38,10 +38,19 @@ def work_dir(spark: SparkSession) -> str:
     return _private_dir(spark.sparkContext.applicationId)
 
 
+def _folder(spark: SparkSession, path: str) -> tuple:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _folder(spark, path)
+    return files.exists(folder)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -8,14 +8,13 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfpulse.operators import catalogue, changes, quality, report
 from shelfpulse.schemas import CHANGES, MAX_CHANGES, SCHEMA_VERSION
-from shelfpulse.session import materialize, scratch
+from shelfpulse.session import folder_exists, materialize, scratch
 from shelfpulse.sources.registry import published
 
 # Microseconds survive the round trip, so a change read back keeps its key.
@@ -24,6 +23,11 @@ JSON_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
     "timeZone": "UTC",
 }
+# The short names changes are published under.
+CHANGE_NAMES = {
+    "merchant": "m", "variant_ext_id": "v", "title": "t", "variant_title": "vt",
+    "from_value": "from", "to_value": "to",
+}
 RUN_COLUMNS = (
     "id", "merchant", "method", "provider", "started_at", "finished_at", "ok", "http_status",
     "error", "products_seen", "variants_seen", "bytes", "duration_ms", "cost_usd",
@@ -36,23 +40,27 @@ def write_json(df: DataFrame, folder: str, *partition: str) -> None:
     (writer.partitionBy(*partition) if partition else writer).json(folder)
 
 
-def read_published_changes(spark: SparkSession, folder: str) -> DataFrame:
+def write_changes(retained: DataFrame, folder: str) -> None:
+    short = [F.col(c).alias(CHANGE_NAMES.get(c, c)) for c in CHANGES.names]
+    write_json(retained.orderBy(*changes.newest_first(retained)).select(*short), folder)
+
+
+def read_published_changes(
+    spark: SparkSession, folder: str, within: str | None = None
+) -> DataFrame:
     """Changes of the last publication; none if there is none or it is unreadable."""
     empty = spark.createDataFrame([], CHANGES)
+    if not folder_exists(spark, folder):
+        return empty
     bad = "_corrupt_record"
-    schema = T.StructType([*CHANGES.fields, T.StructField(bad, T.StringType())])
+    fields = [T.StructField(CHANGE_NAMES.get(f.name, f.name), f.dataType) for f in CHANGES]
+    schema = T.StructType([*fields, T.StructField(bad, T.StringType())])
     reader = spark.read.schema(schema).options(**JSON_OPTIONS).option("columnNameOfCorruptRecord", bad)
-    try:
-        stored = reader.json(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty
-    kept = materialize(stored, "published-changes")
+    kept = materialize(reader.json(folder), "published-changes", within)
     if not kept.where(F.col(bad).isNotNull()).isEmpty():
         warnings.warn("published changes are unreadable, starting change history fresh", stacklevel=2)
         return empty
-    return kept.drop(bad)
+    return kept.select(*[F.col(CHANGE_NAMES.get(c, c)).alias(c) for c in CHANGES.names])
 
 
 def meta(runs: DataFrame, generated_at: Column) -> DataFrame:
@@ -78,18 +86,18 @@ def publish(
     record, products_folder = f"{folder}/snapshot", f"{folder}/catalogue"
     with scratch(spark, "publish") as work:
         fresh = changes.history(observations)
-        merged = changes.merge(read_published_changes(spark, f"{record}/changes"), fresh)
+        before = read_published_changes(spark, f"{record}/changes", work)
+        merged = changes.merge(before, fresh)
         # Written out before the old publication it was read from is replaced.
         retained = materialize(changes.retain(merged, max_changes), "changes", work)
-        latest = materialize(catalogue.latest_readings(observations), "latest", work)
-        product_rows = materialize(catalogue.products(latest), "products", work)
+        latest, product_rows = catalogue.folded(observations, work)
 
         write_json(about, f"{record}/meta")
         write_json(published(registry), f"{record}/merchants")
         write_json(runs.select(*RUN_COLUMNS).orderBy("started_at"), f"{record}/runs")
         fields = quality.field_quality(outcomes)
         write_json(fields.orderBy("merchant", *quality.least_reliable_first()), f"{record}/fields")
-        write_json(retained.orderBy(*changes.newest_first(retained)), f"{record}/changes")
+        write_changes(retained, f"{record}/changes")
         write_json(catalogue.totals(latest), f"{record}/totals")
         write_json(about, f"{products_folder}/meta")
         documents = catalogue.documents(latest, product_rows)

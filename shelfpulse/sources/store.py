@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from shelfpulse.functions.money import typed_price
 from shelfpulse.operators import quality, retention
 from shelfpulse.schemas import FIELD_OUTCOMES, OBSERVATIONS, PAGES, RETENTION_DAYS
-from shelfpulse.session import delete_folder
+from shelfpulse.session import delete_folder, folder_exists
 
 OBSERVED_DAY = "obs_date"
 RUN_DAY = "run_date"
@@ -73,37 +73,39 @@ def _dynamic(df: DataFrame, path: str, *partition: str) -> None:
     writer.partitionBy(*partition).parquet(path)
 
 
-def write_outcomes(outcomes: DataFrame, runs: DataFrame, path: str) -> None:
-    """Append outcomes of new runs under the day their run started."""
-    days = runs.select(F.col("id").alias("run_id"), F.to_date("started_at").alias(RUN_DAY))
-    dated = evolve(outcomes, FIELD_OUTCOMES).join(days, "run_id")
-    dated.repartitionByRange(RUN_DAY, "run_id").write.mode("append").partitionBy(RUN_DAY).parquet(path)
-
-
 def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
     stored = T.StructType([*FIELD_OUTCOMES.fields, T.StructField(RUN_DAY, T.DateType())])
     return spark.read.schema(stored).parquet(path)
 
 
-def replace_outcomes(outcomes: DataFrame, fresh: DataFrame, runs: DataFrame, path: str) -> None:
-    """Replace the outcomes of the runs in `fresh`, keep all others, in one commit.
+def _replace_outcomes(
+    spark: SparkSession, path: str, fresh: DataFrame, runs: DataFrame, key: list[str]
+) -> None:
+    """Replace stored outcomes that share `key` with a fresh one, in one commit.
 
-    Only days holding a replaced run are rewritten.
+    Only days holding one of the fresh runs are read and rewritten.
     """
-    days = runs.select(F.col("id").alias("run_id"), F.to_date("started_at").alias(RUN_DAY))
-    fresh_days = fresh.join(days, "run_id")
-    touched = fresh_days.select(RUN_DAY).distinct()
-    kept = outcomes.join(touched, RUN_DAY, "left_semi").join(
-        fresh.select("run_id").distinct(), "run_id", "left_anti"
-    )
     columns = [*FIELD_OUTCOMES.names, RUN_DAY]
-    rows = kept.select(*columns).unionByName(fresh_days.select(*columns))
+    days = runs.select(F.col("id").alias("run_id"), F.to_date("started_at").alias(RUN_DAY))
+    rows = evolve(fresh, FIELD_OUTCOMES).join(days, "run_id").select(*columns)
+    if folder_exists(spark, path):
+        touched = rows.select(RUN_DAY).distinct()
+        kept = read_outcomes(spark, path).join(touched, RUN_DAY, "left_semi").join(
+            rows.select(*key).distinct(), key, "left_anti"
+        )
+        rows = kept.select(*columns).unionByName(rows)
     _dynamic(rows.repartitionByRange(RUN_DAY, "run_id"), path, RUN_DAY)
 
 
-def regrade_store(spark: SparkSession, outcomes_path: str, observations: DataFrame, runs: DataFrame) -> None:
-    outcomes = read_outcomes(spark, outcomes_path)
-    replace_outcomes(outcomes, quality.regraded_tally(observations, runs), runs, outcomes_path)
+def upsert_outcomes(spark: SparkSession, path: str, outcomes: DataFrame, runs: DataFrame) -> None:
+    """Store outcomes; one already stored for the same run, field and status is replaced."""
+    _replace_outcomes(spark, path, outcomes, runs, list(quality.OUTCOME_KEY))
+
+
+def regrade_store(spark: SparkSession, path: str, observations: DataFrame, runs: DataFrame) -> None:
+    """Re-grade: all outcomes of a run with readings are replaced, other runs stay."""
+    fresh = quality.regraded_tally(observations, runs)
+    _replace_outcomes(spark, path, fresh, runs, ["run_id"])
 
 
 def prune_store(

@@ -9,7 +9,6 @@ failure replaces its output instead of adding to it.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfpulse.operators import changes
 from shelfpulse.operators.skew import MAX_ROWS, with_previous
 from shelfpulse.schemas import CHANGE_KEY, SERIES_KEY
-from shelfpulse.session import days_before, delete_folder, materialize, scratch
+from shelfpulse.session import days_before, delete_folder, folder_exists, materialize, scratch
 from shelfpulse.sources import store
 
 EPOCH = "epoch"
@@ -118,12 +117,8 @@ def start_changes(
 def read_changes(spark: SparkSession, folder: str) -> DataFrame:
     """Current events: of a recomputed variant only the later ones, one per change key."""
     events = spark.read.parquet(f"{folder}/changes")
-    try:
+    if folder_exists(spark, f"{folder}/recomputed"):
         recomputed = spark.read.parquet(f"{folder}/recomputed")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    else:
         valid_from = recomputed.groupBy(*SERIES_KEY).agg(F.max(EPOCH).alias("valid_from"))
         events = events.join(valid_from, list(SERIES_KEY), "left").where(
             F.col("valid_from").isNull() | (F.col(EPOCH) >= F.col("valid_from"))

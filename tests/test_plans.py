@@ -2,9 +2,10 @@
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from shelfpulse.operators import ingest
+from shelfpulse.operators import catalogue, ingest
 from shelfpulse.plans.fixtures import PAGE_PRODUCTS
 from shelfpulse.session import materialize
 
@@ -57,3 +58,33 @@ def test_page_bodies_are_not_shuffled(spark, tables):
 def test_time_filter_reaches_the_scan(spark):
     plan = entry.queries()["run_reliability_window"](spark, SMALL)._jdf.queryExecution().toString()
     assert "ReadSchema" in plan and "o_orderdate" in plan
+
+
+def test_large_product_is_split_in_the_join(spark):
+    """A product holding most variants does not end up in one join task."""
+    names = [F.lit(None).cast("string").alias(c) for c in (
+        "handle", "title", "variant_title", "vendor", "product_type", "sku", "price_raw", "compare_at_raw")]
+    latest = spark.range(200_000).select(
+        "id", F.lit("m").alias("merchant"), F.lit("USD").alias("currency"), F.lit(True).alias("available"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("product_ext_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("variant_ext_id"),
+        F.sha2(F.col("id").cast("string"), 512).alias("image_url"), *names,
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        latest = materialize(latest, "latest")
+        rows = catalogue.variants(latest, materialize(catalogue.products(latest), "products"))
+        rows.collect()
+        assert "skew=true" in plan_of(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

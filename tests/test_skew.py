@@ -105,8 +105,7 @@ def test_sampling_only_steers_balance(spark):
 @pytest.mark.parametrize("max_variants", [3, 7, 1000])
 def test_documents_in_parts(spark, max_variants):
     df, _ = readings(spark, 7)
-    latest = catalogue.latest_readings(df)
-    product_rows = catalogue.products(latest)
+    latest, product_rows = catalogue.folded(df)
     docs = catalogue.documents(latest, product_rows, max_variants)
     flat = docs.select("m", "p", F.explode("variants").alias("v")).select("m", "p", "v.*")
     expected = catalogue.variants(latest, product_rows).select(

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from shelfpulse.operators import catalogue, changes, quality, report, retention
+from shelfpulse.operators import catalogue, changes, constraints, quality, report, retention
 from shelfpulse.schemas import CHANGES, OBSERVATIONS, RUNS
 from shelfpulse.sources import snapshot, store
 
@@ -63,6 +63,33 @@ def test_prune(spark, tables, tmp_path, now):
     assert store.prune_store(spark, path, now)["doomed"] == 0
 
 
+def test_outcomes_are_upserted_by_key(spark, tables, tmp_path):
+    path, runs = str(tmp_path / "outcomes"), tables.evruns()
+    first = tables.oldout()
+    store.upsert_outcomes(spark, path, first, runs)
+    changed = first.where("status = 'invalid'").withColumn("count", F.col("count") + 1)
+    for _ in range(2):
+        store.upsert_outcomes(spark, path, changed, runs)
+    expected = first.where("status <> 'invalid'").unionByName(changed)
+    assert same(store.read_outcomes(spark, path).drop(store.RUN_DAY), expected)
+
+
+def test_broken_rules_are_found(spark, tables):
+    runs = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "id bigint, merchant string")
+    outcomes = spark.createDataFrame(
+        [(1, "a", "sku", "ok", 3), (1, "a", "sku", "ok", 4), (1, "a", "sku", "odd", 1), (9, "a", "sku", "ok", 1)],
+        "run_id bigint, merchant string, field string, status string, count bigint",
+    )
+    observations = spark.createDataFrame([(1, 1, None), (2, 8, "a")], "id bigint, run_id bigint, merchant string")
+    found = {tuple(r) for r in constraints.violations(runs, outcomes, observations).collect()}
+    assert found == {
+        ("runs", "required", "merchant", 1), ("runs", "unique", "1", 2),
+        ("field_outcomes", "unique", "1|sku|ok", 2), ("field_outcomes", "status", "odd", 1),
+        ("field_outcomes", "run", "9", 1), ("observations", "required", "merchant", 1),
+        ("observations", "run", "8", 1),
+    }
+
+
 def test_cutoff_is_strict(spark):
     moments = [dt.datetime(2024, 1, 17) + dt.timedelta(microseconds=n) for n in (-1, 0, 1)]
     df = spark.createDataFrame([(m,) for m in moments], "observed_at timestamp_ntz")
@@ -74,10 +101,10 @@ def test_published_changes(spark, tmp_path):
     assert snapshot.read_published_changes(spark, folder).isEmpty()
     moment = dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
     row = (moment, "m", "v", None, "x", "price", 1.5, None, None, "abc")
-    snapshot.write_json(spark.createDataFrame([row], CHANGES), folder)
+    snapshot.write_changes(spark.createDataFrame([row], CHANGES), folder)
     assert snapshot.read_published_changes(spark, folder).collect()[0] == row
     text = spark.read.text(folder).first()[0]
-    assert '"to_value":null' in text
+    assert '"at":"2024-01-02T03:04:05.678901Z","m":"m","v":"v","t":null' in text and '"to":null' in text
     spark.createDataFrame([("{broken",)], "value string").write.mode("overwrite").text(folder)
     with pytest.warns(UserWarning, match="unreadable"):
         assert snapshot.read_published_changes(spark, folder).isEmpty()
