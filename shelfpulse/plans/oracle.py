@@ -549,3 +549,16 @@ GROUP BY run_id, merchant, field, status""",
     ),
     "stream_change_history": sql(f"SELECT {CHANGE} FROM events_found", EVENTS, base=READINGS),
 }
+
+ORACLE["change_history_sliced"] = ORACLE["change_history"]
+ORACLE["change_history_ties_sliced"] = ORACLE["change_history_ties"]
+ORACLE["latest_per_variant_spread"] = ORACLE["latest_per_variant"]
+ORACLE["catalogue_document_parts"] = (
+    f"SELECT m, p, h, t, v, vt, sku, price, price_text, was, was_text, avail, img FROM ({ORACLE['catalogue_documents']}) d"
+)
+ORACLE["redacted_changes"] = sql(
+    """SELECT d.* EXCLUDE (moved, flipped) REPLACE (label AS merchant) FROM diff d JOIN (
+  SELECT merchant AS name, concat('merchant-', chr(CAST(64 + ROW_NUMBER() OVER (ORDER BY merchant) AS INT))) AS label
+  FROM (SELECT DISTINCT merchant FROM obs) m) n ON n.name = d.merchant""",
+    DIFF, base=READINGS,
+)

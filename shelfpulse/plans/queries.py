@@ -45,6 +45,17 @@ def change_history_ties(t: Tables) -> DataFrame:
     return changes.history(t.obs_day())
 
 
+@query
+def change_history_sliced(t: Tables) -> DataFrame:
+    """The same history with every longer series treated as hot and cut into slices."""
+    return changes.history(t.obs(), max_rows=8).drop("id")
+
+
+@query
+def change_history_ties_sliced(t: Tables) -> DataFrame:
+    return changes.history(t.obs_day(), max_rows=3)
+
+
 @query
 def latest_diff(t: Tables) -> DataFrame:
     return changes.latest_diff(t.obs())
@@ -97,6 +108,14 @@ def latest_per_variant(t: Tables) -> DataFrame:
     )
 
 
+@query
+def latest_per_variant_spread(t: Tables) -> DataFrame:
+    """The same rows with every longer series treated as hot."""
+    return catalogue.latest_readings(t.obs_day(), max_rows=8).select(
+        "id", "merchant", "variant_ext_id", "price_raw", "available", "observed_at"
+    )
+
+
 @query
 def catalogue_products(t: Tables) -> DataFrame:
     return catalogue.products(catalogue.latest_readings(t.obs()))
@@ -117,6 +136,15 @@ def catalogue_documents(t: Tables) -> DataFrame:
     ).select("m", "p", "part", "h", "t", "vendor", "type", "product_img", "cur", "place", "variant.*")
 
 
+@query
+def catalogue_document_parts(t: Tables) -> DataFrame:
+    """Nested products of at most about two variants per row, unfolded again."""
+    nested = catalogue.documents(*catalogue.folded(t.obs()), max_variants=2)
+    return nested.select("m", "p", "h", "t", F.explode("variants").alias("variant")).select(
+        "m", "p", "h", "t", "variant.*"
+    )
+
+
 @query
 def catalogue_totals(t: Tables) -> DataFrame:
     return catalogue.totals(catalogue.latest_readings(t.obs()))
@@ -230,6 +258,11 @@ def redacted_reliability(t: Tables) -> DataFrame:
     return report.redact(report.reliability_with_total(runs), report.merchant_labels(runs))
 
 
+@query
+def redacted_changes(t: Tables) -> DataFrame:
+    return report.redact(changes.latest_diff(t.obs()), report.merchant_labels(t.obs()))
+
+
 @query
 def run_records(t: Tables) -> DataFrame:
     """The operating record as it is published, every run."""

@@ -92,3 +92,9 @@ def days_before(df: DataFrame, column: str, as_of: object, days: float) -> Colum
 
 def micros(at: Column) -> Column:
     return F.unix_micros(at.cast("timestamp"))
+
+
+def utc_day(at: Column) -> Column:
+    """The UTC date of a moment, whatever the session's time zone."""
+    days = F.floor(F.unix_seconds(at.cast("timestamp")) / 86_400)
+    return F.date_from_unix_date(days.cast("int"))

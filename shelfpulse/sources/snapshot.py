@@ -78,16 +78,21 @@ def publish(
     observations: DataFrame,
     generated_at: Column | None = None,
     max_changes: int | None = MAX_CHANGES,
+    fresh: DataFrame | None = None,
 ) -> None:
-    """Write `snapshot/` (meta, merchants, runs, fields, changes, totals) and `catalogue/`."""
+    """Write `snapshot/` (meta, merchants, runs, fields, changes, totals) and `catalogue/`.
+
+    `fresh` are changes already detected, as by the stream; without them the history
+    of all given observations is worked out here.
+    """
     spark = runs.sparkSession
     stamp = F.current_timestamp() if generated_at is None else generated_at
     about = meta(runs, stamp)
     record, products_folder = f"{folder}/snapshot", f"{folder}/catalogue"
     with scratch(spark, "publish") as work:
-        fresh = changes.history(observations)
+        found = changes.history(observations) if fresh is None else fresh
         before = read_published_changes(spark, f"{record}/changes", work)
-        merged = changes.merge(before, fresh)
+        merged = changes.merge(before, found)
         # Written out before the old publication it was read from is replaced.
         retained = materialize(changes.retain(merged, max_changes), "changes", work)
         latest, product_rows = catalogue.folded(observations, work)

@@ -1,6 +1,6 @@
 """The stored tables as partitioned Parquet.
 
-Readings are partitioned by day, so retention drops whole folders and time
+Readings are partitioned by UTC day, so retention drops whole folders and time
 filters prune; outcomes are partitioned by the day of their run, so re-grading
 replaces whole partitions in one committed job.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from shelfpulse.functions.money import typed_price
 from shelfpulse.operators import quality, retention
 from shelfpulse.schemas import FIELD_OUTCOMES, OBSERVATIONS, PAGES, RETENTION_DAYS
-from shelfpulse.session import delete_folder, folder_exists
+from shelfpulse.session import delete_folder, folder_exists, utc_day
 
 OBSERVED_DAY = "obs_date"
 RUN_DAY = "run_date"
@@ -50,7 +50,7 @@ def append_observations(observations: DataFrame, path: str, batch: str) -> None:
     Rows of a series are laid side by side in each file.
     """
     rows = evolve(typed_prices(observations), OBSERVATIONS)
-    dated = rows.withColumns({OBSERVED_DAY: F.to_date("observed_at"), BATCH: F.lit(batch)})
+    dated = rows.withColumns({OBSERVED_DAY: utc_day(F.col("observed_at")), BATCH: F.lit(batch)})
     _dynamic(
         dated.sortWithinPartitions(OBSERVED_DAY, "merchant", "variant_ext_id"),
         path, OBSERVED_DAY, BATCH,
@@ -86,7 +86,7 @@ def _replace_outcomes(
     Only days holding one of the fresh runs are read and rewritten.
     """
     columns = [*FIELD_OUTCOMES.names, RUN_DAY]
-    days = runs.select(F.col("id").alias("run_id"), F.to_date("started_at").alias(RUN_DAY))
+    days = runs.select(F.col("id").alias("run_id"), utc_day(F.col("started_at")).alias(RUN_DAY))
     rows = evolve(fresh, FIELD_OUTCOMES).join(days, "run_id").select(*columns)
     if folder_exists(spark, path):
         touched = rows.select(RUN_DAY).distinct()
@@ -121,7 +121,7 @@ def prune_store(
         return counts
     doomed = F.col("observed_at") < retention.cutoff(stored, as_of, days)
     expired = stored.where(
-        F.col(OBSERVED_DAY) <= F.to_date(retention.cutoff(stored, as_of, days))
+        F.col(OBSERVED_DAY) <= utc_day(retention.cutoff(stored, as_of, days))
     )
     folders = (
         expired.groupBy(F.col(OBSERVED_DAY).cast("string").alias(OBSERVED_DAY), BATCH)

@@ -7,6 +7,7 @@ import pytest
 
 from shelfpulse.operators import ingest, quality
 from shelfpulse.schemas import PAGES, REGISTRY
+from shelfpulse.session import SETTINGS
 from shelfpulse.sources.registry import enabled, read_registry
 
 START = dt.datetime(2024, 5, 1, 6, 10)
@@ -118,6 +119,20 @@ def test_empty_feed_is_a_successful_run(spark):
         assert (runs[1].ok, runs[1].variants_seen, runs[1].error) == (1, 0, None)
 
 
+def test_repeated_json_keys(spark):
+    """The last one counts, as the recommended settings say."""
+    name = "spark.sql.variant.allowDuplicateKeys"
+    body = '{"products":null,"products":[{"id":1,"id":2,"variants":[]}]}'
+    try:
+        spark.conf.set(name, SETTINGS[name])
+        _, _, runs = account(spark, [(1, "a", 1, 200, body)])
+        assert (runs[1].ok, runs[1].products_seen) == (1, 1)
+    finally:
+        spark.conf.unset(name)
+    _, _, runs = account(spark, [(1, "a", 1, 200, body)])
+    assert runs[1].error.startswith("unparseable JSON on page 1")
+
+
 def test_page_cap_is_visible(spark):
     full = feed(product(1, {"id": 1}), product(2))
     landed, runs_df, runs = account(spark, [(1, "a", n, 200, full) for n in (1, 2, 3, 4)])

@@ -63,6 +63,29 @@ def test_prune(spark, tables, tmp_path, now):
     assert store.prune_store(spark, path, now)["doomed"] == 0
 
 
+def test_prune_from_another_time_zone(spark, tables, tmp_path):
+    path, now = str(tmp_path / "obs"), dt.datetime(2024, 1, 31, 3, tzinfo=dt.timezone.utc)
+    store.append_observations(tables.obs(), path, "0")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        local = F.lit(now)
+        counts = store.prune_store(spark, path, local)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    stored = store.read_observations(spark, path)
+    assert counts["doomed"] > 0 and stored.count() == counts["kept"]
+    assert stored.where("observed_at < timestamp'2024-01-17 03:00:00'").isEmpty()
+
+
+def test_publish_changes_of_the_stream(spark, tables, tmp_path):
+    folder, obs = str(tmp_path / "public"), tables.obs()
+    found = changes.history(obs).where("kind = 'stock'")
+    runs = store.evolve(tables.evruns(), RUNS)
+    snapshot.publish(folder, tables.registry(), runs, tables.oldout(), obs, max_changes=None, fresh=found)
+    kept = snapshot.read_published_changes(spark, f"{folder}/snapshot/changes")
+    assert kept.count() == found.count()
+
+
 def test_outcomes_are_upserted_by_key(spark, tables, tmp_path):
     path, runs = str(tmp_path / "outcomes"), tables.evruns()
     first = tables.oldout()
