@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shelfpulse.schemas import NAME_WIDTH
+
 # The characters that count as white space when text is trimmed.
 WHITESPACE = (
     "\t\n\u000b\f\r \u00a0\u1680"
@@ -42,7 +44,7 @@ def image_of(variant_image: Column, product_image: Column) -> Column:
     return F.coalesce(without_query(variant_image), without_query(product_image))
 
 
-def display_name(title: Column, variant_title: Column, width: int = 44) -> Column:
+def display_name(title: Column, variant_title: Column, width: int = NAME_WIDTH) -> Column:
     plain = variant_title.isNull() | variant_title.isin("", DEFAULT_VARIANT)
     shown = F.coalesce(title, F.lit("null"))
     named = F.when(plain, shown).otherwise(F.concat(shown, F.lit(" ("), variant_title, F.lit(")")))

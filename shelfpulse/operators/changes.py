@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from shelfpulse.functions.money import price_text, sort_amount, typed_price
 from shelfpulse.functions.text import display_name, stock_label
 from shelfpulse.operators.skew import MAX_ROWS, with_previous
-from shelfpulse.schemas import CHANGE_KEY, MAX_CHANGES, SERIES_KEY
+from shelfpulse.schemas import (
+    CHANGE_KEY, MAX_CHANGES, PRICE_KIND, SERIES_KEY, STOCK_KIND, TOP_CHANGES,
+)
 
 # A price reading is its number, or its text when it is no number; either may be
 # compared. It is unknown only when the feed sent nothing.
@@ -59,11 +61,11 @@ def change_events(readings: DataFrame) -> DataFrame:
         return F.when(happened, F.struct(F.lit(kind).alias("kind"), *fields))
 
     moves = event(
-        price_moved, "price",
+        price_moved, PRICE_KIND,
         F.col("prev_price"), F.col("price"), F.col("prev_price_text"), F.col("price_text"),
     )
     flips = event(
-        stock_flipped, "stock", flag("prev_available"), flag("available"), no_text, no_text
+        stock_flipped, STOCK_KIND, flag("prev_available"), flag("available"), no_text, no_text
     )
     return (
         readings.where(_known("prev_") & (price_moved | stock_flipped))
@@ -80,7 +82,8 @@ def history(observations: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     return change_events(with_previous_reading(observations, max_rows))
 
 
-def newest_first(changes: DataFrame) -> list[Column]:
+def newest_first() -> list[Column]:
+    """The total order changes are kept in."""
     return [F.desc("at"), *[F.asc(c) for c in CHANGE_KEY if c != "at"]]
 
 
@@ -127,7 +130,7 @@ def merge_counts(
 
 def retain(changes: DataFrame, max_changes: int | None = MAX_CHANGES) -> DataFrame:
     """The newest changes in a fixed total order."""
-    ordered = changes.orderBy(*newest_first(changes))
+    ordered = changes.orderBy(*newest_first())
     return ordered if max_changes is None else ordered.limit(max_changes)
 
 
@@ -185,7 +188,7 @@ def diff_counts(diff: DataFrame) -> DataFrame:
     )
 
 
-def diff_top(diff: DataFrame, rows: int = 12) -> DataFrame:
+def diff_top(diff: DataFrame, rows: int = TOP_CHANGES) -> DataFrame:
     """The first changes of the report, as it words them."""
     shown = lambda side: F.coalesce(f"{side}_price_text", F.col(f"{side}_price").cast("string"))
     stock = lambda side: stock_label(F.col(f"{side}_available"))
@@ -201,5 +204,5 @@ def diff_top(diff: DataFrame, rows: int = 12) -> DataFrame:
     )
 
 
-def diff_remainder(diff: DataFrame, rows: int = 12) -> DataFrame:
+def diff_remainder(diff: DataFrame, rows: int = TOP_CHANGES) -> DataFrame:
     return diff.agg(F.greatest(F.count(F.lit(1)) - rows, F.lit(0)).cast("bigint").alias("more"))

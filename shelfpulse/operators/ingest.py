@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpulse.functions.text import image_of
-from shelfpulse.schemas import ERROR_LENGTH, MAX_PAGES, PAGE_LIMIT, SUPPORTED_METHOD
+from shelfpulse.schemas import (
+    BODY_START, ERROR_LENGTH, HTTP_ERROR, MAX_PAGES, NO_ADAPTER_ERROR, PAGE_LIMIT,
+    SUPPORTED_METHOD, UNPARSEABLE_ERROR,
+)
 from shelfpulse.session import micros
 
 RUN_KEY = ("run_id", "merchant")
@@ -55,11 +58,11 @@ def page_facts(pages: DataFrame) -> DataFrame:
         | _not_a_list(F.col("feed"), "$.products")
         | F.exists("products", _broken_product)
     )
-    start = F.concat(F.left("body", F.lit(60)), F.lit("…"))
+    start = F.left("body", F.lit(BODY_START))
     error = (
         F.when(F.col("http_status").isNull(), F.format_string("no response on page %d", "page"))
-        .when(~status_ok, F.format_string("HTTP %d on page %d", "http_status", "page"))
-        .when(F.col("feed").isNull(), F.format_string("unparseable JSON on page %d (%s)", "page", start))
+        .when(~status_ok, F.format_string(HTTP_ERROR, "http_status", "page"))
+        .when(F.col("feed").isNull(), F.format_string(UNPARSEABLE_ERROR, "page", start))
         .when(unusable, F.format_string("unusable feed on page %d", "page"))
     )
     variants = F.aggregate(
@@ -128,7 +131,7 @@ def derive_runs(
         .when(failed, F.col("failure.fetched_at"))
         .when(ok, F.col("last_fetch"))
     )
-    error = F.when(no_adapter, F.format_string('method "%s" has no adapter yet', "method")).when(
+    error = F.when(no_adapter, F.format_string(NO_ADAPTER_ERROR, "method")).when(
         failed, F.col("failure.error")
     )
     status = F.when(ok, F.col("last_status")).when(failed & ~no_adapter, F.col("failure.http_status"))

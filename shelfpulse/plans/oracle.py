@@ -543,11 +543,11 @@ GROUP BY run_id, merchant, field, status""",
   {text_grade('title', 2)} AS title_status, {text_grade('variant_title')} AS variant_title_status FROM decoded)""",
         base="registry",
     ),
-    "stream_ingest_readings": sql(
+    "stream_ingest": sql(
         f"SELECT run_id, merchant, product_ext_id, variant_ext_id, {STORED_TAIL.format(image='image_url')} FROM decoded",
         SHOP, base="registry",
     ),
-    "stream_change_history": sql(f"SELECT {CHANGE} FROM events_found", EVENTS, base=READINGS),
+    "stream_changes": sql(f"SELECT {CHANGE} FROM events_found", EVENTS, base=READINGS),
 }
 
 ORACLE["change_history_sliced"] = ORACLE["change_history"]

@@ -14,8 +14,8 @@ from shelfpulse.schemas import FIELDS, OBSERVATIONS, PAGES, RUNS
 from shelfpulse.session import materialize, new_folder
 from shelfpulse.sources import registry as merchants
 from shelfpulse.sources import snapshot, store
-from shelfpulse.streaming import changes as stream_changes
-from shelfpulse.streaming import ingest as stream_ingest
+from shelfpulse.streaming import changes as change_stream
+from shelfpulse.streaming import ingest as page_stream
 
 # Fixed "now" of the given data, and the windows used with it.
 OBS_NOW = "2024-01-31 00:00:00"
@@ -396,14 +396,14 @@ def feed_grades(t: Tables) -> DataFrame:
 # --- streaming --------------------------------------------------------------
 
 @query
-def stream_ingest_readings(t: Tables) -> DataFrame:
+def stream_ingest(t: Tables) -> DataFrame:
     """Pages landing in two waves, taken in as they come."""
     spark, folder = t.spark, new_folder(t.spark, "stream-ingest")
     pages, registry = materialize(t.pages(), "landed"), t.registry()
     for wave in (0, 1):
         part = pages.where(F.col("run_id") % 2 == wave)
         store.evolve(part, PAGES).write.mode("append").parquet(f"{folder}/landing")
-        stream_ingest.start_ingest(
+        page_stream.start_ingest(
             spark, f"{folder}/landing", registry, f"{folder}/store", f"{folder}/checkpoint",
             PAGE_PRODUCTS,
         ).awaitTermination()
@@ -413,7 +413,7 @@ def stream_ingest_readings(t: Tables) -> DataFrame:
 
 
 @query
-def stream_change_history(t: Tables) -> DataFrame:
+def stream_changes(t: Tables) -> DataFrame:
     """Readings stored in three steps, changes detected after each."""
     spark, folder = t.spark, new_folder(t.spark, "stream-changes")
     readings, path = t.obs(), f"{folder}/observations"
@@ -421,7 +421,7 @@ def stream_change_history(t: Tables) -> DataFrame:
     steps = [day <= 12, (day > 12) & (day <= 22), day > 22]
     for number, step in enumerate(steps):
         store.append_observations(readings.where(step), path, str(number))
-        stream_changes.start_changes(
+        change_stream.start_changes(
             spark, path, f"{folder}/detected", f"{folder}/checkpoint"
         ).awaitTermination()
-    return _ntz(stream_changes.read_changes(spark, f"{folder}/detected"), "at").drop("id")
+    return _ntz(change_stream.read_changes(spark, f"{folder}/detected"), "at").drop("id")

@@ -12,8 +12,20 @@ STATUSES = ("ok", "missing", "invalid")
 SUPPORTED_METHOD = "shopify_products_json"
 PAGE_LIMIT = 250
 MAX_PAGES = 10
+
+# Fixed formats: error texts of failed runs, and how much of a text they show.
+HTTP_ERROR = "HTTP %d on page %d"
+UNPARSEABLE_ERROR = "unparseable JSON on page %d (%s…)"
+NO_ADAPTER_ERROR = 'method "%s" has no adapter yet'
+BODY_START = 60
 ERROR_LENGTH = 300
 
+# Kinds of change, changes shown in the report, width of a shown name.
+PRICE_KIND = "price"
+STOCK_KIND = "stock"
+TOP_CHANGES = 12
+NAME_WIDTH = 44
+
 # Published document version, retained changes, retention window.
 SCHEMA_VERSION = 1
 MAX_CHANGES = 500

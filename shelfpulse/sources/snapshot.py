@@ -42,7 +42,7 @@ def write_json(df: DataFrame, folder: str, *partition: str) -> None:
 
 def write_changes(retained: DataFrame, folder: str) -> None:
     short = [F.col(c).alias(CHANGE_NAMES.get(c, c)) for c in CHANGES.names]
-    write_json(retained.orderBy(*changes.newest_first(retained)).select(*short), folder)
+    write_json(retained.orderBy(*changes.newest_first()).select(*short), folder)
 
 
 def read_published_changes(

@@ -9,7 +9,7 @@ from shelfpulse.operators import catalogue, ingest
 from shelfpulse.plans.fixtures import PAGE_PRODUCTS
 from shelfpulse.session import materialize
 
-WRITING = ("prune_stored", "regrade_stored", "snapshot_changes", "stream_ingest_readings", "stream_change_history")
+WRITING = ("prune_stored", "regrade_stored", "snapshot_changes", "stream_ingest", "stream_changes")
 
 
 def plan_of(df):
