@@ -129,9 +129,10 @@ def merge_counts(
 
 
 def retain(changes: DataFrame, max_changes: int | None = MAX_CHANGES) -> DataFrame:
-    """The newest changes in a fixed total order."""
-    ordered = changes.orderBy(*newest_first())
-    return ordered if max_changes is None else ordered.limit(max_changes)
+    """The newest changes by a fixed total order; all of them without a limit."""
+    if max_changes is None:
+        return changes
+    return changes.orderBy(*newest_first()).limit(max_changes)
 
 
 def latest_diff(observations: DataFrame) -> DataFrame:

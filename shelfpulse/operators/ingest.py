@@ -109,7 +109,7 @@ def derive_runs(
         F.max("fetched_at").alias("last_fetch"),
         F.max_by("http_status", "page").alias("last_status"),
         F.max("page").alias("last_page"),
-        F.count_distinct("page").alias("pages"),
+        F.size(F.collect_set("page")).alias("pages"),  # at most max_pages numbers
         F.min("end_page").alias("end_page"),
         F.min(failing).alias("failure"),
         F.sum("n_products").alias("products"),

@@ -1,5 +1,8 @@
 """Edge values of the column functions."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,6 +35,38 @@ def test_money(spark):
         assert (row.price_status, row.compare_at_price_status) == PRICE[value], repr(value)
 
 
+def test_money_on_random_text(spark):
+    rng = random.Random(11)
+    alphabet = "0123456789..--+eE$, ab\u00a0\n"
+    values = ["".join(rng.choices(alphabet, k=rng.randrange(7))) for _ in range(3000)]
+    blanks = " \t\n\u000b\f\r\u00a0"
+
+    def grade(raw, zero_is_valid):
+        if raw.strip(blanks) == "":
+            return "missing"
+        rest = re.sub(r"[^0-9.\-]", "", raw)
+        try:
+            amount = float(rest) if rest else 0.0
+        except ValueError:
+            return "invalid"
+        return "ok" if amount > 0 or (amount == 0 and zero_is_valid) else "invalid"
+
+    def typed(raw):
+        number = r"[ \t\n\x0b\f\r]*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?[ \t\n\x0b\f\r]*"
+        return float(raw) if re.fullmatch(number, raw) else None
+
+    df = spark.createDataFrame(list(enumerate(values)), "id int, price_raw string").withColumns(
+        {"compare_at_raw": F.col("price_raw"), "available": F.lit(None).cast("boolean"), "sku": F.lit("a"),
+         "title": F.lit("a"), "variant_title": F.lit("a"), "number": money.typed_price(F.col("price_raw"))}
+    )
+    for row in quality.grade(df).collect():
+        raw = values[row.id]
+        assert row.price_status == grade(raw, False), repr(raw)
+        compare_at = grade(raw, True)
+        assert row.compare_at_price_status == ("ok" if compare_at == "missing" else compare_at), repr(raw)
+        assert row.number == typed(raw), repr(raw)
+
+
 def test_flag_and_text(spark):
     rows = graded(
         spark,
