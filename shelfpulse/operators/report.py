@@ -22,43 +22,64 @@ def _rate(part: Column, whole: Column) -> Column:
     return part / F.nullif(whole, F.lit(0))
 
 
-def _volumes() -> list[Column]:
-    return [
+def _per_method(runs: DataFrame) -> DataFrame:
+    """Sums per merchant and method: only numbers are kept while runs are read."""
+    timed = F.nullif("duration_ms", F.lit(0))
+    return runs.groupBy("merchant", "method").agg(
         F.count(F.lit(1)).alias("runs"),
         F.sum("ok").alias("ok_runs"),
         F.sum("variants_seen").alias("variants"),
-        F.round(F.avg(F.nullif("duration_ms", F.lit(0)))).alias("avg_ms"),
+        F.sum(timed).alias("timed_ms"),
+        F.count(timed).alias("timed_runs"),
         F.sum("bytes").alias("bytes"),
         F.sum("cost_usd").alias("cost"),
         F.max("started_at").alias("last_run"),
-        F.max_by("method", "started_at").alias("method"),
-    ]
+    )
 
 
 def reliability(runs: DataFrame) -> DataFrame:
     """Per merchant: runs, successes, volumes, latency, cost; method of the latest run."""
-    return (
-        runs.groupBy("merchant").agg(*_volumes())
-        .withColumn("ok_rate", _rate(F.col("ok_runs"), F.col("runs")))
-        .select("merchant", "method", "runs", "ok_runs", "ok_rate", "variants", "avg_ms",
-                "bytes", "cost", "last_run")
+    sums = ("runs", "ok_runs", "variants", "timed_ms", "timed_runs", "bytes", "cost")
+    per_merchant = _per_method(runs).groupBy("merchant").agg(
+        *[F.sum(c).alias(c) for c in sums],
+        F.max_by("method", "last_run").alias("method"),
+        F.max("last_run").alias("last_run"),
+    )
+    return per_merchant.select(
+        "merchant", "method", "runs", "ok_runs",
+        _rate(F.col("ok_runs"), F.col("runs")).alias("ok_rate"), "variants",
+        F.round(_rate(F.col("timed_ms"), F.col("timed_runs"))).alias("avg_ms"),
+        "bytes", "cost", "last_run",
     )
 
 
 def reliability_with_total(runs: DataFrame) -> DataFrame:
     """Per merchant plus one grand total row, present even without any run.
 
-    The total is taken from the per-merchant rows, not from the runs again.
+    One pass over the runs: merchants and total come from the same rolled-up sums,
+    to which an empty row is added so that there is always something to total.
     """
     sums = ("runs", "ok_runs", "variants", "cost")
-    per_merchant = reliability(runs).select("merchant", "method", *sums)
-    totals = per_merchant.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums]).select(
-        F.lit(ALL).alias("merchant"), F.lit(None).cast("string").alias("method"), *sums
+    per_method = _per_method(runs).select("merchant", "method", "last_run", *sums)
+    nothing = runs.sparkSession.range(1).select(
+        *[
+            F.lit(0 if f.name in sums else None).cast(f.dataType).alias(f.name)
+            for f in per_method.schema
+        ]
+    )
+    rolled = per_method.unionByName(nothing).rollup("merchant").agg(
+        F.grouping("merchant").alias("total"),
+        F.max_by("method", "last_run").alias("method"),
+        *[F.sum(c).alias(c) for c in sums],
     )
-    rows = per_merchant.withColumn("is_total", F.lit(False)).unionByName(
-        totals.withColumn("is_total", F.lit(True))
+    is_total = F.col("total") == 1
+    return rolled.where(is_total | F.col("merchant").isNotNull()).select(
+        F.when(is_total, ALL).otherwise(F.col("merchant")).alias("merchant"),
+        F.when(~is_total, F.col("method")).alias("method"),
+        *sums,
+        is_total.alias("is_total"),
+        F.coalesce(_rate(F.col("ok_runs"), F.col("runs")), F.lit(0.0)).alias("ok_rate"),
     )
-    return rows.withColumn("ok_rate", F.coalesce(_rate(F.col("ok_runs"), F.col("runs")), F.lit(0.0)))
 
 
 def cost_per_parse(runs: DataFrame) -> DataFrame:
