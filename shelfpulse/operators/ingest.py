@@ -78,6 +78,23 @@ def page_facts(pages: DataFrame) -> DataFrame:
     )
 
 
+def _landed_once(facts: DataFrame) -> DataFrame:
+    """One row per page, marked as an error where copies landed.
+
+    Copies shrink before the shuffle, so each run has at most as many rows as pages.
+    """
+    values = [c for c in facts.columns if c not in (*RUN_KEY, "page", "error")]
+    repeated = F.format_string("page %d landed more than once", "page")
+    return (
+        facts.groupBy(*RUN_KEY, "page")
+        .agg(F.min(F.struct(*values, "error")).alias("first"), F.count(F.lit(1)).alias("landings"))
+        .select(
+            *RUN_KEY, "page", *[f"first.{v}" for v in values],
+            F.when(F.col("landings") > 1, repeated).otherwise(F.col("first.error")).alias("error"),
+        )
+    )
+
+
 def derive_runs(
     facts: DataFrame,
     registry: DataFrame,
@@ -92,14 +109,15 @@ def derive_runs(
 
     A run reads pages up to the first short one or `max_pages`; later pages were
     never asked for. Its first unusable page fails it and voids its volumes. A run
-    that stops without reaching an end has no finish and counts as failed.
+    that stops without reaching an end has no finish and counts as failed, and so
+    does one with a page landed more than once.
     `last_page`, `truncated` (more pages may exist) and the registry's `currency`
     are extra columns.
     """
     per_run = Window.partitionBy(*RUN_KEY)
     short = F.col("error").isNull() & (F.col("n_products") < page_limit)
     reached = (
-        facts.where(F.col("page") <= max_pages)
+        _landed_once(facts.where(F.col("page") <= max_pages))
         .withColumn("end_page", F.min(F.when(short, F.col("page"))).over(per_run))
         .where(F.col("end_page").isNull() | (F.col("page") <= F.col("end_page")))
     )

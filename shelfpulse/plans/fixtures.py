@@ -86,7 +86,7 @@ PAGE_PRODUCTS = 15
 FEED = """
 WITH line AS (
   SELECT l_orderkey AS k, l_linenumber % 8 AS vn, CAST(MAX(l_extendedprice) AS DECIMAL(12,2)) AS price,
-    MAX(l_returnflag) AS flag
+    char(MAX(ascii(l_returnflag))) AS flag
   FROM {lineitem} GROUP BY l_orderkey, l_linenumber % 8
 ),
 variant AS (

@@ -113,6 +113,15 @@ def test_failures_void_the_run(spark):
     assert ingest.decode_pages(landed, decoded_runs).isEmpty()
 
 
+def test_page_landed_twice_fails_the_run(spark):
+    full, short = feed(product(1, {"id": 1}), product(2, {"id": 2})), feed(product(3, {"id": 3}))
+    landed, decoded_runs, runs = account(spark, [
+        (1, "a", 1, 200, full), (1, "a", 2, 200, short), (1, "a", 2, 200, short), (2, "a", 1, 200, short),
+    ])
+    assert (runs[1].ok, runs[1].error, runs[1].variants_seen) == (0, "page 2 landed more than once", 0)
+    assert [r.run_id for r in ingest.decode_pages(landed, decoded_runs).collect()] == [2]
+
+
 def test_empty_feed_is_a_successful_run(spark):
     for body in ('{"products":[]}', "{}", '{"products":null}'):
         _, _, runs = account(spark, [(1, "a", 1, 200, body)])
