@@ -186,29 +186,32 @@ def latest_rows(
 ) -> DataFrame:
     """All rows carrying the newest `at` of their key, ties included.
 
-    Hot keys are first cut down to their newest moment where they are read, and
-    a crowd of rows at that moment is spread by id: all of them rank first.
+    Ranking drops all but each task's newest rows before the shuffle, so only a crowd
+    of rows at one moment can still be hot. Keys with such a crowd are cut down to
+    their newest moment where they are read, and its rows, which all rank first, are
+    spread by id.
     """
-    hot = hot_groups(df.select(*keys), keys, max_rows)
-    if hot is None:
+    crowds = hot_groups(df.select(*keys, at), [*keys, at], max_rows)
+    if crowds is None:
         newest_first = Window.partitionBy(*keys).orderBy(F.desc(at))
         return df.withColumn("newest", F.rank().over(newest_first)).where("newest = 1").drop("newest")
 
+    hot = crowds.groupBy(*keys).agg(F.max("group_rows").alias("crowd_rows"))
     newest = (
         df.join(F.broadcast(hot), list(keys))  # at most MAX_HOT rows, as is its grouping
         .groupBy(*keys)
-        .agg(F.max(at).alias("hot_newest"), F.first("group_rows").alias("group_rows"))
+        .agg(F.max(at).alias("hot_newest"), F.max("crowd_rows").alias("crowd_rows"))
     )
     marked = df.join(F.broadcast(newest), list(keys), "left").where(
         F.col("hot_newest").isNull() | (F.col(at) == F.col("hot_newest"))
     )
     spread = F.coalesce(
-        F.pmod(F.xxhash64(tie), F.ceil(F.col("group_rows") / max_rows)), F.lit(0)
+        F.pmod(F.xxhash64(tie), F.ceil(F.col("crowd_rows") / max_rows)), F.lit(0)
     )
     newest_first = Window.partitionBy(*keys, "spread").orderBy(F.desc(at))
     return (
         marked.withColumn("spread", spread)
         .withColumn("newest", F.rank().over(newest_first))
         .where("newest = 1")
-        .drop("newest", "spread", "hot_newest", "group_rows")
+        .drop("newest", "spread", "hot_newest", "crowd_rows")
     )

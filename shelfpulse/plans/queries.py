@@ -110,8 +110,8 @@ def latest_per_variant(t: Tables) -> DataFrame:
 
 @query
 def latest_per_variant_spread(t: Tables) -> DataFrame:
-    """The same rows with every longer series treated as hot."""
-    return catalogue.latest_readings(t.obs_day(), max_rows=8).select(
+    """The same rows with every variant that has ties treated as hot."""
+    return catalogue.latest_readings(t.obs_day(), max_rows=1).select(
         "id", "merchant", "variant_ext_id", "price_raw", "available", "observed_at"
     )
 
