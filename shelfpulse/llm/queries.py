@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfpulse.llm.bpe import op5_bpe_codec
+from shelfpulse.llm.decontamination import op6_decontamination
+from shelfpulse.llm.language import op7_language_id
 from shelfpulse.llm.secrets import op4_secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secret_scan": op4_secret_scan,
+    "op5_bpe_codec": op5_bpe_codec,
+    "op6_decontamination": op6_decontamination,
+    "op7_language_id": op7_language_id,
 }
 
 SQL: dict[str, str] = {}
