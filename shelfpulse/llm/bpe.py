@@ -206,6 +206,30 @@ def encode(documents: DataFrame, path: str, text: str = "text", keep: tuple[str,
     return picked.mapInArrow(run, schema)
 
 
+def round_trip(documents: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `keep`, ids, n_tokens and whether decoding the ids gives the text back (a null text: the empty one)."""
+    automaton = _encoder(documents.sparkSession, path)
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("n_tokens", T.LongType()),
+             T.StructField("same", T.BooleanType())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = automaton()
+        for batch in slices(batches, "__text"):
+            texts = batch.column("__text").to_pylist()
+            entries = [coder.entries(t) if t else [] for t in texts]
+            flat = [b"".join([e[0] for e in row]) for row in entries]
+            sizes = [len(ids) // 4 for ids in flat]
+            ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]).astype(np.int32)),
+                                           pa.array(np.frombuffer(b"".join(flat), "<i4")))
+            same = [b"".join([e[2] for e in row]) == (t or "").encode() for row, t in zip(entries, texts, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in keep), ids, pa.array(sizes, pa.int64()), pa.array(same)],
+                names=[*keep, *(field.name for field in added)])
+
+    picked = documents.select(*keep, F.col("text").alias("__text"))
+    return picked.mapInArrow(run, T.StructType([*(documents.schema[name] for name in keep), *added]))
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` (none may be called text) and the text that each row's ids spell (null ids: empty)."""
     automaton = _encoder(encoded.sparkSession, path)

@@ -30,6 +30,8 @@ SAMPLE_TEXTS, SAMPLE_WINDOWS = 400, 6
 STEPS, LANES, RATE, SEED = 260, 192, 0.02, 7
 MOST_LANGUAGES = 1_000
 PAD = 256
+# Texts below it are rejected as no text of a learned language: little more than the chance of one in four.
+LEAST_SCORE = 0.35
 
 
 @dataclass
@@ -255,12 +257,12 @@ _letter = regex.compile(r"\p{L}").search
 
 def identify(documents: DataFrame, net: Network | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep`, lang_pred and score of every row; only the text decides."""
-    shared = documents.sparkSession.sparkContext.broadcast(net)
+    shared, known_languages = documents.sparkSession.sparkContext.broadcast(net), net is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "__text", 4 << 20):
             texts = batch.column("__text").to_pylist()
-            known = [net is not None and t is not None and _letter(t) is not None for t in texts]
+            known = [known_languages and t is not None and _letter(t) is not None for t in texts]
             names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
             if any(known):
                 chance = pooled(shared.value, [t.encode() if k else b"" for t, k in zip(texts, known, strict=True)])
@@ -277,6 +279,22 @@ def identify(documents: DataFrame, net: Network | None, text: str = "text", keep
     return picked.mapInArrow(run, schema)
 
 
+def accepted(documents: DataFrame, net: Network | None, least: float = LEAST_SCORE, text: str = "text") -> DataFrame:
+    """The rows of `documents` whose language is known with a score of at least `least`, unchanged."""
+    shared, known_languages = documents.sparkSession.sparkContext.broadcast(net), net is not None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text, 4 << 20):
+            texts = batch.column(text).to_pylist()
+            keep = np.array([known_languages and t is not None and _letter(t) is not None for t in texts], bool)
+            if keep.any():
+                chance = pooled(shared.value, [t.encode() if k else b"" for t, k in zip(texts, keep, strict=True)])
+                keep &= chance.max(1) >= least
+            yield batch.filter(pa.array(keep))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those whose crc32 modulo 3 is not 1."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfpulse.llm.bpe import op5_bpe_codec
 from shelfpulse.llm.decontamination import op6_decontamination
+from shelfpulse.llm.jaccard import op9_jaccard_join
 from shelfpulse.llm.language import op7_language_id
 from shelfpulse.llm.secrets import op4_secret_scan
 
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_codec": op5_bpe_codec,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
 SQL: dict[str, str] = {}

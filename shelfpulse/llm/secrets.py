@@ -156,7 +156,9 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redact(documents: DataFrame, folder: str, mask: str = "[secret]") -> DataFrame:
-    """`documents` with every found span replaced by `mask`; overlapping spans become one mask."""
+    """`documents` with every found span replaced by `mask`; overlapping spans become one mask.
+
+    n_chars, where there is such a column, is that of the new text. Rows without a finding pass unchanged."""
     versions = address(documents)
     found = findings(versions, update_ledger(versions, folder)).where(F.size("spans") > 0).select(
         "blob", "spans").dropDuplicates(["blob"])
@@ -170,13 +172,14 @@ def redact(documents: DataFrame, folder: str, mask: str = "[secret]") -> DataFra
         ).otherwise(F.concat(out, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))))
     text = F.coalesce("text", F.lit(""))
     cut = F.aggregate(
-        "merged", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        "__merged", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda state, s: F.struct(s["end"].alias("at"), F.concat(
             state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(mask)).alias("out")))
     whole = F.concat(cut["out"], F.substring(text, cut["at"] + 1, F.length(text)))
     blob = F.unhex(F.sha2(text.cast("binary"), 256))
     joined = documents.withColumn("__blob", blob).join(
-        found.select(F.col("blob").alias("__blob"), merged.alias("merged")), "__blob", "left")
-    kept = [F.when(F.col("merged").isNull(), F.col("text")).otherwise(whole).alias("text")
-            if name == "text" else F.col(name) for name in documents.columns]
-    return joined.select(*kept)
+        found.select(F.col("blob").alias("__blob"), merged.alias("__merged")), "__blob", "left")
+    changed = {"text": whole, "n_chars": F.length(whole).cast("long")}
+    return joined.select(*(
+        F.when(F.col("__merged").isNull(), F.col(name)).otherwise(changed[name]).alias(name)
+        if name in changed else F.col(name) for name in documents.columns))
