@@ -7,8 +7,8 @@ one state per token, and a sequence of tokens is a path exactly if it is the BPE
 Copies are kept by reference: an arc's presence follows from the one removed arc of each merge and the two
 parts of each token, and is stored in the transition table once it has been asked for.
 
-An encoder reads a pre-split word byte by byte and keeps, for each prefix, the state that its only path
-ends in; decoding emits the arcs' labels. The vocabulary file is read on the driver from a
+An encoder walks a pre-split word through the table, longest arc first, and steps back from a state without
+an arc for what follows; decoding emits the arcs' labels. The vocabulary file is read on the driver from a
 parameter and sent to the executors (its size does not grow with the corpus).
 
 Null text counts as empty and gives no tokens. Repeated rows each give a row, an empty table
@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -37,7 +38,7 @@ VOCABULARY = "byte_bpe_50k.json"
 # Fixed value: the pre-split pattern of the byte-level format.
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Words and transitions that a worker remembers; beyond that it starts afresh (results do not change).
-WORDS, TRANSITIONS = 250_000, 1_000_000
+WORDS, TRANSITIONS = 700_000, 1_000_000
 NEVER = 1 << 60
 
 
@@ -64,21 +65,21 @@ class Automaton:
         self.first, self.second = [-1] * size, [-1] * size
         self.removed: dict[int, int] = {}
         self.table: dict[int, bool] = {}
-        self.ends: dict[bytes, int] = {}
+        self.begins: dict[bytes, int] = {}
+        self.shorter = [-1] * size
         for text, number in vocabulary.items():
             if len(text) == 1:
                 self.labels[number] = bytes([letters[text]])
                 self.born[number] = -1
-                self.ends[self.labels[number]] = number
         for rank, merge in enumerate(data["model"]["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             self.gadget(rank, vocabulary[left], vocabulary[right], vocabulary[left + right])
-        for number in sorted(range(size), key=lambda n: len(self.labels[n])):
-            if self.born[number] < NEVER:
-                label = self.labels[number]
-                self.ends[label] = number
-                for cut in range(1, len(label)):
-                    self.ends.setdefault(label[cut:], -1)
+        self.begins = {self.labels[number]: number for number in range(size) if self.born[number] < NEVER}
+        for number, label in [(n, self.labels[n]) for n in range(size) if self.born[n] < NEVER]:
+            for stop in range(len(label) - 1, 0, -1):
+                if self.begins.setdefault(label[:stop], -1) >= 0:
+                    self.shorter[number] = self.begins[label[:stop]]
+                    break
         self.table.clear()
         self.words: dict[str, tuple[bytes, str, bytes]] = {}
         self.split = regex.compile(PRE_SPLIT).findall
@@ -119,39 +120,52 @@ class Automaton:
         return known
 
     def encode_bytes(self, word: bytes) -> list[int]:
-        """The tokens of one pre-split word."""
-        whole = self.ends.get(word, -1)
-        if len(word) == 1:
+        """The tokens of one pre-split word: from each state the longest arc first, back where none leads on.
+
+        The path is unique, so a place that was left once is dead for good."""
+        whole = self.begins.get(word, -1)
+        if whole >= 0:
             return [whole]
-        states, ends, arcs = [-1] * (len(word) + 1), self.ends, self.table
-        sizes = [0] * (len(word) + 1)
-        for stop in range(1, len(word) + 1):
-            start = stop - 1
-            token = ends.get(word[start:stop])
-            while token is not None:
-                if token >= 0:
-                    if not start:
-                        states[stop], sizes[stop] = token, stop
+        begins, labels, arcs, shorter = self.begins, self.labels, self.table, self.shorter
+        out: list[int] = []
+        dead: set[int] = set()
+        place, size, state, token = 0, len(word), -1, -1
+        while place < size:
+            if token < 0:
+                stop = place + 1
+                known = begins.get(word[place:stop], -2)
+                while known > -2:
+                    if known >= 0:
+                        token = known
+                    stop += 1
+                    if stop > size:
+                        break
+                    known = begins.get(word[place:stop], -2)
+            while token >= 0:
+                stop = place + len(labels[token])
+                if stop not in dead:
+                    if state < 0:
                         break
-                    state = states[start]
                     known = arcs.get(state << 32 | token)
                     if known or known is None and self.follows(state, token):
-                        states[stop], sizes[stop] = token, stop - start
                         break
-                start -= 1
-                token = ends.get(word[start:stop]) if start >= 0 else None
-        out, stop = [], len(word)
-        while stop:
-            out.append(states[stop])
-            stop -= sizes[stop]
-        return out[::-1]
+                token = shorter[token]
+            if token >= 0:
+                out.append(token)
+                place, state, token = stop, token, -1
+            else:
+                dead.add(place)
+                token = out.pop()
+                place -= len(labels[token])
+                state = out[-1] if out else -1
+        return out
 
     def entry(self, word: str) -> tuple[bytes, str, bytes]:
         """Ids as 4-byte numbers, as text, and the labels of a word's path."""
         ids = self.encode_bytes(word.encode())
         if len(self.words) >= WORDS:
             self.words.clear()
-        made = np.array(ids, "<i4").tobytes(), ",".join(map(str, ids)), self.decode_bytes(ids)
+        made = array("i", ids).tobytes(), ",".join(map(str, ids)), self.decode_bytes(ids)
         if len(word) <= 64:
             self.words[word] = made
         return made
