@@ -7,17 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfpulse.llm.bpe import op5_bpe_codec
+from shelfpulse.llm.counts import op10_token_counts
 from shelfpulse.llm.decontamination import op6_decontamination
 from shelfpulse.llm.jaccard import op9_jaccard_join
 from shelfpulse.llm.language import op7_language_id
 from shelfpulse.llm.secrets import op4_secret_scan
+from shelfpulse.llm.toxicity import op2_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op4_secret_scan": op4_secret_scan,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_token_counts": op10_token_counts,
 }
 
 SQL: dict[str, str] = {}
