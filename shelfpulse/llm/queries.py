@@ -11,11 +11,13 @@ from shelfpulse.llm.counts import op10_token_counts
 from shelfpulse.llm.decontamination import op6_decontamination
 from shelfpulse.llm.jaccard import op9_jaccard_join
 from shelfpulse.llm.language import op7_language_id
+from shelfpulse.llm.neighbours import op3_hnsw_neighbours
 from shelfpulse.llm.secrets import op4_secret_scan
 from shelfpulse.llm.toxicity import op2_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
+    "op3_hnsw_neighbours": op3_hnsw_neighbours,
     "op4_secret_scan": op4_secret_scan,
     "op5_bpe_codec": op5_bpe_codec,
     "op6_decontamination": op6_decontamination,
