@@ -9,12 +9,31 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfpulse.session import delete_folder, folder_exists, materialize, new_folder
+from shelfpulse.session import delete_folder, folder_exists, new_folder
+from shelfpulse.session import materialize as written
 
 __all__ = ["delete_folder", "folder_exists", "materialize", "new_folder", "table", "crc_mod",
            "slices", "mix", "prefix_sums", "span_hash", "exact_size"]
 
 
+# A written table needs its query's shuffle files no more; on a cluster that ignores it they stay until collected.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialize(df: DataFrame, name: str, within: str | None = None) -> DataFrame:
+    """Write `df` to the shared folder and read it back; its shuffle files go at once, not at the end of the job."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return written(df, name, within)
+    finally:
+        if before is None:
+            conf.unset(CLEANUP)
+        else:
+            conf.set(CLEANUP, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -4,7 +4,8 @@ Texts are sets of five-word shingles (see shingles.py). Equal sets are one class
 classes are joined. In each of `RUNS` runs a set goes to the buckets of the shingles it samples: those whose hash
 with the path so far lies below RATE / size, so two similar sets sample some shared shingle together. A bucket of more
 than `BUCKET` sets is split again by shingles sampled with its path, up to `DEPTH` times; small ones are compared
-by brute force. What is still large then (near copies of one text, which no shingle separates) is compared
+by brute force, first by sketches of 256 one-bit
+minima that rule out pairs far below the threshold, then by the sets themselves. What is still large then (near copies of one text, which no shingle separates) is compared
 in blocks, every pair of blocks in its own task, so no bucket is cut off. Buckets with the same members, and buckets
 whose members have all met in another one, are compared once. A pair is counted in the first bucket that it shares.
 
@@ -57,8 +58,30 @@ def set_keys(sets: list[np.ndarray]) -> list[bytes]:
     return [row.tobytes() for row in both]
 
 
+BINS = 256
+
+
+def sketches(tokens: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
+    """64 bytes for each set: of each of 256 bins of hashes one bit of the smallest, and whether it has any."""
+    value = mix(tokens ^ SECOND)
+    least = np.full(rows * BINS, ~np.uint64(0))
+    np.minimum.at(least, owner * BINS + (value >> np.uint64(56)).astype(np.int64), value << np.uint64(8))
+    bits = np.stack([(least >> np.uint64(8)) & np.uint64(1), least != ~np.uint64(0)]).astype(bool).reshape(2, rows, BINS)
+    return np.concatenate([np.packbits(bits[0], axis=1), np.packbits(bits[1], axis=1)], 1)
+
+
+def maybe_similar(drawn: np.ndarray, share: float) -> np.ndarray:
+    """Which pairs of sketches do not rule out a similarity of `share`: within five deviations of what it gives."""
+    held = np.unpackbits(drawn[:, BINS // 8:], axis=1).astype(np.float32)
+    ones = np.unpackbits(drawn[:, : BINS // 8], axis=1) * held
+    zeros = held - ones
+    same = ones @ ones.T + zeros @ zeros.T
+    used = np.maximum(1, BINS - (1 - held) @ (1 - held).T)
+    return same / used >= share - 5 * np.sqrt(share * (1 - share) / used)
+
+
 def cards(documents: DataFrame) -> DataFrame:
-    """doc_id, seen (a hash of the text), key (of the shingle set), n (its size) and the sampled paths of each row."""
+    """doc_id, seen (a hash of the text), key (of the shingle set), n (its size), sampled paths and sketch of each row."""
     seeds = mix(np.arange(1, RUNS + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,11 +99,13 @@ def cards(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("seen"), pa.array(set_keys(sets), pa.binary()),
                 pa.array(sizes, pa.int64()), _lists(np.concatenate(paths), np.concatenate(owners), len(sets)),
-            ], names=["doc_id", "seen", "key", "n", "paths"])
+                pa.array([row.tobytes() for row in sketches(tokens, owner, len(sets))], pa.binary()),
+            ], names=["doc_id", "seen", "key", "n", "paths", "sketch"])
 
     schema = T.StructType([
         documents.schema["doc_id"], T.StructField("seen", T.LongType()), T.StructField("key", T.BinaryType()),
-        T.StructField("n", T.LongType()), T.StructField("paths", T.ArrayType(T.LongType(), False))])
+        T.StructField("n", T.LongType()), T.StructField("paths", T.ArrayType(T.LongType(), False)),
+        T.StructField("sketch", T.BinaryType())])
     return documents.select("doc_id", _seen(), "text").mapInArrow(run, schema)
 
 
@@ -202,25 +227,49 @@ def _gram(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _groups(batches: Iterator[pa.RecordBatch], by: tuple[str, ...], sized: str) -> Iterator[dict]:
+    """The groups of rows sorted by the columns `by`, however they lie in batches."""
+    rest: pa.Table | None = None
+    for batch in slices(batches, sized, 4 << 20):
+        own = pa.Table.from_batches([batch])
+        rest = own if rest is None else pa.concat_tables([rest, own]).combine_chunks()
+        edge = np.zeros(max(0, rest.num_rows - 1), bool)
+        for name in by:
+            values = np.array(rest.column(name).to_pylist(), object)
+            edge |= values[1:] != values[:-1]
+        cuts = np.flatnonzero(edge) + 1
+        for start, stop in zip([0, *cuts[:-1]], cuts, strict=False):
+            yield rest.slice(start, stop - start).to_pydict()
+        if len(cuts):
+            rest = rest.slice(cuts[-1])
+    if rest is not None and rest.num_rows:
+        yield rest.to_pydict()
+
+
+def _sketched(members: DataFrame, classes: DataFrame, share: float) -> DataFrame:
+    """Of the rows (path, key) of small buckets those with another set in the bucket that may be similar."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: tuple[list, list] = ([], [])
+        for group in _groups(batches, ("path",), "sketch"):
+            near = maybe_similar(np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group["key"]), -1), share)
+            np.fill_diagonal(near, False)
+            stay = np.flatnonzero(near.any(1))
+            out[0].extend(group["path"][n] for n in stay)
+            out[1].extend(group["key"][n] for n in stay)
+            if len(out[0]) > 20_000:
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())], names=["path", "key"])
+                out = ([], [])
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())], names=["path", "key"])
+
+    dealt = members.select("path", "key").join(classes.select("key", "sketch"), "key").repartition("path")
+    return dealt.sortWithinPartitions("path").mapInArrow(run, "path long, key binary")
+
+
 def _links(rows: DataFrame, share: float) -> DataFrame:
     """key, root (a set it is joined with) and links, for the sets that have any in a group."""
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        rest: pa.Table | None = None
-        for batch in slices(batches, "tokens", 4 << 20):
-            own = pa.Table.from_batches([batch])
-            rest = own if rest is None else pa.concat_tables([rest, own]).combine_chunks()
-            path, pair = rest.column("path").to_numpy(), np.array(rest.column("pair").to_pylist(), object)
-            cuts = np.flatnonzero((path[1:] != path[:-1]) | (pair[1:] != pair[:-1])) + 1
-            for start, stop in zip([0, *cuts[:-1]], cuts, strict=False):
-                yield rest.slice(start, stop - start).to_pydict()
-            if len(cuts):
-                rest = rest.slice(cuts[-1])
-        if rest is not None and rest.num_rows:
-            yield rest.to_pydict()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: tuple[list, list, list] = ([], [], [])
-        for group in groups(batches):
+        for group in _groups(batches, ("path", "pair"), "tokens"):
             single = {key: n for n, key in enumerate(group["key"])}  # rows with equal id and text give a set twice
             keys, pick = list(single), list(single.values())
             if len(keys) < 2:
@@ -275,17 +324,18 @@ def join(documents: DataFrame, share: float = SIMILAR) -> DataFrame:
     rows = materialize(cards(documents), "cards", folder)
     classes = materialize(rows.groupBy("key").agg(
         F.min(F.struct("doc_id", "seen")).alias("rep"), F.min("doc_id").alias("text_id"), F.count("*").alias("copies"),
-        F.first("n").alias("n"), F.first("paths").alias("paths")), "classes", folder)
+        F.first("n").alias("n"), F.first("paths").alias("paths"), F.first("sketch").alias("sketch")), "classes", folder)
     members = materialize(_crowded(classes.where("n > 0").select(F.explode("paths").alias("path"), "key")), "members-1", folder)
-    wanted = classes.select("key", "rep").join(members.select("key").distinct(), "key", "left_semi")
-    tokens = materialize(_tokens(documents, wanted), "tokens", folder)
-    final, depth = members.where(F.col("c") <= BUCKET), 1
+    small = materialize(_sketched(members.where(F.col("c") <= BUCKET), classes, share), "small-1", folder)
+    wanted = small.select("key").unionByName(members.where(F.col("c") > BUCKET).select("key")).distinct()
+    tokens = materialize(_tokens(documents, classes.select("key", "rep").join(wanted, "key", "left_semi")), "tokens", folder)
+    depth = 1
     while depth < DEPTH and not members.where(F.col("c") > BUCKET).isEmpty():
         depth += 1
         big = members.where(F.col("c") > BUCKET).select("path", "key")
         members = materialize(_crowded(_split(big, tokens).distinct()), f"members-{depth}", folder)
-        final = final.unionByName(members.where(F.col("c") <= BUCKET))
-    final = final.unionByName(members.where(F.col("c") > BUCKET))
+        small = small.unionByName(materialize(_sketched(members.where(F.col("c") <= BUCKET), classes, share), f"small-{depth}", folder))
+    final = _crowded(small.unionByName(members.where(F.col("c") > BUCKET).select("path", "key")))
     groups = _in_blocks(materialize(_uncovered(final), "buckets", folder))
     found = materialize(_links(groups.join(tokens, "key"), share), "links", folder)
     links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
