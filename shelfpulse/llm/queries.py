@@ -13,9 +13,11 @@ from shelfpulse.llm.jaccard import op9_jaccard_join
 from shelfpulse.llm.language import op7_language_id
 from shelfpulse.llm.neighbours import op3_hnsw_neighbours
 from shelfpulse.llm.secrets import op4_secret_scan
+from shelfpulse.llm.substrings import op1_suffix_dedup
 from shelfpulse.llm.toxicity import op2_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_hnsw_neighbours": op3_hnsw_neighbours,
     "op4_secret_scan": op4_secret_scan,
