@@ -15,6 +15,7 @@ from shelfpulse.llm.neighbours import op3_hnsw_neighbours
 from shelfpulse.llm.secrets import op4_secret_scan
 from shelfpulse.llm.substrings import op1_suffix_dedup
 from shelfpulse.llm.toxicity import op2_toxicity
+from shelfpulse.llm.warc import op8_warc_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_codec": op5_bpe_codec,
     "op6_decontamination": op6_decontamination,
     "op7_language_id": op7_language_id,
+    "op8_warc_index": op8_warc_index,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
 }
