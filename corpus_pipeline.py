@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 from shelfpulse.llm import bpe, decontamination, jaccard, language, secrets
-from shelfpulse.llm.common import materialize, new_folder, table
+from shelfpulse.llm.common import materialize, new_folder, shipped, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,11 +42,11 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language", known_language),
-    ("near_duplicates", one_of_each_group),
-    ("decontamination", no_benchmark),
-    ("secrets", no_secrets),
-    ("tokens", token_ids),
+    ("language", shipped(known_language)),
+    ("near_duplicates", shipped(one_of_each_group)),
+    ("decontamination", shipped(no_benchmark)),
+    ("secrets", shipped(no_secrets)),
+    ("tokens", shipped(token_ids)),
 ]
 
 # No SQL: a trained network decides in the first stage. tests/llm compares the rest with brute force.

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import io
+import zipfile
+from collections.abc import Callable, Iterator
+from functools import wraps
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,10 +14,42 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfpulse.session import delete_folder, folder_exists, new_folder
-from shelfpulse.session import materialize as written
 
 __all__ = ["delete_folder", "folder_exists", "materialize", "new_folder", "table", "crc_mod",
-           "slices", "mix", "prefix_sums", "span_hash", "exact_size"]
+           "ship", "shipped", "slices", "mix", "prefix_sums", "span_hash", "exact_size"]
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, by way of the shared folder.
+
+    Python tasks import it there; without this it would have to be on every worker's path."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, str(source.relative_to(package.parent)))
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{new_folder(spark, 'code')}/{package.name}.zip")
+    out = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    context.addPyFile(path.toString())
+    _shipped.add(context.applicationId)
+
+
+def shipped(job: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """`job` (its first argument is the session) after `ship`."""
+    @wraps(job)
+    def run(spark: SparkSession, *rest: object) -> DataFrame:
+        ship(spark)
+        return job(spark, *rest)
+
+    return run
 
 
 # A written table needs its query's shuffle files no more; on a cluster that ignores it they stay until collected.
@@ -21,17 +57,21 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def materialize(df: DataFrame, name: str, within: str | None = None) -> DataFrame:
-    """Write `df` to the shared folder and read it back; its shuffle files go at once, not at the end of the job."""
-    conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, None)
-    conf.set(CLEANUP, "true")
+    """Write `df` to the shared folder and read it back; its shuffle files go at once, not at the end of the job.
+
+    Zstandard needs less disk than the default codec, and no direct buffers that outlive a task."""
+    spark = df.sparkSession
+    folder = new_folder(spark, name) if within is None else f"{within}/{name}"
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
     try:
-        return written(df, name, within)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(folder)
     finally:
         if before is None:
-            conf.unset(CLEANUP)
+            spark.conf.unset(CLEANUP)
         else:
-            conf.set(CLEANUP, before)
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

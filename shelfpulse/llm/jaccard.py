@@ -296,24 +296,29 @@ def _links(rows: DataFrame, share: float) -> DataFrame:
 def components(edges: DataFrame, folder: str) -> DataFrame:
     """key and its component (the smallest key in it), by alternating large and small stars."""
     def larger(pairs: DataFrame) -> DataFrame:
-        both = pairs.select(F.col("u"), F.col("v")).unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = pairs.select("u", "v").unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         return both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
-    def smaller(pairs: DataFrame) -> DataFrame:
-        down = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    def smaller(down: DataFrame) -> DataFrame:
         low = down.groupBy("u").agg(F.min("v").alias("m"))
-        return down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(
-            low.select("u", F.col("m").alias("v"))).distinct()
+        joined = down.join(low, "u").withColumn("to", F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")))
+        return joined.select(F.col("to").alias("u"), F.col("m").alias("v")).distinct()
 
-    pairs, step, before = materialize(edges.where("u <> v").distinct(), "edges-0", folder), 0, None
-    while True:
+    pairs = materialize(edges.where("u > v").distinct(), "edges-0", folder)
+    step, before = 0, _sum(pairs)
+    while before[0]:
         step += 1
-        pairs = materialize(smaller(larger(pairs).where("u <> v").distinct()), f"edges-{step}", folder)
-        now = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        pairs = materialize(smaller(larger(pairs)), f"edges-{step}", folder)
+        now = _sum(pairs)
         if now == before:
-            return pairs.select(F.col("u").alias("key"), F.col("v").alias("component"))
+            break
         before = now
+    return pairs.select(F.col("u").alias("key"), F.col("v").alias("component"))
+
+
+def _sum(pairs: DataFrame) -> tuple:
+    return tuple(pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
 def join(documents: DataFrame, share: float = SIMILAR) -> DataFrame:

@@ -7,17 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfpulse.llm.bpe import op5_bpe_codec
+from shelfpulse.llm.common import shipped
 from shelfpulse.llm.counts import op10_token_counts
 from shelfpulse.llm.decontamination import op6_decontamination
 from shelfpulse.llm.jaccard import op9_jaccard_join
 from shelfpulse.llm.language import op7_language_id
 from shelfpulse.llm.neighbours import op3_hnsw_neighbours
 from shelfpulse.llm.secrets import op4_secret_scan
+from shelfpulse.llm.sql import SQL
 from shelfpulse.llm.substrings import op1_suffix_dedup
 from shelfpulse.llm.toxicity import op2_toxicity
 from shelfpulse.llm.warc import op8_warc_index
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+__all__ = ["QUERIES", "SQL"]
+
+_PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_hnsw_neighbours": op3_hnsw_neighbours,
@@ -30,4 +34,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
 }
 
-SQL: dict[str, str] = {}
+QUERIES = {name: shipped(query) for name, query in _PLAIN.items()}

@@ -1,0 +1,370 @@
+"""Operators against brute force, round trips and held-out accuracy."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from shelfpulse.llm import bpe, counts, decontamination, jaccard, language, neighbours, secrets, shingles, substrings, suffixes, toxicity
+from shelfpulse.llm.common import table
+
+MIDDLE = "/root/testdata/sf0.01"
+
+
+def texts_of(spark, folder):
+    return {r["doc_id"]: r["text"] or "" for r in table(spark, folder, "documents").collect()}
+
+
+def random_text(rng, words=60, letters="abcde"):
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(words))
+
+
+# suffix arrays and substrings
+
+def test_suffix_array_and_common_prefixes():
+    rng = np.random.default_rng(0)
+    for turn in range(300):
+        text = rng.integers(1, int(rng.integers(2, 6)), int(rng.integers(1, 60)))
+        text = np.append(np.tile(text[: max(1, len(text) // 4)], 4) if turn % 3 == 0 else text, 0).astype(np.int16)
+        values = text.tolist()
+        array = suffixes.suffix_array(text).tolist()
+        assert array == sorted(range(len(values)), key=lambda i: values[i:])
+        common = suffixes.common_prefixes(text, np.array(array), 10)
+        for a, b in zip(array, array[1:]):
+            same = 0
+            while same < 10 and max(a, b) + same < len(values) and values[a + same] == values[b + same]:
+                same += 1
+            assert common[b] == same
+
+
+def kept_bytes(texts):
+    data = [t.encode() for t in texts]
+    windows = Counter(d[s: s + 200] for d in data for s in range(len(d) - 199))
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        for s in range(len(d) - 199):
+            if windows[d[s: s + 200]] > 1:
+                gone[s: s + 200] = b"\1" * 200
+        out.append((len(d), sum(gone), len(bytes(gone).replace(b"\0", b" ").split()),
+                    hashlib.sha256(bytes(x for x, g in zip(d, gone) if not g)).hexdigest()))
+    return out
+
+
+@pytest.mark.parametrize("crowd", [10_000, 1])
+def test_substrings(spark, monkeypatch, crowd):
+    monkeypatch.setattr(substrings, "CROWD", crowd)
+    rng = random.Random(crowd)
+    passage, phrase = random_text(rng, 150), random_text(rng, 45)[:150]
+    texts = [random_text(rng, rng.randint(0, 200)) for _ in range(25)]
+    texts += [random_text(rng, 40) + passage[k: 520 - k] + random_text(rng, 30) for k in range(0, 200, 9)]
+    texts += [random_text(rng, 50) + phrase + random_text(rng, 50) for _ in range(40)]
+    texts += ["xy" * 300, "é" * 150, "é" * 99 + "a", passage, passage, passage + passage, "a" * 199, "a" * 199, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = sorted(substrings.without_repeats(frame).collect(), key=lambda r: r["doc_id"])
+    assert [tuple(r)[1:] for r in rows] == kept_bytes(texts)
+
+
+def test_substrings_of_the_given_table(spark):
+    texts = texts_of(spark, SMALL)
+    rows = {r["doc_id"]: tuple(r)[1:5] for r in substrings.op1_suffix_dedup(spark, SMALL).collect()}
+    assert [rows[i] for i in texts] == kept_bytes(list(texts.values()))
+
+
+# toxicity
+
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_lexicon_automaton_is_edit_distance():
+    rng = random.Random(1)
+    terms = {"".join(rng.choice("abc") for _ in range(rng.randint(3, 8))): float(rng.randint(1, 9)) for _ in range(30)}
+    stems = {"".join(rng.choice("abc") for _ in range(rng.randint(4, 6))) + "*": float(rng.randint(1, 9)) for _ in range(6)}
+    lexicon = toxicity.Lexicon({**terms, **stems})
+    for _ in range(3000):
+        word = "".join(rng.choice("abcd") for _ in range(rng.randint(1, 9)))
+        hits = [(edits(word, t), -w) for t, w in terms.items() if edits(word, t) <= (len(t) >= 5)]
+        hits += [(min(edits(word[:n], s[:-1]) for n in range(len(word) + 1)), -w) for s, w in stems.items()]
+        hits = [h for h in hits if h[0] == 0 or (h[0] == 1 and len(word) >= 5)]
+        stem_ok = [(min(edits(word[:n], s[:-1]) for n in range(len(word) + 1)), -w) for s, w in stems.items()
+                   if len(s) > 5 or min(edits(word[:n], s[:-1]) for n in range(len(word) + 1)) == 0]
+        whole_ok = [(edits(word, t), -w) for t, w in terms.items() if edits(word, t) <= (len(t) >= 5)]
+        best = min([h for h in stem_ok + whole_ok if h[0] <= (len(word) >= 5)], default=None)
+        weight, distance = lexicon.look_up(word)
+        assert (distance, -weight) == best if best else weight == 0
+
+
+def test_quotation_is_told_from_abuse():
+    lexicon = toxicity.Lexicon({"idiot": 3.0})
+    abuse = toxicity.figures(lexicon, "You are an idiot and you know it")
+    quoted = toxicity.figures(lexicon, 'He wrote "idiot" on the wall.\n> idiot')
+    spelled = toxicity.figures(lexicon, "what an idi0t")
+    assert abuse[0] > 0 and abuse[1] == 0 and quoted[0] == 0 and quoted[1] > 0 and spelled[2] > 0 and spelled[0] == 0
+    model = toxicity.Model(lexicon, toxicity.PRIOR, np.ones(toxicity.FIGURES))
+    low, mid, high = model.score(np.stack([np.zeros(toxicity.FIGURES), quoted, abuse]))
+    assert low < mid < high
+
+
+def test_toxicity_held_out(spark):
+    rows = toxicity.op2_toxicity(spark, "/root/testdata/sf0.1").join(table(spark, "/root/testdata/sf0.1", "labels"), "doc_id").where("held_out").collect()
+    bad, good = [r["score"] for r in rows if r["toxic"] == 1], [r["score"] for r in rows if r["toxic"] == 0]
+    assert np.mean([(b > g) + 0.5 * (b == g) for b in bad for g in good]) > 0.95
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert np.mean([s >= 0.5 for s in good]) < 0.01
+
+
+# neighbours
+
+def test_neighbours_recall(spark):
+    found = neighbours.op3_hnsw_neighbours(spark, "/root/testdata/sf0.1").collect()
+    rows = table(spark, "/root/testdata/sf0.1", "embeddings").collect()
+    vectors, names = np.array([r["embedding"] for r in rows], float), np.array([r["vec_id"] for r in rows])
+    hit = total = 0
+    for query in names[names % 20 == 0]:
+        score = vectors @ vectors[names == query][0]
+        score[names == query] = -np.inf
+        best = set(names[np.lexsort((names, -score))[:20]])
+        own = sorted((r for r in found if r["query_id"] == query), key=lambda r: r["rank"])
+        assert [r["rank"] for r in own] == list(range(1, 21))
+        assert np.allclose([r["score"] for r in own], [score[names == r["vec_id"]][0] for r in own], atol=1e-12)
+        hit, total = hit + len(best & {r["vec_id"] for r in own}), total + 20
+    assert hit / total >= 0.95
+
+
+def test_neighbours_of_many_copies_and_lengths(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD", 100)
+    monkeypatch.setattr(neighbours, "BLOCK", 7)
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(600, 8)) * rng.uniform(0.1, 5, (600, 1))
+    vectors[100:400] = vectors[0]
+    frame = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest_rows(frame, frame.where("vec_id % 20 = 0"), 20).collect()
+    hit = 0
+    for query in range(0, 600, 20):
+        score = (vectors * vectors[query]).sum(1)
+        score[query] = -np.inf
+        best = np.lexsort((np.arange(600), -score))[:20].tolist()
+        hit += len(set(best) & {r["vec_id"] for r in found if r["query_id"] == query})
+    assert hit / 600 >= 0.97
+
+
+# secrets
+
+def test_secrets_against_plain_scan(spark, tmp_path):
+    rng = random.Random(3)
+    parts = ["password", "TOKEN", "api_key", "apikey", "secret", "=", ":", " ", '"', "'", "  ", "abc", "0123456789abcdef", "AKIA", "ABCD1234EFGH5678",
+             "token: api_key: abcdefghijkl", "é", "😀", "\n", "/+_.=-", "zz"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(400)]
+    assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    versions = secrets.address(frame)
+    ledger = secrets.update_ledger(versions, f"{tmp_path}/ledger")
+    for row in secrets.digest(secrets.findings(versions, ledger)).collect():
+        text = texts[row["doc_id"]]
+        spans = [(m.start(), 0, m.end(), "assign") for m in assign.finditer(text) if len(m[2]) >= 12]
+        spans += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+        spans += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+        joined = ",".join(f"{kind}:{start}:{stop}" for start, _, stop, kind in sorted(spans))
+        assert row["spans"] == joined and row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        assert (row["n_assign"], row["n_access"], row["n_hex"]) == tuple(Counter(s[3] for s in spans)[k] for k in ("assign", "access", "hex"))
+
+
+def test_ledger_scans_only_what_it_lacks(spark, tmp_path):
+    folder = f"{tmp_path}/ledger"
+    first = spark.createDataFrame([("a", "one " + "0" * 20), ("b", "two"), ("c", "two")], "doc_id string, text string")
+    then = spark.createDataFrame([("a", "three"), ("d", "two"), ("e", "one " + "0" * 20)], "doc_id string, text string")
+    secrets.update_ledger(secrets.address(first), folder)
+    assert spark.read.parquet(folder).count() == 2  # two blobs, three paths
+    todo = secrets.unseen(secrets.address(then), secrets.read_ledger(spark, folder)).collect()
+    assert [r["path"] for r in todo] == ["a"] and len(todo[0]["lacking"]) == 3
+    ledger = secrets.update_ledger(secrets.address(then), folder)
+    assert ledger.count() == 3
+    found = {r["path"]: len(r["spans"]) for r in secrets.findings(secrets.address(first.unionByName(then)), ledger).where("size(spans) > 0").collect()}
+    assert found == {"a": 1, "e": 1}
+    rules = (*secrets.RULES, secrets.Rule("word", "t[a-z]+", 0, 3))
+    todo = secrets.unseen(secrets.address(then), ledger, rules).collect()
+    assert len(todo) == 3 and all(r["lacking"] == [rules[3].version] for r in todo)
+    assert secrets.update_ledger(secrets.address(then), folder, rules).count() == 6
+
+
+# tokens
+
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(bpe.vocabulary_path())
+
+
+def test_bpe_equals_the_library():
+    coder, library, rng = bpe.Automaton(open(bpe.vocabulary_path(), "rb").read()), tokenizer(), random.Random(4)
+    parts = ["a", "aa", " ", "  ", "\n", "\t", "é", "中", "1", "²", "Ⅷ", "'s", "'", "\x1c", "\x85", "<|endoftext|>", "😀", "the", "ing", "--------", "\r\n", "ſ"]
+    for turn in range(6000):
+        if turn % 2:
+            text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 30)))
+        else:
+            text = "".join(chr(rng.choice([rng.randrange(32, 0x3000), rng.randrange(97, 123), 32])) for _ in range(rng.randint(0, 60)))
+        own = [int(i) for entry in coder.entries(text) for i in entry[1].split(",")]
+        assert own == library.encode(text, add_special_tokens=False).ids
+        assert coder.decode_bytes(own).decode("utf-8", "replace") == library.decode(own, skip_special_tokens=False)
+
+
+def test_codec_digest_of_the_given_table(spark):
+    library, texts = tokenizer(), texts_of(spark, SMALL)
+    for row in bpe.op5_bpe_codec(spark, SMALL).collect():
+        encoded = library.encode(texts[row["doc_id"]], add_special_tokens=False).ids
+        assert row["n_tokens"] == len(encoded)
+        assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, encoded)).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(library.decode(encoded, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_counts_are_the_best_segmentations():
+    scores = counts.piece_scores(open(bpe.vocabulary_path(), "rb").read())
+    counter, rng = counts.Counter(scores), random.Random(5)
+    words = ["".join(rng.choice("theanring é") for _ in range(rng.randint(1, 14))) for _ in range(1500)]
+    _, told = counter.count(words)
+    for text, got in zip(words, told):
+        want = 0
+        for word in counter.split(text):
+            data, best = word.encode(), [(0.0, 0)]
+            for stop in range(1, len(data) + 1):
+                best.append(max((best[s][0] + scores[data[s:stop]], best[s][1] - 1) for s in range(stop) if data[s:stop] in scores))
+            want -= best[-1][1]
+        assert got == want
+
+
+# near duplicates and benchmark items
+
+def brute_links(texts):
+    sets = {}
+    for i, t in texts.items():
+        sets.setdefault(frozenset(shingles.shingle_texts(t)), []).append(i)
+    links = {s: [o for o in sets if o is not s and s and len(s & o) >= 0.8 * len(s | o) - 1e-9] for s in sets}
+    root = {s: min(members) for s, members in sets.items()}
+    for _ in sets:
+        new = {s: min([root[s], *(root[o] for o in links[s])]) for s in sets}
+        if new == root:
+            break
+        root = new
+    return {i: (root[s], min(members), len(members), len(links[s])) for s, members in sets.items() for i in members}
+
+
+@pytest.mark.parametrize("bucket", [400, 8])
+def test_jaccard_of_large_groups(spark, monkeypatch, bucket):
+    monkeypatch.setattr(jaccard, "BUCKET", bucket)
+    rng = random.Random(bucket)
+    vocabulary = ["w%d" % n for n in range(3000)]
+    base = [rng.choice(vocabulary) for _ in range(200)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    texts = []
+    for n in range(60):  # near copies of one text
+        words = list(base)
+        words[rng.randrange(200)] = f"x{n}"
+        if n % 3:
+            words[rng.randrange(200)] = f"y{n}"
+        texts.append(" ".join(words))
+    texts += [" ".join([rng.choice(vocabulary) for _ in range(150)] + passage) for _ in range(60)]  # a shared passage
+    texts += [texts[0]] * 30 + [" ".join(base[:k]) for k in (150, 170, 185, 199)] + ["", "a b", "a b", "A, b!"]
+    rng.shuffle(texts)
+    want = brute_links(dict(enumerate(texts)))
+    rows = jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r["doc_id"]: (r["class_id"], r["text_id"], r["copies"], r["n_links"]) for r in rows}
+    assert {i: v[:3] for i, v in got.items()} == {i: v[:3] for i, v in want.items()}
+    assert sum(v[3] for v in got.values()) >= 0.999 * sum(v[3] for v in want.values())
+    assert all(got[i][3] <= want[i][3] for i in got)
+
+
+def test_items_in_blocks(spark, monkeypatch):
+    documents, items = table(spark, SMALL, "documents"), table(spark, SMALL, "benchmark")
+    whole = sorted(map(tuple, decontamination.contained(documents, items).collect()))
+    monkeypatch.setattr(decontamination, "BLOCK_ITEMS", 7)
+    assert sorted(map(tuple, decontamination.contained(documents, items).collect())) == whole
+    held = {r[0] for r in whole}
+    assert {r["doc_id"] for r in decontamination.decontaminate(documents, items).collect()} == {
+        r["doc_id"] for r in documents.collect()} - held
+
+
+def test_signatures_lose_nothing(spark):
+    rng = random.Random(6)
+    items = [random_text(rng, rng.randint(1, 60), "abcdefgh") for _ in range(40)]
+    texts = []
+    for item in items:
+        words = item.split()
+        for cut in range(0, len(words) // 2, 2):
+            texts.append(random_text(rng, 300) + " " + " ".join(words[cut:]) + " " + random_text(rng, 200))
+    block = decontamination.Block(items, 0.8)
+    want = []
+    for n, text in enumerate(texts):
+        own = shingles.shingle_texts(text)
+        for m, item in enumerate(items):
+            wanted = shingles.shingle_texts(item)
+            if len(own & wanted) >= 0.8 * len(wanted) - 1e-9:
+                want.append((n, m, len(own & wanted), len(wanted)))
+    assert block.pairs(texts) == want and len(want) > 50
+
+
+# languages
+
+def test_gradients_are_those_of_the_loss():
+    net, rng = language.initial(["a", "b", "c"], 5), np.random.default_rng(0)
+    for name in ("gates_in", "new_in", "gates", "new", "out", "bias"):
+        setattr(net, name, getattr(net, name).astype(np.float64))
+    codes, label = rng.integers(0, 257, (9, 4)).astype(np.int16), np.array([0, 1, 2, 1])
+    _, grads = language.gradients(net, codes, label)
+    for number, weight in enumerate(net.weights):
+        at = (0, int(codes[3, 2]), 1) if number < 2 else tuple(int(rng.integers(0, s)) for s in weight.shape)
+        old, sides = weight[at], []
+        for step in (1e-2, -1e-2):
+            weight[at] = old + step
+            sides.append(language.gradients(net, codes, label)[0])
+        weight[at] = old
+        assert abs((sides[0] - sides[1]) / 2e-2 - grads[number][at]) < 1e-4
+
+
+def test_language_held_out(spark):
+    rows = language.op7_language_id(spark, MIDDLE).join(table(spark, MIDDLE, "documents").select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in rows if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    assert np.mean([r["lang_pred"] == r["lang"] for r in held]) > 0.97
+
+
+# the pipeline, stage by stage
+
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    docs = table(spark, SMALL, "documents")
+    stages = dict(corpus_pipeline.STAGES)
+    known = stages["language"](spark, docs, SMALL)
+    assert {r["doc_id"] for r in docs.where(F.col("text").rlike(r"\p{L}{20}")).collect()} - {r["doc_id"] for r in known.collect()} == set()
+    told = brute_links(texts_of(spark, SMALL))
+    stay = stages["near_duplicates"](spark, docs, SMALL)
+    assert sorted(r["doc_id"] for r in stay.collect()) == sorted({v[0] for v in told.values()})
+    items = [s for s in (shingles.shingle_texts(r["text"]) for r in table(spark, SMALL, "benchmark").collect()) if s]
+    clean = {r["doc_id"] for r in docs.collect() if not any(
+        len(i & s) >= 0.8 * len(i) - 1e-9 for s in [shingles.shingle_texts(r["text"])] for i in items)}
+    assert {r["doc_id"] for r in stages["decontamination"](spark, docs, SMALL).collect()} == clean
+    masked = {r["doc_id"]: r for r in stages["secrets"](spark, docs, SMALL).collect()}
+    hidden = re.compile(r"[0-9a-f]{16,}|AKIA[A-Z0-9]{14,}")
+    assert not any(hidden.search(r["text"]) for r in masked.values())
+    texts = texts_of(spark, SMALL)
+    assert all(r["text"] == texts[i] and r["n_chars"] == len(texts[i]) for i, r in masked.items() if "[secret]" not in r["text"])
+    library = tokenizer()
+    for row in stages["tokens"](spark, docs, SMALL).collect():
+        assert row["ids"] == library.encode(texts[row["doc_id"]], add_special_tokens=False).ids and row["same"]
+
+
+def test_pipeline_run(spark):
+    rows = corpus_pipeline.run(spark, SMALL).collect()
+    assert 0 < len(rows) <= 200 and all(r["same"] and r["n_tokens"] == len(r["ids"]) for r in rows)
