@@ -9,7 +9,7 @@ from shelfpulse.functions.money import price_text, sort_amount, typed_price
 from shelfpulse.functions.text import display_name, stock_label
 from shelfpulse.operators.skew import MAX_ROWS, with_previous
 from shelfpulse.schemas import (
-    CHANGE_KEY, MAX_CHANGES, PRICE_KIND, SERIES_KEY, STOCK_KIND, TOP_CHANGES,
+    CHANGE_KEY, NEWEST_CHANGES, PRICE_KIND, SERIES_KEY, STOCK_KIND, TOP_CHANGES,
 )
 
 # A price reading is its number, or its text when it is no number; either may be
@@ -114,7 +114,7 @@ def merge(published: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def merge_counts(
-    published: DataFrame, fresh: DataFrame, max_changes: int | None = MAX_CHANGES
+    published: DataFrame, fresh: DataFrame, max_changes: int | None = None
 ) -> DataFrame:
     """How many changes this pass found, how many there are in all, how many are kept."""
     kept = F.col("merged") if max_changes is None else F.least("merged", F.lit(max_changes))
@@ -128,11 +128,9 @@ def merge_counts(
     )
 
 
-def retain(changes: DataFrame, max_changes: int | None = MAX_CHANGES) -> DataFrame:
-    """The newest changes by a fixed total order; all of them without a limit."""
-    if max_changes is None:
-        return changes
-    return changes.orderBy(*newest_first()).limit(max_changes)
+def newest(changes: DataFrame, rows: int = NEWEST_CHANGES) -> DataFrame:
+    """The newest changes by a fixed total order: a view, never what is kept."""
+    return changes.orderBy(*newest_first()).limit(rows)
 
 
 def latest_diff(observations: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfpulse.functions.text import image_of
 from shelfpulse.schemas import (
-    BODY_START, ERROR_LENGTH, HTTP_ERROR, MAX_PAGES, NO_ADAPTER_ERROR, PAGE_LIMIT,
+    BODY_START, CRAWLED_PAGES, HTTP_ERROR, NO_ADAPTER_ERROR, PAGE_LIMIT,
     SUPPORTED_METHOD, UNPARSEABLE_ERROR,
 )
 from shelfpulse.session import micros
@@ -70,27 +70,32 @@ def page_facts(pages: DataFrame) -> DataFrame:
         lambda n, p: n + F.size(_list(p, "$.variants")),
     )
     return parsed.select(
-        *RUN_KEY, "page", "http_status", "fetched_at",
+        *RUN_KEY, "page", "fetched_at", "http_status",
         F.size("products").cast("bigint").alias("n_products"),
         variants.alias("n_variants"),
         F.octet_length("body").cast("bigint").alias("n_bytes"),
+        F.xxhash64("http_status", "body").alias("content"),
+        F.coalesce(unusable & status_ok, F.lit(False)).alias("misshapen"),
         error.alias("error"),
     )
 
 
 def _landed_once(facts: DataFrame) -> DataFrame:
-    """One row per page, marked as an error where copies landed.
+    """One row per page, the first of equal copies; copies that differ are an error.
 
     Copies shrink before the shuffle, so each run has at most as many rows as pages.
     """
-    values = [c for c in facts.columns if c not in (*RUN_KEY, "page", "error")]
-    repeated = F.format_string("page %d landed more than once", "page")
+    values = [c for c in facts.columns if c not in (*RUN_KEY, "page", "error", "content")]
+    differ = F.format_string("page %d landed with different contents", "page")
     return (
         facts.groupBy(*RUN_KEY, "page")
-        .agg(F.min(F.struct(*values, "error")).alias("first"), F.count(F.lit(1)).alias("landings"))
+        .agg(
+            F.min(F.struct(*values, "error")).alias("first"), F.count(F.lit(1)).alias("landings"),
+            (F.min("content") != F.max("content")).alias("differ"),
+        )
         .select(
-            *RUN_KEY, "page", *[f"first.{v}" for v in values],
-            F.when(F.col("landings") > 1, repeated).otherwise(F.col("first.error")).alias("error"),
+            *RUN_KEY, "page", "landings", *[f"first.{v}" for v in values],
+            F.when(F.col("differ"), differ).otherwise(F.col("first.error")).alias("error"),
         )
     )
 
@@ -99,7 +104,7 @@ def derive_runs(
     facts: DataFrame,
     registry: DataFrame,
     page_limit: int = PAGE_LIMIT,
-    max_pages: int = MAX_PAGES,
+    crawled_pages: int = CRAWLED_PAGES,
     starts: DataFrame | None = None,
 ) -> DataFrame:
     """One complete run record per run of an enabled merchant.
@@ -107,27 +112,29 @@ def derive_runs(
     `starts` (run_id, merchant, started_at) names runs that began, so that one
     without a single landed page is still recorded, as failed.
 
-    A run reads pages up to the first short one or `max_pages`; later pages were
-    never asked for. Its first unusable page fails it and voids its volumes. A run
-    that stops without reaching an end has no finish and counts as failed, and so
-    does one with a page landed more than once.
-    `last_page`, `truncated` (more pages may exist) and the registry's `currency`
-    are extra columns.
+    A run has all its landed pages up to the first short one; what landed after that
+    was never asked for. Its first unusable page fails it and voids its volumes. The
+    collector may stop after `crawled_pages` full pages; a run that stops before without
+    a short one has no finish and counts as failed.
+    `last_page`, `truncated` (more pages may exist), `copied` (a page landed more than
+    once) and the registry's `currency` are extra columns.
     """
     per_run = Window.partitionBy(*RUN_KEY)
     short = F.col("error").isNull() & (F.col("n_products") < page_limit)
     reached = (
-        _landed_once(facts.where(F.col("page") <= max_pages))
+        _landed_once(facts)
         .withColumn("end_page", F.min(F.when(short, F.col("page"))).over(per_run))
         .where(F.col("end_page").isNull() | (F.col("page") <= F.col("end_page")))
     )
-    failing = F.when(F.col("error").isNotNull(), F.struct("page", "error", "http_status", "fetched_at"))
+    told = F.when(~F.col("misshapen"), F.col("http_status")).alias("http_status")  # an answer in a wrong shape has none
+    failing = F.when(F.col("error").isNotNull(), F.struct("page", "error", told, "fetched_at"))
     folded = reached.groupBy(*RUN_KEY).agg(
         F.min("fetched_at").alias("started_at"),
         F.max("fetched_at").alias("last_fetch"),
         F.max_by("http_status", "page").alias("last_status"),
         F.max("page").alias("last_page"),
-        F.size(F.collect_set("page")).alias("pages"),  # at most max_pages numbers
+        F.count(F.lit(1)).alias("pages"),
+        F.max("landings").alias("landings"),
         F.min("end_page").alias("end_page"),
         F.min(failing).alias("failure"),
         F.sum("n_products").alias("products"),
@@ -140,7 +147,7 @@ def derive_runs(
         folded = folded.join(begun, list(RUN_KEY), "full_outer").withColumn("started_at", started)
     known = registry.where("enabled").select(F.col("slug").alias("merchant"), "method", "currency")
     whole = F.col("pages") == F.col("last_page")
-    at_end = F.col("end_page").isNotNull() | (F.col("last_page") == max_pages)
+    at_end = F.col("end_page").isNotNull() | (F.col("last_page") >= crawled_pages)
     no_adapter = F.col("method") != SUPPORTED_METHOD
     failed = F.col("failure").isNotNull()
     ok = ~no_adapter & ~failed & F.coalesce(whole & at_end, F.lit(False))
@@ -159,7 +166,7 @@ def derive_runs(
         F.lit(None).cast("string").alias("provider"),
         "started_at", finished.alias("finished_at"),
         ok.cast("int").alias("ok"), status.alias("http_status"),
-        F.left(error, F.lit(ERROR_LENGTH)).alias("error"),
+        error.alias("error"),
         volume("products").alias("products_seen"),
         volume("variants").alias("variants_seen"),
         volume("volume").alias("bytes"),
@@ -167,6 +174,7 @@ def derive_runs(
         F.lit(0.0).alias("cost_usd"),
         "last_page",
         (ok & F.col("end_page").isNull()).alias("truncated"),
+        (F.coalesce("landings", F.lit(0)) > 1).alias("copied"),
         "currency",
     )
 
@@ -199,26 +207,32 @@ def decode_pages(pages: DataFrame, runs: DataFrame) -> DataFrame:
     """Readings of the successful runs, one row per variant, still as the feed sent them.
 
     `runs` comes from `derive_runs`; written out first, it is small enough for the
-    planner to broadcast, so page bodies are not shuffled. `id` orders the readings
-    of a run, which all share one `observed_at`.
+    planner to broadcast, so page bodies are not shuffled; only those of runs with
+    copied pages are. `id` orders the readings of a run, which all share one
+    `observed_at`, and is their own within it: page and place on the page, of which a
+    body has fewer than 2**31.
     """
     good = runs.where("ok = 1").select(
-        F.col("id").alias("run_id"), "merchant", "last_page", "currency",
+        F.col("id").alias("run_id"), "merchant", "last_page", "currency", "copied",
         F.col("finished_at").alias("observed_at"),
     )
-    products = (
-        pages.join(good, list(RUN_KEY))
-        .where(F.col("page") <= F.col("last_page"))
-        .select(
-            *RUN_KEY, "page", "currency", "observed_at",
-            F.posexplode(_list(F.try_parse_json("body"), "$.products")).alias("product_no", "product"),
-        )
+    read = pages.join(good, list(RUN_KEY)).where(F.col("page") <= F.col("last_page"))
+    once = read.where("copied").dropDuplicates([*RUN_KEY, "page"])
+    listed = read.where("NOT copied").unionByName(once).select(
+        *RUN_KEY, "page", "currency", "observed_at",
+        _list(F.try_parse_json("body"), "$.products").alias("products"),
     )
+    sizes = F.transform("products", lambda p: F.size(_list(p, "$.variants")))
+    before = F.aggregate(F.slice("sizes", F.lit(1), F.col("product_no")), F.lit(0), lambda n, m: n + m)
+    products = listed.withColumn("sizes", sizes).select(
+        *RUN_KEY, "page", "currency", "observed_at", "sizes",
+        F.posexplode("products").alias("product_no", "product"),
+    ).withColumn("before", before).drop("sizes", "product_no")
     variants = products.select(
-        *RUN_KEY, "currency", "observed_at", "product", "page", "product_no",
+        *RUN_KEY, "currency", "observed_at", "product", "page", "before",
         F.posexplode(_list(F.col("product"), "$.variants")).alias("variant_no", "item"),
     )
-    place = (F.col("page").cast("bigint") * 1_000_000 + F.col("product_no")) * 10_000 + F.col("variant_no")
+    place = F.col("page").cast("bigint") * (1 << 31) + F.col("before") + F.col("variant_no")
     is_flag = _type(_item("item", "$.available")) == "BOOLEAN"
     return variants.select(
         place.alias("id"), *RUN_KEY,

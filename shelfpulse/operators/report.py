@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpulse.functions.text import letter_label
+from shelfpulse.schemas import CYCLE_HOURS, UNLABELLED
 from shelfpulse.session import days_before, materialize
 
 ALL = "ALL"
@@ -105,11 +106,17 @@ def freshness(runs: DataFrame) -> DataFrame:
     return runs.agg(F.max(F.when(F.col("ok") == 1, F.col("started_at"))).alias("collected_at"))
 
 
-def cycle_summary(runs: DataFrame) -> DataFrame:
-    """Succeeded and attempted merchants per collection day."""
+def cycle_summary(runs: DataFrame, hours: int = CYCLE_HOURS) -> DataFrame:
+    """Succeeded and attempted merchants per collection cycle, told by its start in UTC.
+
+    A merchant tried more than once in a cycle counts once.
+    """
+    width = hours * 3_600
+    start = F.timestamp_seconds(F.floor(F.unix_seconds(F.col("started_at").cast("timestamp")) / width) * width)
+    merchant = F.when(F.col("ok") == 1, F.col("merchant"))
     return (
-        runs.groupBy(F.to_date("started_at").alias("cycle"))
-        .agg(F.sum("ok").alias("succeeded"), F.count(F.lit(1)).alias("attempted"))
+        runs.groupBy(start.cast(runs.schema["started_at"].dataType).alias("cycle"))
+        .agg(F.count_distinct(merchant).alias("succeeded"), F.count_distinct("merchant").alias("attempted"))
         .withColumn("all_failed", F.col("succeeded") == 0)
     )
 
@@ -129,7 +136,9 @@ def merchant_labels(merchants: DataFrame) -> DataFrame:
 
 
 def redact(df: DataFrame, labels: DataFrame, column: str = "merchant") -> DataFrame:
-    """Replace merchant names; rows of no merchant, such as a total, keep theirs."""
+    """Replace merchant names; only the row of a total keeps its own, and no name is left for want of a label."""
     names = labels.select(F.col("merchant").alias(column), "label")
-    shown = F.coalesce("label", F.col(column)) if "is_total" in df.columns else F.col("label")
+    shown = F.coalesce("label", F.lit(UNLABELLED))
+    if "is_total" in df.columns:
+        shown = F.when(F.col("is_total"), F.col(column)).otherwise(shown)
     return df.join(names, column, "left").withColumn(column, shown).select(*df.columns)

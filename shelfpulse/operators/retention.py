@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfpulse.schemas import RETENTION_DAYS
-from shelfpulse.session import days_before
+from shelfpulse.schemas import OBSERVED_DAY, RETENTION_DAYS
+from shelfpulse.session import days_before, utc_day
 
 
 def cutoff(observations: DataFrame, as_of: object, days: float = RETENTION_DAYS) -> Column:
@@ -22,5 +22,7 @@ def plan(observations: DataFrame, as_of: object, days: float = RETENTION_DAYS) -
 
 
 def keep(observations: DataFrame, as_of: object, days: float = RETENTION_DAYS) -> DataFrame:
-    """Readings at or after the cutoff."""
-    return observations.where(F.col("observed_at") >= cutoff(observations, as_of, days))
+    """Readings at or after the cutoff; of stored ones only the days that can hold any are read."""
+    since = cutoff(observations, as_of, days)
+    kept = observations.where(F.col("observed_at") >= since)
+    return kept.where(F.col(OBSERVED_DAY) >= utc_day(since)) if OBSERVED_DAY in observations.columns else kept

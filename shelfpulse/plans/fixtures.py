@@ -81,17 +81,18 @@ FROM {orders}"""
 SHOP_PRODUCTS = 150
 PAGE_PRODUCTS = 15
 
-# One product per order, at most eight variants each (line number mod 8), 15
-# products per page and 10 pages per shop, so every page body is bounded.
+# One product per order with a variant for each of its lines, 15 products per page
+# and 10 full pages per shop; some shops have an eleventh, short one. Failures are
+# planted by status and body, so every order and line is on some page.
 FEED = """
 WITH line AS (
-  SELECT l_orderkey AS k, l_linenumber % 8 AS vn, CAST(MAX(l_extendedprice) AS DECIMAL(12,2)) AS price,
-    char(MAX(ascii(l_returnflag))) AS flag
-  FROM {lineitem} GROUP BY l_orderkey, l_linenumber % 8
+  SELECT l_orderkey AS k, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice, l_returnflag) - 1 AS vn,
+    CAST(l_extendedprice AS DECIMAL(12,2)) AS price, l_returnflag AS flag
+  FROM {lineitem}
 ),
 variant AS (
   SELECT k, concat(
-    '{{"id":', k * 10 + vn, ',"title":"', CASE WHEN vn = 0 THEN 'Default Title' ELSE concat('V', vn) END,
+    '{{"id":', k * 1000 + vn, ',"title":"', CASE WHEN vn = 0 THEN 'Default Title' ELSE concat('V', vn) END,
     '","price":', CASE WHEN k % 5 = 0 THEN CAST(price AS STRING) ELSE concat('"', price, '"') END,
     CASE vn % 4 WHEN 0 THEN ',"compare_at_price":null' WHEN 1 THEN ',"compare_at_price":"0"'
       WHEN 2 THEN '' ELSE concat(',"compare_at_price":"', price + 100, '"') END,
@@ -115,7 +116,6 @@ listed AS (
       ELSE concat(',"images":[{{"src":"https://cdn.example/', o_orderkey, '.png?v=1"}}]') END,
     CASE WHEN variants IS NULL THEN '' ELSE concat(',"variants":[', variants, ']') END, '}}') AS body
   FROM {orders} LEFT JOIN product ON pk = o_orderkey
-  WHERE NOT ((o_orderkey DIV 150) % 5 = 3 AND o_orderkey % 150 = 104)
 ),
 bodies AS (
   SELECT shop, page, concat('{{"products":[', concat_ws(',', sort_array(collect_list(body))), ']}}') AS body
@@ -129,7 +129,19 @@ SELECT shop + 1 AS run_id, concat('shop-', shop) AS merchant, page,
   CASE WHEN shop % 17 = 9 AND page = 3 THEN '<html>blocked</html>'
     WHEN shop % 19 = 4 AND page = 1 THEN '{{"products":[]}}' ELSE body END AS body,
   TIMESTAMP_NTZ'2024-02-01 00:00:00' + make_dt_interval(0, 0, CAST(shop AS INT), page) AS fetched_at
-FROM bodies WHERE NOT (shop % 29 = 11 AND page > 5)"""
+FROM bodies"""
+
+
+# Every merchant's run begins a second before its first page; some begin another run that
+# never gets a page.
+STARTS = """
+SELECT s_suppkey + 1 AS run_id, concat('shop-', s_suppkey) AS merchant,
+  TIMESTAMP_NTZ'2024-02-01 00:00:00' + make_dt_interval(0, 0, CAST(s_suppkey AS INT), 0) AS started_at
+FROM {supplier}
+UNION ALL
+SELECT 1000000 + s_suppkey, concat('shop-', s_suppkey),
+  TIMESTAMP_NTZ'2024-02-02 00:00:00' + make_dt_interval(0, 0, CAST(s_suppkey AS INT), 0)
+FROM {supplier} WHERE s_suppkey % 7 = 0"""
 
 
 class Tables:
@@ -170,6 +182,9 @@ class Tables:
     def pages(self) -> DataFrame:
         return self._sql(FEED, lineitem=self.given("lineitem"), orders=self.given("orders"))
 
+    def starts(self) -> DataFrame:
+        return self._sql(STARTS, supplier=self.given("supplier"))
+
     def published_changes(self) -> DataFrame:
         """An older publication: early changes with other values, and one forgotten change each."""
         early = (

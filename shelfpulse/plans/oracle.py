@@ -82,28 +82,29 @@ merged AS (
       AND f.variant_ext_id = p.variant_ext_id AND f.kind = p.kind)
 )"""
 
-DIFF = """
-ranked AS (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY merchant, variant_ext_id ORDER BY observed_at DESC, id DESC) AS rn
-  FROM readings
+AMOUNT = "coalesce({price}, try_cast(nullif(regexp_extract({text}, '^\\s*([+-]?[0-9]+(\\.[0-9]*)?)', 1), '') AS DOUBLE), 0)"
+
+# Each reading beside the next older one of its variant; the youngest one's pair is the difference.
+DIFF = f"""
+beside AS (
+  SELECT merchant, variant_ext_id, title, variant_title, price AS curr_price, price_text AS curr_price_text,
+    available AS curr_available, price_key AS curr_key, lead(price) OVER aged AS prev_price,
+    lead(price_text) OVER aged AS prev_price_text, lead(available) OVER aged AS prev_available,
+    lead(price_key) OVER aged AS prev_key
+  FROM readings WINDOW aged AS (PARTITION BY merchant, variant_ext_id ORDER BY observed_at DESC, id DESC)
+  QUALIFY row_number() OVER aged = 1
 ),
 diff AS (
-  SELECT a.merchant, a.variant_ext_id, a.title, a.variant_title,
-    b.price AS prev_price, b.price_text AS prev_price_text, b.available AS prev_available,
-    a.price AS curr_price, a.price_text AS curr_price_text, a.available AS curr_available,
-    abs(coalesce(a.price, try_cast(nullif(regexp_extract(a.price_text, '^\\s*([+-]?[0-9]+(\\.[0-9]*)?)', 1), '') AS DOUBLE), 0)
-      - coalesce(b.price, try_cast(nullif(regexp_extract(b.price_text, '^\\s*([+-]?[0-9]+(\\.[0-9]*)?)', 1), '') AS DOUBLE), 0)) AS price_delta,
-    a.price_key IS DISTINCT FROM b.price_key AS moved,
-    a.available IS DISTINCT FROM b.available AS flipped
-  FROM ranked a JOIN ranked b ON a.merchant = b.merchant AND a.variant_ext_id = b.variant_ext_id
-  WHERE a.rn = 1 AND b.rn = 2 AND (a.price_key <> b.price_key OR a.available <> b.available)
+  SELECT * EXCLUDE (curr_key, prev_key),
+    abs({AMOUNT.format(price="curr_price", text="curr_price_text")}
+      - {AMOUNT.format(price="prev_price", text="prev_price_text")}) AS price_delta,
+    curr_key IS DISTINCT FROM prev_key AS moved, curr_available IS DISTINCT FROM prev_available AS flipped
+  FROM beside WHERE curr_key <> prev_key OR curr_available <> prev_available
 )"""
 
 LATEST = """
 latest AS (
-  SELECT o.* FROM {source} o JOIN (
-    SELECT merchant, variant_ext_id, MAX(observed_at) AS newest FROM {source} GROUP BY merchant, variant_ext_id
-  ) x ON o.merchant = x.merchant AND o.variant_ext_id = x.variant_ext_id AND o.observed_at = x.newest
+  SELECT * FROM {source} QUALIFY rank() OVER (PARTITION BY merchant, variant_ext_id ORDER BY observed_at DESC) = 1
 )"""
 
 PRODUCTS = """
@@ -169,18 +170,19 @@ outcomes AS (
   GROUP BY run_id, merchant, field, status
 )"""
 
-SUMS = """CAST(SUM(CASE WHEN status = 'ok' THEN count ELSE 0 END) AS BIGINT) AS ok,
-  CAST(SUM(CASE WHEN status = 'missing' THEN count ELSE 0 END) AS BIGINT) AS missing,
-  CAST(SUM(CASE WHEN status = 'invalid' THEN count ELSE 0 END) AS BIGINT) AS invalid,
-  CAST(SUM(count) AS BIGINT) AS total,
-  CAST(SUM(CASE WHEN status = 'ok' THEN count ELSE 0 END) AS DOUBLE) / CAST(SUM(count) AS DOUBLE) AS rate"""
+SUMS = """coalesce(SUM(count) FILTER (status = 'ok'), 0)::BIGINT AS ok,
+  coalesce(SUM(count) FILTER (status = 'missing'), 0)::BIGINT AS missing,
+  coalesce(SUM(count) FILTER (status = 'invalid'), 0)::BIGINT AS invalid,
+  SUM(count)::BIGINT AS total,
+  coalesce(SUM(count) FILTER (status = 'ok'), 0)::DOUBLE / SUM(count)::DOUBLE AS rate"""
 
 RELIABLE = """
-SELECT merchant, arg_max(method, started_at) AS method, COUNT(*) AS runs, CAST(SUM(ok) AS BIGINT) AS ok_runs,
-  CAST(SUM(ok) AS DOUBLE) / COUNT(*) AS ok_rate, CAST(SUM(variants_seen) AS BIGINT) AS variants,
-  ROUND(AVG(nullif(duration_ms, 0))) AS avg_ms, CAST(SUM(bytes) AS BIGINT) AS bytes,
-  SUM(cost_usd) AS cost, MAX(started_at) AS last_run
-FROM runs {where} GROUP BY merchant"""
+SELECT * EXCLUDE (n_good), n_good AS ok_runs, n_good::DOUBLE / runs AS ok_rate
+FROM (
+  SELECT merchant, count(*) AS runs, count(*) FILTER (ok = 1) AS n_good, max(started_at) AS last_run,
+    max_by(method, started_at) AS method, sum(variants_seen)::BIGINT AS variants, sum(bytes)::BIGINT AS bytes,
+    sum(cost_usd) AS cost, round(avg(duration_ms) FILTER (duration_ms <> 0)) AS avg_ms
+  FROM runs {where} GROUP BY ALL)"""
 
 WITH_TOTAL = f"""
 reliable AS ({RELIABLE.format(where='')}),
@@ -203,9 +205,9 @@ regraded AS (
 # The feed: what each shop lists, straight from the tables, and its page rules.
 SHOP = """
 line AS (
-  SELECT l_orderkey AS k, l_linenumber % 8 AS vn, CAST(MAX(l_extendedprice) AS DECIMAL(12,2)) AS price,
-    MAX(l_returnflag) AS flag
-  FROM lineitem GROUP BY l_orderkey, l_linenumber % 8
+  SELECT l_orderkey AS k, ROW_NUMBER() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice, l_returnflag) - 1 AS vn,
+    CAST(l_extendedprice AS DECIMAL(12,2)) AS price, l_returnflag AS flag
+  FROM lineitem
 ),
 variant AS (
   SELECT *, CASE WHEN k % 5 = 0 THEN CAST(price AS STRING) ELSE concat('"', price, '"') END AS price_json,
@@ -219,7 +221,7 @@ variant AS (
   FROM line
 ),
 variant_size AS (
-  SELECT k AS pk, COUNT(*) AS n, CAST(SUM(octet_length(encode(concat('{"id":', k * 10 + vn, ',"title":"',
+  SELECT k AS pk, COUNT(*) AS n, CAST(SUM(octet_length(encode(concat('{"id":', k * 1000 + vn, ',"title":"',
     CASE WHEN vn = 0 THEN 'Default Title' ELSE concat('V', vn) END, '","price":', price_json, was_json,
     ',"available":', flag_json, sku_json, image_json, '}')))) + COUNT(*) - 1 AS BIGINT) AS bytes
   FROM variant GROUP BY k
@@ -235,15 +237,14 @@ listed AS (
         ELSE concat(',"images":[{"src":"https://cdn.example/', o_orderkey, '.png?v=1"}]') END, '}')))
       + CASE WHEN n IS NULL THEN 0 ELSE bytes + length(',"variants":[]') END AS bytes
   FROM orders LEFT JOIN variant_size ON pk = o_orderkey
-  WHERE NOT ((o_orderkey // 150) % 5 = 3 AND o_orderkey % 150 = 104)
 ),
 page AS (
   SELECT shop, page, COUNT(*) AS n_products, CAST(SUM(n) AS BIGINT) AS n_variants,
     CAST(SUM(bytes) + COUNT(*) - 1 + length('{"products":[]}') AS BIGINT) AS n_bytes
-  FROM listed WHERE NOT (shop % 29 = 11 AND page > 5) GROUP BY shop, page
+  FROM listed GROUP BY shop, page
   UNION ALL
-  SELECT DISTINCT o_orderkey // 150, 11, 1, 1, 47 FROM orders WHERE (o_orderkey // 150) % 23 = 6
-    AND NOT ((o_orderkey // 150) % 29 = 11)
+  SELECT DISTINCT o_orderkey // 150, 11, 1, 1, length('{"products":[{"id":1,"variants":[{"id":1}]}]}')
+  FROM orders WHERE (o_orderkey // 150) % 23 = 6
 ),
 fact AS (
   SELECT shop, shop + 1 AS run_id, page,
@@ -260,11 +261,17 @@ fact AS (
 reached AS (
   SELECT * FROM (
     SELECT *, MIN(CASE WHEN error IS NULL AND n_products < 15 THEN page END) OVER (PARTITION BY run_id) AS end_page
-    FROM fact WHERE page <= 10) f
+    FROM fact) f
   WHERE end_page IS NULL OR page <= end_page
 ),
-folded AS (
-  SELECT shop, run_id, MIN(fetched_at) AS started_at, MAX(fetched_at) AS last_fetch, MAX(page) AS last_page,
+starts AS (
+  SELECT s_suppkey + 1 AS run_id, s_suppkey AS shop, TIMESTAMP '2024-02-01 00:00:00' + to_minutes(CAST(s_suppkey AS BIGINT)) AS begun_at
+  FROM supplier
+  UNION ALL SELECT 1000000 + s_suppkey, s_suppkey, TIMESTAMP '2024-02-02 00:00:00' + to_minutes(CAST(s_suppkey AS BIGINT))
+  FROM supplier WHERE s_suppkey % 7 = 0
+),
+with_pages AS (
+  SELECT shop, run_id, MIN(fetched_at) AS first_fetch, MAX(fetched_at) AS last_fetch, MAX(page) AS last_page,
     arg_max(http_status, page) AS last_status, MIN(end_page) AS end_page,
     MIN(CASE WHEN error IS NOT NULL THEN page END) AS failed_page,
     arg_min(CASE WHEN error IS NOT NULL THEN error END, CASE WHEN error IS NOT NULL THEN page END) AS failure,
@@ -273,9 +280,14 @@ folded AS (
     SUM(n_products) AS products, SUM(n_variants) AS variants, SUM(n_bytes) AS volume
   FROM reached GROUP BY shop, run_id
 ),
+folded AS (
+  SELECT w.* EXCLUDE (shop, run_id, first_fetch), coalesce(w.shop, s.shop) AS shop, coalesce(w.run_id, s.run_id) AS run_id,
+    coalesce(begun_at, first_fetch) AS started_at
+  FROM with_pages w FULL JOIN starts s ON s.run_id = w.run_id AND s.shop = w.shop
+),
 accounted AS (
   SELECT f.*, slug, method, currency, method <> 'shopify_products_json' AS no_adapter,
-    method = 'shopify_products_json' AND failed_page IS NULL AND (end_page IS NOT NULL OR last_page = 10) AS good
+    coalesce(method = 'shopify_products_json' AND failed_page IS NULL AND (end_page IS NOT NULL OR last_page >= 10), FALSE) AS good
   FROM folded f JOIN registry ON slug = concat('shop-', shop) WHERE enabled
 ),
 run_rows AS (
@@ -292,7 +304,7 @@ run_rows AS (
 ),
 decoded AS (
   SELECT a.run_id, a.slug AS merchant, CAST(l.k AS STRING) AS product_ext_id,
-    CAST(l.k * 10 + v.vn AS STRING) AS variant_ext_id, concat('order-', l.k) AS handle,
+    CAST(l.k * 1000 + v.vn AS STRING) AS variant_ext_id, concat('order-', l.k) AS handle,
     CASE WHEN l.k % 97 = 0 THEN NULL ELSE concat('Order ', l.k) END AS title,
     CASE WHEN v.vn = 0 THEN 'Default Title' ELSE concat('V', v.vn) END AS variant_title,
     CASE WHEN l.k % 5 = 0 THEN '' ELSE 'maker' END AS vendor, l.o_orderpriority AS product_type,
@@ -309,6 +321,9 @@ decoded AS (
     a.last_fetch AS observed_at
   FROM accounted a JOIN listed l ON l.shop = a.shop AND l.page <= a.last_page JOIN variant v ON v.k = l.k
   WHERE a.good AND NOT (a.shop % 19 = 4)
+  UNION ALL
+  SELECT run_id, slug, '1', '1', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, currency, NULL, NULL, NULL, NULL, NULL, last_fetch
+  FROM accounted WHERE good AND last_page = 11
 )"""
 
 BASE = {
@@ -375,7 +390,7 @@ FROM diff ORDER BY merchant, price_delta DESC, variant_ext_id LIMIT 12""",
         "SELECT CAST(greatest(COUNT(*) - 12, 0) AS BIGINT) AS more FROM diff", DIFF, base=READINGS
     ),
     "changes_merged": sql(f"SELECT {CHANGE} FROM merged", EVENTS, MERGED, base=READINGS),
-    "changes_merged_capped": sql(
+    "changes_newest": sql(
         f"SELECT {CHANGE} FROM merged ORDER BY \"at\" DESC, merchant, variant_ext_id, kind LIMIT 500",
         EVENTS, MERGED, base=READINGS,
     ),
@@ -385,8 +400,7 @@ FROM diff ORDER BY merchant, price_delta DESC, variant_ext_id LIMIT 12""",
         TIES, EVENTS, base="ev obs obs_day",
     ),
     "change_merge_counts": sql(
-        """SELECT (SELECT COUNT(*) FROM events_found) AS fresh, COUNT(*) AS merged,
-  least(COUNT(*), 500) AS retained FROM merged""",
+        """SELECT (SELECT COUNT(*) FROM events_found) AS fresh, COUNT(*) AS merged, COUNT(*) AS retained FROM merged""",
         EVENTS, MERGED, base=READINGS,
     ),
     "latest_per_variant": sql(
@@ -478,17 +492,26 @@ FROM obs_day GROUP BY merchant""",
         base="ev obs obs_day",
     ),
     "cycle_summary": sql(
-        """SELECT CAST(started_at AS DATE) AS cycle, CAST(SUM(ok) AS BIGINT) AS succeeded, COUNT(*) AS attempted,
-  SUM(ok) = 0 AS all_failed FROM runs GROUP BY 1""",
+        """SELECT make_timestamp(epoch_us(started_at) // 43200000000 * 43200000000) AS cycle,
+  COUNT(DISTINCT merchant) FILTER (ok = 1) AS succeeded, COUNT(DISTINCT merchant) AS attempted,
+  MAX(ok) = 0 AS all_failed FROM runs GROUP BY 1""",
         base="runs",
     ),
     "redacted_reliability": sql(
-        """SELECT coalesce(label, t.merchant) AS merchant, method, runs, ok_runs, variants, cost, is_total, ok_rate
+        """SELECT CASE WHEN is_total THEN t.merchant ELSE coalesce(label, 'merchant-?') END AS merchant, method, runs, ok_runs, variants, cost, is_total, ok_rate
 FROM with_total t LEFT JOIN (SELECT merchant, concat('merchant-', chr(CAST(64 + ROW_NUMBER() OVER (ORDER BY merchant) AS INT))) AS label
   FROM reliable) n ON n.merchant = t.merchant""",
         WITH_TOTAL, base="runs",
     ),
-    "run_records": sql("SELECT *, CAST(NULL AS VARCHAR) AS provider FROM evruns", base="ev obs evruns"),
+    "published_runs": sql(
+        """SELECT id, merchant, method, CAST(NULL AS VARCHAR) AS provider, started_at, finished_at, ok,
+  CAST(NULL AS INT) AS http_status, CAST(NULL AS VARCHAR) AS error, products_seen, variants_seen,
+  CAST(NULL AS BIGINT) AS bytes, CAST(NULL AS BIGINT) AS duration_ms, CAST(NULL AS DOUBLE) AS cost_usd FROM evruns""",
+        base="ev obs evruns",
+    ),
+    "published_merchants": sql(
+        "SELECT slug, name, base_url, currency, method, enabled, method_rationale FROM registry", base="registry"
+    ),
     "report_json": sql(
         f"""SELECT 'reliability' AS section, merchant, to_json(struct_pack(merchant := merchant, method := method, runs := runs,
   ok_runs := ok_runs, ok_rate := ok_rate, variants := variants, avg_ms := avg_ms, bytes := bytes, cost := cost,
@@ -513,10 +536,7 @@ UNION ALL SELECT 'snapshots', merchant, to_json(struct_pack(merchant := merchant
         f"SELECT {STORED.format(image='image_url')} FROM obs WHERE {KEPT}", base="ev obs"
     ),
     "evolve_schema": sql(f"SELECT {STORED.format(image='CAST(NULL AS VARCHAR)')} FROM obs", base="ev obs"),
-    "snapshot_changes": sql(
-        f"SELECT {CHANGE} FROM events_found ORDER BY \"at\" DESC, merchant, variant_ext_id, kind LIMIT 500",
-        EVENTS, base=READINGS,
-    ),
+    "snapshot_changes": sql(f"SELECT {CHANGE} FROM events_found", EVENTS, base=READINGS),
     "merchant_registry": sql(
         "SELECT slug, name, base_url, currency, method, enabled, method_rationale FROM registry WHERE enabled",
         base="registry",
@@ -537,7 +557,7 @@ UNION ALL SELECT 'snapshots', merchant, to_json(struct_pack(merchant := merchant
 GROUP BY run_id, merchant, field, status""",
         SHOP,
         f"""feed_grades AS (SELECT run_id, merchant,
-  CASE WHEN CAST(price_raw AS DOUBLE) > 0 THEN 'ok' ELSE 'invalid' END AS price_status, 'ok' AS compare_at_price_status,
+  CASE WHEN price_raw IS NULL THEN 'missing' WHEN CAST(price_raw AS DOUBLE) > 0 THEN 'ok' ELSE 'invalid' END AS price_status, 'ok' AS compare_at_price_status,
   CASE WHEN available IS NULL THEN 'missing' ELSE 'ok' END AS available_status,
   CASE WHEN NOT sku_is_text THEN 'invalid' ELSE {text_grade('sku')} END AS sku_status,
   {text_grade('title', 2)} AS title_status, {text_grade('variant_title')} AS variant_title_status FROM decoded)""",
@@ -550,6 +570,17 @@ GROUP BY run_id, merchant, field, status""",
     "stream_changes": sql(f"SELECT {CHANGE} FROM events_found", EVENTS, base=READINGS),
 }
 
+ORACLE["published_fields"] = ORACLE["field_quality_all"]
+ORACLE["published_totals"] = ORACLE["catalogue_totals"]
+ORACLE["published_catalogue"] = ORACLE["catalogue_documents"]
+ORACLE["registry_json"] = ORACLE["merchant_registry"]
+ORACLE["report_written"] = f"""
+SELECT concat('merchant-', chr(CAST(64 + ROW_NUMBER() OVER (ORDER BY merchant) AS INT))) AS merchant, snaps, comparable
+FROM ({ORACLE['snapshot_counts']}) s"""
+ORACLE["stream_ingest_split"] = ORACLE["stream_ingest"]
+ORACLE["stream_runs_split"] = f"SELECT * EXCLUDE (last_page, truncated) FROM ({ORACLE['run_accounting']}) r"
+ORACLE["stream_regrade"] = ORACLE["feed_grades"]
+ORACLE["stream_changes_late"] = ORACLE["stream_changes_late_pruned"] = ORACLE["stream_changes"]
 ORACLE["change_history_sliced"] = ORACLE["change_history"]
 ORACLE["change_history_ties_sliced"] = ORACLE["change_history_ties"]
 ORACLE["latest_per_variant_spread"] = ORACLE["latest_per_variant"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfpulse.functions import text
@@ -82,9 +82,9 @@ def changes_merged(t: Tables) -> DataFrame:
 
 
 @query
-def changes_merged_capped(t: Tables) -> DataFrame:
-    merged = changes.merge(t.published_changes(), changes.history(t.obs()))
-    return changes.retain(merged)
+def changes_newest(t: Tables) -> DataFrame:
+    """The newest changes, as a view of all."""
+    return changes.newest(changes.merge(t.published_changes(), changes.history(t.obs())))
 
 
 @query
@@ -263,12 +263,6 @@ def redacted_changes(t: Tables) -> DataFrame:
     return report.redact(changes.latest_diff(t.obs()), report.merchant_labels(t.obs()))
 
 
-@query
-def run_records(t: Tables) -> DataFrame:
-    """The operating record as it is published, every run."""
-    return t.evruns().withColumn("provider", F.lit(None).cast("string"))
-
-
 @query
 def report_json(t: Tables) -> DataFrame:
     """The machine-readable report: one JSON text per row of each section."""
@@ -337,16 +331,77 @@ def regrade_stored(t: Tables) -> DataFrame:
     return store.read_outcomes(t.spark, folder).drop(store.RUN_DAY)
 
 
+_PUBLISHED: dict[tuple[str, str], str] = {}
+
+
+def _published(t: Tables) -> str:
+    """A publication made twice over the same readings, once for all queries that read it back."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _PUBLISHED:
+        folder, runs, tallied = new_folder(t.spark, "public"), store.evolve(t.evruns(), RUNS), quality.tally(t.obs())
+        for _ in range(2):
+            snapshot.publish(folder, t.registry(), runs, tallied, t.obs())
+        _PUBLISHED[key] = folder
+    return snapshot.current(t.spark, _PUBLISHED[key])
+
+
+def _read_back(t: Tables, section: str, like: DataFrame) -> DataFrame:
+    return t.spark.read.schema(like.schema).options(**snapshot.JSON_OPTIONS).json(f"{_published(t)}/{section}")
+
+
 @query
 def snapshot_changes(t: Tables) -> DataFrame:
     """Changes published as JSON twice over the same readings: the second time adds nothing."""
-    folder = new_folder(t.spark, "public")
-    tallied = quality.tally(t.obs())
-    runs = store.evolve(t.evruns(), RUNS)
-    for _ in range(2):
-        snapshot.publish(folder, t.registry(), runs, tallied, t.obs())
-    kept = snapshot.read_published_changes(t.spark, f"{folder}/snapshot/changes")
-    return _ntz(kept, "at")
+    return _ntz(snapshot.read_published_changes(t.spark, f"{_published(t)}/snapshot/changes"), "at")
+
+
+@query
+def published_runs(t: Tables) -> DataFrame:
+    """The operating record as published: every run with its fourteen columns."""
+    like = store.evolve(t.evruns(), RUNS).select(*snapshot.RUN_COLUMNS)
+    return _ntz(_read_back(t, "snapshot/runs", like), "started_at", "finished_at")
+
+
+@query
+def published_fields(t: Tables) -> DataFrame:
+    return _read_back(t, "snapshot/fields", quality.field_quality(quality.tally(t.obs())))
+
+
+@query
+def published_merchants(t: Tables) -> DataFrame:
+    return _read_back(t, "snapshot/merchants", merchants.published(t.registry()))
+
+
+@query
+def published_totals(t: Tables) -> DataFrame:
+    return _read_back(t, "snapshot/totals", catalogue.totals(catalogue.latest_readings(t.obs())))
+
+
+@query
+def published_catalogue(t: Tables) -> DataFrame:
+    """The nested catalogue read back from its files, unfolded again."""
+    documents = _read_back(t, "catalogue/products", catalogue.documents(*catalogue.folded(t.obs())))
+    return documents.select(
+        "m", "p", "part", "h", "t", "vendor", "type", F.col("img").alias("product_img"), "cur",
+        F.posexplode("variants").alias("place", "variant"),
+    ).select("m", "p", "part", "h", "t", "vendor", "type", "product_img", "cur", "place", "variant.*")
+
+
+@query
+def registry_json(t: Tables) -> DataFrame:
+    """The registry landed as JSON and read as a collector would."""
+    path = f"{new_folder(t.spark, 'registry')}/merchants"
+    t.registry().write.mode("overwrite").json(path)
+    return merchants.published(merchants.enabled(merchants.read_registry(t.spark, path)))
+
+
+@query
+def report_written(t: Tables) -> DataFrame:
+    """The report's snapshot section as written, with the merchants' names replaced."""
+    folder = new_folder(t.spark, "report")
+    sections = {"snapshots": report.snapshot_counts(t.obs_day())}
+    snapshot.write_report(folder, sections, report.merchant_labels(t.obs()))
+    return t.spark.read.schema(sections["snapshots"].schema).json(f"{folder}/snapshots")
 
 
 # --- collection -------------------------------------------------------------
@@ -369,7 +424,7 @@ def page_facts(t: Tables) -> DataFrame:
 def _accounted(t: Tables) -> tuple[DataFrame, DataFrame]:
     pages = materialize(t.pages(), "landed")
     facts = materialize(ingest.page_facts(pages), "page-facts")
-    return pages, ingest.derive_runs(facts, t.registry(), PAGE_PRODUCTS)
+    return pages, ingest.derive_runs(facts, t.registry(), PAGE_PRODUCTS, starts=t.starts())
 
 
 def _decoded(t: Tables) -> DataFrame:
@@ -379,7 +434,7 @@ def _decoded(t: Tables) -> DataFrame:
 
 @query
 def run_accounting(t: Tables) -> DataFrame:
-    return _accounted(t)[1].drop("currency")
+    return _accounted(t)[1].drop("currency", "copied")
 
 
 @query
@@ -395,33 +450,88 @@ def feed_grades(t: Tables) -> DataFrame:
 
 # --- streaming --------------------------------------------------------------
 
-@query
-def stream_ingest(t: Tables) -> DataFrame:
-    """Pages landing in two waves, taken in as they come."""
-    spark, folder = t.spark, new_folder(t.spark, "stream-ingest")
-    pages, registry = materialize(t.pages(), "landed"), t.registry()
-    for wave in (0, 1):
-        part = pages.where(F.col("run_id") % 2 == wave)
-        store.evolve(part, PAGES).write.mode("append").parquet(f"{folder}/landing")
+def _taken_in(t: Tables, name: str, wave: Column) -> str:
+    """The folder of a store that took in the landed pages wave by wave, in ascending order of `wave`."""
+    spark, folder = t.spark, new_folder(t.spark, name)
+    pages, registry = materialize(store.evolve(t.pages(), PAGES), "landed"), t.registry()
+    for number in (0, 1):
+        pages.where(wave == number).write.mode("append").parquet(f"{folder}/landing")
         page_stream.start_ingest(
             spark, f"{folder}/landing", registry, f"{folder}/store", f"{folder}/checkpoint",
-            PAGE_PRODUCTS,
+            PAGE_PRODUCTS, starts=t.starts(),
         ).awaitTermination()
-    return _ntz(
-        store.read_observations(spark, f"{folder}/store/observations").select(STORED), "observed_at"
-    ).drop("id")
+    return f"{folder}/store"
+
+
+def _readings_taken_in(t: Tables, folder: str) -> DataFrame:
+    stored = store.read_observations(t.spark, f"{folder}/observations").select(STORED)
+    return _ntz(stored, "observed_at").drop("id")
 
 
 @query
-def stream_changes(t: Tables) -> DataFrame:
-    """Readings stored in three steps, changes detected after each."""
-    spark, folder = t.spark, new_folder(t.spark, "stream-changes")
-    readings, path = t.obs(), f"{folder}/observations"
-    day = F.dayofmonth("observed_at")
-    steps = [day <= 12, (day > 12) & (day <= 22), day > 22]
+def stream_ingest(t: Tables) -> DataFrame:
+    """Pages landing in two waves, taken in as they come."""
+    return _readings_taken_in(t, _taken_in(t, "stream-ingest", F.col("run_id") % 2))
+
+
+@query
+def stream_ingest_split(t: Tables) -> DataFrame:
+    """The pages of each run land in two waves, every other page first."""
+    return _readings_taken_in(t, _taken_in(t, "stream-split", F.col("page") % 2))
+
+
+@query
+def stream_runs_split(t: Tables) -> DataFrame:
+    """One record per run, whatever the waves its pages came in."""
+    runs = page_stream.read_runs(t.spark, _taken_in(t, "stream-runs", F.col("page") % 2))
+    return _ntz(runs, "started_at", "finished_at")
+
+
+@query
+def stream_regrade(t: Tables) -> DataFrame:
+    """Outcomes the stream stored, kept through a prune of the readings and a re-grading of the rest."""
+    folder = _taken_in(t, "stream-regrade", F.col("page") % 2)
+    store.prune_store(t.spark, f"{folder}/observations", "2024-02-15 00:50:00", DAYS)
+    left = store.read_observations(t.spark, f"{folder}/observations")
+    store.regrade_store(t.spark, f"{folder}/field_outcomes", left, page_stream.read_runs(t.spark, folder))
+    return page_stream.read_outcomes(t.spark, folder).drop(store.RUN_DAY)
+
+
+def _detected(t: Tables, name: str, steps: list[Column], prune: bool = False) -> DataFrame:
+    """Changes detected after each of `steps` of the readings is stored, with a prune before the last."""
+    spark, folder = t.spark, new_folder(t.spark, name)
+    readings, path, boundary = t.obs(), f"{folder}/observations", f"{folder}/boundary"
     for number, step in enumerate(steps):
+        if prune and number == len(steps) - 1:
+            store.prune_store(spark, path, OBS_NOW, DAYS, boundary=boundary)
         store.append_observations(readings.where(step), path, str(number))
         change_stream.start_changes(
-            spark, path, f"{folder}/detected", f"{folder}/checkpoint"
+            spark, path, f"{folder}/detected", f"{folder}/checkpoint", boundary=boundary
         ).awaitTermination()
     return _ntz(change_stream.read_changes(spark, f"{folder}/detected"), "at").drop("id")
+
+
+@query
+def stream_changes(t: Tables) -> DataFrame:
+    """Readings stored in three steps, changes detected after each."""
+    day = F.dayofmonth("observed_at")
+    return _detected(t, "stream-changes", [day <= 12, (day > 12) & (day <= 22), day > 22])
+
+
+def _with_late() -> list[Column]:
+    """Two steps without, and then a third of the readings of five days."""
+    day = F.dayofmonth("observed_at")
+    late = day.between(20, 24) & (F.col("id") % 3 == 0)
+    return [(day <= 12) & ~late, (day > 12) & ~late, late]
+
+
+@query
+def stream_changes_late(t: Tables) -> DataFrame:
+    """A third of the readings of five days comes after all later ones."""
+    return _detected(t, "stream-late", _with_late())
+
+
+@query
+def stream_changes_late_pruned(t: Tables) -> DataFrame:
+    """The same after readings of more than two weeks were deleted: recorded changes stay."""
+    return _detected(t, "stream-late-pruned", _with_late(), prune=True)

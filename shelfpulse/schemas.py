@@ -11,9 +11,9 @@ STATUSES = ("ok", "missing", "invalid")
 # The one supported collection method and the feed's page rules.
 SUPPORTED_METHOD = "shopify_products_json"
 PAGE_LIMIT = 250
-MAX_PAGES = 10
+CRAWLED_PAGES = 10
 
-# Fixed formats: error texts of failed runs, and how much of a text they show.
+# Fixed formats: error texts of failed runs, and how much of a text is shown.
 HTTP_ERROR = "HTTP %d on page %d"
 UNPARSEABLE_ERROR = "unparseable JSON on page %d (%s…)"
 NO_ADAPTER_ERROR = 'method "%s" has no adapter yet'
@@ -26,10 +26,13 @@ STOCK_KIND = "stock"
 TOP_CHANGES = 12
 NAME_WIDTH = 44
 
-# Published document version, retained changes, retention window.
+# Published document version, newest changes shown, retention window,
+# hours between two collections, the name shown of a merchant without a label.
 SCHEMA_VERSION = 1
-MAX_CHANGES = 500
+NEWEST_CHANGES = 500
 RETENTION_DAYS = 14
+CYCLE_HOURS = 12
+UNLABELLED = "merchant-?"
 
 
 _TYPES = {
@@ -76,5 +79,7 @@ CHANGES = _struct(
     " kind string, from_value double, to_value double, from_text string, to_text string"
 )
 
+# The partition column of stored readings: their UTC day.
+OBSERVED_DAY = "obs_date"
 CHANGE_KEY = ("at", "merchant", "variant_ext_id", "kind")
 SERIES_KEY = ("merchant", "variant_ext_id")

@@ -48,6 +48,26 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in `path`; none if it does not exist."""
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    return sorted(entry.getPath().getName() for entry in files.listStatus(folder) if entry.isDirectory())
+
+
+def numbered(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers of the folders `name`=number in `path`, ascending."""
+    found = (entry.partition("=") for entry in subfolders(spark, path))
+    return sorted(int(number) for key, _, number in found if key == name)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create the empty file `path`, which is there whole or not at all."""
+    files, target = _folder(spark, path)
+    files.create(target, True).close()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     files, folder = _folder(spark, path)
     files.delete(folder, True)

@@ -2,6 +2,9 @@
 
 Each section is a folder of JSON lines, written by all tasks; nothing is folded
 into one document. The record stays apart from the much larger catalogue.
+Each publication is a version of its own, which counts from the moment a marker says
+that it is whole; only then does the one before go. So a run that dies on the way
+leaves the last publication, and with it the durable change history, as it was.
 """
 
 from __future__ import annotations
@@ -13,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfpulse.operators import catalogue, changes, quality, report
-from shelfpulse.schemas import CHANGES, MAX_CHANGES, SCHEMA_VERSION
-from shelfpulse.session import folder_exists, materialize, scratch
+from shelfpulse.schemas import CHANGES, SCHEMA_VERSION
+from shelfpulse.session import delete_folder, folder_exists, mark, materialize, numbered, scratch
 from shelfpulse.sources.registry import published
 
 # Microseconds survive the round trip, so a change read back keeps its key.
@@ -28,6 +31,7 @@ CHANGE_NAMES = {
     "merchant": "m", "variant_ext_id": "v", "title": "t", "variant_title": "vt",
     "from_value": "from", "to_value": "to",
 }
+# The columns of a run that are published.
 RUN_COLUMNS = (
     "id", "merchant", "method", "provider", "started_at", "finished_at", "ok", "http_status",
     "error", "products_seen", "variants_seen", "bytes", "duration_ms", "cost_usd",
@@ -40,27 +44,59 @@ def write_json(df: DataFrame, folder: str, *partition: str) -> None:
     (writer.partitionBy(*partition) if partition else writer).json(folder)
 
 
-def write_changes(retained: DataFrame, folder: str) -> None:
+def write_changes(kept: DataFrame, folder: str) -> None:
     short = [F.col(c).alias(CHANGE_NAMES.get(c, c)) for c in CHANGES.names]
-    write_json(retained.orderBy(*changes.newest_first()).select(*short), folder)
+    write_json(kept.orderBy(*changes.newest_first()).select(*short), folder)
+
+
+MARKER = "_PUBLISHED"
+VERSION = "version"
+
+
+def current(spark: SparkSession, folder: str) -> str | None:
+    """The newest whole publication in `folder`, if there is any."""
+    for version in reversed(numbered(spark, folder, VERSION)):
+        path = f"{folder}/{VERSION}={version}"
+        if folder_exists(spark, f"{path}/{MARKER}"):
+            return path
+    return None
+
+
+def _change_lines(spark: SparkSession, folder: str, within: str | None) -> DataFrame | None:
+    """Published changes as they were parsed, and in `_corrupt_record` the lines that were not."""
+    if not folder_exists(spark, folder):
+        return None
+    fields = [T.StructField(CHANGE_NAMES.get(f.name, f.name), f.dataType) for f in CHANGES]
+    schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).options(**JSON_OPTIONS).option("columnNameOfCorruptRecord", CORRUPT)
+    return materialize(reader.json(folder), "published-changes", within)
+
+
+CORRUPT = "_corrupt_record"
 
 
 def read_published_changes(
     spark: SparkSession, folder: str, within: str | None = None
 ) -> DataFrame:
-    """Changes of the last publication; none if there is none or it is unreadable."""
-    empty = spark.createDataFrame([], CHANGES)
-    if not folder_exists(spark, folder):
-        return empty
-    bad = "_corrupt_record"
-    fields = [T.StructField(CHANGE_NAMES.get(f.name, f.name), f.dataType) for f in CHANGES]
-    schema = T.StructType([*fields, T.StructField(bad, T.StringType())])
-    reader = spark.read.schema(schema).options(**JSON_OPTIONS).option("columnNameOfCorruptRecord", bad)
-    kept = materialize(reader.json(folder), "published-changes", within)
-    if not kept.where(F.col(bad).isNotNull()).isEmpty():
-        warnings.warn("published changes are unreadable, starting change history fresh", stacklevel=2)
-        return empty
-    return kept.select(*[F.col(CHANGE_NAMES.get(c, c)).alias(c) for c in CHANGES.names])
+    """The readable changes of a publication; none if there is none. Others are counted in a warning."""
+    lines = _change_lines(spark, folder, within)
+    if lines is None:
+        return spark.createDataFrame([], CHANGES)
+    bad = lines.where(F.col(CORRUPT).isNotNull()).count()
+    if bad:
+        warnings.warn(f"{bad} published changes are unreadable and put aside", stacklevel=2)
+    good = lines.where(F.col(CORRUPT).isNull())
+    return good.select(*[F.col(CHANGE_NAMES.get(c, c)).alias(c) for c in CHANGES.names])
+
+
+def _put_aside(spark: SparkSession, record: str, into: str, within: str) -> None:
+    """Carry the unreadable lines of the publication `record`, old and new, into the next one."""
+    lines = _change_lines(spark, f"{record}/changes", f"{within}/aside")
+    bad = spark.createDataFrame([], "value string") if lines is None else lines.where(
+        F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
+    if folder_exists(spark, f"{record}/unreadable"):
+        bad = bad.unionByName(spark.read.text(f"{record}/unreadable"))
+    bad.distinct().write.mode("overwrite").text(into)
 
 
 def meta(runs: DataFrame, generated_at: Column) -> DataFrame:
@@ -77,24 +113,26 @@ def publish(
     outcomes: DataFrame,
     observations: DataFrame,
     generated_at: Column | None = None,
-    max_changes: int | None = MAX_CHANGES,
     fresh: DataFrame | None = None,
-) -> None:
-    """Write `snapshot/` (meta, merchants, runs, fields, changes, totals) and `catalogue/`.
+) -> str:
+    """Write a version with `snapshot/` (meta, merchants, runs, fields, changes, totals) and `catalogue/`.
 
     `fresh` are changes already detected, as by the stream; without them the history
-    of all given observations is worked out here.
+    of all given observations is worked out here. Returns the version's folder.
     """
     spark = runs.sparkSession
+    last = current(spark, folder)
+    versions = numbered(spark, folder, VERSION)
+    target = f"{folder}/{VERSION}={max(versions, default=0) + 1}"
     stamp = F.current_timestamp() if generated_at is None else generated_at
     about = meta(runs, stamp)
-    record, products_folder = f"{folder}/snapshot", f"{folder}/catalogue"
+    record, products_folder = f"{target}/snapshot", f"{target}/catalogue"
     with scratch(spark, "publish") as work:
         found = changes.history(observations) if fresh is None else fresh
-        before = read_published_changes(spark, f"{record}/changes", work)
+        before = read_published_changes(spark, f"{last}/snapshot/changes", work)
+        if last is not None:
+            _put_aside(spark, f"{last}/snapshot", f"{record}/unreadable", work)
         merged = changes.merge(before, found)
-        # Written out before the old publication it was read from is replaced.
-        retained = materialize(changes.retain(merged, max_changes), "changes", work)
         latest, product_rows = catalogue.folded(observations, work)
 
         write_json(about, f"{record}/meta")
@@ -102,12 +140,16 @@ def publish(
         write_json(runs.select(*RUN_COLUMNS).orderBy("started_at"), f"{record}/runs")
         fields = quality.field_quality(outcomes)
         write_json(fields.orderBy("merchant", *quality.least_reliable_first()), f"{record}/fields")
-        write_changes(retained, f"{record}/changes")
+        write_changes(merged, f"{record}/changes")
         write_json(catalogue.totals(latest), f"{record}/totals")
         write_json(about, f"{products_folder}/meta")
         documents = catalogue.documents(latest, product_rows)
         # Ranges keep a merchant's products in few files and still split a large merchant.
         write_json(documents.repartitionByRange("m", "p", "part"), f"{products_folder}/products", "m")
+    mark(spark, f"{target}/{MARKER}")
+    for version in versions:
+        delete_folder(spark, f"{folder}/{VERSION}={version}")
+    return target
 
 
 def report_sections(

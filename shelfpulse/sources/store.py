@@ -1,7 +1,7 @@
 """The stored tables as partitioned Parquet.
 
-Readings are partitioned by UTC day, so retention drops whole folders and time
-filters prune; outcomes are partitioned by the day of their run, so re-grading
+Readings are partitioned by UTC day, so retention drops whole folders and its bound
+on the day prunes the rest; outcomes are partitioned by the day of their run, so re-grading
 replaces whole partitions in one committed job.
 """
 
@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 
 from shelfpulse.functions.money import typed_price
 from shelfpulse.operators import quality, retention
-from shelfpulse.schemas import FIELD_OUTCOMES, OBSERVATIONS, PAGES, RETENTION_DAYS
-from shelfpulse.session import delete_folder, folder_exists, utc_day
+from shelfpulse.schemas import (
+    FIELD_OUTCOMES, OBSERVATIONS, OBSERVED_DAY, PAGES, RETENTION_DAYS, SERIES_KEY,
+)
+from shelfpulse.session import delete_folder, folder_exists, materialize, numbered, utc_day
 
-OBSERVED_DAY = "obs_date"
 RUN_DAY = "run_date"
 BATCH = "batch"
 
@@ -47,14 +48,28 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 def append_observations(observations: DataFrame, path: str, batch: str) -> None:
     """Append the readings of one batch; repeating a batch replaces it.
 
-    Rows of a series are laid side by side in each file.
+    Ranges of day and series put each day into few files, a large day into several,
+    and lay the rows of a series side by side.
     """
     rows = evolve(typed_prices(observations), OBSERVATIONS)
     dated = rows.withColumns({OBSERVED_DAY: utc_day(F.col("observed_at")), BATCH: F.lit(batch)})
-    _dynamic(
-        dated.sortWithinPartitions(OBSERVED_DAY, "merchant", "variant_ext_id"),
-        path, OBSERVED_DAY, BATCH,
-    )
+    order = (OBSERVED_DAY, *SERIES_KEY, "observed_at")
+    ranged = dated.repartitionByRange(*order).sortWithinPartitions(*order)
+    _dynamic(ranged, path, OBSERVED_DAY, BATCH)
+
+
+def compact(spark: SparkSession, path: str, day: object) -> None:
+    """Rewrite one day's batches into one, in few files; readers see the old or the new files of each batch."""
+    rows = read_observations(spark, path).where(F.col(OBSERVED_DAY) == F.lit(day).cast("date"))
+    batches = [row[0] for row in rows.select(BATCH).distinct().collect()]
+    if len(batches) < 2:
+        return
+    into = max(batches, key=lambda batch: (len(batch), batch))
+    whole = materialize(rows.withColumn(BATCH, F.lit(into)), "compact")
+    _dynamic(whole.repartitionByRange(*SERIES_KEY, "observed_at"), path, OBSERVED_DAY, BATCH)
+    for batch in batches:
+        if batch != into:
+            delete_folder(spark, f"{path}/{OBSERVED_DAY}={day}/{BATCH}={batch}")
 
 
 def stored_observations() -> T.StructType:
@@ -108,12 +123,35 @@ def regrade_store(spark: SparkSession, path: str, observations: DataFrame, runs:
     _replace_outcomes(spark, path, fresh, runs, ["run_id"])
 
 
+def read_boundary(spark: SparkSession, path: str) -> DataFrame:
+    """The newest deleted reading of each variant; no rows if nothing was kept in `path`."""
+    versions = numbered(spark, path, "version")
+    if not versions:
+        return spark.createDataFrame([], OBSERVATIONS)
+    return spark.read.schema(OBSERVATIONS).parquet(f"{path}/version={versions[-1]}")
+
+
+def _keep_boundary(spark: SparkSession, path: str, doomed: DataFrame) -> None:
+    """Renew the newest deleted readings as a version of their own; the one before goes last."""
+    versions = numbered(spark, path, "version")
+    rows = evolve(doomed, OBSERVATIONS).unionByName(read_boundary(spark, path))
+    others = [c for c in OBSERVATIONS.names if c not in (*SERIES_KEY, "observed_at", "id")]
+    newest = F.max(F.struct("observed_at", "id", *others)).alias("newest")
+    kept = rows.groupBy(*SERIES_KEY).agg(newest).select(*SERIES_KEY, "newest.*")
+    evolve(kept, OBSERVATIONS).write.mode("overwrite").parquet(f"{path}/version={max(versions, default=0) + 1}")
+    for version in versions:
+        delete_folder(spark, f"{path}/version={version}")
+
+
 def prune_store(
-    spark: SparkSession, path: str, as_of: object, days: float = RETENTION_DAYS, dry_run: bool = False
+    spark: SparkSession, path: str, as_of: object, days: float = RETENTION_DAYS, dry_run: bool = False,
+    boundary: str | None = None,
 ) -> dict[str, int]:
     """Delete readings older than the cutoff; returns total, doomed and kept.
 
     Whole days and batches go by folder; only the day of the cutoff is rewritten.
+    `boundary` keeps the newest deleted reading of each variant, which change detection
+    needs to place a late reading.
     """
     stored = read_observations(spark, path)
     counts = retention.plan(stored, as_of, days).first().asDict()
@@ -123,6 +161,8 @@ def prune_store(
     expired = stored.where(
         F.col(OBSERVED_DAY) <= utc_day(retention.cutoff(stored, as_of, days))
     )
+    if boundary is not None:
+        _keep_boundary(spark, boundary, expired.where(doomed))
     folders = (
         expired.groupBy(F.col(OBSERVED_DAY).cast("string").alias(OBSERVED_DAY), BATCH)
         .agg(F.count_if(doomed).alias("doomed"), F.count_if(~doomed).alias("kept"))

@@ -1,4 +1,11 @@
-"""Incremental ingest: landed pages to runs, readings and outcomes."""
+"""Incremental ingest: landed pages to runs, readings and outcomes.
+
+The pages of a run may land in any number of batches and in any order. Pages of runs
+that are not whole yet wait in a pending table, and such a run is recorded as failed
+until it is; each batch accounts the runs that got pages anew, from all their pages.
+Every batch writes under its number, so a repeated one replaces itself, and of a run
+recorded by several batches the latest record counts.
+"""
 
 from __future__ import annotations
 
@@ -7,35 +14,76 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfpulse.operators import ingest, quality
-from shelfpulse.schemas import MAX_PAGES, PAGE_LIMIT, PAGES, RUNS
-from shelfpulse.session import materialize, scratch
+from shelfpulse.schemas import CRAWLED_PAGES, PAGE_LIMIT, PAGES, RUNS
+from shelfpulse.session import days_before, delete_folder, folder_exists, materialize, scratch
 from shelfpulse.sources import store
 
 
+def _pending(spark: SparkSession, folder: str, before: int) -> DataFrame | None:
+    """Pages of runs that were not whole after the batch `before`."""
+    path = f"{folder}/pending/{store.BATCH}={before}"
+    return spark.read.schema(PAGES).parquet(path) if folder_exists(spark, path) else None
+
+
+def _settled(runs: DataFrame) -> DataFrame:
+    """Runs that no further page can change: ended well, or failed after whole pages."""
+    return runs.where("ok = 1 OR error IS NOT NULL").select(F.col("id").alias("run_id"), "merchant")
+
+
 def ingest_batch(
     pages: DataFrame,
     registry: DataFrame,
     folder: str,
-    batch: str,
+    epoch: int,
     page_limit: int = PAGE_LIMIT,
-    max_pages: int = MAX_PAGES,
+    crawled_pages: int = CRAWLED_PAGES,
+    starts: DataFrame | None = None,
+    wait_days: float | None = None,
 ) -> None:
     """Store everything one batch of pages yields. Running a batch again replaces it.
 
+    `starts` (run_id, merchant, started_at) names runs that began: those never recorded
+    are, without pages as failed. Pages wait for the rest of their run for `wait_days`
+    before the newest landed one, without it for as long as it takes.
     The accounting is written out first: it is tiny next to the page bodies, and
     known to be so when the bodies are joined with it.
     """
     spark = pages.sparkSession
+    key = list(ingest.RUN_KEY)
+    waiting = _pending(spark, folder, epoch - 1)
+    # Pages after a run is settled change nothing: its earlier record stands.
+    arrived = pages
+    if folder_exists(spark, f"{folder}/runs"):
+        recorded = _records(spark, folder, epoch)
+        arrived = pages.join(_settled(recorded), key, "left_anti")
+    else:
+        recorded = None
+    together = arrived if waiting is None else arrived.unionByName(waiting)
     with scratch(spark, "ingest") as work:
-        facts = materialize(ingest.page_facts(pages), "page-facts", work)
-        runs = materialize(ingest.derive_runs(facts, registry, page_limit, max_pages), "runs", work)
-        readings = ingest.decode_pages(pages, runs)
-        store.append_observations(readings, f"{folder}/observations", batch)
-        runs.write.mode("overwrite").parquet(f"{folder}/runs/{store.BATCH}={batch}")
-    stored = store.read_observations(spark, f"{folder}/observations")
-    quality.tally(stored.where(F.col(store.BATCH) == batch)).write.mode("overwrite").parquet(
-        f"{folder}/field_outcomes/{store.BATCH}={batch}"
-    )
+        here = materialize(store.evolve(together, PAGES), "pages", work)
+        facts = materialize(ingest.page_facts(here), "page-facts", work)
+        begun = starts
+        if starts is not None and recorded is not None:
+            known = recorded.select(F.col("id").alias("run_id"), "merchant")
+            begun = starts.join(known, key, "left_anti").unionByName(
+                starts.join(facts.select(*key).distinct(), key, "left_semi")).distinct()
+        runs = materialize(
+            ingest.derive_runs(facts, registry, page_limit, crawled_pages, begun), "runs", work
+        )
+        readings = ingest.decode_pages(here, runs)
+        store.append_observations(readings, f"{folder}/observations", str(epoch))
+        open_pages = here.join(_settled(runs), key, "left_anti").join(
+            runs.select(F.col("id").alias("run_id"), "merchant"), key, "left_semi")
+        if wait_days is not None:
+            newest = here.agg(F.max("fetched_at")).first()[0]
+            open_pages = open_pages.where(F.col("fetched_at") >= days_before(here, "fetched_at", newest, wait_days))
+        open_pages.write.mode("overwrite").parquet(f"{folder}/pending/{store.BATCH}={epoch}")
+        stored = store.read_observations(spark, f"{folder}/observations")
+        tallied = quality.tally(stored.where(F.col(store.BATCH) == str(epoch)))
+        store.upsert_outcomes(spark, f"{folder}/field_outcomes", tallied, runs)
+        runs.write.mode("overwrite").parquet(f"{folder}/runs/{store.BATCH}={epoch}")
+    if epoch > 1:  # the one before stays for a repeated batch
+        delete_folder(spark, f"{folder}/pending/{store.BATCH}={epoch - 2}")
 
 
 def start_ingest(
@@ -45,15 +93,14 @@ def start_ingest(
     folder: str,
     checkpoint: str,
     page_limit: int = PAGE_LIMIT,
-    max_pages: int = MAX_PAGES,
+    crawled_pages: int = CRAWLED_PAGES,
+    starts: DataFrame | None = None,
+    wait_days: float | None = None,
 ) -> StreamingQuery:
-    """Take in all pages landed since the last call, then stop.
-
-    The pages of one run must land together, as the collector writes them.
-    """
+    """Take in all pages landed since the last call, then stop."""
 
     def accept(pages: DataFrame, epoch: int) -> None:
-        ingest_batch(pages, registry, folder, str(epoch), page_limit, max_pages)
+        ingest_batch(pages, registry, folder, epoch, page_limit, crawled_pages, starts, wait_days)
 
     landed = spark.readStream.schema(PAGES).parquet(landing)
     return (
@@ -64,5 +111,20 @@ def start_ingest(
     )
 
 
+def _records(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
+    """The latest record of every run, of the batches before `before`."""
+    stored = spark.read.parquet(f"{folder}/runs")
+    if before is not None:
+        stored = stored.where(F.col(store.BATCH).cast("bigint") < before)
+    values = [c for c in stored.columns if c not in ("id", "merchant", store.BATCH)]
+    newest = F.max_by(F.struct(*values), F.col(store.BATCH).cast("bigint")).alias("record")
+    return stored.groupBy("id", "merchant").agg(newest).select("id", "merchant", "record.*")
+
+
 def read_runs(spark: SparkSession, folder: str) -> DataFrame:
-    return store.evolve(spark.read.parquet(f"{folder}/runs"), RUNS)
+    return store.evolve(_records(spark, folder), RUNS)
+
+
+def read_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """The outcomes of all runs taken in; they outlive the readings they were counted from."""
+    return store.read_outcomes(spark, f"{folder}/field_outcomes")

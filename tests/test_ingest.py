@@ -113,12 +113,23 @@ def test_failures_void_the_run(spark):
     assert ingest.decode_pages(landed, decoded_runs).isEmpty()
 
 
-def test_page_landed_twice_fails_the_run(spark):
+def test_equal_copies_of_a_page_count_once(spark):
     full, short = feed(product(1, {"id": 1}), product(2, {"id": 2})), feed(product(3, {"id": 3}))
     landed, decoded_runs, runs = account(spark, [
         (1, "a", 1, 200, full), (1, "a", 2, 200, short), (1, "a", 2, 200, short), (2, "a", 1, 200, short),
     ])
-    assert (runs[1].ok, runs[1].error, runs[1].variants_seen) == (0, "page 2 landed more than once", 0)
+    assert (runs[1].ok, runs[1].error, runs[1].variants_seen) == (1, None, 3)
+    decoded = ingest.decode_pages(landed, decoded_runs).collect()
+    assert sorted((r.run_id, r.variant_ext_id) for r in decoded) == [(1, "1"), (1, "2"), (1, "3"), (2, "3")]
+    assert len({(r.run_id, r.id) for r in decoded}) == 4
+
+
+def test_differing_copies_of_a_page_fail_the_run(spark):
+    short, other = feed(product(3, {"id": 3})), feed(product(4, {"id": 3}))
+    landed, decoded_runs, runs = account(spark, [
+        (1, "a", 1, 200, short), (1, "a", 1, 200, other), (2, "a", 1, 200, short),
+    ])
+    assert (runs[1].ok, runs[1].error, runs[1].variants_seen) == (0, "page 1 landed with different contents", 0)
     assert [r.run_id for r in ingest.decode_pages(landed, decoded_runs).collect()] == [2]
 
 
@@ -142,11 +153,11 @@ def test_repeated_json_keys(spark):
     assert runs[1].error.startswith("unparseable JSON on page 1")
 
 
-def test_page_cap_is_visible(spark):
+def test_all_landed_pages_count(spark):
     full = feed(product(1, {"id": 1}), product(2))
     landed, runs_df, runs = account(spark, [(1, "a", n, 200, full) for n in (1, 2, 3, 4)])
-    assert (runs[1].ok, runs[1].products_seen, runs[1].truncated) == (1, 6, True)
-    assert ingest.decode_pages(landed, runs_df).count() == 3
+    assert (runs[1].ok, runs[1].products_seen, runs[1].truncated) == (1, 8, True)
+    assert ingest.decode_pages(landed, runs_df).count() == 4
 
 
 def test_run_without_pages_is_recorded(spark):

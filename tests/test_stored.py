@@ -81,8 +81,8 @@ def test_publish_changes_of_the_stream(spark, tables, tmp_path):
     folder, obs = str(tmp_path / "public"), tables.obs()
     found = changes.history(obs).where("kind = 'stock'")
     runs = store.evolve(tables.evruns(), RUNS)
-    snapshot.publish(folder, tables.registry(), runs, tables.oldout(), obs, max_changes=None, fresh=found)
-    kept = snapshot.read_published_changes(spark, f"{folder}/snapshot/changes")
+    snapshot.publish(folder, tables.registry(), runs, tables.oldout(), obs, fresh=found)
+    kept = snapshot.read_published_changes(spark, f"{snapshot.current(spark, folder)}/snapshot/changes")
     assert kept.count() == found.count()
 
 
@@ -128,16 +128,16 @@ def test_published_changes(spark, tmp_path):
     assert snapshot.read_published_changes(spark, folder).collect()[0] == row
     text = spark.read.text(folder).first()[0]
     assert '"at":"2024-01-02T03:04:05.678901Z","m":"m","v":"v","t":null' in text and '"to":null' in text
-    spark.createDataFrame([("{broken",)], "value string").write.mode("overwrite").text(folder)
-    with pytest.warns(UserWarning, match="unreadable"):
-        assert snapshot.read_published_changes(spark, folder).isEmpty()
+    spark.createDataFrame([("{broken",)], "value string").write.mode("append").text(folder)
+    with pytest.warns(UserWarning, match="1 published changes are unreadable"):
+        assert snapshot.read_published_changes(spark, folder).collect() == [row]
 
 
 def test_publish(spark, tables, tmp_path):
     folder, obs = str(tmp_path / "public"), tables.obs()
     runs = store.evolve(tables.evruns(), RUNS)
-    snapshot.publish(folder, tables.registry(), runs, quality.tally(obs), obs, max_changes=50)
-    assert spark.read.json(f"{folder}/snapshot/changes").count() == 50
+    folder = snapshot.publish(folder, tables.registry(), runs, quality.tally(obs), obs)
+    assert spark.read.json(f"{folder}/snapshot/changes").count() == changes.history(obs).count()
     assert spark.read.json(f"{folder}/snapshot/runs").count() == runs.count()
     assert spark.read.json(f"{folder}/snapshot/merchants").count() == 10
     meta = spark.read.json(f"{folder}/snapshot/meta").first()
@@ -148,6 +148,24 @@ def test_publish(spark, tables, tmp_path):
     assert products.select(F.explode("variants")).count() == totals.variants
 
 
+def test_a_failed_publication_leaves_the_last_one(spark, tables, tmp_path, monkeypatch):
+    folder, obs = str(tmp_path / "public"), tables.obs()
+    runs, tallied = store.evolve(tables.evruns(), RUNS), quality.tally(obs)
+    first = snapshot.publish(folder, tables.registry(), runs, tallied, obs)
+    before = spark.read.json(f"{first}/snapshot/changes").count()
+    monkeypatch.setattr(snapshot, "mark", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        snapshot.publish(folder, tables.registry(), runs, tallied, obs.where("false"))
+    monkeypatch.undo()
+    assert snapshot.current(spark, folder) == first
+    assert spark.read.json(f"{first}/snapshot/changes").count() == before
+    spark.createDataFrame([("{broken",)], "value string").write.mode("append").text(f"{first}/snapshot/changes")
+    with pytest.warns(UserWarning, match="put aside"):
+        last = snapshot.publish(folder, tables.registry(), runs, tallied, obs.where("false"))
+    assert last != first and spark.read.json(f"{last}/snapshot/changes").count() == before
+    assert [r.value for r in spark.read.text(f"{last}/snapshot/unreadable").collect()] == ["{broken"]
+
+
 def test_redaction_covers_every_section(spark, tables, tmp_path):
     obs, runs = tables.obs(), tables.evruns().withColumns(
         {"duration_ms": F.lit(5), "bytes": F.lit(1), "cost_usd": F.lit(0.0)}
