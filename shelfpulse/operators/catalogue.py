@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfpulse.functions.money import price_text, typed_price, zero_to_null
 from shelfpulse.functions.text import empty_to_null
-from shelfpulse.operators.skew import MAX_HOT, MAX_ROWS, latest_rows
+from shelfpulse.operators.skew import MAX_ROWS, cut_points, latest_rows, slice_of
 from shelfpulse.schemas import SERIES_KEY
 from shelfpulse.session import materialize
 
@@ -100,21 +100,19 @@ def documents(
     """Nested catalogue: a product with its sorted variants, in short publishing keys.
 
     A product above `max_variants` becomes several rows numbered by `part`, so no
-    row or task has to hold an unbounded product; usual products have one part.
+    row or task has to hold an unbounded product; usual products have one part. Parts are cut
+    at quantiles of the catalogue's order, so they follow each other in it.
     """
-    spark = latest.sparkSession
-    sizes = product_rows.select(*PRODUCT_KEY, F.ceil(F.col("n_variants") / max_variants).alias("parts"))
-    large = sizes.where("parts > 1").orderBy(F.desc("parts"), *PRODUCT_KEY).limit(MAX_HOT)
-    rows = large.collect()  # at most MAX_HOT products
+    order = ("title", "variant_title", "variant_ext_id", "id")
     variant_rows = _variant_rows(latest)
-    if rows:
-        split = F.broadcast(spark.createDataFrame(rows, large.schema))
-        part = F.coalesce(F.pmod(F.xxhash64("variant_ext_id", "id"), "parts"), F.lit(0))
-        variant_rows = variant_rows.join(split, list(PRODUCT_KEY), "left")
-        variant_rows = variant_rows.withColumn("part", part).drop("parts")
-        every_part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)) - 1))
-        product_rows = product_rows.join(split, list(PRODUCT_KEY), "left")
-        product_rows = product_rows.withColumn("part", every_part).drop("parts")
+    cuts = cut_points(variant_rows, PRODUCT_KEY, order, max_variants)
+    if cuts is not None:
+        number = F.coalesce(slice_of(F.struct(*order), F.col("cuts")).cast("bigint"), F.lit(0))
+        variant_rows = variant_rows.join(cuts, list(PRODUCT_KEY), "left").withColumn("part", number).drop("cuts")
+        last = F.coalesce(F.size("cuts"), F.lit(0)).cast("bigint")
+        every_part = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
+        product_rows = product_rows.join(cuts, list(PRODUCT_KEY), "left")
+        product_rows = product_rows.withColumn("part", every_part).drop("cuts")
     else:
         variant_rows = variant_rows.withColumn("part", F.lit(0).cast("bigint"))
         product_rows = product_rows.withColumn("part", F.lit(0).cast("bigint"))

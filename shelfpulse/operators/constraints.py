@@ -57,6 +57,7 @@ def violations(runs: DataFrame, outcomes: DataFrame, observations: DataFrame) ->
         missing_values(observations, "observations"),
         duplicate_keys(runs, "runs", ["id"]),
         duplicate_keys(outcomes, "field_outcomes", OUTCOME_KEY),
+        duplicate_keys(observations, "observations", ["run_id", "id"]),
         unknown_statuses(outcomes),
         unknown_runs(outcomes, "field_outcomes", runs),
         unknown_runs(observations, "observations", runs),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpulse.functions.grading import AMOUNTS, field_grades, with_amounts
@@ -101,6 +101,11 @@ def not_ok(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def in_order(per_field: DataFrame, *order: Column) -> DataFrame:
+    """A table of one row per field with each row's `place` in the order it is shown in."""
+    return per_field.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
 def regraded_tally(observations: DataFrame, runs: DataFrame) -> DataFrame:
     """Fresh outcomes of every successful run that still has readings.
 

@@ -2,134 +2,79 @@
 
 A merchant, product or variant may hold a large share of all readings. Window
 functions put a whole partition key into one task, so keys that measure as hot
-are cut into slices first and the slices' ends are stitched together. Which keys
-are hot only steers the balance; the result is the same for any choice.
+are cut into slices first and the slices' ends are stitched together. Slices are cut at
+quantiles of the rows' own order, so rows crowded into a moment, or under one id
+range of it, are split like any others. Which keys are hot and where they are cut only
+steers the balance; the result is the same for any choice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfpulse.session import micros
+from shelfpulse.session import materialize
 
 # A key with more rows than this is sliced.
 MAX_ROWS = 2_000_000
-# At most this many keys are treated as hot, so what is collected and broadcast
-# stays under a few MB. A key outside the list holds less than 1/10,000 of the rows.
-MAX_HOT = 10_000
 # Rows of a key at the threshold that the measuring sample should contain.
 SAMPLE_ROWS = 1_000
 
 
-def hot_groups(
-    df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS, **measures: Column
-) -> DataFrame | None:
-    """Keys holding more than about `max_rows` rows, with `group_rows` and `measures`.
-
-    Measured on a sample sized from the threshold, like range partitioning does;
-    the whole rows are never sampled. Returns a local table, or None if no key is hot.
-    """
+def _sample(df: DataFrame, max_rows: int) -> tuple[DataFrame, float]:
+    """A sample sized from the threshold, like range partitioning takes; results never depend on it."""
     fraction = min(1.0, SAMPLE_ROWS / max_rows)
-    measured = df if fraction == 1.0 else df.sample(fraction, seed=7)
-    found = (
-        measured.groupBy(*keys)
-        .agg((F.count(F.lit(1)) / fraction).cast("bigint").alias("group_rows"),
-             *[m.alias(name) for name, m in measures.items()])
-        .where(F.col("group_rows") > max_rows)
-        .orderBy(F.desc("group_rows"), *keys)
-        .limit(MAX_HOT)
-    )
-    rows = found.collect()
-    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
-
+    return (df if fraction == 1.0 else df.sample(fraction, seed=7)), fraction
 
-def slice_number(value: Column, low: Column, high: Column, rows: Column, max_rows: int) -> Column:
-    """Equal-width slices of [low, high], one per `max_rows` rows; never decreasing in value."""
-    wanted = F.ceil(rows / max_rows)
-    return F.floor((value - low).cast("double") * wanted / (high - low + 1)).cast("bigint")
 
+def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame | None:
+    """Keys holding more than about `max_rows` rows, with `group_rows`; None if no key is hot.
 
-@dataclass(frozen=True)
-class SeriesSlices:
-    """Slices of hot time series: by time, and by row id inside one crowded instant.
+    They are written out, so that the planner knows the table's size; the threshold leaves at
+    most one key for each `max_rows` rows, however many keys there are."""
+    measured, fraction = _sample(df, max_rows)
+    rows = (F.count(F.lit(1)) / fraction).cast("bigint").alias("group_rows")
+    found = measured.groupBy(*keys).agg(rows).where(F.col("group_rows") > max_rows)
+    return None if found.isEmpty() else materialize(found, "hot-groups")
 
-    `hot` has the hot keys, `crowded` the crowded instants per key and time slice;
-    both are local tables of at most MAX_HOT entries.
-    """
-
-    hot: DataFrame
-    crowded: DataFrame | None
-    keys: tuple[str, ...]
-    at: str
-    tie: str
-    max_rows: int
-
-    COLUMNS = ("slice_time", "slice_instant", "slice_tie")
-
-    def time_slice(self, t: Column) -> Column:
-        low, high, rows = F.col("hot_from"), F.col("hot_to"), F.col("group_rows")
-        return slice_number(t, low, high, rows, self.max_rows)
-
-    def attach(self, df: DataFrame, how: str) -> DataFrame:
-        """Slice columns for rows of hot keys, null for the others.
-
-        Ordered by (slice_time, slice_instant, slice_tie), slices follow each other
-        as their rows do by (at, tie).
-        """
-        t, tie = micros(F.col(self.at)), F.col(self.tie)
-        timed = (
-            df.join(F.broadcast(self.hot), list(self.keys), how)
-            .withColumn("slice_time", self.time_slice(t))
-            .drop("group_rows", "hot_from", "hot_to")
-        )
-        if self.crowded is None:
-            none = F.lit(None).cast("bigint")
-            return timed.withColumns({"slice_instant": none, "slice_tie": none})
-        here = F.filter("instants", lambda i: i["t"] == t)
-        before = F.size(F.filter("instants", lambda i: i["t"] < t))
-        instant = F.try_element_at(here, F.lit(1))
-        return (
-            timed.join(F.broadcast(self.crowded), [*self.keys, "slice_time"], "left")
-            .withColumns(
-                {
-                    "slice_instant": (2 * before + F.size(here)).cast("bigint"),
-                    "slice_tie": slice_number(
-                        tie, instant["id_from"], instant["id_to"], instant["group_rows"], self.max_rows
-                    ),
-                }
-            )
-            .drop("instants")
-        )
 
+def cut_points(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS
+) -> DataFrame | None:
+    """`cuts` of every hot key: one row's `order` for about each `max_rows` rows, ascending.
 
-def series_slices(
-    df: DataFrame, keys: Sequence[str], at: str, tie: str, max_rows: int = MAX_ROWS
-) -> SeriesSlices | None:
-    """Slices for the hot series of `df`, or None if no series is hot."""
-    points = df.select(*keys, micros(F.col(at)).alias("t"), F.col(tie).alias("tie_id"))
-    hot = hot_groups(points, keys, max_rows, hot_from=F.min("t"), hot_to=F.max("t"))
+    None if no key is hot."""
+    hot = hot_groups(df.select(*keys), keys, max_rows)
     if hot is None:
         return None
-    slices = SeriesSlices(hot, None, tuple(keys), at, tie, max_rows)
-    instants = hot_groups(
-        points.join(F.broadcast(hot.select(*keys)), list(keys)), [*keys, "t"], max_rows,
-        id_from=F.min("tie_id"), id_to=F.max("tie_id"),
-    )
-    if instants is None:
-        return slices
-    instant = F.struct("t", F.col("instant_rows").alias("group_rows"), "id_from", "id_to")
-    crowded = (
-        instants.withColumnRenamed("group_rows", "instant_rows")
-        .join(hot, list(keys))
-        .withColumn("slice_time", slices.time_slice(F.col("t")))
-        .groupBy(*keys, "slice_time")
-        .agg(F.collect_list(instant).alias("instants"))
-    )
-    return replace(slices, crowded=crowded)
+    measured, fraction = _sample(df.select(*keys, F.struct(*order).alias("point")), max_rows)
+    step = max(1, round(max_rows * fraction))
+    points = measured.join(hot.select(*keys), list(keys)).groupBy(*keys).agg(
+        F.sort_array(F.collect_list("point")).alias("points"))
+    every = F.sequence(F.lit(step), F.size("points") - 1, F.lit(step))
+    wide = points.where(F.size("points") > step)
+    return materialize(wide.select(*keys, F.transform(every, lambda n: F.get("points", n)).alias("cuts")), "cut-points")
+
+
+def slice_of(value: Column, cuts: Column) -> Column:
+    """How many of the ascending `cuts` are not above `value`, by binary search."""
+    count = F.size(cuts)
+    powers = F.sequence(F.floor(F.log2(count)).cast("int"), F.lit(0), F.lit(-1))
+
+    def narrow(found: Column, power: Column) -> Column:
+        more = found + F.pow(F.lit(2), power).cast("int")
+        return F.when((more <= count) & (F.get(cuts, more - 1) <= value), more).otherwise(found)
+
+    return F.aggregate(powers, F.lit(0), narrow)
+
+
+def sliced(df: DataFrame, cuts: DataFrame, keys: Sequence[str], order: Sequence[str], how: str = "left") -> DataFrame:
+    """`df` with the `slice` of each row of a hot key, null for the others."""
+    joined = df.join(cuts, list(keys), how)
+    number = F.when(F.col("cuts").isNotNull(), slice_of(F.struct(*order), F.col("cuts")))
+    return joined.withColumn("slice", number).drop("cuts")
 
 
 def with_previous(
@@ -152,27 +97,26 @@ def with_previous(
         lags = [F.lag(v).over(window).alias(n) for v, n in zip(values, names)]
         return [*lags, F.lag(F.lit(True), 1, False).over(window).alias("has_prev")]
 
-    slices = series_slices(df, keys, at, tie, max_rows)
-    if slices is None:
+    cuts = cut_points(df, keys, (at, tie), max_rows)
+    if cuts is None:
         whole = Window.partitionBy(*keys).orderBy(at, tie)
         return df.select("*", *previous(whole))
 
-    parts = slices.COLUMNS
-    inside = Window.partitionBy(*keys, *parts).orderBy(at, tie)
-    lagged = slices.attach(df, "left").select("*", *previous(inside))
-    settled = lagged.where(F.col("slice_time").isNull() | F.col("has_prev")).drop(*parts)
+    inside = Window.partitionBy(*keys, "slice").orderBy(at, tie)
+    lagged = sliced(df, cuts, keys, (at, tie)).select("*", *previous(inside))
+    settled = lagged.where(F.col("slice").isNull() | F.col("has_prev")).drop("slice")
 
     order = [F.col(at), F.col(tie)]
     others = [F.col(c) for c in df.columns if c not in (at, tie, *keys)]
     ends = (
-        slices.attach(df, "inner")
-        .groupBy(*keys, *parts)
+        sliced(df, cuts, keys, (at, tie), "inner")
+        .groupBy(*keys, "slice")
         .agg(
             F.min(F.struct(*order, *others)).alias("head"),
             F.max(F.struct(*order, *others)).alias("tail"),
         )
     )
-    by_slice = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_first(p) for p in parts])
+    by_slice = Window.partitionBy(*keys).orderBy("slice")
     heads = ends.select(
         *keys, "head.*",
         *[F.lag(f"tail.{v}").over(by_slice).alias(n) for v, n in zip(values, names)],
@@ -198,11 +142,11 @@ def latest_rows(
 
     hot = crowds.groupBy(*keys).agg(F.max("group_rows").alias("crowd_rows"))
     newest = (
-        df.join(F.broadcast(hot), list(keys))  # at most MAX_HOT rows, as is its grouping
+        df.join(hot, list(keys))
         .groupBy(*keys)
         .agg(F.max(at).alias("hot_newest"), F.max("crowd_rows").alias("crowd_rows"))
     )
-    marked = df.join(F.broadcast(newest), list(keys), "left").where(
+    marked = df.join(newest, list(keys), "left").where(
         F.col("hot_newest").isNull() | (F.col(at) == F.col("hot_newest"))
     )
     spread = F.coalesce(

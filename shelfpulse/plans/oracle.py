@@ -447,14 +447,15 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY run_id, merchant ORDER BY rate,
         TALLY, base="ev obs",
     ),
     "not_ok_by_field": sql(
-        "SELECT field, CAST(SUM(count) AS BIGINT) AS n FROM outcomes WHERE status <> 'ok' GROUP BY field",
+        """SELECT *, CAST(ROW_NUMBER() OVER (ORDER BY n DESC, field) AS INT) AS place
+FROM (SELECT field, CAST(SUM(count) AS BIGINT) AS n FROM outcomes WHERE status <> 'ok' GROUP BY field) f""",
         TALLY, base="ev obs",
     ),
     "regrade_outcomes": sql("SELECT * FROM regraded", REGRADED, base="ev obs evruns oldout"),
     "regrade_stored": sql("SELECT * FROM regraded", REGRADED, base="ev obs evruns oldout"),
     "regrade_delta": sql(
         """SELECT field, CAST(SUM(b) AS BIGINT) AS not_ok_before, CAST(SUM(a) AS BIGINT) AS not_ok_after,
-  CAST(SUM(a) - SUM(b) AS BIGINT) AS delta FROM (
+  CAST(SUM(a) - SUM(b) AS BIGINT) AS delta, CAST(ROW_NUMBER() OVER (ORDER BY field) AS INT) AS place FROM (
   SELECT field, count AS b, 0 AS a FROM oldout WHERE status <> 'ok'
   UNION ALL SELECT field, 0, count FROM regraded WHERE status <> 'ok') u GROUP BY field""",
         REGRADED, base="ev obs evruns oldout",
@@ -472,8 +473,11 @@ UNION ALL SELECT 'field_outcomes', 'status', status, COUNT(*) FROM oldout
   WHERE status NOT IN ('ok', 'missing', 'invalid') GROUP BY status
 UNION ALL SELECT 'field_outcomes', 'run', CAST(run_id AS STRING), COUNT(*) FROM oldout
   WHERE run_id NOT IN (SELECT id FROM evruns WHERE ok = 1) GROUP BY run_id
-UNION ALL SELECT 'observations', 'run', CAST(run_id AS STRING), COUNT(*) FROM obs
-  WHERE run_id NOT IN (SELECT id FROM evruns WHERE ok = 1) GROUP BY run_id""",
+UNION ALL SELECT 'observations', 'run', CAST(run_id AS STRING), COUNT(*) FROM read_twice
+  WHERE run_id NOT IN (SELECT id FROM evruns WHERE ok = 1) GROUP BY run_id
+UNION ALL SELECT 'observations', 'unique', concat_ws('|', run_id, id), COUNT(*) FROM read_twice GROUP BY run_id, id HAVING COUNT(*) > 1
+UNION ALL SELECT 'observations', 'required', 'variant_ext_id', COUNT(*) FROM read_twice WHERE id % 500 = 0 HAVING COUNT(*) > 0""",
+        "read_twice AS (SELECT * FROM obs UNION ALL SELECT * FROM obs WHERE id % 700 = 0)",
         base="ev obs evruns oldout",
     ),
     "run_reliability": sql(RELIABLE.format(where=""), base="runs"),

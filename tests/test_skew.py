@@ -67,13 +67,27 @@ def test_history_with_hot_variant(spark, seed, max_rows):
 @pytest.mark.parametrize("max_rows", [10, 50])
 def test_hot_variant_is_really_split(spark, max_rows):
     df, _ = readings(spark, 5)
-    slices = skew.series_slices(df, changes.SERIES_KEY, "observed_at", "id", max_rows)
-    parts = slices.attach(df, "inner").groupBy(*changes.SERIES_KEY, *slices.COLUMNS).count()
+    order = ("observed_at", "id")
+    cuts = skew.cut_points(df, changes.SERIES_KEY, order, max_rows)
+    parts = skew.sliced(df, cuts, changes.SERIES_KEY, order, "inner").groupBy(*changes.SERIES_KEY, "slice").count()
     largest = parts.agg(F.max("count")).first()[0]
     whole = df.groupBy(*changes.SERIES_KEY).count().agg(F.max("count")).first()[0]
     assert whole > 500 and largest <= 4 * max_rows
 
 
+@pytest.mark.parametrize("spread", [1, 60])
+def test_rows_clustered_in_time_are_split(spark, spread):
+    """All but one of a key's rows within a minute, or at one moment, decades after the first."""
+    rows = spark.range(60_000).select(
+        "id", F.lit("m").alias("merchant"), F.lit("v").alias("variant_ext_id"),
+        F.when(F.col("id") == 0, F.lit(0)).otherwise(10**15 + F.col("id") % (spread * 1_000)).alias("micros"),
+    ).select("*", F.timestamp_micros("micros").alias("observed_at"))
+    order = ("observed_at", "id")
+    cuts = skew.cut_points(rows, changes.SERIES_KEY, order, 600)
+    parts = skew.sliced(rows, cuts, changes.SERIES_KEY, order).groupBy("slice").count().collect()
+    assert max(r["count"] for r in parts) <= 4 * 600 and len(parts) > 60
+
+
 @pytest.mark.parametrize("max_rows", [5, 40, 10_000])
 def test_latest_with_hot_ties(spark, max_rows):
     df, rows = readings(spark, 6)
@@ -115,5 +129,9 @@ def test_documents_in_parts(spark, max_variants):
     )
     assert flat.exceptAll(expected).isEmpty() and expected.exceptAll(flat).isEmpty()
     assert docs.where(F.size("variants") == 0).isEmpty()
+    assert docs.agg(F.max(F.size("variants"))).first()[0] <= 2 * max_variants
+    for product in docs.groupBy("m", "p").agg(F.sort_array(F.collect_list(F.struct("part", "variants"))).alias("d")).collect():
+        ends = [(e.variants[0].vt, e.variants[-1].vt) for e in product.d]
+        assert len({e.part for e in product.d}) == len(product.d) and all(v for v in ends)
     parts = docs.groupBy("m", "p").count().agg(F.max("count")).first()[0]
     assert (parts == 1) == (max_variants == 1000)
