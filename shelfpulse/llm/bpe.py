@@ -38,7 +38,7 @@ VOCABULARY = "byte_bpe_50k.json"
 # Fixed value: the pre-split pattern of the byte-level format.
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Words and transitions that a worker remembers; beyond that it starts afresh (results do not change).
-WORDS, TRANSITIONS = 700_000, 1_000_000
+WORDS, TRANSITIONS = 400_000, 1_000_000
 NEVER = 1 << 60
 
 
