@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from shelfpulse.operators import changes
+from shelfpulse.session import numbered
 from shelfpulse.sources import store
 from shelfpulse.streaming import changes as stream
 
@@ -56,3 +57,31 @@ def test_old_last_readings_are_forgotten(spark, tables, tmp_path):
     assert {e[:4] for e in events(changes.history(kept[1].unionByName(kept[2])))} <= found
     assert found <= {e[:4] for e in events(expected)}
     assert spark.read.parquet(f"{tmp_path}/out/last/epoch=2").where("dayofmonth(observed_at) = 1").isEmpty()
+
+
+def test_a_batch_renews_only_the_buckets_it_touches(spark, tables, tmp_path):
+    path, detected, ck = (f"{tmp_path}/{name}" for name in ("observations", "detected", "checkpoint"))
+    obs, day = tables.obs(), F.dayofmonth("observed_at")
+    store.append_observations(obs.where(day <= 20), path, "0")
+    stream.start_changes(spark, path, detected, ck).awaitTermination()
+    one = obs.where((day > 20) & (F.col("variant_ext_id") == "7") & (F.col("merchant") == "click"))
+    store.append_observations(one, path, "1")
+    stream.start_changes(spark, path, detected, ck).awaitTermination()
+    assert len(numbered(spark, f"{detected}/last/epoch=0", "bucket")) > 10
+    assert len(numbered(spark, f"{detected}/last/epoch=1", "bucket")) == (0 if one.isEmpty() else 1)
+    whole = changes.history(obs.where(day <= 20).unionByName(one))
+    assert events(stream.read_changes(spark, detected)) == events(whole)
+
+
+def test_days_are_stored_in_few_files_and_compacted(spark, tables, tmp_path):
+    path, obs = f"{tmp_path}/observations", tables.obs()
+    days = obs.select(F.to_date("observed_at")).distinct().count()
+    store.append_observations(obs.where("id % 2 = 0").repartition(16), path, "0")
+    assert len(store.read_observations(spark, path).inputFiles()) <= 2 * days
+    store.append_observations(obs.where("id % 2 = 1").repartition(16), path, "1")
+    day = obs.select(F.to_date("observed_at").cast("string")).first()[0]
+    before = store.read_observations(spark, path).where(F.col("obs_date") == day).count()
+    store.compact(spark, path, day)
+    after = store.read_observations(spark, path)
+    assert after.where(F.col("obs_date") == day).count() == before and after.count() == obs.count()
+    assert after.where(F.col("obs_date") == day).select("batch").distinct().count() == 1
