@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shelfpulse.schemas import NAME_WIDTH
+from shelfpulse.schemas import ERROR_LENGTH, NAME_WIDTH
 
 # The characters that count as white space when text is trimmed.
 WHITESPACE = (
@@ -51,6 +51,10 @@ def display_name(title: Column, variant_title: Column, width: int = NAME_WIDTH)
     return F.left(named, F.lit(width))
 
 
+def shown_error(error: Column, width: int = ERROR_LENGTH) -> Column:
+    return F.left(error, F.lit(width))
+
+
 def stock_label(available: Column) -> Column:
     return (
         F.when(available.isNull(), "unknown").when(available, "in").otherwise("out")

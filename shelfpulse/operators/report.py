@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfpulse.functions.text import letter_label
+from shelfpulse.functions.text import letter_label, shown_error
 from shelfpulse.schemas import CYCLE_HOURS, UNLABELLED
 from shelfpulse.session import days_before, materialize
 
@@ -101,6 +101,11 @@ def snapshot_counts(observations: DataFrame) -> DataFrame:
     )
 
 
+def failures(runs: DataFrame) -> DataFrame:
+    """Failed runs as a text report shows them; the stored error is whole."""
+    return runs.where("ok = 0").select("id", "merchant", "http_status", shown_error(F.col("error")).alias("error"))
+
+
 def freshness(runs: DataFrame) -> DataFrame:
     """Start of the last successful run: never the time of publishing, null if none."""
     return runs.agg(F.max(F.when(F.col("ok") == 1, F.col("started_at"))).alias("collected_at"))

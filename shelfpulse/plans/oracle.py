@@ -555,6 +555,9 @@ UNION ALL SELECT 'snapshots', merchant, to_json(struct_pack(merchant := merchant
   last_page, truncated FROM run_rows""",
         SHOP, base="registry",
     ),
+    "run_failures": sql(
+        "SELECT id, merchant, http_status, left(error, 300) AS error FROM run_rows WHERE ok = 0", SHOP, base="registry"
+    ),
     "feed_decode": sql("SELECT * FROM decoded", SHOP, base="registry"),
     "feed_grades": sql(
         f"""SELECT run_id, merchant, field, status, COUNT(*) AS count FROM ({unfolded('feed_grades')}) u

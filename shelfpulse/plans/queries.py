@@ -444,6 +444,11 @@ def run_accounting(t: Tables) -> DataFrame:
     return _accounted(t)[1].drop("currency", "copied")
 
 
+@query
+def run_failures(t: Tables) -> DataFrame:
+    return report.failures(_accounted(t)[1])
+
+
 @query
 def feed_decode(t: Tables) -> DataFrame:
     return _decoded(t).drop("id")

@@ -124,3 +124,8 @@ def test_names_and_labels(spark):
     ]
     flags = spark.createDataFrame([(None,), (True,), (False,)], "a boolean")
     assert [r[0] for r in flags.select(text.stock_label(F.col("a"))).collect()] == ["unknown", "in", "out"]
+
+
+def test_shown_error_is_cut(spark):
+    row = spark.range(1).select(text.shown_error(F.repeat(F.lit("é"), F.lit(400))).alias("long"), text.shown_error(F.lit("x")).alias("short")).first()
+    assert (len(row.long), row.short) == (300, "x")
