@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shelfpulse.session import delete_folder, folder_exists, new_folder
 
 __all__ = ["delete_folder", "folder_exists", "materialize", "new_folder", "table", "crc_mod",
-           "ship", "shipped", "slices", "mix", "prefix_sums", "span_hash", "exact_size"]
+           "ship", "shipped", "slices", "mix", "prefix_sums", "span_hash"]
 
 
 _shipped: set[str] = set()
@@ -138,9 +138,3 @@ def span_hash(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarr
     """A hash of the values from start to stop that does not depend on where they stand."""
     up = powers(len(sums))[0]
     return mix((sums[stop] - sums[start]) * up[start] + (stop - start).astype(np.uint64))
-
-
-def exact_size(frame: DataFrame, columns: list[str], limit: int) -> int:
-    """Bytes of the given text columns, counted over all rows; `limit` is only compared by callers."""
-    total = sum((F.coalesce(F.octet_length(name), F.lit(0)) for name in columns), F.lit(0))
-    return int(frame.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0])
