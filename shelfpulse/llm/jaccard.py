@@ -156,6 +156,15 @@ def _split(big: DataFrame, tokens: DataFrame) -> DataFrame:
     return big.join(tokens, "key").select("path", "key", "tokens").mapInArrow(run, "path long, key binary")
 
 
+def _largest_first(members: DataFrame) -> DataFrame:
+    """Paths numbered anew so that larger buckets come first: most sets of a group then share their first one.
+
+    Two small buckets of one size may get one number; they are then compared as one."""
+    most = 1 << 23
+    size = F.shiftleft(most - F.least(F.col("c"), F.lit(most - 1)), 40)
+    return members.withColumn("path", size.bitwiseOR(F.col("path").bitwiseAND(F.lit((1 << 40) - 1))))
+
+
 def _uncovered(members: DataFrame) -> DataFrame:
     """Without the buckets whose members all meet in another one; `home` is the first bucket of each set."""
     home = members.groupBy("key").agg(F.min("path").alias("home"), F.sort_array(F.collect_set("path")).alias("met"))
@@ -341,7 +350,7 @@ def join(documents: DataFrame, share: float = SIMILAR) -> DataFrame:
         members = materialize(_crowded(_split(big, tokens).distinct()), f"members-{depth}", folder)
         small = small.unionByName(materialize(_sketched(members.where(F.col("c") <= BUCKET), classes, share), f"small-{depth}", folder))
     final = _crowded(small.unionByName(members.where(F.col("c") > BUCKET).select("path", "key")))
-    groups = _in_blocks(materialize(_uncovered(final), "buckets", folder))
+    groups = _in_blocks(materialize(_uncovered(_largest_first(final)), "buckets", folder))
     found = materialize(_links(groups.join(tokens, "key"), share), "links", folder)
     links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
     joined = components(found.select(F.col("key").alias("u"), F.col("root").alias("v")), folder)
