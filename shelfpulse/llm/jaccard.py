@@ -3,15 +3,17 @@
 Texts are sets of five-word shingles (see shingles.py). Equal sets are one class with its members; only
 classes are joined. In each of `RUNS` runs a set goes to the buckets of the shingles it samples: those whose hash
 with the path so far lies below RATE / size, so two similar sets sample some shared shingle together. A bucket of more
-than `BUCKET` sets is split again by shingles sampled with its path, up to `DEPTH` times; small ones are compared
-by brute force, first by sketches of 256 one-bit
+than `BUCKET` sets is split again by shingles sampled with its path, up to `DEPTH` times; of paths with the same
+members, of whichever runs, one is kept and samples as much as all of them would, so a split loses no run's share. Small
+buckets are compared by brute force, first by sketches of 256 one-bit
 minima that rule out pairs far below the threshold, then by the sets themselves. What is still large then (near copies of one text, which no shingle separates) is compared
 in blocks, every pair of blocks in its own task, so no bucket is cut off. Buckets with the same members, and buckets
 whose members have all met in another one, are compared once. A pair is counted in the first bucket that it shares.
 
 Of a pair at similarity 0.8 the worst case (one set holds the other) shares 1.2 samples a level on average: a run
 misses it with chance 0.30 at the first level and 0.51 at the third, all ten with less than 0.0012; of sets of equal
-size at 0.85, less than 0.0004. Similarities are exact on the shingles' 64-bit hashes.
+size at 0.85, less than 0.0004. Near copies that differ in one place share their paths, so a crowded group of them is
+found or missed as one, with that chance at most. Similarities are exact on the shingles' 64-bit hashes.
 
 Texts without words form one class without links. Null text counts as empty. Rows with the same id and text each
 get a row; null ids are kept. An empty table gives an empty result. Other columns are ignored.
@@ -114,12 +116,13 @@ def _seen() -> F.Column:
 
 
 def _crowded(rows: DataFrame) -> DataFrame:
-    """Rows (path, key) of the paths with at least two sets, one path for each set of members, with its size c."""
+    """Rows (path, key) of the paths with at least two sets, one path for each set of members, with its size c and the
+    number m of the paths it stands for."""
     paths = rows.groupBy("path").agg(
         F.count("*").alias("c"), F.bit_xor(F.xxhash64("key")).alias("a"),
         F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("b")).where("c > 1")
-    once = paths.groupBy("c", "a", "b").agg(F.min("path").alias("path")).select("path", "c")
-    return rows.join(once, "path").select("path", "key", "c")
+    once = paths.groupBy("c", "a", "b").agg(F.min("path").alias("path"), F.count("*").alias("m")).select("path", "c", "m")
+    return rows.join(once, "path").select("path", "key", "c", "m")
 
 
 def _tokens(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -141,19 +144,21 @@ def _tokens(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _split(big: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The children of crowded paths: (path, key) for each shingle a set samples under its path."""
+    """The children of crowded paths: (path, key) for each shingle a set samples under its path, at the rate of the m
+    paths it stands for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "tokens"):
             sets = [np.frombuffer(t, np.uint64) for t in batch.column("tokens").to_pylist()]
             sizes = np.array([len(s) for s in sets], np.int64)
             seed = batch.column("path").to_numpy().view(np.uint64)
+            rate = RATE * batch.column("m").to_numpy() / sizes
             chosen, path = _sampled(np.concatenate([*sets, np.zeros(0, np.uint64)]), np.repeat(seed, sizes),
-                                    np.repeat(RATE / sizes, sizes))
+                                    np.repeat(rate, sizes))
             owner = np.repeat(np.arange(len(sets)), sizes)[chosen]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(path.view(np.int64)), batch.column("key").take(pa.array(owner))], names=["path", "key"])
 
-    return big.join(tokens, "key").select("path", "key", "tokens").mapInArrow(run, "path long, key binary")
+    return big.join(tokens, "key").select("path", "key", "m", "tokens").mapInArrow(run, "path long, key binary")
 
 
 def _largest_first(members: DataFrame) -> DataFrame:
@@ -346,10 +351,10 @@ def join(documents: DataFrame, share: float = SIMILAR) -> DataFrame:
     depth = 1
     while depth < DEPTH and not members.where(F.col("c") > BUCKET).isEmpty():
         depth += 1
-        big = members.where(F.col("c") > BUCKET).select("path", "key")
+        big = members.where(F.col("c") > BUCKET).select("path", "key", "m")
         members = materialize(_crowded(_split(big, tokens).distinct()), f"members-{depth}", folder)
         small = small.unionByName(materialize(_sketched(members.where(F.col("c") <= BUCKET), classes, share), f"small-{depth}", folder))
-    final = _crowded(small.unionByName(members.where(F.col("c") > BUCKET).select("path", "key")))
+    final = _crowded(small.unionByName(members.where(F.col("c") > BUCKET).select("path", "key"))).drop("m")
     groups = _in_blocks(materialize(_uncovered(_largest_first(final)), "buckets", folder))
     found = materialize(_links(groups.join(tokens, "key"), share), "links", folder)
     links = found.groupBy("key").agg(F.sum("links").alias("n_links"))

@@ -287,6 +287,17 @@ def test_jaccard_of_large_groups(spark, monkeypatch, bucket):
     assert all(got[i][3] <= want[i][3] for i in got)
 
 
+def test_jaccard_of_crowded_templates(spark):
+    texts, copies = [], jaccard.BUCKET + 30
+    for seed in range(8):  # each a group of more than BUCKET texts that differ in one fixed place
+        rng = random.Random(seed)
+        words = ["w%d" % rng.randrange(10**6) for _ in range(60)]
+        texts += [" ".join([*words[:30], f"n{n}", *words[30:]]) for n in range(copies)]
+    rows = jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["class_id"], r["n_links"]) for r in rows} == {
+        n: (n - n % copies, copies - 1) for n in range(len(texts))}
+
+
 def test_items_in_blocks(spark, monkeypatch):
     documents, items = table(spark, SMALL, "documents"), table(spark, SMALL, "benchmark")
     whole = sorted(map(tuple, decontamination.contained(documents, items).collect()))
