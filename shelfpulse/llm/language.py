@@ -3,7 +3,7 @@
 The network reads the UTF-8 bytes of a text in windows of `WINDOW` bytes, forwards and backwards, and
 gives every position a distribution over the learned languages. A document's probabilities are the mean over
 all its positions. It is trained here in numpy by backpropagation through time, on a bounded sample: of each
-language `SAMPLE_TEXTS` texts, taken by a hash of the text, and of each `SAMPLE_WINDOWS` windows spread over
+language `SAMPLE_TEXTS` different texts, those of the smallest hashes, and of each `SAMPLE_WINDOWS` windows spread over
 its whole length. Everything else covers all rows and whole texts.
 
 Null texts and texts without a letter are `und` with score 0. Without any labelled row every text is `und`.
@@ -217,24 +217,26 @@ def pooled(net: Network, texts: list[bytes]) -> np.ndarray:
 
 
 def training_windows(documents: DataFrame) -> tuple[list[bytes], list[str]]:
-    """A bounded sample of labelled windows: all labelled rows are counted, a hash of the text picks.
+    """A bounded sample of labelled windows, from the texts of the smallest hashes of each language.
 
-    A language with at most `SAMPLE_TEXTS` texts gives all of them."""
+    Copies of a text count as one. A language with at most `SAMPLE_TEXTS` different texts gives all of them."""
     labelled = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") > 0))
-    counts = labelled.groupBy("lang").count().orderBy("lang").take(MOST_LANGUAGES + 1)
+    seen = F.xxhash64("text", F.lit(SEED)).alias("seen")
+    counts = labelled.select("lang", seen).distinct().groupBy("lang").count().orderBy("lang").take(MOST_LANGUAGES + 1)
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not counts:
         return [], []
     shares = F.create_map(*(F.lit(x) for row in counts for x in (row["lang"], min(1.0, 1.5 * SAMPLE_TEXTS / row["count"]))))
-    drawn = F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(1 << 40)).alias("drawn")
+    drawn = F.pmod(seen, F.lit(1 << 40)).alias("drawn")
     data = F.col("text").cast("binary")
     spread = F.greatest(F.octet_length("text") - WINDOW, F.lit(0))
     cuts = F.array(*(
         F.substring(data, F.floor(spread * n / max(1, SAMPLE_WINDOWS - 1)).cast("int") + 1, F.lit(WINDOW))
         for n in range(SAMPLE_WINDOWS)))
-    rows = labelled.select("lang", drawn, cuts.alias("cuts")).where(
-        F.col("drawn") < shares[F.col("lang")] * (1 << 40)).collect()
+    rows = labelled.select("lang", seen, drawn, cuts.alias("cuts")).where(
+        F.col("drawn") < shares[F.col("lang")] * (1 << 40)).groupBy("lang", "seen", "drawn").agg(
+            F.min("cuts").alias("cuts")).collect()
     taken: dict[str, int] = {}
     windows, labels = [], []
     for row in sorted(rows, key=lambda r: (r["drawn"], r["lang"], [bytes(c) for c in r["cuts"]])):

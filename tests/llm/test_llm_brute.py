@@ -352,6 +352,14 @@ def test_language_held_out(spark):
     assert np.mean([r["lang_pred"] == r["lang"] for r in held]) > 0.97
 
 
+def test_language_sample_of_copies(spark):
+    few = spark.range(6000).selectExpr("concat('rare text ', id % 3) text", "'aa' lang")
+    hot = spark.range(6000).selectExpr("if(id < 5000, 'hot text', concat('text ', id)) text", "'bb' lang")
+    windows, labels = language.training_windows(few.union(hot))
+    assert sorted(w for w, x in zip(windows, labels) if x == "aa") == [b"rare text 0", b"rare text 1", b"rare text 2"]
+    assert len(set(windows)) == len(windows) == 3 + language.SAMPLE_TEXTS
+
+
 # the pipeline, stage by stage
 
 def test_pipeline_stages_against_brute_force(spark, tmp_path):
