@@ -275,7 +275,12 @@ def search(index: DataFrame, queries: DataFrame, nearest: int) -> DataFrame:
                     [pa.array(asked), pa.array(best, pa.list_(pa.struct([("low", pa.float64()), ("vec_id", pa.int64())])))],
                     names=["query_id", "best"])
 
-    pairs = index.join(blocks, "dim").repartition("shard", "block")
+    # A key for every pair of shard and block, so that none holds more of the index than one shard.
+    shards = {row["dim"]: row["n"] for row in index.groupBy("dim").agg((F.max("shard") + 1).alias("n")).collect()}
+    most = F.create_map(*(F.lit(x) for pair in (shards or {0: 1}).items() for x in pair))
+    met = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), count[F.col("dim")].cast("long") - 1)))
+    asking = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), most[F.col("dim")].cast("long") - 1)))
+    pairs = met.join(asking.hint("merge"), ["dim", "shard", "block"])
     found = pairs.mapInArrow(run, "query_id long, best array<struct<low:double,vec_id:long>>")
     merged = found.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, nearest).alias("best"))
     return merged.select("query_id", F.posexplode("best").alias("place", "hit")).select(

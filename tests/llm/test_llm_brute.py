@@ -162,6 +162,21 @@ def test_neighbours_of_many_copies_and_lengths(spark, monkeypatch):
     assert hit / 600 >= 0.97
 
 
+def test_neighbours_meet_by_shard_and_block(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD", 50)
+    monkeypatch.setattr(neighbours, "BLOCK", 7)
+    rng = np.random.default_rng(3)
+    frame = spark.createDataFrame(
+        [(n, rng.normal(size=4 + n % 2).tolist()) for n in range(400)], "vec_id long, embedding array<double>")
+    rows = neighbours.usable(frame, "vec_id", "embedding")
+    index = neighbours.materialize(neighbours.build_index(rows, 5), "index")
+    found = neighbours.search(index, rows.where("vec_id < 60"), 5)
+    joins = [line for line in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join " in line]
+    assert len(joins) == 1 and all(joins[0].count(name) == 2 for name in ("dim#", "shard#", "block#"))
+    assert found.count() == 300
+    assert neighbours.search(index, rows.where("vec_id < 0"), 5).count() == 0
+
+
 # secrets
 
 def test_secrets_against_plain_scan(spark, tmp_path):
