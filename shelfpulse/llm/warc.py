@@ -41,17 +41,23 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def reversed_key(url: str | None) -> str:
-    """com,example,www)/path?query of a url; what is no url with a host follows a lone parenthesis."""
+    """com,example,www)/path?query of a url; what is no url with a host follows a lone parenthesis.
+
+    Line breaks and tabs are percent-encoded in both."""
     try:
         parts = urlsplit((url or "").strip())
         host, port = (parts.hostname or "").rstrip("."), parts.port
     except ValueError:
         host, port, parts = "", None, None
     if not host:
-        return f"){url}" if url else ""
+        return ")" + _on_one_line(url) if url else ""
     place = "" if port in (None, {"http": 80, "https": 443}.get(parts.scheme)) else f":{port}"
     tail = (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
-    return ",".join(reversed(host.split("."))) + place + ")" + tail.replace("\n", "%0A").replace("\r", "%0D").replace("\t", "%09")
+    return ",".join(reversed(host.split("."))) + place + ")" + _on_one_line(tail)
+
+
+def _on_one_line(text: str) -> str:
+    return text.replace("\n", "%0A").replace("\r", "%0D").replace("\t", "%09")
 
 
 def digest_of(payload: bytes) -> str:

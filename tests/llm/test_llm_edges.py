@@ -144,6 +144,15 @@ def test_warc(spark):
     assert warc.read_archive(*warc.archive(empty(pages))).count() == 0
 
 
+def test_warc_line_breaks_without_a_host(spark):
+    urls = ["no\nhost", "no\r\n\thost", "\n"]
+    pages = spark.createDataFrame([(n, url, f"text {n}") for n, url in enumerate(urls)], "page_id long, url string, html string")
+    directory, folder = warc.archive(pages)
+    assert sorted(r["page_id"] for r in warc.read_archive(directory, folder).collect()) == [0, 1, 2]
+    assert sorted((r["url"], r["page_id"]) for r in warc.look_up(pages, directory, folder).collect()) == sorted(
+        (url, n) for n, url in enumerate(urls))
+
+
 def test_jaccard(documents):
     rows = jaccard.join(documents).collect()
     assert ids(jaccard.join(documents)) == ALL
