@@ -4,7 +4,7 @@ Each task writes one archive of records that are gzip members of their own, so a
 Of equal payloads only one is stored; the other records are revisits that name it. The index lines are sorted by
 reversed-host URL key over all tasks, equal keys by page id, and written in compressed blocks; a sparse directory has one row per block: its
 first and last key, file and range. A lookup binary-searches the index files, then a file's blocks, then
-reads one block and the records it names by range.
+reads each block once for all its keys and the records they name by range.
 
 Archives and index files go to the shared folder through pyarrow's file systems, named by task attempt; the rows that name
 them are committed by Spark, so a lost or repeated task leaves at most files that nothing refers to.
@@ -21,6 +21,7 @@ import hashlib
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import groupby
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -245,35 +246,76 @@ def read_archive(directory: DataFrame, folder: str) -> DataFrame:
     return directory.select("file", "start", "size").repartition(F.col("file"), F.col("start")).mapInArrow(run, ROWS)
 
 
-def look_up(urls: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
-    """url and the rows of all records captured under its key, for each row of `urls` (column url) with any."""
+def find(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
+    """key and the rows of all records captured under it, for the different keys (column key) with any.
+
+    A file's blocks are held once per task, and each block is read once for all keys that fall in it."""
     ends = directory.groupBy("file").agg(F.min("first").alias("first"), F.max("last").alias("last")).orderBy("first", "last").collect()
     files, firsts, lasts = ([row[name] for row in ends] for name in ("file", "first", "last"))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            asked = batch.column("url").to_pylist()
-            keys = [reversed_key(url) for url in asked]
-            hits = [(n, file) for n, key in enumerate(keys) for file in files[bisect_left(lasts, key): bisect_right(firsts, key)]]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([asked[n] for n, _ in hits], pa.string()), pa.array([keys[n] for n, _ in hits], pa.string()),
-                pa.array([file for _, file in hits], pa.string())], names=["url", "key", "file"])
+            asked = batch.column("key").to_pylist()
+            hits = [(key, file) for key in asked for file in files[bisect_left(lasts, key): bisect_right(firsts, key)]]
+            yield pa.RecordBatch.from_arrays([pa.array([file for _, file in hits], pa.string()),
+                                              pa.array([key for key, _ in hits], pa.string())], names=["file", "key"])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, blocks, lows, highs = None, [], [], []
+        for batch in batches:  # of each file its blocks in order, then the keys
+            out: tuple[list, ...] = ([], [], [], [])
+            for row in batch.to_pylist():
+                if row["file"] != file:
+                    file, blocks, lows, highs = row["file"], [], [], []
+                if row["size"] is not None:
+                    blocks.append((row["start"], row["size"]))
+                    lows.append(row["key"])
+                    highs.append(row["last"])
+                    continue
+                for start, size in blocks[bisect_left(highs, row["key"]): bisect_right(lows, row["key"])]:
+                    for column, value in zip(out, (file, start, size, row["key"]), strict=True):
+                        column.append(value)
+            kinds = pa.string(), pa.int64(), pa.int64(), pa.string()
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)],
+                                             names=["file", "start", "size", "key"])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, lines, names = None, [], []
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                blocks = row["blocks"]
-                part = slice(bisect_left(blocks, row["key"], key=lambda b: b["last"]), bisect_right(blocks, row["key"], key=lambda b: b["first"]))
-                for found in blocks[part]:
-                    lines = read_block(folder, row["file"], found["start"], found["size"])
-                    low, high = (f(lines, row["key"], key=lambda line: line[0]) for f in (bisect_left, bisect_right))
-                    out += [{"url": row["url"], **page_row(r)} for r in read_records(folder, [line[1:] for line in lines[low:high]])]
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("url", pa.string()), *_ARROW]))
+            for (file, start, size), rows in groupby(batch.to_pylist(), key=lambda r: (r["file"], r["start"], r["size"])):
+                if (file, start) != held:
+                    held, lines = (file, start), read_block(folder, file, start, size)
+                    names = [line[0] for line in lines]
+                found: dict[tuple[str, int, int], str] = {}
+                for key in (row["key"] for row in rows):
+                    found |= {line[1:]: key for line in lines[bisect_left(names, key): bisect_right(names, key)]}
+                places = sorted(found)
+                out = [{"key": found[spot], **page_row(record)} for spot, record in zip(places, read_records(folder, places), strict=True)]
+                yield pa.RecordBatch.from_pylist(out, pa.schema([("key", pa.string()), *_ARROW]))
+
+    routed = keys.select("key").distinct().mapInArrow(route, "file string, key string")
+    blocks = directory.select("file", F.col("first").alias("key"), "last", "start", "size")
+    both = blocks.unionByName(routed, allowMissingColumns=True).repartition("file")
+    placed = both.sortWithinPartitions("file", F.col("size").isNull(), "key", "start").mapInArrow(
+        place, "file string, start long, size long, key string")
+    return placed.repartition("file", "start").sortWithinPartitions("file", "start", "key").mapInArrow(read, f"key string, {ROWS}")
+
+
+def keyed(urls: DataFrame) -> DataFrame:
+    """url and its key."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            url = batch.column("url")
+            yield pa.RecordBatch.from_arrays(
+                [url, pa.array([reversed_key(x) for x in url.to_pylist()], pa.string())], names=["url", "key"])
+
+    return urls.select("url").mapInArrow(run, "url string, key string")
 
-    blocks = directory.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("first", "last", "start", "size"))).alias("blocks"))
-    routed = urls.select("url").mapInArrow(route, "url string, key string, file string")
-    return routed.join(blocks, "file").mapInArrow(read, f"url string, {ROWS}")
+
+def look_up(urls: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
+    """url and the rows of all records captured under its key, for each row of `urls` (column url) with any."""
+    asked = keyed(urls)
+    return asked.join(find(asked, directory, folder), "key").drop("key")
 
 
 def archive(pages: DataFrame, least: int = 0) -> tuple[DataFrame, str]:
@@ -284,5 +326,6 @@ def archive(pages: DataFrame, least: int = 0) -> tuple[DataFrame, str]:
 
 
 def op8_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page written to an archive and read back through the index."""
-    return read_archive(*archive(table(spark, sf_dir, "pages")))
+    """Every page written to an archive and found again by looking up the keys of all urls."""
+    pages = table(spark, sf_dir, "pages")
+    return find(keyed(pages), *archive(pages)).drop("key")

@@ -144,6 +144,19 @@ def test_warc(spark):
     assert warc.read_archive(*warc.archive(empty(pages))).count() == 0
 
 
+def test_warc_query_looks_up_each_block_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "BLOCK_LINES", 7)
+    monkeypatch.setattr(warc, "read_archive", None)  # the query searches, it does not read in turn
+    pages = spark.createDataFrame(
+        [(n, f"http://h{n % 40}.example/", f"text {n % 90}") for n in range(300)], "page_id long, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    assert sorted(r["page_id"] for r in warc.op8_warc_index(spark, str(tmp_path)).collect()) == list(range(300))
+    directory, folder = warc.archive(pages)
+    asked = spark.createDataFrame([("http://h3.example/",), ("http://h3.example/",), ("http://h39.example/",)], "url string")
+    hits = sorted((r["url"], r["page_id"]) for r in warc.look_up(asked, directory, folder).collect())
+    assert hits == sorted([("http://h3.example/", n) for n in range(3, 300, 40)] * 2 + [("http://h39.example/", n) for n in range(39, 300, 40)])
+
+
 def test_warc_line_breaks_without_a_host(spark):
     urls = ["no\nhost", "no\r\n\thost", "\n"]
     pages = spark.createDataFrame([(n, url, f"text {n}") for n, url in enumerate(urls)], "page_id long, url string, html string")
