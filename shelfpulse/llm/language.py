@@ -6,6 +6,7 @@ all its positions. It is trained here in numpy by backpropagation through time,
 language `SAMPLE_TEXTS` different texts, those of the smallest hashes, and of each `SAMPLE_WINDOWS` windows spread over
 its whole length. Everything else covers all rows and whole texts.
 
+`accepted` rejects texts whose score is little more than the chance among the learned languages (`least_score`).
 Null texts and texts without a letter are `und` with score 0. Without any labelled row every text is `und`.
 Repeated rows each give a row; an empty table gives an empty result; other columns are ignored.
 """
@@ -30,8 +31,15 @@ SAMPLE_TEXTS, SAMPLE_WINDOWS = 400, 6
 STEPS, LANES, RATE, SEED = 260, 192, 0.02, 7
 MOST_LANGUAGES = 1_000
 PAD = 256
-# Texts below it are rejected as no text of a learned language: little more than the chance of one in four.
-LEAST_SCORE = 0.35
+
+
+def least_score(languages: int) -> float:
+    """The score under which a text is rejected as no text of one of so many learned languages.
+
+    Little more than chance: 1.4 times one in `languages`, and at most 2/15 of the way from there to certainty (0.57 of
+    two languages, 0.35 of four, 0.014 of a hundred). Of a single language nothing with a letter can be told apart."""
+    chance = 1 / max(1, languages)
+    return min(1.4 * chance, chance + (1 - chance) * 2 / 15) if languages > 1 else 0.0
 
 
 @dataclass
@@ -281,8 +289,11 @@ def identify(documents: DataFrame, net: Network | None, text: str = "text", keep
     return picked.mapInArrow(run, schema)
 
 
-def accepted(documents: DataFrame, net: Network | None, least: float = LEAST_SCORE, text: str = "text") -> DataFrame:
-    """The rows of `documents` whose language is known with a score of at least `least`, unchanged."""
+def accepted(documents: DataFrame, net: Network | None, least: float | None = None, text: str = "text") -> DataFrame:
+    """The rows of `documents` whose language is known with a score of at least `least` (None: `least_score` of the
+    learned languages), unchanged."""
+    if least is None:
+        least = least_score(len(net.languages) if net else 0)
     shared, known_languages = documents.sparkSession.sparkContext.broadcast(net), net is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -367,6 +367,18 @@ def test_language_held_out(spark):
     assert np.mean([r["lang_pred"] == r["lang"] for r in held]) > 0.97
 
 
+@pytest.mark.parametrize(("languages", "rejected"), [(1, False), (2, True), (4, True), (20, True)])
+def test_texts_are_rejected_near_chance(spark, languages, rejected):
+    net = language.initial(["l%d" % n for n in range(languages)])
+    net.out[:] = 0  # every score is the chance
+    frame = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    assert language.accepted(frame, net).count() == (0 if rejected else 1)
+    net.bias[0] = np.log(2 * max(1, languages - 1))  # two in three for the first
+    assert language.accepted(frame, net).count() == 1
+    net.bias[0] = np.log(2)  # twice the chance of any other
+    assert language.accepted(frame, net).count() == 1
+
+
 def test_language_sample_of_copies(spark):
     few = spark.range(6000).selectExpr("concat('rare text ', id % 3) text", "'aa' lang")
     hot = spark.range(6000).selectExpr("if(id < 5000, 'hot text', concat('text ', id)) text", "'bb' lang")
