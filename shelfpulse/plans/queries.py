@@ -394,11 +394,10 @@ def published_catalogue(t: Tables) -> DataFrame:
 
 @query
 def registry_json(t: Tables) -> DataFrame:
-    """The registry landed as JSON and read as a collector would."""
+    """The registry landed as JSON lines, from all partitions, and read as a collector would."""
     path = f"{new_folder(t.spark, 'registry')}/merchants"
-    rows = t.registry()  # one document, as it is kept: a list of merchants
-    document = rows.agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
-    document.write.mode("overwrite").text(path)
+    rows = t.registry()
+    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.mode("overwrite").text(path)
     return merchants.published(merchants.enabled(merchants.read_registry(t.spark, path)))
 
 

@@ -1,4 +1,4 @@
-"""The merchant registry: a hand-kept JSON list of flat objects."""
+"""The merchant registry: a hand-kept JSON list of flat objects, or a folder of JSON lines."""
 
 from __future__ import annotations
 
@@ -9,7 +9,10 @@ from shelfpulse.schemas import REGISTRY
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(REGISTRY).option("multiLine", True).json(path)
+    """The merchants at `path`: JSON lines, or documents of their own per file where a line begins a list."""
+    line = F.trim(F.regexp_replace("value", r"[\s\uFEFF]", " "))
+    whole = spark.read.text(path).where(line.startswith("[") | (line == "{"))
+    return spark.read.schema(REGISTRY).option("multiLine", not whole.isEmpty()).json(path)
 
 
 def enabled(registry: DataFrame, only: str | None = None) -> DataFrame:

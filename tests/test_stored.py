@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfpulse.operators import catalogue, changes, constraints, quality, report, retention
 from shelfpulse.schemas import CHANGES, OBSERVATIONS, RUNS
-from shelfpulse.sources import snapshot, store
+from shelfpulse.sources import registry, snapshot, store
 
 NOW = "2024-01-31 00:00:00"
 
@@ -133,6 +133,18 @@ def test_published_changes(spark, tmp_path):
         assert snapshot.read_published_changes(spark, folder).collect() == [row]
 
 
+def test_registry_of_many_lines_and_files(spark, tables, tmp_path):
+    rows, path = tables.registry(), str(tmp_path / "lines")
+    line = F.to_json(F.struct(*rows.columns)).alias("value")
+    rows.select(line).repartition(3).write.text(path)
+    want = sorted(map(str, rows.collect()))
+    assert sorted(map(str, registry.read_registry(spark, path).select(*rows.columns).collect())) == want
+    lines = [r.value for r in rows.select(line).collect()]
+    for n, text in enumerate(["[" + ",".join(lines) + "]", "[\n  " + ",\n  ".join(lines) + "\n]\n"]):
+        (tmp_path / f"{n}.json").write_text(text)
+        assert sorted(map(str, registry.read_registry(spark, str(tmp_path / f"{n}.json")).select(*rows.columns).collect())) == want
+
+
 def test_publish(spark, tables, tmp_path):
     folder, obs = str(tmp_path / "public"), tables.obs()
     runs = store.evolve(tables.evruns(), RUNS)
