@@ -336,18 +336,12 @@ def regrade_stored(t: Tables) -> DataFrame:
     return store.read_outcomes(t.spark, folder).drop(store.RUN_DAY)
 
 
-_PUBLISHED: dict[tuple[str, str], str] = {}
-
-
 def _published(t: Tables) -> str:
-    """A publication made twice over the same readings, once for all queries that read it back."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _PUBLISHED:
-        folder, runs, tallied = new_folder(t.spark, "public"), store.evolve(t.evruns(), RUNS), quality.tally(t.obs())
-        for _ in range(2):
-            snapshot.publish(folder, t.registry(), runs, tallied, t.obs())
-        _PUBLISHED[key] = folder
-    return snapshot.current(t.spark, _PUBLISHED[key])
+    """A publication made twice over the same readings, anew for each query that reads it back."""
+    folder, runs, tallied = new_folder(t.spark, "public"), store.evolve(t.evruns(), RUNS), quality.tally(t.obs())
+    for _ in range(2):
+        snapshot.publish(folder, t.registry(), runs, tallied, t.obs())
+    return snapshot.current(t.spark, folder)
 
 
 def _read_back(t: Tables, section: str, like: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfpulse.operators import catalogue, changes, constraints, quality, report, retention
+from shelfpulse.plans import queries
 from shelfpulse.schemas import CHANGES, OBSERVATIONS, RUNS
 from shelfpulse.sources import registry, snapshot, store
 
@@ -160,6 +161,14 @@ def test_publish(spark, tables, tmp_path):
     assert products.select(F.explode("variants")).count() == totals.variants
 
 
+def test_every_query_publishes_anew(tables, monkeypatch):
+    published, publish = [], snapshot.publish
+    monkeypatch.setattr(snapshot, "publish", lambda folder, *rest: published.append(folder) or publish(folder, *rest))
+    first, second = queries.published_merchants(tables), queries.published_merchants(tables)
+    assert len(published) == 4 and len(set(published)) == 2
+    assert sorted(first.collect()) == sorted(second.collect())
+
+
 def test_a_failed_publication_leaves_the_last_one(spark, tables, tmp_path, monkeypatch):
     folder, obs = str(tmp_path / "public"), tables.obs()
     runs, tallied = store.evolve(tables.evruns(), RUNS), quality.tally(obs)
