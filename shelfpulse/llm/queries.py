@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfpulse.llm.bpe import op5_bpe_codec
 from shelfpulse.llm.common import shipped
+from shelfpulse.llm.conversations import op11_conversation_repair
 from shelfpulse.llm.counts import op10_token_counts
 from shelfpulse.llm.decontamination import op6_decontamination
 from shelfpulse.llm.jaccard import op9_jaccard_join
@@ -32,6 +33,7 @@ _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_index": op8_warc_index,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 QUERIES = {name: shipped(query) for name, query in _PLAIN.items()}
