@@ -15,10 +15,12 @@ from shelfpulse.llm.jaccard import op9_jaccard_join
 from shelfpulse.llm.language import op7_language_id
 from shelfpulse.llm.neighbours import op3_hnsw_neighbours
 from shelfpulse.llm.secrets import op4_secret_scan
+from shelfpulse.llm.sharding import op12_virtual_slots
 from shelfpulse.llm.sql import SQL
 from shelfpulse.llm.substrings import op1_suffix_dedup
 from shelfpulse.llm.toxicity import op2_toxicity
 from shelfpulse.llm.warc import op8_warc_index
+from shelfpulse.llm.whitening import op13_embedding_whitening
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -34,6 +36,8 @@ _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_counts": op10_token_counts,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_virtual_slots": op12_virtual_slots,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 QUERIES = {name: shipped(query) for name, query in _PLAIN.items()}
