@@ -4,16 +4,24 @@ Texts are sets of five-word shingles (see shingles.py). Equal sets are one class
 classes are joined. In each of `RUNS` runs a set goes to the buckets of the shingles it samples: those whose hash
 with the path so far lies below RATE / size, so two similar sets sample some shared shingle together. A bucket of more
 than `BUCKET` sets is split again by shingles sampled with its path, up to `DEPTH` times; of paths with the same
-members, of whichever runs, one is kept and samples as much as all of them would, so a split loses no run's share. Small
-buckets are compared by brute force, first by sketches of 256 one-bit
-minima that rule out pairs far below the threshold, then by the sets themselves. What is still large then (near copies of one text, which no shingle separates) is compared
-in blocks, every pair of blocks in its own task, so no bucket is cut off. Buckets with the same members, and buckets
-whose members have all met in another one, are compared once. A pair is counted in the first bucket that it shares.
+members, of whichever runs, one is kept and samples as much as all of them would, at most as much as one of each run, so
+a split loses no run's share. Small buckets are compared by brute force, first by sketches of 256 one-bit
+minima that rule out pairs far below the threshold, then by the sets themselves.
+
+What is still large then are near copies of one text, which no shingle separates. Such a bucket gets a pivot, the
+shingles that half of a few members hold, and each set is kept as its difference from that. Two sets that are close
+enough to the pivot are similar whatever their differences share; how many such partners each set has follows from the
+sorted weights of all, without any pair. Only sets that are neither that close nor too far are compared, in blocks of
+sets of like weight, by the shingles that their differences share.
+
+Buckets with the same members, and buckets whose members have all met in another one, are compared once. A pair is
+counted in the first bucket that it shares.
 
 Of a pair at similarity 0.8 the worst case (one set holds the other) shares 1.2 samples a level on average: a run
 misses it with chance 0.30 at the first level and 0.51 at the third, all ten with less than 0.0012; of sets of equal
 size at 0.85, less than 0.0004. Near copies that differ in one place share their paths, so a crowded group of them is
-found or missed as one, with that chance at most. Similarities are exact on the shingles' 64-bit hashes.
+found or missed as one, with that chance at most. Similarities are exact on the shingles' 64-bit hashes; sets are told
+apart by 128 bits.
 
 Texts without words form one class without links. Null text counts as empty. Rows with the same id and text each
 get a row; null ids are kept. An empty table gives an empty result. Other columns are ignored.
@@ -25,14 +33,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfpulse.llm.common import materialize, mix, new_folder, prefix_sums, slices, span_hash, table
-from shelfpulse.llm.shingles import SIMILAR, shingle_sets
+from shelfpulse.llm.common import delete_folder, materialize, mix, new_folder, slices, table
+from shelfpulse.llm.shingles import SIMILAR, keyed_sets
 
 RUNS, RATE, BUCKET, DEPTH = 10, 1.5, 400, 3
+PIVOT, BLOCK = 64, 2048  # members that a pivot is drawn from, sets in a block of a crowded bucket
+NEARLY = 1e-6
 CHILD, SECOND = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
@@ -49,17 +59,6 @@ def _lists(values: np.ndarray, owner: np.ndarray, rows: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[order].view(np.int64)))
 
 
-def set_keys(sets: list[np.ndarray]) -> list[bytes]:
-    """128 bits that tell shingle sets apart."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    stop = np.cumsum(sizes)
-    joined = np.concatenate([*sets, np.zeros(0, np.uint64)])
-    ordered = span_hash(prefix_sums(joined), stop - sizes, stop)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(joined ^ SECOND), dtype=np.uint64)])
-    both = np.stack([ordered, mix(sums[stop] - sums[stop - sizes])], 1).astype(">u8")
-    return [row.tobytes() for row in both]
-
-
 BINS = 256
 
 
@@ -88,7 +87,7 @@ def cards(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sets = shingle_sets(batch.column("text").to_pylist())
+            sets, keys = keyed_sets(batch.column("text").to_pylist())
             sizes = np.array([len(s) for s in sets], np.int64)
             tokens = np.concatenate([*sets, np.zeros(0, np.uint64)])
             owner = np.repeat(np.arange(len(sets)), sizes)
@@ -99,7 +98,7 @@ def cards(documents: DataFrame) -> DataFrame:
                 owners.append(owner[chosen])
                 paths.append(path)
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("seen"), pa.array(set_keys(sets), pa.binary()),
+                batch.column("doc_id"), batch.column("seen"), pa.array(keys, pa.binary()),
                 pa.array(sizes, pa.int64()), _lists(np.concatenate(paths), np.concatenate(owners), len(sets)),
                 pa.array([row.tobytes() for row in sketches(tokens, owner, len(sets))], pa.binary()),
             ], names=["doc_id", "seen", "key", "n", "paths", "sketch"])
@@ -129,8 +128,8 @@ def _tokens(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """key, n and tokens (8-byte hashes, sorted) of the wanted classes, read from one member's text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sets = shingle_sets(batch.column("text").to_pylist())
-            own = pa.array(set_keys(sets), pa.binary())
+            sets, keys = keyed_sets(batch.column("text").to_pylist())
+            own = pa.array(keys, pa.binary())
             right = pa.compute.equal(own, batch.column("key"))  # a repeated id may stand for other texts
             made = pa.RecordBatch.from_arrays([
                 own, pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
@@ -145,13 +144,13 @@ def _tokens(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _split(big: DataFrame, tokens: DataFrame) -> DataFrame:
     """The children of crowded paths: (path, key) for each shingle a set samples under its path, at the rate of the m
-    paths it stands for."""
+    paths it stands for (of ten at most: a pair is then missed with a chance below exp(-12))."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "tokens"):
             sets = [np.frombuffer(t, np.uint64) for t in batch.column("tokens").to_pylist()]
             sizes = np.array([len(s) for s in sets], np.int64)
             seed = batch.column("path").to_numpy().view(np.uint64)
-            rate = RATE * batch.column("m").to_numpy() / sizes
+            rate = np.minimum(0.9, RATE * np.minimum(RUNS, batch.column("m").to_numpy()) / sizes)
             chosen, path = _sampled(np.concatenate([*sets, np.zeros(0, np.uint64)]), np.repeat(seed, sizes),
                                     np.repeat(rate, sizes))
             owner = np.repeat(np.arange(len(sets)), sizes)[chosen]
@@ -179,66 +178,146 @@ def _uncovered(members: DataFrame) -> DataFrame:
     return placed.join(open_, "path", "left_semi")
 
 
-def _in_blocks(placed: DataFrame) -> DataFrame:
-    """Each row with the groups to compare it in: the bucket itself, or pairs of blocks of a large one.
+def _pivots(crowded: DataFrame, tokens: DataFrame) -> DataFrame:
+    """path and pivot (sorted hashes) of each crowded bucket: what at least half of `PIVOT` members hold.
+
+    Any pivot gives the same links; one near the most sets leaves the smallest differences."""
+    def common(rows: pa.Table) -> pa.Table:
+        held, times = np.unique(np.concatenate([np.frombuffer(t, np.uint64) for t in rows.column("tokens").to_pylist()]), return_counts=True)
+        return pa.table({"path": rows.column("path")[:1], "pivot": pa.array([held[2 * times >= rows.num_rows].tobytes()], pa.binary())})
 
-    Sets of one home that is another bucket have met there; their blocks are not paired with each other."""
-    small = placed.where(F.col("c") <= BUCKET).select("*", F.lit("").alias("block"), F.lit("").alias("pair"))
-    big = placed.where(F.col("c") > BUCKET)
-    sizes = big.groupBy("path", "home").agg(F.count("*").alias("own"))
-    parts = F.ceil(F.col("own") / BUCKET)
-    named = F.when(F.col("own") > BUCKET // 2, F.concat_ws(
-        ":", F.lit("h"), "home", F.pmod(F.xxhash64("key"), parts))).otherwise(F.concat_ws(
-            ":", F.lit("r"), F.pmod(F.xxhash64("home"), F.ceil(F.col("c") / BUCKET))))
-    dealt = big.join(sizes, ["path", "home"]).withColumn("block", named).drop("own")
-    blocks = dealt.groupBy("path").agg(F.collect_set("block").alias("blocks"))
-    paired = dealt.join(blocks, "path").withColumn("other", F.explode("blocks")).drop("blocks")
-    met = (F.substring_index("block", ":", 2) == F.substring_index("other", ":", 2)) & F.col("block").startswith("h") & (
-        F.col("home") != F.col("path"))
-    pair = F.concat_ws("/", F.least("block", "other"), F.greatest("block", "other"))
-    return small.unionByName(paired.where(~met).withColumn("pair", pair).drop("other"))
+    few = Window.partitionBy("path").orderBy(F.xxhash64("key"), "key")
+    drawn = crowded.select("path", "key").withColumn("place", F.row_number().over(few)).where(F.col("place") <= PIVOT)
+    return drawn.join(tokens.select("key", "tokens"), "key").select("path", "tokens").groupBy("path").applyInArrow(common, "path long, pivot binary")
+
+
+def _differences(crowded: DataFrame, pivots: DataFrame, tokens: DataFrame, share: float) -> DataFrame:
+    """The rows with p (size of the pivot), tokens (what set and pivot do not share), weight and far.
+
+    Two sets share p - gone - gone' + (what their differences share) shingles, gone being what a set lacks of the pivot;
+    they are similar if that is at least share / (1 + share) of their sizes' sum. So with weight = gone + that share of
+    the own size they are if weight + weight' <= p + (what their differences share)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "tokens"):
+            sizes, weights, own = [], [], []
+            for pivot, held in zip(batch.column("pivot").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
+                pivot, held = np.frombuffer(pivot, np.uint64), np.frombuffer(held, np.uint64)
+                apart = np.setxor1d(pivot, held, assume_unique=True)
+                gone = (len(apart) + len(pivot) - len(held)) // 2
+                sizes.append(len(pivot))
+                weights.append(gone + share / (1 + share) * len(held))
+                own.append(apart.tobytes())
+            far = [weight - len(apart) // 8 for weight, apart in zip(weights, own, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in ("path", "key", "c", "home", "met")), pa.array(sizes, pa.int64()),
+                 pa.array(own, pa.binary()), pa.array(weights, pa.float64()), pa.array(far, pa.float64())],
+                names=["path", "key", "c", "home", "met", "p", "tokens", "weight", "far"])
+
+    schema = T.StructType([*(crowded.schema[name] for name in ("path", "key", "c", "home", "met")), *T.StructType.fromDDL(
+        "p long, tokens binary, weight double, far double").fields])
+    joined = crowded.join(pivots, "path").join(tokens.select("key", "tokens"), "key")
+    return joined.select("path", "key", "c", "home", "met", "pivot", "tokens").mapInArrow(run, schema)
+
+
+def _close(rows: DataFrame) -> DataFrame:
+    """key, root and links of the sets that are similar to others of their home for their weights alone.
+
+    A set's partners are those whose weight is at most p less its own: a running count over the distinct weights of the
+    bucket, at which each weight asks for the count at p less itself."""
+    home = rows.where("home = path").select("path", "key", "weight", F.col("p") + F.lit(NEARLY) - F.col("weight"))
+    home = home.toDF("path", "key", "weight", "reach")
+    weights = home.groupBy("path", "weight", "reach").agg(F.count("*").alias("sets"))
+    told = weights.select("path", F.col("weight").alias("at"), F.lit(0).alias("asks"), "sets", F.lit(None).cast("double").alias("own"))
+    asked = weights.select("path", F.col("reach").alias("at"), F.lit(1).alias("asks"), F.lit(0).alias("sets"), F.col("weight").alias("own"))
+    so_far = Window.partitionBy("path").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, 0)
+    counted = told.unionByName(asked).withColumn("within", F.sum("sets").over(so_far)).where("asks = 1")
+    least = home.groupBy("path").agg(F.min(F.struct("weight", "key")).alias("least")).select("path", F.col("least.key").alias("root"))
+    links = F.col("within") - F.when(F.col("weight") <= F.col("reach"), 1).otherwise(0)
+    found = home.join(counted.select("path", F.col("own").alias("weight"), "within"), ["path", "weight"]).join(least, "path")
+    return found.select("key", "root", links.alias("links")).where("links > 0")
+
+
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """Each row of the crowded buckets with the pairs of blocks it is compared in.
+
+    Sets of this home lie in blocks by weight; two blocks of them are paired only if weights alone do not settle it.
+    Sets of one home that is another bucket have met there; their blocks are not paired with each other. Sets too far
+    from the pivot to be similar to any other are left out."""
+    low = rows.groupBy("path").agg(F.min("weight").alias("low"))
+    near = rows.join(low, "path").where(F.col("far") + F.col("low") <= F.col("p") + NEARLY).drop("low")
+    weights = near.where("home = path").groupBy("path", "weight").agg(F.count("*").alias("sets"))
+    before = Window.partitionBy("path").orderBy("weight").rowsBetween(Window.unboundedPreceding, -1)
+    starts = weights.withColumn("start", F.coalesce(F.sum("sets").over(before), F.lit(0)))
+    own = near.where("home = path").join(starts, ["path", "weight"])
+    spread = F.pmod(F.xxhash64("key"), F.ceil(F.col("sets") / BLOCK))
+    own = own.withColumn("block", F.concat_ws(":", F.lit("o"), F.floor(F.col("start") / BLOCK) + spread)).drop("sets", "start")
+    guests = near.where("home <> path")
+    sizes = guests.groupBy("path", "home").agg(F.count("*").alias("sets"))
+    alone = F.concat_ws(":", F.lit("h"), "home", F.pmod(F.xxhash64("key"), F.ceil(F.col("sets") / BLOCK)))
+    mixed = F.concat_ws(":", F.lit("r"), F.pmod(F.xxhash64("home"), F.ceil(F.col("c") / BLOCK)))
+    named = guests.join(sizes, ["path", "home"]).withColumn("block", F.when(F.col("sets") > BLOCK // 2, alone).otherwise(mixed))
+    dealt = own.select(rows.columns + ["block"]).unionByName(named.select(rows.columns + ["block"]))
+    blocks = dealt.groupBy("path", "block").agg(F.max("weight").alias("top"), F.min("far").alias("near"))
+    pairs = blocks.select("path", "block", "top", "near").join(
+        blocks.select("path", F.col("block").alias("other"), F.col("top").alias("top_2"), F.col("near").alias("near_2")), "path")
+    both = F.col("block").startswith("o") & F.col("other").startswith("o")
+    met = F.col("block").startswith("h") & (F.substring_index("block", ":", 2) == F.substring_index("other", ":", 2))
+    wanted = pairs.join(rows.groupBy("path").agg(F.first("p").alias("p")), "path").where(
+        ~met & ~(both & (F.col("top") + F.col("top_2") <= F.col("p") + NEARLY))).select(
+        "path", "block", F.concat_ws("/", F.least("block", "other"), F.greatest("block", "other")).alias("pair"))
+    return dealt.join(wanted, ["path", "block"])
 
 
 def _compare(keys: list[bytes], sets: list[np.ndarray], met: list[np.ndarray], block: list[str], path: int,
-             share: float) -> tuple[np.ndarray, np.ndarray]:
+             weights: np.ndarray, pivot: int) -> tuple[np.ndarray, np.ndarray]:
     """Links of each set in this group and the smallest set it is joined with (directly or not)."""
     count = len(sets)
-    sizes = np.array([len(s) for s in sets])
-    shared = _gram(sets)
-    earlier = _gram([m[m < path] for m in met])
-    linked = (shared >= share * (sizes[:, None] + sizes[None, :] - shared) - 1e-6) & (earlier == 0)
+    names, kinds = np.unique(block, return_inverse=True)
+    home = np.array([name.startswith("o") for name in names], bool)[kinds]
+    linked = np.zeros((count, count), bool)
+    shared, earlier = _Overlaps(sets), _Overlaps([m[m < path] for m in met])
+    for start in range(0, count, STRIP):
+        part = slice(start, start + STRIP)
+        need = weights[part, None] + weights[None, :] - pivot
+        own = (shared.strip(part) >= need - NEARLY) & (earlier.strip(part) == 0)
+        own &= ~(home[part, None] & home[None, :] & (need <= NEARLY))  # counted by their weights
+        if len(names) > 1:  # two blocks: only pairs across
+            own &= kinds[part, None] != kinds[None, :]
+        linked[part] = own
     np.fill_diagonal(linked, False)
-    kinds = np.unique(block, return_inverse=True)[1]
-    if kinds.max(initial=0):  # two blocks: only pairs across
-        linked &= kinds[:, None] != kinds[None, :]
     root = np.argsort(np.argsort(np.array(keys, object)))
     while True:  # smallest rank of the joined
-        near = np.where(linked, root[None, :], count).min(1, initial=count)
-        new = np.minimum(root, near)
+        near = [np.where(linked[start: start + STRIP], root[None, :], count).min(1, initial=count) for start in range(0, count, STRIP)]
+        new = np.minimum(root, np.concatenate(near))
         if (new == root).all():
             return linked.sum(1), root
         root = new
 
 
-def _gram(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, from the values that at least two sets hold."""
-    count = len(sets)
-    out = np.zeros((count, count), np.float32)
-    values, owner = np.concatenate([*sets, sets[0][:0]]), np.repeat(np.arange(count), [len(s) for s in sets])
-    order = np.argsort(values, kind="stable")
-    values, owner = values[order], owner[order]
-    fresh = np.concatenate([[True], values[1:] != values[:-1]])[: len(values)]
-    number = np.cumsum(fresh) - 1
-    often = np.bincount(number, minlength=1) > 1
-    keep = often[number] if len(number) else np.zeros(0, bool)
-    number, owner = number[keep], owner[keep]
-    number = np.cumsum(np.concatenate([[False], number[1:] != number[:-1]])[: len(number)])
-    for start in range(0, int(number[-1]) + 1 if len(number) else 0, 4096):
-        part = slice(*np.searchsorted(number, [start, start + 4096]))
-        held = np.zeros((count, 4096), np.float32)
-        held[owner[part], number[part] - start] = 1
-        out += held @ held.T
-    return out
+STRIP, WIDE = 512, 2048
+
+
+class _Overlaps:
+    """Sizes of intersections, strip by strip, from the values that at least two sets hold."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        self.count = len(sets)
+        values, owner = np.concatenate([*sets, sets[0][:0]]), np.repeat(np.arange(self.count), [len(s) for s in sets])
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        number = np.cumsum(np.concatenate([[True], values[1:] != values[:-1]])[: len(values)]) - 1
+        keep = np.bincount(number, minlength=1)[number] > 1
+        number, self.owner = number[keep], owner[keep]
+        self.number = np.cumsum(np.concatenate([[False], number[1:] != number[:-1]])[: len(number)])
+
+    def strip(self, part: slice) -> np.ndarray:
+        out = np.zeros((len(range(self.count)[part]), self.count), np.float32)
+        for start in range(0, int(self.number[-1]) + 1 if len(self.number) else 0, WIDE):
+            own = slice(*np.searchsorted(self.number, [start, start + WIDE]))
+            held = np.zeros((self.count, WIDE), np.float32)
+            held[self.owner[own], self.number[own] - start] = 1
+            out += held[part] @ held.T
+        return out
 
 
 def _groups(batches: Iterator[pa.RecordBatch], by: tuple[str, ...], sized: str) -> Iterator[dict]:
@@ -279,7 +358,7 @@ def _sketched(members: DataFrame, classes: DataFrame, share: float) -> DataFrame
     return dealt.sortWithinPartitions("path").mapInArrow(run, "path long, key binary")
 
 
-def _links(rows: DataFrame, share: float) -> DataFrame:
+def _links(rows: DataFrame) -> DataFrame:
     """key, root (a set it is joined with) and links, for the sets that have any in a group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: tuple[list, list, list] = ([], [], [])
@@ -290,7 +369,8 @@ def _links(rows: DataFrame, share: float) -> DataFrame:
                 continue
             sets = [np.frombuffer(group["tokens"][n], np.uint64) for n in pick]
             links, root = _compare(keys, sets, [np.array(group["met"][n], np.int64) for n in pick],
-                                   [group["block"][n] for n in pick], group["path"][0], share)
+                                   [group["block"][n] for n in pick], group["path"][0],
+                                   np.array([group["weight"][n] for n in pick]), group["p"][0])
             names = sorted(keys)
             for n in np.flatnonzero(links):
                 out[0].append(keys[n])
@@ -303,7 +383,7 @@ def _links(rows: DataFrame, share: float) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()),
                                           pa.array(out[2], pa.int64())], names=["key", "root", "links"])
 
-    dealt = rows.select("path", "pair", "block", "key", "tokens", "met").repartition("path", "pair")
+    dealt = rows.select("path", "pair", "block", "key", "tokens", "met", "weight", "p").repartition("path", "pair")
     return dealt.sortWithinPartitions("path", "pair").mapInArrow(run, "key binary, root binary, links long")
 
 
@@ -324,6 +404,7 @@ def components(edges: DataFrame, folder: str) -> DataFrame:
     while before[0]:
         step += 1
         pairs = materialize(smaller(larger(pairs)), f"edges-{step}", folder)
+        delete_folder(pairs.sparkSession, f"{folder}/edges-{step - 1}")
         now = _sum(pairs)
         if now == before:
             break
@@ -340,31 +421,50 @@ def join(documents: DataFrame, share: float = SIMILAR) -> DataFrame:
     copies (rows with that set), n_links (different sets of similarity `share` or more)."""
     spark = documents.sparkSession
     folder = new_folder(spark, "jaccard")
-    rows = materialize(cards(documents), "cards", folder)
-    classes = materialize(rows.groupBy("key").agg(
+
+    def kept(frame: DataFrame, name: str, *read: str) -> DataFrame:
+        """`frame` as a written table; the tables that only it reads are deleted."""
+        out = materialize(frame, name, folder)
+        for table_ in read:
+            delete_folder(spark, f"{folder}/{table_}")
+        return out
+
+    made = kept(cards(documents), "cards")
+    rows = kept(made.select("doc_id", "seen", "key"), "rows")
+    classes = kept(made.groupBy("key").agg(
         F.min(F.struct("doc_id", "seen")).alias("rep"), F.min("doc_id").alias("text_id"), F.count("*").alias("copies"),
-        F.first("n").alias("n"), F.first("paths").alias("paths"), F.first("sketch").alias("sketch")), "classes", folder)
-    members = materialize(_crowded(classes.where("n > 0").select(F.explode("paths").alias("path"), "key")), "members-1", folder)
-    small = materialize(_sketched(members.where(F.col("c") <= BUCKET), classes, share), "small-1", folder)
+        F.first("n").alias("n"), F.first("paths").alias("paths"), F.first("sketch").alias("sketch")), "classes", "cards")
+    members = kept(_crowded(classes.where("n > 0").select(F.explode("paths").alias("path"), "key")), "members-1")
+    small = kept(_sketched(members.where(F.col("c") <= BUCKET), classes, share), "small-1")
     wanted = small.select("key").unionByName(members.where(F.col("c") > BUCKET).select("key")).distinct()
-    tokens = materialize(_tokens(documents, classes.select("key", "rep").join(wanted, "key", "left_semi")), "tokens", folder)
+    tokens = kept(_tokens(documents, classes.select("key", "rep").join(wanted, "key", "left_semi")), "tokens")
     depth = 1
     while depth < DEPTH and not members.where(F.col("c") > BUCKET).isEmpty():
         depth += 1
         big = members.where(F.col("c") > BUCKET).select("path", "key", "m")
-        members = materialize(_crowded(_split(big, tokens).distinct()), f"members-{depth}", folder)
-        small = small.unionByName(materialize(_sketched(members.where(F.col("c") <= BUCKET), classes, share), f"small-{depth}", folder))
+        members = kept(_crowded(_split(big, tokens).distinct()), f"members-{depth}", f"members-{depth - 1}")
+        small = small.unionByName(kept(_sketched(members.where(F.col("c") <= BUCKET), classes, share), f"small-{depth}"))
+    told = kept(classes.select("key", "text_id", "copies"), "told", "classes")
     final = _crowded(small.unionByName(members.where(F.col("c") > BUCKET).select("path", "key"))).drop("m")
-    groups = _in_blocks(materialize(_uncovered(_largest_first(final)), "buckets", folder))
-    found = materialize(_links(groups.join(tokens, "key"), share), "links", folder)
+    buckets = kept(_uncovered(_largest_first(final)), "buckets", f"members-{depth}", *(f"small-{n}" for n in range(1, depth + 1)))
+    few = buckets.where(F.col("c") <= BUCKET).join(tokens, "key").select(
+        "path", "key", "met", "tokens", F.lit("").alias("block"), F.lit("").alias("pair"), F.lit(0).cast("long").alias("p"),
+        (F.col("n") * F.lit(share / (1 + share))).alias("weight"))
+    found = kept(_links(few), "links-small")
+    crowded = buckets.where(F.col("c") > BUCKET)
+    if not crowded.isEmpty():
+        pivots = kept(_pivots(crowded, tokens), "pivots")
+        apart = kept(_differences(crowded, pivots, tokens, share), "differences", "pivots", "tokens", "buckets")
+        close = kept(_close(apart), "links-close")
+        found = found.unionByName(close).unionByName(kept(_links(_in_blocks(apart)), "links-blocks", "differences"))
     links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
     joined = components(found.select(F.col("key").alias("u"), F.col("root").alias("v")), folder)
-    place = classes.select("key", "text_id", "copies").join(joined, "key", "left").join(links, "key", "left").select(
+    place = told.join(joined, "key", "left").join(links, "key", "left").select(
         "key", "text_id", "copies", F.coalesce("component", "key").alias("component"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     first = place.groupBy("component").agg(F.min("text_id").alias("class_id"))
-    told = materialize(place.join(first, "component"), "told", folder)
-    return rows.select("doc_id", "seen", "key").join(told, "key").select(
+    placed = kept(place.join(first, "component"), "placed")
+    return rows.join(placed, "key").select(
         "doc_id", "class_id", "text_id", "copies", "n_links", "seen", "component")
 
 
@@ -377,12 +477,13 @@ def one_of_each(documents: DataFrame, share: float = SIMILAR) -> DataFrame:
     """`documents` with one row of each near-duplicate group: that of the smallest id, of equals the smallest text
     hash; rows equal in both count as one. Texts without words are one group."""
     told = materialize(join(documents, share), "groups")
-    kept = told.groupBy("component").agg(F.min(F.struct("doc_id", "seen")).alias("k"), F.count("*").alias("rows"))
-    single = kept.select(F.col("k.doc_id").alias("__doc"), F.col("k.seen").alias("__seen")).hint("shuffle_hash")
-    marked = documents.withColumn("__s", _seen())
-    stay = marked.join(single, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__s") == F.col("__seen")), "left_semi")
-    twice = told.groupBy("doc_id", "seen").count().where("count > 1").select(
-        F.col("doc_id").alias("__doc"), F.col("seen").alias("__seen"))
-    again = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__s") == F.col("__seen"))
-    return stay.join(twice, again, "left_anti").unionByName(
-        stay.join(twice, again, "left_semi").dropDuplicates(["doc_id", "__s"])).drop("__s")
+    kept = told.groupBy("component").agg(F.min(F.struct("doc_id", "seen")).alias("k")).select("k.doc_id", "k.seen")
+    twice = told.groupBy("doc_id", "seen").count().where("count > 1").select("doc_id", "seen")
+    marked = documents.select(F.struct(*(F.col(f"`{name}`") for name in documents.columns)).alias("row"), "doc_id", _seen())
+
+    single = kept.alias("k").hint("shuffle_hash")
+    stay = marked.alias("m").join(single, F.expr("m.doc_id <=> k.doc_id AND m.seen = k.seen"), "left_semi")
+    again = F.expr("m.doc_id <=> t.doc_id AND m.seen = t.seen")
+    alone = stay.join(twice.alias("t"), again, "left_anti")
+    first = stay.join(twice.alias("t"), again, "left_semi").dropDuplicates(["doc_id", "seen"])
+    return alone.unionByName(first).select("row.*")

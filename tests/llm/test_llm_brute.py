@@ -277,9 +277,10 @@ def brute_links(texts):
     return {i: (root[s], min(members), len(members), len(links[s])) for s, members in sets.items() for i in members}
 
 
-@pytest.mark.parametrize("bucket", [400, 8])
-def test_jaccard_of_large_groups(spark, monkeypatch, bucket):
+@pytest.mark.parametrize(("bucket", "block"), [(400, 2048), (8, 2048), (8, 10)])
+def test_jaccard_of_large_groups(spark, monkeypatch, bucket, block):
     monkeypatch.setattr(jaccard, "BUCKET", bucket)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     rng = random.Random(bucket)
     vocabulary = ["w%d" % n for n in range(3000)]
     base = [rng.choice(vocabulary) for _ in range(200)]
@@ -313,6 +314,29 @@ def test_jaccard_of_crowded_templates(spark):
         n: (n - n % copies, copies - 1) for n in range(len(texts))}
 
 
+def test_crowded_templates_need_no_pairs(spark, monkeypatch):
+    """Near copies that differ in one place are all settled by their weights: no pair of blocks is compared."""
+    words = ["w%d" % n for n in range(60)]
+    texts = [" ".join([*words[:30], f"n{n}", *words[30:]]) for n in range(jaccard.BUCKET + 100)]
+    seen = []
+    real = jaccard._in_blocks
+    monkeypatch.setattr(jaccard, "_in_blocks", lambda rows: seen.append(real(rows).count()) or real(rows))
+    rows = jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r["class_id"], r["n_links"]) for r in rows} == {(0, len(texts) - 1)} and seen == [0]
+
+
+def test_long_words_stay_apart(spark):
+    """Words that polynomials modulo a power of two cannot tell apart are different texts."""
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [word[:1024], word[1024:], word, word.translate(str.maketrans("ab", "ba"))]
+    assert len(set(texts)) == 4 and len(set(shingles.keyed_sets(texts)[1])) == 4
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r["class_id"], r["copies"], r["n_links"]) for r in jaccard.join(frame).collect()} == {(n, 1, 0) for n in range(4)}
+    assert jaccard.one_of_each(frame).count() == 4
+
+
 def test_items_in_blocks(spark, monkeypatch):
     documents, items = table(spark, SMALL, "documents"), table(spark, SMALL, "benchmark")
     whole = sorted(map(tuple, decontamination.contained(documents, items).collect()))

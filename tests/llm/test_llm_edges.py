@@ -166,6 +166,16 @@ def test_warc_line_breaks_without_a_host(spark):
         (url, n) for n, url in enumerate(urls))
 
 
+def test_jaccard_keeps_columns_of_any_name(documents):
+    names = {"__s": "lang", "seen": "source", "row": "row", "component": "key", "m.doc_id": "score"}
+    frame = documents.select("doc_id", "text", *(F.col(f"`{old}`").alias(new) for new, old in names.items()))
+    stay = jaccard.one_of_each(frame)
+    assert stay.columns == frame.columns
+    kept = {tuple(map(str, row)) for row in frame.collect()}
+    assert all(tuple(map(str, row)) in kept for row in stay.collect())
+    assert sorted(ids(stay), key=str) == sorted(ids(jaccard.one_of_each(documents)), key=str)
+
+
 def test_jaccard(documents):
     rows = jaccard.join(documents).collect()
     assert ids(jaccard.join(documents)) == ALL
