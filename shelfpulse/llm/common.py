@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from functools import wraps
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from shelfpulse.session import delete_folder, folder_exists, new_folder
 
 __all__ = ["delete_folder", "folder_exists", "materialize", "new_folder", "table", "crc_mod",
-           "ship", "shipped", "slices", "mix", "prefix_sums", "span_hash"]
+           "bucketed", "ship", "shipped", "slices", "mix", "prefix_sums", "span_hash"]
 
 
 _shipped: set[str] = set()
@@ -74,6 +75,17 @@ def materialize(df: DataFrame, name: str, within: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def bucketed(df: DataFrame, name: str, folder: str, by: str) -> tuple[DataFrame, str]:
+    """`df` written to the shared folder in buckets of `by`, as many as there are shuffle partitions, and its name in the
+    catalogue: joins and groupings by that column read it without shuffling it again."""
+    spark = df.sparkSession
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed = f"{name}_{uuid.uuid4().hex}"
+    writer = df.repartition(count, by).write.bucketBy(count, by).format("parquet")
+    writer.option("path", f"{folder}/{name}").option("compression", "zstd").saveAsTable(listed)
+    return spark.table(listed), listed
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

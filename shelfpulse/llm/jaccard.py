@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfpulse.llm.common import delete_folder, materialize, mix, new_folder, slices, table
+from shelfpulse.llm.common import bucketed, delete_folder, materialize, mix, new_folder, slices, table
 from shelfpulse.llm.shingles import SIMILAR, keyed_sets
 
 RUNS, RATE, BUCKET, DEPTH = 10, 1.5, 400, 3
@@ -148,16 +148,19 @@ def _split(big: DataFrame, tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "tokens"):
             sets = [np.frombuffer(t, np.uint64) for t in batch.column("tokens").to_pylist()]
-            sizes = np.array([len(s) for s in sets], np.int64)
-            seed = batch.column("path").to_numpy().view(np.uint64)
-            rate = np.minimum(0.9, RATE * np.minimum(RUNS, batch.column("m").to_numpy()) / sizes)
-            chosen, path = _sampled(np.concatenate([*sets, np.zeros(0, np.uint64)]), np.repeat(seed, sizes),
-                                    np.repeat(rate, sizes))
-            owner = np.repeat(np.arange(len(sets)), sizes)[chosen]
+            under = [[(way["path"], way["m"]) for way in ways] for ways in batch.column("ways").to_pylist()]
+            which = np.repeat(np.arange(len(sets)), [len(ways) for ways in under])
+            seed, times = np.array([way for ways in under for way in ways], np.int64).reshape(-1, 2).T
+            sizes = np.array([len(s) for s in sets], np.int64)[which]
+            rate = np.minimum(0.9, RATE * np.minimum(RUNS, times) / sizes)
+            tokens = np.concatenate([*(sets[n] for n in which), np.zeros(0, np.uint64)])
+            chosen, path = _sampled(tokens, np.repeat(seed.view(np.uint64), sizes), np.repeat(rate, sizes))
+            owner = which[np.repeat(np.arange(len(which)), sizes)[chosen]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(path.view(np.int64)), batch.column("key").take(pa.array(owner))], names=["path", "key"])
 
-    return big.join(tokens, "key").select("path", "key", "m", "tokens").mapInArrow(run, "path long, key binary")
+    ways = big.groupBy("key").agg(F.collect_list(F.struct("path", "m")).alias("ways"))  # a few for each run and level
+    return ways.join(tokens, "key").select("key", "ways", "tokens").mapInArrow(run, "path long, key binary")
 
 
 def _largest_first(members: DataFrame) -> DataFrame:
@@ -241,29 +244,28 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
     """Each row of the crowded buckets with the pairs of blocks it is compared in.
 
     Sets of this home lie in blocks by weight; two blocks of them are paired only if weights alone do not settle it.
-    Sets of one home that is another bucket have met there; their blocks are not paired with each other. Sets too far
-    from the pivot to be similar to any other are left out."""
-    low = rows.groupBy("path").agg(F.min("weight").alias("low"))
-    near = rows.join(low, "path").where(F.col("far") + F.col("low") <= F.col("p") + NEARLY).drop("low")
-    weights = near.where("home = path").groupBy("path", "weight").agg(F.count("*").alias("sets"))
+    Sets of one home that is another bucket have met there; their blocks are not paired with each other. Neither are
+    blocks whose sets are too far from the pivot to be similar to any of the other block."""
+    weights = rows.where("home = path").groupBy("path", "weight").agg(F.count("*").alias("sets"))
     before = Window.partitionBy("path").orderBy("weight").rowsBetween(Window.unboundedPreceding, -1)
     starts = weights.withColumn("start", F.coalesce(F.sum("sets").over(before), F.lit(0)))
-    own = near.where("home = path").join(starts, ["path", "weight"])
+    own = rows.where("home = path").join(starts, ["path", "weight"])
     spread = F.pmod(F.xxhash64("key"), F.ceil(F.col("sets") / BLOCK))
     own = own.withColumn("block", F.concat_ws(":", F.lit("o"), F.floor(F.col("start") / BLOCK) + spread)).drop("sets", "start")
-    guests = near.where("home <> path")
+    guests = rows.where("home <> path")
     sizes = guests.groupBy("path", "home").agg(F.count("*").alias("sets"))
     alone = F.concat_ws(":", F.lit("h"), "home", F.pmod(F.xxhash64("key"), F.ceil(F.col("sets") / BLOCK)))
     mixed = F.concat_ws(":", F.lit("r"), F.pmod(F.xxhash64("home"), F.ceil(F.col("c") / BLOCK)))
     named = guests.join(sizes, ["path", "home"]).withColumn("block", F.when(F.col("sets") > BLOCK // 2, alone).otherwise(mixed))
     dealt = own.select(rows.columns + ["block"]).unionByName(named.select(rows.columns + ["block"]))
-    blocks = dealt.groupBy("path", "block").agg(F.max("weight").alias("top"), F.min("far").alias("near"))
-    pairs = blocks.select("path", "block", "top", "near").join(
-        blocks.select("path", F.col("block").alias("other"), F.col("top").alias("top_2"), F.col("near").alias("near_2")), "path")
+    blocks = dealt.groupBy("path", "block").agg(
+        F.max("weight").alias("top"), F.min("weight").alias("low"), F.min("far").alias("near"), F.first("p").alias("p"))
+    others = blocks.drop("p").toDF("path", "other", "top_2", "low_2", "near_2")
     both = F.col("block").startswith("o") & F.col("other").startswith("o")
     met = F.col("block").startswith("h") & (F.substring_index("block", ":", 2) == F.substring_index("other", ":", 2))
-    wanted = pairs.join(rows.groupBy("path").agg(F.first("p").alias("p")), "path").where(
-        ~met & ~(both & (F.col("top") + F.col("top_2") <= F.col("p") + NEARLY))).select(
+    settled = both & (F.col("top") + F.col("top_2") <= F.col("p") + NEARLY)
+    apart = F.greatest(F.col("near") + F.col("low_2"), F.col("near_2") + F.col("low")) > F.col("p") + NEARLY
+    wanted = blocks.join(others, "path").where(~met & ~settled & ~apart).select(
         "path", "block", F.concat_ws("/", F.least("block", "other"), F.greatest("block", "other")).alias("pair"))
     return dealt.join(wanted, ["path", "block"])
 
@@ -437,7 +439,8 @@ def join(documents: DataFrame, share: float = SIMILAR) -> DataFrame:
     members = kept(_crowded(classes.where("n > 0").select(F.explode("paths").alias("path"), "key")), "members-1")
     small = kept(_sketched(members.where(F.col("c") <= BUCKET), classes, share), "small-1")
     wanted = small.select("key").unionByName(members.where(F.col("c") > BUCKET).select("key")).distinct()
-    tokens = kept(_tokens(documents, classes.select("key", "rep").join(wanted, "key", "left_semi")), "tokens")
+    found_tokens = _tokens(documents, classes.select("key", "rep").join(wanted, "key", "left_semi"))
+    tokens, listed = bucketed(found_tokens, "tokens", folder, "key")
     depth = 1
     while depth < DEPTH and not members.where(F.col("c") > BUCKET).isEmpty():
         depth += 1
@@ -445,7 +448,7 @@ def join(documents: DataFrame, share: float = SIMILAR) -> DataFrame:
         members = kept(_crowded(_split(big, tokens).distinct()), f"members-{depth}", f"members-{depth - 1}")
         small = small.unionByName(kept(_sketched(members.where(F.col("c") <= BUCKET), classes, share), f"small-{depth}"))
     told = kept(classes.select("key", "text_id", "copies"), "told", "classes")
-    final = _crowded(small.unionByName(members.where(F.col("c") > BUCKET).select("path", "key"))).drop("m")
+    final = _crowded(small).unionByName(members.where(F.col("c") > BUCKET)).drop("m")
     buckets = kept(_uncovered(_largest_first(final)), "buckets", f"members-{depth}", *(f"small-{n}" for n in range(1, depth + 1)))
     few = buckets.where(F.col("c") <= BUCKET).join(tokens, "key").select(
         "path", "key", "met", "tokens", F.lit("").alias("block"), F.lit("").alias("pair"), F.lit(0).cast("long").alias("p"),
@@ -454,9 +457,11 @@ def join(documents: DataFrame, share: float = SIMILAR) -> DataFrame:
     crowded = buckets.where(F.col("c") > BUCKET)
     if not crowded.isEmpty():
         pivots = kept(_pivots(crowded, tokens), "pivots")
-        apart = kept(_differences(crowded, pivots, tokens, share), "differences", "pivots", "tokens", "buckets")
+        apart = kept(_differences(crowded, pivots, tokens, share), "differences", "pivots", "buckets")
         close = kept(_close(apart), "links-close")
         found = found.unionByName(close).unionByName(kept(_links(_in_blocks(apart)), "links-blocks", "differences"))
+    spark.sql(f"DROP TABLE {listed}")
+    delete_folder(spark, f"{folder}/tokens")
     links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
     joined = components(found.select(F.col("key").alias("u"), F.col("root").alias("v")), folder)
     place = told.join(joined, "key", "left").join(links, "key", "left").select(
