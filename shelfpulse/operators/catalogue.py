@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfpulse.functions.money import price_text, typed_price, zero_to_null
 from shelfpulse.functions.text import empty_to_null
-from shelfpulse.operators.skew import MAX_ROWS, cut_points, latest_rows, slice_of
+from shelfpulse.operators.skew import MAX_ROWS, latest_rows, sliced
 from shelfpulse.schemas import SERIES_KEY
 from shelfpulse.session import materialize
 
@@ -105,17 +105,17 @@ def documents(
     """
     order = ("title", "variant_title", "variant_ext_id", "id")
     variant_rows = _variant_rows(latest)
-    cuts = cut_points(variant_rows, PRODUCT_KEY, order, max_variants)
-    if cuts is not None:
-        number = F.coalesce(slice_of(F.struct(*order), F.col("cuts")).cast("bigint"), F.lit(0))
-        variant_rows = variant_rows.join(cuts, list(PRODUCT_KEY), "left").withColumn("part", number).drop("cuts")
-        last = F.coalesce(F.size("cuts"), F.lit(0)).cast("bigint")
-        every_part = F.explode(F.sequence(F.lit(0).cast("bigint"), last))
-        product_rows = product_rows.join(cuts, list(PRODUCT_KEY), "left")
-        product_rows = product_rows.withColumn("part", every_part).drop("cuts")
+    zero = F.lit(0).cast("bigint")
+    cut = sliced(variant_rows, PRODUCT_KEY, order, max_variants)
+    if cut is not None:
+        in_product = Window.partitionBy(*PRODUCT_KEY).orderBy("slice")
+        numbers = materialize(cut.where("slice IS NOT NULL").select(*PRODUCT_KEY, "slice").distinct().withColumn(
+            "part", F.row_number().over(in_product).cast("bigint") - 1), "parts")
+        variant_rows = cut.join(numbers, [*PRODUCT_KEY, "slice"], "left").withColumn("part", F.coalesce("part", zero)).drop("slice")
+        product_rows = product_rows.join(numbers.drop("slice"), list(PRODUCT_KEY), "left").withColumn(
+            "part", F.coalesce("part", zero))
     else:
-        variant_rows = variant_rows.withColumn("part", F.lit(0).cast("bigint"))
-        product_rows = product_rows.withColumn("part", F.lit(0).cast("bigint"))
+        variant_rows, product_rows = variant_rows.withColumn("part", zero), product_rows.withColumn("part", zero)
 
     key = [*PRODUCT_KEY, "part"]
     head = product_rows.select(

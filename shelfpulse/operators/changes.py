@@ -44,6 +44,11 @@ def with_previous_reading(observations: DataFrame, max_rows: int = MAX_ROWS) ->
     )
 
 
+def differs() -> Column:
+    """Whether a reading differs from its predecessor, whose price was known."""
+    return _known("prev_") & (~_same("", "prev_", PRICE) | ~_same("", "prev_", ("available",)))
+
+
 def change_events(readings: DataFrame) -> DataFrame:
     """Zero to two events per reading: a price move, then a stock flip.
 
@@ -68,7 +73,7 @@ def change_events(readings: DataFrame) -> DataFrame:
         stock_flipped, STOCK_KIND, flag("prev_available"), flag("available"), no_text, no_text
     )
     return (
-        readings.where(_known("prev_") & (price_moved | stock_flipped))
+        readings.where(differs())
         .select(
             F.col("observed_at").alias("at"), *SERIES_KEY, "title", "variant_title", "id",
             F.explode(F.array_compact(F.array(moves, flips))).alias("event"),

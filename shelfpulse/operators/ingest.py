@@ -47,11 +47,19 @@ def _broken_product(product: Column) -> Column:
     )
 
 
+FEED = "feed"
+
+
+def parsed(pages: DataFrame) -> DataFrame:
+    """Pages with their body as a VARIANT, null where it is no JSON.
+
+    Write it out: facts and decoding then read the typed column, and no body is parsed twice."""
+    return pages if FEED in pages.columns else pages.withColumn(FEED, F.try_parse_json("body"))
+
+
 def page_facts(pages: DataFrame) -> DataFrame:
     """What each landed page holds or why it is unusable, without its body."""
-    parsed = pages.withColumn("feed", F.try_parse_json("body")).withColumn(
-        "products", _list(F.col("feed"), "$.products")
-    )
+    parsed_pages = parsed(pages).withColumn("products", _list(F.col(FEED), "$.products"))
     status_ok = F.col("http_status").between(200, 299)
     unusable = (
         F.is_variant_null("feed")
@@ -69,7 +77,7 @@ def page_facts(pages: DataFrame) -> DataFrame:
         "products", F.lit(0).cast("bigint"),
         lambda n, p: n + F.size(_list(p, "$.variants")),
     )
-    return parsed.select(
+    return parsed_pages.select(
         *RUN_KEY, "page", "fetched_at", "http_status",
         F.size("products").cast("bigint").alias("n_products"),
         variants.alias("n_variants"),
@@ -216,11 +224,11 @@ def decode_pages(pages: DataFrame, runs: DataFrame) -> DataFrame:
         F.col("id").alias("run_id"), "merchant", "last_page", "currency", "copied",
         F.col("finished_at").alias("observed_at"),
     )
-    read = pages.join(good, list(RUN_KEY)).where(F.col("page") <= F.col("last_page"))
+    read = parsed(pages).join(good, list(RUN_KEY)).where(F.col("page") <= F.col("last_page"))
     once = read.where("copied").dropDuplicates([*RUN_KEY, "page"])
     listed = read.where("NOT copied").unionByName(once).select(
         *RUN_KEY, "page", "currency", "observed_at",
-        _list(F.try_parse_json("body"), "$.products").alias("products"),
+        _list(F.col(FEED), "$.products").alias("products"),
     )
     sizes = F.transform("products", lambda p: F.size(_list(p, "$.variants")))
     before = F.aggregate(F.slice("sizes", F.lit(1), F.col("product_no")), F.lit(0), lambda n, m: n + m)

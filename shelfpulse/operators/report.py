@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfpulse.functions.text import letter_label, shown_error
+from shelfpulse.operators.ranking import placed
 from shelfpulse.schemas import CYCLE_HOURS, UNLABELLED
 from shelfpulse.session import days_before, materialize
 
@@ -129,15 +130,11 @@ def cycle_summary(runs: DataFrame, hours: int = CYCLE_HOURS) -> DataFrame:
 def merchant_labels(merchants: DataFrame) -> DataFrame:
     """Share-safe names in alphabetical order of the merchants' own.
 
-    Numbers only the distinct merchants, a list the size of the registry, and writes
-    it out, so that joins know its size: small it is broadcast, else AQE splits a
-    merchant holding most rows.
+    The distinct merchants are numbered range by range, and written out, so that joins know their size:
+    a small list is broadcast, else AQE splits a merchant holding most rows.
     """
-    in_order = Window.orderBy("merchant")
-    labels = merchants.select("merchant").distinct().select(
-        "merchant", letter_label(F.row_number().over(in_order)).alias("label")
-    )
-    return materialize(labels, "labels")
+    numbered = placed(merchants.select("merchant").distinct(), F.asc_nulls_last("merchant"))
+    return materialize(numbered.select("merchant", letter_label(F.col("place").cast("int")).alias("label")), "labels")
 
 
 def redact(df: DataFrame, labels: DataFrame, column: str = "merchant") -> DataFrame:

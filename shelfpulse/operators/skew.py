@@ -21,6 +21,8 @@ from shelfpulse.session import materialize
 MAX_ROWS = 2_000_000
 # Rows of a key at the threshold that the measuring sample should contain.
 SAMPLE_ROWS = 1_000
+# Size of a key's quantile summary, the most cuts drawn from one, and how often slices are cut again.
+CELLS, MOST_CUTS, LEVELS = 8_192, 511, 4
 
 
 def _sample(df: DataFrame, max_rows: int) -> tuple[DataFrame, float]:
@@ -43,19 +45,24 @@ def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = MAX_ROWS) ->
 def cut_points(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS
 ) -> DataFrame | None:
-    """`cuts` of every hot key: one row's `order` for about each `max_rows` rows, ascending.
+    """`cuts` of every hot key: one row's `order` for about each `max_rows` rows, ascending, `MOST_CUTS` at most.
 
-    None if no key is hot."""
+    None if no key is hot. Of each of `CELLS` cells, dealt by hash, the row of the least other hash is
+    kept: a summary of fixed size that combines before the shuffle, however many rows a key has."""
     hot = hot_groups(df.select(*keys), keys, max_rows)
     if hot is None:
         return None
-    measured, fraction = _sample(df.select(*keys, F.struct(*order).alias("point")), max_rows)
-    step = max(1, round(max_rows * fraction))
-    points = measured.join(hot.select(*keys), list(keys)).groupBy(*keys).agg(
-        F.sort_array(F.collect_list("point")).alias("points"))
-    every = F.sequence(F.lit(step), F.size("points") - 1, F.lit(step))
-    wide = points.where(F.size("points") > step)
-    return materialize(wide.select(*keys, F.transform(every, lambda n: F.get("points", n)).alias("cuts")), "cut-points")
+    measured, _ = _sample(df.select(*keys, F.struct(*order).alias("point")), max_rows)
+    one_each = measured.join(hot, list(keys)).groupBy(*keys, F.pmod(F.xxhash64("point"), F.lit(CELLS)).alias("cell")).agg(
+        F.min_by("point", F.xxhash64(F.lit(1), "point")).alias("point"), F.first("group_rows").alias("group_rows"))
+    points = one_each.groupBy(*keys).agg(
+        F.sort_array(F.collect_list("point")).alias("points"), F.first("group_rows").alias("group_rows"))
+    parts = F.least(F.ceil(F.col("group_rows") / max_rows), F.size("points"), F.lit(MOST_CUTS + 1)).cast("int")
+    ranks = F.sequence(F.lit(1), F.col("parts") - 1)
+    at = lambda n: F.get("points", F.floor(n * F.size("points") / F.col("parts")).cast("int"))
+    cuts = points.withColumn("parts", parts).where("parts > 1").select(
+        *keys, F.array_distinct(F.transform(ranks, at)).alias("cuts"))
+    return materialize(cuts, "cut-points")
 
 
 def slice_of(value: Column, cuts: Column) -> Column:
@@ -70,11 +77,25 @@ def slice_of(value: Column, cuts: Column) -> Column:
     return F.aggregate(powers, F.lit(0), narrow)
 
 
-def sliced(df: DataFrame, cuts: DataFrame, keys: Sequence[str], order: Sequence[str], how: str = "left") -> DataFrame:
-    """`df` with the `slice` of each row of a hot key, null for the others."""
-    joined = df.join(cuts, list(keys), how)
-    number = F.when(F.col("cuts").isNotNull(), slice_of(F.struct(*order), F.col("cuts")))
-    return joined.withColumn("slice", number).drop("cuts")
+def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame | None:
+    """`df` with the `slice` of each row of a hot key, null for the others; None if no key is hot.
+
+    Slices ascend with the order. One that still holds more than twice the rows is cut once more, so its number
+    gets another place; equal rows cannot be cut apart."""
+    cuts = cut_points(df, keys, order, max_rows)
+    if cuts is None:
+        return None
+    number = F.when(F.col("cuts").isNotNull(), F.array(slice_of(F.struct(*order), F.col("cuts"))))
+    out = df.join(cuts, list(keys), "left").withColumn("slice", number).drop("cuts")
+    for _ in range(LEVELS - 1):
+        within = [*keys, "slice"]
+        cuts = cut_points(out.where("slice IS NOT NULL"), within, order, 2 * max_rows)
+        if cuts is None:
+            break
+        deeper = F.concat("slice", F.array(slice_of(F.struct(*order), F.col("cuts"))))
+        out = out.join(cuts, within, "left").withColumn(
+            "slice", F.when(F.col("cuts").isNotNull(), deeper).otherwise(F.col("slice"))).drop("cuts")
+    return out
 
 
 def with_previous(
@@ -97,19 +118,19 @@ def with_previous(
         lags = [F.lag(v).over(window).alias(n) for v, n in zip(values, names)]
         return [*lags, F.lag(F.lit(True), 1, False).over(window).alias("has_prev")]
 
-    cuts = cut_points(df, keys, (at, tie), max_rows)
-    if cuts is None:
+    cut = sliced(df, keys, (at, tie), max_rows)
+    if cut is None:
         whole = Window.partitionBy(*keys).orderBy(at, tie)
         return df.select("*", *previous(whole))
 
     inside = Window.partitionBy(*keys, "slice").orderBy(at, tie)
-    lagged = sliced(df, cuts, keys, (at, tie)).select("*", *previous(inside))
+    lagged = cut.select("*", *previous(inside))
     settled = lagged.where(F.col("slice").isNull() | F.col("has_prev")).drop("slice")
 
     order = [F.col(at), F.col(tie)]
     others = [F.col(c) for c in df.columns if c not in (at, tie, *keys)]
     ends = (
-        sliced(df, cuts, keys, (at, tie), "inner")
+        cut.where("slice IS NOT NULL")
         .groupBy(*keys, "slice")
         .agg(
             F.min(F.struct(*order, *others)).alias("head"),

@@ -600,3 +600,30 @@ ORACLE["redacted_changes"] = sql(
   FROM (SELECT DISTINCT merchant FROM obs) m) n ON n.name = d.merchant""",
     DIFF, base=READINGS,
 )
+
+ORACLE["stream_state_changes"] = ORACLE["stream_changes_compacted"] = ORACLE["stream_changes"]
+# A pause of more than half a day since the reading before starts a variant afresh.
+ORACLE["stream_state_changes_kept"] = sql(
+    f"""SELECT {", ".join("e." + c.strip() for c in CHANGE.split(","))} FROM events_found e JOIN (
+  SELECT id, lag(observed_at) OVER (PARTITION BY merchant, variant_ext_id ORDER BY observed_at, id) AS before
+  FROM readings) b ON b.id = e.id WHERE e."at" - b.before <= INTERVAL 12 HOUR""",
+    EVENTS, base=READINGS,
+)
+# The third step's readings, where the first two brought a later one of the variant.
+ORACLE["stream_state_late"] = sql(
+    """SELECT id, merchant, variant_ext_id, observed_at FROM steps s WHERE withheld AND EXISTS (
+  SELECT 1 FROM steps o WHERE NOT o.withheld AND o.merchant = s.merchant AND o.variant_ext_id = s.variant_ext_id
+    AND (o.observed_at, o.id) > (s.observed_at, s.id))""",
+    "steps AS (SELECT *, day(observed_at) BETWEEN 20 AND 24 AND id % 3 = 0 AS withheld FROM obs)", base="ev obs",
+)
+ORACLE["compact_stored"] = sql(
+    f"SELECT {STORED.format(image='image_url')}, CAST(1 AS BIGINT) AS batches FROM obs", base="ev obs")
+# The second wave brings every fifth page for the first time; the watermark trails the first wave's newest.
+_WAVES = """
+landed AS (
+  SELECT run_id, concat('shop-', shop) AS merchant, CAST(page AS INT) AS page, http_status, fetched_at, CAST(n_bytes AS INT) AS n_bytes,
+    page % 5 = 0 AND fetched_at <= (SELECT max(fetched_at) FROM fact WHERE page % 5 <> 0) - INTERVAL 3 MINUTE AS late
+  FROM fact
+)"""
+ORACLE["stream_deduplicated"] = sql("SELECT * EXCLUDE (late) FROM landed WHERE NOT late", SHOP, _WAVES, base="registry")
+ORACLE["stream_late_pages"] = sql("SELECT run_id, merchant, page FROM landed WHERE late", SHOP, _WAVES, base="registry")

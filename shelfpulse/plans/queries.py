@@ -16,12 +16,15 @@ from shelfpulse.sources import registry as merchants
 from shelfpulse.sources import snapshot, store
 from shelfpulse.streaming import changes as change_stream
 from shelfpulse.streaming import ingest as page_stream
+from shelfpulse.streaming import landing
+from shelfpulse.streaming import state as state_stream
 
 # Fixed "now" of the given data, and the windows used with it.
 OBS_NOW = "2024-01-31 00:00:00"
 RUNS_NOW = "2001-01-01 00:00:00"
 DAYS = 14
 RUN_DAYS = 365
+STATE_DAYS = 0.5
 
 JSON_TEXT = {"ignoreNullFields": "false", **snapshot.JSON_OPTIONS}
 
@@ -422,7 +425,7 @@ def page_facts(t: Tables) -> DataFrame:
 
 
 def _accounted(t: Tables) -> tuple[DataFrame, DataFrame]:
-    pages = materialize(t.pages(), "landed")
+    pages = materialize(ingest.parsed(t.pages()), "landed")
     facts = materialize(ingest.page_facts(pages), "page-facts")
     return pages, ingest.derive_runs(facts, t.registry(), PAGE_PRODUCTS, starts=t.starts())
 
@@ -494,11 +497,15 @@ def stream_runs_split(t: Tables) -> DataFrame:
 
 @query
 def stream_regrade(t: Tables) -> DataFrame:
-    """Outcomes the stream stored, kept through a prune of the readings and a re-grading of the rest."""
+    """Outcomes the stream stored, kept through a prune of the readings; those of runs with readings left are spoilt first,
+    so that only a re-grading gives them back."""
     folder = _taken_in(t, "stream-regrade", F.col("page") % 2)
     store.prune_store(t.spark, f"{folder}/observations", "2024-02-15 00:50:00", DAYS)
-    left = store.read_observations(t.spark, f"{folder}/observations")
-    store.regrade_store(t.spark, f"{folder}/field_outcomes", left, page_stream.read_runs(t.spark, folder))
+    left, runs = store.read_observations(t.spark, f"{folder}/observations"), page_stream.read_runs(t.spark, folder)
+    outcomes = materialize(page_stream.read_outcomes(t.spark, folder).drop(store.RUN_DAY), "outcomes")
+    spoilt = outcomes.join(left.select("run_id").distinct(), "run_id", "left_semi").withColumn("count", F.col("count") + 1)
+    store.upsert_outcomes(t.spark, f"{folder}/field_outcomes", spoilt, runs)
+    store.regrade_store(t.spark, f"{folder}/field_outcomes", left, runs)
     return page_stream.read_outcomes(t.spark, folder).drop(store.RUN_DAY)
 
 
@@ -540,3 +547,97 @@ def stream_changes_late(t: Tables) -> DataFrame:
 def stream_changes_late_pruned(t: Tables) -> DataFrame:
     """The same after readings of more than two weeks were deleted: recorded changes stay."""
     return _detected(t, "stream-late-pruned", _with_late(), prune=True)
+
+
+def _in_steps() -> list[Column]:
+    day = F.dayofmonth("observed_at")
+    return [day <= 12, (day > 12) & (day <= 22), day > 22]
+
+
+def _by_state(t: Tables, name: str, steps: list[Column], keep_days: float | None = None) -> str:
+    """The folder of a detection by state, started anew after each of `steps` of the readings is stored."""
+    folder, readings = new_folder(t.spark, name), t.obs()
+    for number, step in enumerate(steps):
+        store.append_observations(readings.where(step), f"{folder}/observations", str(number))
+        state_stream.start_state_changes(
+            t.spark, f"{folder}/observations", f"{folder}/detected", f"{folder}/checkpoint", keep_days
+        ).awaitTermination()
+    return f"{folder}/detected"
+
+
+@query
+def stream_state_changes(t: Tables) -> DataFrame:
+    """Readings stored in three steps, changes detected by the state of each variant, restarted between them."""
+    found = state_stream.read_state_changes(t.spark, _by_state(t, "state-changes", _in_steps()))
+    return _ntz(found, "at").drop("id")
+
+
+@query
+def stream_state_changes_kept(t: Tables) -> DataFrame:
+    """The same with states kept for half a day: a longer pause starts a variant afresh."""
+    found = state_stream.read_state_changes(t.spark, _by_state(t, "state-kept", _in_steps(), STATE_DAYS))
+    return _ntz(found, "at").drop("id")
+
+
+@query
+def stream_state_late(t: Tables) -> DataFrame:
+    """Readings that come after a later one of their variant are told apart."""
+    late = state_stream.read_late(t.spark, _by_state(t, "state-late", _with_late()))
+    return _ntz(late, "observed_at")
+
+
+@query
+def stream_changes_compacted(t: Tables) -> DataFrame:
+    """Changes detected around a compaction of all days: the second step brings no reading twice."""
+    spark, folder, readings = t.spark, new_folder(t.spark, "stream-compacted"), t.obs()
+    path, odd = f"{folder}/observations", F.col("id") % 2 == 1
+    days = [row[0] for row in readings.select(F.to_date("observed_at").cast("string")).distinct().collect()]  # at most a month
+    early = F.dayofmonth("observed_at") <= 3
+    for number, step in enumerate([early & odd, early & ~odd, ~early]):
+        store.append_observations(readings.where(step), path, str(number))
+        if number == 1:
+            store.compact(spark, path, *days)
+        change_stream.start_changes(spark, path, f"{folder}/detected", f"{folder}/checkpoint").awaitTermination()
+    return _ntz(change_stream.read_changes(spark, f"{folder}/detected"), "at").drop("id")
+
+
+@query
+def compact_stored(t: Tables) -> DataFrame:
+    """Readings stored in three batches, every day compacted into one, read back with the batches that are left."""
+    folder = new_folder(t.spark, "compacted")
+    for part in range(3):
+        store.append_observations(t.obs().where(F.col("id") % 3 == part), folder, str(part))
+    days = [row[0] for row in store.read_observations(t.spark, folder).select(
+        F.col(store.OBSERVED_DAY).cast("string")).distinct().collect()]  # one for each day folder
+    store.compact(t.spark, folder, *days)
+    rows = store.read_observations(t.spark, folder)
+    per_day = rows.groupBy(store.OBSERVED_DAY).agg(F.count_distinct(store.BATCH).alias("batches"))
+    return _ntz(rows.join(per_day, store.OBSERVED_DAY).select(*STORED, "batches"), "observed_at")
+
+
+# Pages fetched this long before the newest one of earlier waves are late.
+PAGE_DELAY = "3 minutes"
+
+
+def _landed_twice(t: Tables) -> tuple[str, str]:
+    """Landing and output folder of pages that land in two waves, the second with all of the first again."""
+    folder = new_folder(t.spark, "landed-twice")
+    pages = materialize(store.evolve(t.pages(), PAGES), "landed")
+    for wave in (F.col("page") % 5 != 0, F.lit(True)):
+        pages.where(wave).unionByName(pages.where(wave & (F.col("page") == 1))).write.mode("append").parquet(f"{folder}/landing")
+        landing.start_deduplicated(
+            t.spark, f"{folder}/landing", f"{folder}/once", f"{folder}/checkpoint", PAGE_DELAY).awaitTermination()
+    return f"{folder}/landing", f"{folder}/once"
+
+
+@query
+def stream_deduplicated(t: Tables) -> DataFrame:
+    """Pages that landed several times, in one wave or two, let through once; late ones not."""
+    rows = t.spark.read.schema(PAGES).parquet(_landed_twice(t)[1])
+    return _ntz(rows.select(*landing.PAGE_KEY, "http_status", "fetched_at", F.octet_length("body").alias("n_bytes")), "fetched_at")
+
+
+@query
+def stream_late_pages(t: Tables) -> DataFrame:
+    """Pages that came too late to be told from copies."""
+    return landing.late_pages(t.spark, *_landed_twice(t))

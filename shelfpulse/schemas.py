@@ -41,31 +41,31 @@ _TYPES = {
 }
 
 
-def _struct(columns: str) -> T.StructType:
+def struct_of(columns: str) -> T.StructType:
     pairs = (column.split() for column in columns.split(","))
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
-REGISTRY = _struct(
+REGISTRY = struct_of(
     "slug string, name string, method string, base_url string, currency string,"
     " enabled boolean, method_rationale string"
 )
 
-PAGES = _struct(
+PAGES = struct_of(
     "run_id bigint, merchant string, page int, http_status int, body string, fetched_at timestamp"
 )
 
-RUNS = _struct(
+RUNS = struct_of(
     "id bigint, merchant string, method string, provider string, started_at timestamp,"
     " finished_at timestamp, ok int, http_status int, error string, products_seen bigint,"
     " variants_seen bigint, bytes bigint, duration_ms bigint, cost_usd double"
 )
 
-FIELD_OUTCOMES = _struct(
+FIELD_OUTCOMES = struct_of(
     "run_id bigint, merchant string, field string, status string, count bigint"
 )
 
-OBSERVATIONS = _struct(
+OBSERVATIONS = struct_of(
     "id bigint, run_id bigint, merchant string, product_ext_id string, variant_ext_id string,"
     " handle string, title string, variant_title string, vendor string, product_type string,"
     " sku string, price_raw string, price double, compare_at_raw string,"
@@ -74,7 +74,7 @@ OBSERVATIONS = _struct(
     " observed_at timestamp"
 )
 
-CHANGES = _struct(
+CHANGES = struct_of(
     "at timestamp, merchant string, variant_ext_id string, title string, variant_title string,"
     " kind string, from_value double, to_value double, from_text string, to_text string"
 )

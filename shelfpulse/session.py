@@ -73,6 +73,15 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder, in one step where the file system can."""
+    files, source = _folder(spark, path)
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    files.mkdirs(new.getParent())
+    if not files.rename(source, new):
+        raise OSError(f"cannot move {path} to {target}")
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/shelfpulse/{name}-{uuid.uuid4().hex}"
 

@@ -2,11 +2,15 @@
 
 Readings are partitioned by UTC day, so retention drops whole folders and its bound
 on the day prunes the rest; outcomes are partitioned by the day of their run, so re-grading
-replaces whole partitions in one committed job.
+replaces whole partitions in one committed job. Compaction and retention replace folders of
+readings behind one marker, so a job that dies leaves the readings as they were or as they should be.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +20,7 @@ from shelfpulse.operators import quality, retention
 from shelfpulse.schemas import (
     FIELD_OUTCOMES, OBSERVATIONS, OBSERVED_DAY, PAGES, RETENTION_DAYS, SERIES_KEY,
 )
-from shelfpulse.session import delete_folder, folder_exists, materialize, numbered, utc_day
+from shelfpulse.session import delete_folder, folder_exists, mark, move, numbered, subfolders, utc_day
 
 RUN_DAY = "run_date"
 BATCH = "batch"
@@ -58,28 +62,86 @@ def append_observations(observations: DataFrame, path: str, batch: str) -> None:
     _dynamic(ranged, path, OBSERVED_DAY, BATCH)
 
 
-def compact(spark: SparkSession, path: str, day: object) -> None:
-    """Rewrite one day's batches into one, in few files; readers see the old or the new files of each batch."""
-    rows = read_observations(spark, path).where(F.col(OBSERVED_DAY) == F.lit(day).cast("date"))
-    batches = [row[0] for row in rows.select(BATCH).distinct().collect()]
-    if len(batches) < 2:
-        return
-    into = max(batches, key=lambda batch: (len(batch), batch))
-    whole = materialize(rows.withColumn(BATCH, F.lit(into)), "compact")
-    _dynamic(whole.repartitionByRange(*SERIES_KEY, "observed_at"), path, OBSERVED_DAY, BATCH)
-    for batch in batches:
-        if batch != into:
-            delete_folder(spark, f"{path}/{OBSERVED_DAY}={day}/{BATCH}={batch}")
+# A rewritten batch carries this in its name, and in a column the batch that each row landed in.
+REWRITTEN = "rewritten-"
+LANDED = "landed_in"
+_STAGED, _COMMITTED = "_staged", "_committed"
+
+
+def _uncounted(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(day, batch) folders that do not count: rewritten ones not committed yet, and what committed ones replace."""
+    committed = subfolders(spark, f"{path}/{_COMMITTED}")
+    out = [(None, name) for name in subfolders(spark, f"{path}/{_STAGED}") if name not in committed]
+    for name in committed:
+        out += [(row[0], row[1]) for row in spark.read.schema(_REPLACED).json(f"{path}/{_COMMITTED}/{name}/replaced").collect()]
+    return out
+
+
+_REPLACED = "day string, batch string"
+
+
+def _replace(spark: SparkSession, path: str, kept: DataFrame | None, replaced: list[tuple[str, str]]) -> None:
+    """Put the rows `kept` in the place of the (day, batch) folders `replaced`, all in one step.
+
+    The new folders are announced as staged before they are written, so that no reader counts them. One marker,
+    written whole or not at all, makes them count and the replaced ones not; those are deleted after it. Dying
+    anywhere leaves the rows as before or as after that marker, and `finish` does the rest."""
+    name = f"{REWRITTEN}{uuid.uuid4().hex}"
+    mark(spark, f"{path}/{_STAGED}/{name}/_")
+    if kept is not None:
+        landed = F.coalesce(LANDED, BATCH)
+        rows = kept.withColumns({LANDED: landed, BATCH: F.lit(name)})
+        order = (OBSERVED_DAY, *SERIES_KEY, "observed_at")
+        ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+        ranged.write.mode("append").partitionBy(OBSERVED_DAY, BATCH).parquet(path)
+    draft = f"{path}/{_STAGED}/{name}/replaced"
+    spark.createDataFrame(replaced, _REPLACED).coalesce(1).write.mode("overwrite").json(draft)
+    move(spark, draft, f"{path}/{_COMMITTED}/{name}/replaced")
+    finish(spark, path)
+
+
+def finish(spark: SparkSession, path: str) -> None:
+    """Delete what committed rewrites replaced and what never was committed; repeating it is harmless."""
+    committed = subfolders(spark, f"{path}/{_COMMITTED}")
+    for name in committed:
+        for row in spark.read.schema(_REPLACED).json(f"{path}/{_COMMITTED}/{name}/replaced").collect():
+            delete_folder(spark, f"{path}/{OBSERVED_DAY}={row.day}/{BATCH}={row.batch}")
+        delete_folder(spark, f"{path}/{_STAGED}/{name}")
+        delete_folder(spark, f"{path}/{_COMMITTED}/{name}")
+    for name in subfolders(spark, f"{path}/{_STAGED}"):
+        for day in subfolders(spark, path):
+            if day.startswith(f"{OBSERVED_DAY}="):
+                delete_folder(spark, f"{path}/{day}/{BATCH}={name}")
+        delete_folder(spark, f"{path}/{_STAGED}/{name}")
+
+
+def compact(spark: SparkSession, path: str, *days: object) -> None:
+    """Rewrite the batches of each day into one, in few files, sorted by series; nothing else may rewrite meanwhile."""
+    finish(spark, path)
+    rows = _counted(spark, path).where(F.col(OBSERVED_DAY).isin([F.lit(str(day)).cast("date") for day in days]))
+    folders = rows.select(F.col(OBSERVED_DAY).cast("string").alias("day"), BATCH).distinct().collect()  # one for each folder
+    several = {day for day, count in Counter(f.day for f in folders).items() if count > 1}
+    if several:
+        kept = rows.where(F.col(OBSERVED_DAY).isin([F.lit(day).cast("date") for day in sorted(several)]))
+        _replace(spark, path, kept, [(f.day, f[BATCH]) for f in folders if f.day in several])
 
 
 def stored_observations() -> T.StructType:
-    days = [T.StructField(OBSERVED_DAY, T.DateType()), T.StructField(BATCH, T.StringType())]
-    return T.StructType([*OBSERVATIONS.fields, *days])
+    own = [T.StructField(LANDED, T.StringType()), T.StructField(OBSERVED_DAY, T.DateType()), T.StructField(BATCH, T.StringType())]
+    return T.StructType([*OBSERVATIONS.fields, *own])
+
+
+def _counted(spark: SparkSession, path: str) -> DataFrame:
+    rows = spark.read.schema(stored_observations()).parquet(path)
+    for day, batch in _uncounted(spark, path):  # none, but while a rewrite goes on or after one that died
+        there = F.col(BATCH) == batch
+        rows = rows.where(~(there if day is None else there & (F.col(OBSERVED_DAY) == F.lit(day).cast("date"))))
+    return rows
 
 
 def read_observations(spark: SparkSession, path: str) -> DataFrame:
     """All readings; files written before a column existed read as null there."""
-    return spark.read.schema(stored_observations()).parquet(path)
+    return _counted(spark, path).drop(LANDED)
 
 
 def _dynamic(df: DataFrame, path: str, *partition: str) -> None:
@@ -149,11 +211,12 @@ def prune_store(
 ) -> dict[str, int]:
     """Delete readings older than the cutoff; returns total, doomed and kept.
 
-    Whole days and batches go by folder; only the day of the cutoff is rewritten.
+    Whole days and batches go by folder; only the day of the cutoff is rewritten, and all of it counts at once.
     `boundary` keeps the newest deleted reading of each variant, which change detection
     needs to place a late reading.
     """
-    stored = read_observations(spark, path)
+    finish(spark, path)
+    stored = _counted(spark, path)
     counts = retention.plan(stored, as_of, days).first().asDict()
     if dry_run or counts["doomed"] == 0:
         return counts
@@ -162,16 +225,17 @@ def prune_store(
         F.col(OBSERVED_DAY) <= utc_day(retention.cutoff(stored, as_of, days))
     )
     if boundary is not None:
-        _keep_boundary(spark, boundary, expired.where(doomed))
+        _keep_boundary(spark, boundary, expired.where(doomed).drop(LANDED))
     folders = (
         expired.groupBy(F.col(OBSERVED_DAY).cast("string").alias(OBSERVED_DAY), BATCH)
         .agg(F.count_if(doomed).alias("doomed"), F.count_if(~doomed).alias("kept"))
         .where("doomed > 0")
         .collect()  # one row per day folder and batch
     )
-    if any(f["kept"] for f in folders):
-        _dynamic(expired.where(~doomed), path, OBSERVED_DAY, BATCH)
-    for f in folders:
-        if not f["kept"]:
-            delete_folder(spark, f"{path}/{OBSERVED_DAY}={f[OBSERVED_DAY]}/{BATCH}={f[BATCH]}")
+    partly = [f for f in folders if f["kept"]]
+    left = None
+    if partly:
+        of_them = F.concat_ws("/", F.col(OBSERVED_DAY).cast("string"), BATCH).isin([f"{f[OBSERVED_DAY]}/{f[BATCH]}" for f in partly])
+        left = expired.where(~doomed & of_them)
+    _replace(spark, path, left, [(f[OBSERVED_DAY], f[BATCH]) for f in folders])
     return counts

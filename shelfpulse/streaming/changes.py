@@ -8,7 +8,8 @@ stay, and so do those that readings deleted since cannot rebuild: the newest del
 a variant (see `store.prune_store`) leads its stored ones, and a late reading older than that
 changes nothing; it is put aside.
 All results are written under the batch number, so repeating a batch after a
-failure replaces its output instead of adding to it.
+failure replaces its output instead of adding to it. Files that compaction or retention wrote
+again are no news: their rows say which batch they landed in.
 """
 
 from __future__ import annotations
@@ -146,6 +147,21 @@ def _detect(
             delete_folder(spark, _bucket_folder(folder, old, b))
 
 
+def unseen(readings: DataFrame, epoch: int, folder: str) -> DataFrame:
+    """Readings of batches that no earlier epoch took in, and notes down theirs.
+
+    Compaction and retention write rows again under a new batch; each row still says which it landed in."""
+    spark = readings.sparkSession
+    landed = F.coalesce(store.LANDED, store.BATCH)
+    path = f"{folder}/seen"
+    names = readings.select(landed.alias("landed"), store.OBSERVED_DAY).distinct()
+    names.write.mode("overwrite").parquet(f"{path}/{EPOCH}={epoch}")
+    before = spark.read.parquet(path).where(F.col(EPOCH) < epoch).select("landed", store.OBSERVED_DAY).distinct()
+    rewritten = readings.where(F.col(store.BATCH).startswith(store.REWRITTEN)).withColumn("landed", landed)
+    fresh = rewritten.join(before, ["landed", store.OBSERVED_DAY], "left_anti").select(*readings.columns)
+    return readings.where(~F.col(store.BATCH).startswith(store.REWRITTEN)).unionByName(fresh)
+
+
 def start_changes(
     spark: SparkSession,
     readings_path: str,
@@ -162,7 +178,8 @@ def start_changes(
     """
 
     def detect(observations: DataFrame, epoch: int) -> None:
-        detect_batch(observations, epoch, readings_path, folder, keep_days, max_rows, boundary)
+        news = unseen(observations, epoch, folder)
+        detect_batch(news, epoch, readings_path, folder, keep_days, max_rows, boundary)
 
     stored = spark.readStream.schema(store.stored_observations()).parquet(readings_path)
     return (
