@@ -1,10 +1,13 @@
-"""Table rules, checked as data: every broken rule comes back as a row."""
+"""Table rules, checked as data: every broken rule comes back as a row.
+
+Each table is read once: one grouping over several sets of columns counts its keys, what it refers to and its nulls.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfpulse.operators.quality import OUTCOME_KEY
@@ -17,52 +20,52 @@ REQUIRED = {
 }
 
 
-def _violation(table: str, rule: str, key, rows) -> list:
-    return [
-        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"),
-        key.cast("string").alias("key"), rows.cast("bigint").alias("n_rows"),
-    ]
+KEYS = {"runs": ("id",), "field_outcomes": OUTCOME_KEY, "observations": ("run_id", "id")}
+# A run id that a table refers to, and one that there is.
+REFERS, KNOWN = "run", "known"
 
 
-def missing_values(df: DataFrame, table: str) -> DataFrame:
-    """Required columns holding nulls, all counted in one pass."""
+def _counted(df: DataFrame, table: str) -> DataFrame:
+    """(table_name, rule, key, n_rows) of what breaks a rule in `df`, and of the run ids it holds or refers to."""
+    key = KEYS[table]
     present = [c for c in REQUIRED[table] if c in df.columns]
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in present])
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("nulls")) for c in present]))
-    found = counts.select(pairs.alias("found")).where("found.nulls > 0")
-    return found.select(*_violation(table, "required", F.col("found.name"), F.col("found.nulls")))
-
-
-def duplicate_keys(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame:
-    repeated = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return repeated.select(*_violation(table, "unique", F.concat_ws("|", *key), F.col("n")))
-
-
-def unknown_statuses(outcomes: DataFrame) -> DataFrame:
-    bad = outcomes.where(~F.col("status").isin(*STATUSES)).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-    return bad.select(*_violation("field_outcomes", "status", F.col("status"), F.col("n")))
-
-
-def unknown_runs(df: DataFrame, table: str, runs: DataFrame) -> DataFrame:
-    """Run ids without a run; counted per id first, so the join sees each id once."""
-    ids = df.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"))
-    orphans = ids.join(runs.select(F.col("id").alias("run_id")), "run_id", "left_anti")
-    return orphans.select(*_violation(table, "run", F.col("run_id"), F.col("n")))
+    sets: dict[str, Sequence[str]] = {"unique": key, "nulls": ()}
+    if table != "runs":
+        sets[REFERS] = ("run_id",)
+    if "status" in key:
+        sets["status"] = ("status",)
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in present]
+    counted = df.groupingSets([list(columns) for columns in sets.values()], *key).agg(
+        F.grouping_id().alias("level"), F.count(F.lit(1)).alias("n"), *nulls)
+
+    def at(name: str) -> Column:
+        absent = sum(1 << place for place, c in enumerate(reversed(key)) if c not in sets[name])
+        return F.col("level") == absent
+
+    def row(when: Column, rule: str, told: Column, rows: Column) -> Column:
+        return F.when(when, F.struct(F.lit(rule).alias("rule"), told.cast("string").alias("key"), rows.cast("bigint").alias("n_rows")))
+
+    n, joined = F.col("n"), F.concat_ws("|", *key)
+    found = [row(at("unique") & (n > 1), "unique", joined, n)]
+    found += [row(at("nulls") & (F.col(f"null_{c}") > 0), "required", F.lit(c), F.col(f"null_{c}")) for c in present]
+    if REFERS in sets:
+        found.append(row(at(REFERS), REFERS, F.col("run_id"), n))
+    else:
+        found.append(row(at("unique"), KNOWN, F.col("id"), n))
+    if "status" in sets:
+        found.append(row(at("status") & ~F.col("status").isin(*STATUSES), "status", F.col("status"), n))
+    return counted.select(F.lit(table).alias("table_name"), F.explode(F.array_compact(F.array(*found))).alias("found")).select(
+        "table_name", "found.*")
 
 
 def violations(runs: DataFrame, outcomes: DataFrame, observations: DataFrame) -> DataFrame:
-    checks = [
-        missing_values(runs, "runs"),
-        missing_values(outcomes, "field_outcomes"),
-        missing_values(observations, "observations"),
-        duplicate_keys(runs, "runs", ["id"]),
-        duplicate_keys(outcomes, "field_outcomes", OUTCOME_KEY),
-        duplicate_keys(observations, "observations", ["run_id", "id"]),
-        unknown_statuses(outcomes),
-        unknown_runs(outcomes, "field_outcomes", runs),
-        unknown_runs(observations, "observations", runs),
-    ]
-    found = checks[0]
-    for check in checks[1:]:
-        found = found.unionByName(check)
-    return found
+    """What every rule finds in the three tables. Run ids that are held and referred to meet in one grouping."""
+    rows = _counted(runs, "runs").unionByName(_counted(outcomes, "field_outcomes")).unionByName(
+        _counted(observations, "observations"))
+    of_runs = F.col("rule").isin(REFERS, KNOWN)
+    whose = F.when(of_runs, REFERS).otherwise(F.concat_ws("|", "table_name", "rule"))
+    known = F.max((F.col("rule") == KNOWN) & F.col("key").isNotNull())
+    entry = F.struct("table_name", "rule", "n_rows")  # a key has one row for each of three tables at most
+    met = rows.groupBy(whose.alias("whose"), "key").agg(known.alias("is_known"), F.collect_list(entry).alias("entries"))
+    broken = met.where(~((F.col("whose") == REFERS) & F.col("is_known"))).select("key", F.explode("entries").alias("entry"))
+    return broken.where(F.col("entry.rule") != KNOWN).select("entry.table_name", "entry.rule", "key", "entry.n_rows")

@@ -63,6 +63,12 @@ def run_summary(outcomes: DataFrame) -> DataFrame:
     return summarise(outcomes, "run_id", "merchant").where("total > 0")
 
 
+def run_summary_in_order(outcomes: DataFrame) -> DataFrame:
+    """The same with each field's `place` in its run, the least reliable first."""
+    in_run = Window.partitionBy("run_id", "merchant").orderBy(*least_reliable_first())
+    return run_summary(outcomes).withColumn("place", F.row_number().over(in_run))
+
+
 def field_quality(outcomes: DataFrame) -> DataFrame:
     """Whole history per merchant and field."""
     return summarise(outcomes, "merchant")

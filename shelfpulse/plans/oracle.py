@@ -627,3 +627,49 @@ landed AS (
 )"""
 ORACLE["stream_deduplicated"] = sql("SELECT * EXCLUDE (late) FROM landed WHERE NOT late", SHOP, _WAVES, base="registry")
 ORACLE["stream_late_pages"] = sql("SELECT run_id, merchant, page FROM landed WHERE late", SHOP, _WAVES, base="registry")
+
+ORACLE["published_runs_in_order"] = sql(
+    "SELECT id, merchant, started_at, ROW_NUMBER() OVER (ORDER BY started_at, id) AS place FROM evruns", base="ev obs evruns")
+ORACLE["published_fields_in_order"] = f"""
+SELECT merchant, field, rate, ROW_NUMBER() OVER (ORDER BY merchant, rate, field) AS place FROM ({ORACLE['field_quality_all']}) q"""
+ORACLE["published_changes_in_order"] = f"""
+SELECT "at", merchant AS m, variant_ext_id AS v, kind,
+  ROW_NUMBER() OVER (ORDER BY "at" DESC, merchant, variant_ext_id, kind) AS place FROM ({ORACLE['snapshot_changes']}) c"""
+ORACLE["run_fields_in_order"] = f"""
+SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY run_id, merchant ORDER BY rate, field) AS INT) AS place
+FROM ({ORACLE['run_tally_summary']}) s"""
+
+# The merchants of readings and runs together, in alphabetical order; beyond 26 they are numbered.
+_NAMES = """
+named AS (
+  SELECT merchant AS name, ROW_NUMBER() OVER (ORDER BY merchant) AS n
+  FROM (SELECT merchant FROM obs UNION SELECT merchant FROM runs) m
+),
+shown AS (
+  SELECT name, CASE WHEN n <= 26 THEN concat('merchant-', chr(CAST(64 + n AS INT))) ELSE concat('merchant-', n) END AS label FROM named
+)"""
+
+
+def _written(section: str, order: str, *parts: str) -> str:
+    return sql(
+        f"""SELECT * EXCLUDE (name, label) REPLACE (label AS merchant), ROW_NUMBER() OVER (ORDER BY {order}) AS place
+FROM ({section}) s JOIN shown ON name = s.merchant""", *parts, _NAMES, base="ev obs evruns runs readings")
+
+
+ORACLE["report_reliability_written"] = _written(RELIABLE.format(where=RUN_WINDOW), "label")
+ORACLE["report_fields_written"] = _written(FIELD_WINDOW, "label, rate, field", TALLY)
+ORACLE["report_changes_written"] = _written(
+    "SELECT * EXCLUDE (moved, flipped) FROM diff", "label, price_delta DESC, variant_ext_id", DIFF)
+ORACLE["report_snapshots_written"] = _written(
+    "SELECT merchant, COUNT(DISTINCT observed_at) AS snaps, COUNT(DISTINCT observed_at) > 1 AS comparable FROM obs GROUP BY merchant",
+    "label")
+ORACLE["snapshot_counts_by_window"] = sql(
+    " UNION ALL ".join(
+        f"""SELECT merchant, COUNT(DISTINCT observed_at) AS snaps, COUNT(DISTINCT observed_at) > 1 AS comparable, CAST({days} AS INT) AS days
+FROM obs_day WHERE {since} GROUP BY merchant"""
+        for days, since in ((7, "observed_at >= TIMESTAMP '2024-01-24 00:00:00'"), (14, KEPT), ("NULL", "TRUE"))),
+    base="ev obs obs_day")
+ORACLE["field_quality_maintained"] = ORACLE["field_quality_all"]
+ORACLE["bucketed_history"] = ORACLE["change_history"]
+ORACLE["bucketed_latest_diff"] = ORACLE["latest_diff"]
+ORACLE["bucketed_latest"] = sql(f"SELECT {STORED.format(image='image_url')} FROM latest", LATEST.format(source="obs"), base="ev obs")

@@ -13,7 +13,7 @@ from shelfpulse.plans.fixtures import PAGE_PRODUCTS, Tables
 from shelfpulse.schemas import FIELDS, OBSERVATIONS, PAGES, RUNS
 from shelfpulse.session import materialize, new_folder
 from shelfpulse.sources import registry as merchants
-from shelfpulse.sources import snapshot, store
+from shelfpulse.sources import maintained, snapshot, store
 from shelfpulse.streaming import changes as change_stream
 from shelfpulse.streaming import ingest as page_stream
 from shelfpulse.streaming import landing
@@ -25,6 +25,7 @@ RUNS_NOW = "2001-01-01 00:00:00"
 DAYS = 14
 RUN_DAYS = 365
 STATE_DAYS = 0.5
+SERIES_BUCKETS = 8
 
 JSON_TEXT = {"ignoreNullFields": "false", **snapshot.JSON_OPTIONS}
 
@@ -641,3 +642,122 @@ def stream_deduplicated(t: Tables) -> DataFrame:
 def stream_late_pages(t: Tables) -> DataFrame:
     """Pages that came too late to be told from copies."""
     return landing.late_pages(t.spark, *_landed_twice(t))
+
+
+# --- orders, read back from what was written ----------------------------------
+
+def _places(t: Tables, section: str, like: DataFrame) -> DataFrame:
+    return snapshot.in_file_order(t.spark, f"{_published(t)}/{section}", like.schema)
+
+
+@query
+def published_runs_in_order(t: Tables) -> DataFrame:
+    """Runs by their start, as published."""
+    rows = _places(t, "snapshot/runs", store.evolve(t.evruns(), RUNS).select(*snapshot.RUN_COLUMNS))
+    return _ntz(rows.select("id", "merchant", "started_at", "place"), "started_at")
+
+
+@query
+def published_fields_in_order(t: Tables) -> DataFrame:
+    """Fields by merchant, the least reliable first, as published."""
+    return _places(t, "snapshot/fields", quality.field_quality(quality.tally(t.obs()))).select("merchant", "field", "rate", "place")
+
+
+@query
+def published_changes_in_order(t: Tables) -> DataFrame:
+    """Changes, the newest first, as published."""
+    short = [F.col(c).alias(snapshot.CHANGE_NAMES.get(c, c)) for c in ("at", "merchant", "variant_ext_id", "kind")]
+    rows = _places(t, "snapshot/changes", _ntz(changes.history(t.obs()), "at").select(
+        F.col("at").cast("timestamp").alias("at"), *short[1:]))
+    return _ntz(rows, "at")
+
+
+@query
+def run_fields_in_order(t: Tables) -> DataFrame:
+    """The fields of each run, the least reliable first."""
+    return quality.run_summary_in_order(quality.tally(t.obs()))
+
+
+def _report(t: Tables, section: str) -> DataFrame:
+    """A section of the written report with its rows' places, merchants' names replaced."""
+    folder, runs, tallied = new_folder(t.spark, "report"), t.runs(), quality.tally(t.obs())
+    sections = snapshot.report_sections(runs, tallied, t.obs(), RUNS_NOW, RUN_DAYS)
+    sections["fields"] = quality.field_quality_window(tallied, t.evruns(), OBS_NOW, DAYS)
+    names = t.obs().select("merchant").unionByName(runs.select("merchant"))
+    snapshot.write_report(folder, sections, report.merchant_labels(names))
+    return snapshot.in_file_order(t.spark, f"{folder}/{section}", sections[section].schema)
+
+
+@query
+def report_reliability_written(t: Tables) -> DataFrame:
+    return _report(t, "reliability")
+
+
+@query
+def report_fields_written(t: Tables) -> DataFrame:
+    return _report(t, "fields")
+
+
+@query
+def report_changes_written(t: Tables) -> DataFrame:
+    return _report(t, "changes")
+
+
+@query
+def report_snapshots_written(t: Tables) -> DataFrame:
+    return _report(t, "snapshots")
+
+
+# --- figures kept up to date ----------------------------------------------------
+
+@query
+def snapshot_counts_by_window(t: Tables) -> DataFrame:
+    """Snapshots of the last week, the last two and all time, from bitmaps stored batch by batch."""
+    folder, readings = new_folder(t.spark, "bitmaps"), t.obs_day()
+    for part in range(3):
+        maintained.record_snapshots(readings.where(F.col("id") % 3 == part), folder, str(part))
+    now = F.lit(OBS_NOW).cast("date")
+    windows = [maintained.snapshot_counts(t.spark, folder, None if days is None else F.date_sub(now, days)).withColumn(
+        "days", F.lit(days).cast("int")) for days in (7, DAYS, None)]
+    return windows[0].unionByName(windows[1]).unionByName(windows[2])
+
+
+@query
+def field_quality_maintained(t: Tables) -> DataFrame:
+    """Sums kept through two batches, the first graded wrongly, a prune of the readings and a re-grade."""
+    spark, folder = t.spark, new_folder(t.spark, "maintained")
+    sums, outcomes, path, runs = f"{folder}/sums", f"{folder}/outcomes", f"{folder}/observations", t.evruns().withColumn("ok", F.lit(1))
+    even = F.col("run_id") % 2 == 0
+    for step, part in enumerate((even, ~even)):
+        store.append_observations(t.obs().where(part), path, str(step))
+        graded = quality.tally(t.obs().where(part))
+        wrong = graded.withColumn("count", F.col("count") + 3) if step == 0 else graded
+        store.upsert_outcomes(spark, outcomes, wrong, runs)
+        maintained.record_outcomes(wrong, sums, f"batch-{step}")
+    before = store.read_outcomes(spark, outcomes).where(even)
+    again = quality.tally(store.read_observations(spark, path).where(even))
+    maintained.record_outcomes(again, sums, "regrade", before)
+    store.prune_store(spark, path, OBS_NOW, DAYS)
+    return maintained.field_quality(spark, sums)
+
+
+# --- readings bucketed by series --------------------------------------------------
+
+def _series(t: Tables) -> DataFrame:
+    folder = new_folder(t.spark, "series")
+    return store.save_series(t.obs(), folder.rpartition("/")[2].replace("-", "_"), folder, SERIES_BUCKETS)
+
+
+@query
+def bucketed_history(t: Tables) -> DataFrame:
+    return _ntz(changes.history(_series(t)), "at").drop("id")
+
+
+@query
+def bucketed_latest_diff(t: Tables) -> DataFrame:
+    return changes.latest_diff(_series(t))
+
+
+@query
+def bucketed_latest(t: Tables) -> DataFrame:
+    return _ntz(catalogue.latest_readings(_series(t)).select(STORED), "observed_at")

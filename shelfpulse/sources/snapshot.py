@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfpulse.operators import catalogue, changes, quality, report
+from shelfpulse.operators.ranking import placed
 from shelfpulse.schemas import CHANGES, SCHEMA_VERSION
 from shelfpulse.session import delete_folder, folder_exists, mark, materialize, numbered, scratch
 from shelfpulse.sources.registry import published
@@ -137,7 +138,7 @@ def publish(
 
         write_json(about, f"{record}/meta")
         write_json(published(registry), f"{record}/merchants")
-        write_json(runs.select(*RUN_COLUMNS).orderBy("started_at"), f"{record}/runs")
+        write_json(runs.select(*RUN_COLUMNS).orderBy("started_at", "id"), f"{record}/runs")
         fields = quality.field_quality(outcomes)
         write_json(fields.orderBy("merchant", *quality.least_reliable_first()), f"{record}/fields")
         write_changes(merged, f"{record}/changes")
@@ -152,6 +153,14 @@ def publish(
     return target
 
 
+def in_file_order(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """The rows of a published section with their `place`, as a reader meets them file by file and line by line."""
+    rows = spark.read.schema(schema).options(**JSON_OPTIONS).json(folder).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_line"))
+    return placed(rows, "_file", "_start", "_line").drop("_file", "_start", "_line")
+
+
 def report_sections(
     runs: DataFrame, outcomes: DataFrame, observations: DataFrame, as_of: object = None, days: float = 0
 ) -> dict[str, DataFrame]:

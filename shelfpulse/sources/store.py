@@ -150,6 +150,14 @@ def _dynamic(df: DataFrame, path: str, *partition: str) -> None:
     writer.partitionBy(*partition).parquet(path)
 
 
+def save_series(observations: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
+    """Readings as a table bucketed by series and sorted in it: history, latest and difference need no exchange of it."""
+    rows = evolve(typed_prices(observations), OBSERVATIONS).repartition(buckets, *SERIES_KEY)
+    writer = rows.write.mode("overwrite").bucketBy(buckets, *SERIES_KEY).sortBy(*SERIES_KEY, "observed_at", "id")
+    writer.format("parquet").option("path", path).saveAsTable(table)
+    return observations.sparkSession.table(table)
+
+
 def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
     stored = T.StructType([*FIELD_OUTCOMES.fields, T.StructField(RUN_DAY, T.DateType())])
     return spark.read.schema(stored).parquet(path)
