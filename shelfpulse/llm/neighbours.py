@@ -1,17 +1,20 @@
 """Approximate nearest neighbours by largest inner product: a small-world graph hierarchy per shard.
 
-Vectors are dealt to shards of about `SHARD` distinct vectors by a hash of the vector. Each shard gets a hierarchical
-navigable small-world graph, kept as flat neighbour arrays, one table row per shard. Inner products become angles by one
-more coordinate that gives all vectors of a shard the same length, so the graph is one of true neighbours. Queries
-go in blocks against every shard; each shard returns its best, scored in double precision, and the shards' results
-are merged. All vectors are indexed; all rows take part.
+Vectors are dealt to bands of length, each from one power of two to the next, and within a band to shards of about
+`SHARD` distinct vectors by a hash of the vector. Each shard gets a hierarchical navigable small-world graph, kept as
+flat neighbour arrays, one table row per shard. Inner products become angles by one more coordinate that gives all
+vectors of a shard the same length, so the graph is one of true neighbours; as no vector of a shard is twice as long as
+another, that coordinate never drowns the rest. Queries go in blocks to every shard, which stays in one task and is
+loaded once; each shard returns its best, scored in double precision, and the shards' results are merged. All vectors
+are indexed; all rows take part. The index is shuffled once; queries, a part of the rows, once for each shard.
 
 Equal vectors are one node that carries its smallest ids (one more than asked for, which is all that a result can
 hold), so thousands of copies neither fill a shard nor cut the graph off.
 
 Vectors that are null, zero or hold null or non-finite components take no part, nor do rows with a null id; only
 vectors of one dimension are compared. Rows equal in id count once, of different vectors under one id the smallest
-counts. An empty table gives an empty result. Other columns are ignored.
+counts. Products beyond the doubles are infinite, and those without a value come last. An empty table gives an empty
+result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -172,10 +175,18 @@ class Graph:
             for s in range(0, len(queries), LANES))])
 
 
+def directions(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each vector over its largest entry, and that entry; their squares stay within the doubles."""
+    most = np.abs(vectors).max(1, keepdims=True, initial=0)
+    return vectors / np.where(most > 0, most, 1), most[:, 0]
+
+
 def one_length(vectors: np.ndarray) -> np.ndarray:
     """Single precision, scaled to at most 1, with one more coordinate that makes every length 1."""
-    size = np.sqrt((vectors * vectors).sum(1))
-    scaled = vectors / max(size.max(initial=0), 1e-300)
+    part, most = directions(vectors)
+    largest = most.max(initial=0)
+    part *= (most / largest)[:, None]
+    scaled = part / max(np.sqrt((part * part).sum(1)).max(initial=0), 1e-300)
     rest = np.sqrt(np.maximum(0, 1 - (scaled * scaled).sum(1)))
     return np.ascontiguousarray(np.column_stack([scaled, rest]), np.float32)
 
@@ -188,6 +199,13 @@ def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
         "vec_id").agg(F.min("vec").alias("vec"))
 
 
+def _band(vector: str) -> F.Column:
+    """The power of two that a vector's length lies above."""
+    most = F.array_max(F.transform(vector, F.abs))
+    share = F.aggregate(vector, F.lit(0.0), lambda total, x: total + (x / most) * (x / most))
+    return F.floor(F.log2(most) + F.log2(share) / 2).cast("int")
+
+
 INDEX = "dim int, shard long, size long, vectors binary, ids binary, first binary, layers binary, links binary"
 
 
@@ -197,12 +215,17 @@ def build_index(vectors: DataFrame, nearest: int) -> DataFrame:
     same = Window.partitionBy("vec").orderBy("vec_id")
     held = vectors.withColumn("place", F.row_number().over(same)).where(F.col("place") <= nearest + 1)
     held = materialize(held, "vectors")
-    shards = {row["dim"]: max(1, -(-row["n"] // SHARD)) for row in held.where("place = 1").groupBy(
-        F.size("vec").alias("dim")).agg(F.count("*").alias("n")).collect()}
-    if not shards:
+    told = held.withColumn("dim", F.size("vec")).withColumn("band", _band("vec"))
+    start: dict[int, int] = {}
+    bands = []  # one for each power of two of a dimension, shards numbered on from band to band
+    for row in told.where("place = 1").groupBy("dim", "band").agg(F.count("*").alias("n")).orderBy("dim", "band").collect():
+        count = -(-row["n"] // SHARD)
+        bands.append((row["dim"], row["band"], start.get(row["dim"], 0), count))
+        start[row["dim"]] = start.get(row["dim"], 0) + count
+    if not bands:
         return spark.createDataFrame([], INDEX)
-    count = F.create_map(*(F.lit(x) for pair in shards.items() for x in pair))
-    dealt = held.withColumn("dim", F.size("vec")).withColumn("shard", F.pmod(F.xxhash64("vec"), count[F.col("dim")]))
+    dealt = told.join(spark.createDataFrame(bands, "dim int, band int, start long, shards long"), ["dim", "band"]).withColumn(
+        "shard", F.col("start") + F.pmod(F.xxhash64("vec"), F.col("shards")))
 
     def make(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id", kind="stable")
@@ -220,7 +243,7 @@ def build_index(vectors: DataFrame, nearest: int) -> DataFrame:
                 np.int32).tobytes(),
         }])
 
-    return dealt.groupBy("dim", "shard").applyInPandas(make, INDEX)
+    return dealt.select("vec_id", "vec", "dim", "shard").groupBy("dim", "shard").applyInPandas(make, INDEX)
 
 
 def load(row: dict) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
@@ -255,15 +278,20 @@ def search(index: DataFrame, queries: DataFrame, nearest: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in (batch.slice(n, 1).to_pylist()[0] for n in range(batch.num_rows)):
-                graph, vectors, ids, first = load(row)
+                if row["asked"] is None:  # a shard; the blocks that ask it follow
+                    graph, vectors, ids, first = load(row)
+                    continue
                 asked = np.frombuffer(row["asked"], np.int64)
                 wanted = np.frombuffer(row["wanted"]).reshape(len(asked), row["dim"])
-                size = np.sqrt((wanted * wanted).sum(1, keepdims=True))
-                found = graph.search(np.column_stack([wanted / size, np.zeros(len(asked))]).astype(np.float32), max(SEARCH_WIDTH, 2 * nearest))
+                part = directions(wanted)[0]
+                part = part / np.sqrt((part * part).sum(1, keepdims=True))
+                found = graph.search(np.column_stack([part, np.zeros(len(asked))]).astype(np.float32), max(SEARCH_WIDTH, 2 * nearest))
                 best = []
                 for query, vector, nodes in zip(asked, wanted, found, strict=True):
                     nodes = nodes[nodes >= 0]
-                    score = (vectors[nodes] * vector).sum(1)
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        score = (vectors[nodes] * vector).sum(1)
+                    score[np.isnan(score)] = -np.inf
                     order = np.argsort(-score, kind="stable")
                     edge = score[order[min(nearest, len(order) - 1)]]  # all that tie with the last one stay
                     nodes, score = nodes[order], score[order]
@@ -275,13 +303,13 @@ def search(index: DataFrame, queries: DataFrame, nearest: int) -> DataFrame:
                     [pa.array(asked), pa.array(best, pa.list_(pa.struct([("low", pa.float64()), ("vec_id", pa.int64())])))],
                     names=["query_id", "best"])
 
-    # A key for every pair of shard and block, so that none holds more of the index than one shard.
     shards = {row["dim"]: row["n"] for row in index.groupBy("dim").agg((F.max("shard") + 1).alias("n")).collect()}
-    most = F.create_map(*(F.lit(x) for pair in (shards or {0: 1}).items() for x in pair))
-    met = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), count[F.col("dim")].cast("long") - 1)))
-    asking = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), most[F.col("dim")].cast("long") - 1)))
-    pairs = met.join(asking.hint("merge"), ["dim", "shard", "block"])
-    found = pairs.mapInArrow(run, "query_id long, best array<struct<low:double,vec_id:long>>")
+    most = F.create_map(*(F.lit(x) for pair in (shards or {-1: 0}).items() for x in pair))
+    asking = blocks.where(F.col("dim").isin(list(shards))).withColumn(
+        "shard", F.explode(F.sequence(F.lit(0).cast("long"), most[F.col("dim")].cast("long") - 1)))
+    both = index.unionByName(asking, allowMissingColumns=True)
+    dealt_out = both.repartition("dim", "shard").sortWithinPartitions("dim", "shard", F.asc_nulls_first("block"))
+    found = dealt_out.mapInArrow(run, "query_id long, best array<struct<low:double,vec_id:long>>")
     merged = found.groupBy("query_id").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, nearest).alias("best"))
     return merged.select("query_id", F.posexplode("best").alias("place", "hit")).select(
         "query_id", (F.col("place") + 1).alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.low")).alias("score"))
