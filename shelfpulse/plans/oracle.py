@@ -673,3 +673,9 @@ ORACLE["field_quality_maintained"] = ORACLE["field_quality_all"]
 ORACLE["bucketed_history"] = ORACLE["change_history"]
 ORACLE["bucketed_latest_diff"] = ORACLE["latest_diff"]
 ORACLE["bucketed_latest"] = sql(f"SELECT {STORED.format(image='image_url')} FROM latest", LATEST.format(source="obs"), base="ev obs")
+ORACLE["evolve_stored"] = sql(
+    f"SELECT {STORED.format(image='CASE WHEN id % 2 = 1 THEN image_url END')} FROM obs", base="ev obs")
+ORACLE["regrade_few_stored"] = sql(
+    """SELECT * FROM oldout WHERE run_id NOT IN (SELECT run_id FROM replaced WHERE run_id % 7 = 0)
+UNION ALL SELECT o.run_id, r.merchant, o.field, o.status, o.count FROM outcomes o JOIN replaced r ON r.run_id = o.run_id
+WHERE o.run_id % 7 = 0""", REGRADED, base="ev obs evruns oldout")

@@ -761,3 +761,27 @@ def bucketed_latest_diff(t: Tables) -> DataFrame:
 @query
 def bucketed_latest(t: Tables) -> DataFrame:
     return _ntz(catalogue.latest_readings(_series(t)).select(STORED), "observed_at")
+
+
+# --- files of another age, files of a few runs -----------------------------------
+
+@query
+def evolve_stored(t: Tables) -> DataFrame:
+    """Files written before images were kept, next to files of today, read as one table."""
+    folder, readings = new_folder(t.spark, "evolved"), t.obs()
+    older = store.typed_prices(readings.where(F.col("id") % 2 == 0)).select(
+        *[c for c in OBSERVATIONS.names if c in readings.columns and c != "image_url"], "price", "compare_at_price",
+        F.to_date("observed_at").alias(store.OBSERVED_DAY), F.lit("old").alias(store.BATCH))
+    older.write.partitionBy(store.OBSERVED_DAY, store.BATCH).parquet(folder)
+    store.append_observations(readings.where(F.col("id") % 2 == 1), folder, "new")
+    return _ntz(store.read_observations(t.spark, folder).select(STORED), "observed_at")
+
+
+@query
+def regrade_few_stored(t: Tables) -> DataFrame:
+    """Outcomes of every seventh run re-graded from the files that hold its readings; all others as they were."""
+    folder, runs = new_folder(t.spark, "regrade-few"), t.evruns()
+    store.append_observations(t.obs(), f"{folder}/observations", "0")
+    store.upsert_outcomes(t.spark, f"{folder}/outcomes", t.oldout(), runs)
+    store.regrade_runs(t.spark, f"{folder}/outcomes", f"{folder}/observations", runs.where(F.col("id") % 7 == 0))
+    return store.read_outcomes(t.spark, f"{folder}/outcomes").drop(store.RUN_DAY)

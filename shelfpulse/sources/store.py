@@ -50,7 +50,7 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_observations(observations: DataFrame, path: str, batch: str) -> None:
-    """Append the readings of one batch; repeating a batch replaces it.
+    """Append the readings of one batch; repeating a batch replaces it. Bloom filters tell which files hold a run.
 
     Ranges of day and series put each day into few files, a large day into several,
     and lay the rows of a series side by side.
@@ -93,7 +93,7 @@ def _replace(spark: SparkSession, path: str, kept: DataFrame | None, replaced: l
         rows = kept.withColumns({LANDED: landed, BATCH: F.lit(name)})
         order = (OBSERVED_DAY, *SERIES_KEY, "observed_at")
         ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        ranged.write.mode("append").partitionBy(OBSERVED_DAY, BATCH).parquet(path)
+        ranged.write.mode("append").options(**BLOOM).partitionBy(OBSERVED_DAY, BATCH).parquet(path)
     draft = f"{path}/{_STAGED}/{name}/replaced"
     spark.createDataFrame(replaced, _REPLACED).coalesce(1).write.mode("overwrite").json(draft)
     move(spark, draft, f"{path}/{_COMMITTED}/{name}/replaced")
@@ -144,12 +144,36 @@ def read_observations(spark: SparkSession, path: str) -> DataFrame:
     return _counted(spark, path).drop(LANDED)
 
 
+# How Parquet is told to keep a Bloom filter of a column, and for how many of its values in a row group.
+BLOOM = {"parquet.bloom.filter.enabled#run_id": "true", "parquet.bloom.filter.expected.ndv#run_id": "10000"}
+
+
 def _dynamic(df: DataFrame, path: str, *partition: str) -> None:
     """Replace exactly the partitions present in `df`."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**BLOOM)
     writer.partitionBy(*partition).parquet(path)
 
 
+# So many run ids are looked up by their values; more meet the readings in a join.
+LISTED_RUNS = 1_000
+
+
+def readings_of_runs(spark: SparkSession, path: str, runs: DataFrame) -> DataFrame:
+    """The stored readings of the runs with the given `run_id`.
+
+    A few ids become a filter that statistics and Bloom filters answer, so only files that hold one of them are read."""
+    stored, ids = read_observations(spark, path), runs.select("run_id").distinct()
+    few = [row[0] for row in ids.limit(LISTED_RUNS + 1).collect()]
+    if len(few) <= LISTED_RUNS:
+        return stored.where(F.col("run_id").isin(few))
+    return stored.join(ids, "run_id", "left_semi")
+
+
+def regrade_runs(spark: SparkSession, path: str, readings_path: str, runs: DataFrame) -> None:
+    """Re-grade the given runs only, from the files that hold their readings."""
+    regrade_store(spark, path, readings_of_runs(spark, readings_path, runs.select(F.col("id").alias("run_id"))), runs)
+
+
 def save_series(observations: DataFrame, table: str, path: str, buckets: int) -> DataFrame:
     """Readings as a table bucketed by series and sorted in it: history, latest and difference need no exchange of it."""
     rows = evolve(typed_prices(observations), OBSERVATIONS).repartition(buckets, *SERIES_KEY)

@@ -145,6 +145,9 @@ def _detect(
     for b in touched:  # the version before stays for a repeated batch
         for old in versions.get(b, [])[:-1]:
             delete_folder(spark, _bucket_folder(folder, old, b))
+    for old in {epoch for epochs in versions.values() for epoch in epochs[:-1]}:
+        if not numbered(spark, f"{folder}/last/{EPOCH}={old}", BUCKET):
+            delete_folder(spark, f"{folder}/last/{EPOCH}={old}")
 
 
 def unseen(readings: DataFrame, epoch: int, folder: str) -> DataFrame:

@@ -54,17 +54,17 @@ def ingest_batch(
     # Pages after a run is settled change nothing: its earlier record stands.
     arrived = pages
     if folder_exists(spark, f"{folder}/runs"):
-        recorded = _records(spark, folder, epoch)
-        arrived = pages.join(_settled(recorded), key, "left_anti")
+        recorded = True
+        arrived = pages.join(_settled(_records(spark, folder, epoch, pages)), key, "left_anti")
     else:
-        recorded = None
+        recorded = False
     together = arrived if waiting is None else arrived.unionByName(waiting)
     with scratch(spark, "ingest") as work:
         here = materialize(ingest.parsed(store.evolve(together, PAGES)), "pages", work)
         facts = materialize(ingest.page_facts(here), "page-facts", work)
         begun = starts
-        if starts is not None and recorded is not None:
-            known = recorded.select(F.col("id").alias("run_id"), "merchant")
+        if starts is not None and recorded:
+            known = _stored_records(spark, folder, epoch, starts).select(F.col("id").alias("run_id"), "merchant").distinct()
             begun = starts.join(known, key, "left_anti").unionByName(
                 starts.join(facts.select(*key).distinct(), key, "left_semi")).distinct()
         runs = materialize(
@@ -81,7 +81,7 @@ def ingest_batch(
         stored = store.read_observations(spark, f"{folder}/observations")
         tallied = quality.tally(stored.where(F.col(store.BATCH) == str(epoch)))
         store.upsert_outcomes(spark, f"{folder}/field_outcomes", tallied, runs)
-        runs.write.mode("overwrite").parquet(f"{folder}/runs/{store.BATCH}={epoch}")
+        runs.sort("id").write.mode("overwrite").parquet(f"{folder}/runs/{store.BATCH}={epoch}")
     if epoch > 1:  # the one before stays for a repeated batch
         delete_folder(spark, f"{folder}/pending/{store.BATCH}={epoch - 2}")
 
@@ -111,11 +111,23 @@ def start_ingest(
     )
 
 
-def _records(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
-    """The latest record of every run, of the batches before `before`."""
+def _stored_records(spark: SparkSession, folder: str, before: int | None = None, of: DataFrame | None = None) -> DataFrame:
+    """Run records of the batches before `before`; with `of` only of its runs, told apart by id where files are read.
+
+    Run numbers grow with time, so the range of those that arrive leaves out most files by their statistics."""
     stored = spark.read.parquet(f"{folder}/runs")
     if before is not None:
         stored = stored.where(F.col(store.BATCH).cast("bigint") < before)
+    if of is not None:
+        low, high = of.agg(F.min("run_id"), F.max("run_id")).first()
+        ids = of.select(F.col("run_id").alias("id"), "merchant").distinct()
+        stored = stored.where(F.col("id").between(low, high)).join(ids, ["id", "merchant"], "left_semi")
+    return stored
+
+
+def _records(spark: SparkSession, folder: str, before: int | None = None, of: DataFrame | None = None) -> DataFrame:
+    """The latest record of every run, of the batches before `before`."""
+    stored = _stored_records(spark, folder, before, of)
     values = [c for c in stored.columns if c not in ("id", "merchant", store.BATCH)]
     newest = F.max_by(F.struct(*values), F.col(store.BATCH).cast("bigint")).alias("record")
     return stored.groupBy("id", "merchant").agg(newest).select("id", "merchant", "record.*")

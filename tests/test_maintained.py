@@ -58,3 +58,32 @@ def test_rules_read_each_table_once(spark, tables):
     written = [materialize(df, name) for name, df in (("a", tables.evruns()), ("b", tables.oldout()), ("c", tables.obs()))]
     plan = plan_of(constraints.violations(*written))
     assert len(re.findall("FileScan", plan)) == 3 and "Join" not in plan
+
+
+def test_few_runs_read_few_files(spark, tmp_path):
+    """Run numbers that say nothing about the file: Bloom filters leave out the files without the run."""
+    path = str(tmp_path / "obs")
+    rows = spark.range(20_000).select(
+        "id", F.pmod(F.xxhash64(F.floor(F.col("id") / 1000)), F.lit(10**6)).alias("run_id"), F.lit("m").alias("merchant"),
+        F.lit("p").alias("product_ext_id"), F.col("id").cast("string").alias("variant_ext_id"), F.lit("1").alias("price_raw"),
+        F.lit("2").alias("compare_at_raw"), F.lit("2024-01-01").cast("timestamp").alias("observed_at"))
+    for batch in range(10):
+        store.append_observations(rows.where(F.floor(F.col("id") / 2000) == batch), path, str(batch))
+    wanted = rows.where("id = 4321").select("run_id")
+    assert store.readings_of_runs(spark, path, wanted).count() == 1000
+    assert 1000 <= _rows_scanned(store.readings_of_runs(spark, path, wanted)) <= 4000
+    assert _rows_scanned(store.read_observations(spark, path).where("abs(run_id) >= 0")) == 20_000
+    more = rows.select("run_id").distinct()
+    old, store.LISTED_RUNS = store.LISTED_RUNS, 3
+    try:
+        assert store.readings_of_runs(spark, path, more).count() == 20_000
+    finally:
+        store.LISTED_RUNS = old
+
+
+def _rows_scanned(df):
+    """How many rows the scans of a plan gave, by their own count."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(n).metrics().apply("numOutputRows").value() for n in range(leaves.size()))
