@@ -227,12 +227,11 @@ def pooled(net: Network, texts: list[bytes]) -> np.ndarray:
 def training_windows(documents: DataFrame) -> tuple[list[bytes], list[str]]:
     """A bounded sample of labelled windows, from the texts of the smallest hashes of each language.
 
-    Copies of a text count as one. A language with at most `SAMPLE_TEXTS` different texts gives all of them."""
+    Copies of a text count as one. A language with at most `SAMPLE_TEXTS` different texts gives all of them. The
+    `MOST_LANGUAGES` languages with the most different texts are learned; no text is taken for one of others."""
     labelled = documents.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.octet_length("text") > 0))
     seen = F.xxhash64("text", F.lit(SEED)).alias("seen")
-    counts = labelled.select("lang", seen).distinct().groupBy("lang").count().orderBy("lang").take(MOST_LANGUAGES + 1)
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    counts = labelled.select("lang", seen).distinct().groupBy("lang").count().orderBy(F.desc("count"), "lang").take(MOST_LANGUAGES)
     if not counts:
         return [], []
     shares = F.create_map(*(F.lit(x) for row in counts for x in (row["lang"], min(1.0, 1.5 * SAMPLE_TEXTS / row["count"]))))

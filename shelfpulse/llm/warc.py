@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from shelfpulse.llm.common import materialize, new_folder, slices, table
 
 BLOCK_LINES = 1_000
-# Index files of one archive, whose first and last keys a lookup holds in memory; and bytes of a read joined over gaps.
-INDEX_FILES = 64
+# Lines of an index file at most, files at least where there are lines for them, and blocks that a task looks up in.
+FILE_LINES, LEAST_FILES, TASK_BLOCKS = 1 << 18, 64, 8
+# Bytes of a read joined over gaps.
 GAP, JOINED = 1 << 16, 8 << 20
 DATE = "2024-01-01T00:00:00Z"
 # Fixed value: the standard's name for a revisit of an equal payload.
@@ -157,8 +158,15 @@ def write_archive(pages: DataFrame, folder: str, least: int = 0) -> DataFrame:
 DIRECTORY = "file string, first string, last string, start long, size long, lines long"
 
 
-def write_index(lines: DataFrame, folder: str, files: int = INDEX_FILES) -> DataFrame:
+def index_files(lines: int) -> int:
+    """Into how many files so many index lines go: they grow in number with the lines, not in size."""
+    return max(1, -(-lines // FILE_LINES), min(LEAST_FILES, -(-lines // BLOCK_LINES)))
+
+
+def write_index(lines: DataFrame, folder: str, files: int | None = None) -> DataFrame:
     """Sort the index lines into compressed blocks and return the directory, a row for each."""
+    files = files or index_files(lines.count())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, kept = None, []
         blocks: list[tuple] = []
@@ -298,7 +306,9 @@ def find(keys: DataFrame, directory: DataFrame, folder: str) -> DataFrame:
     both = blocks.unionByName(routed, allowMissingColumns=True).repartition("file")
     placed = both.sortWithinPartitions("file", F.col("size").isNull(), "key", "start").mapInArrow(
         place, "file string, start long, size long, key string")
-    return placed.repartition("file", "start").sortWithinPartitions("file", "start", "key").mapInArrow(read, f"key string, {ROWS}")
+    tasks = max(1, -(-directory.count() // TASK_BLOCKS))  # rows are few bytes, but each may stand for many records to read
+    dealt = placed.repartition(tasks, "file", "start").sortWithinPartitions("file", "start", "key")
+    return dealt.mapInArrow(read, f"key string, {ROWS}")
 
 
 def keyed(urls: DataFrame) -> DataFrame:

@@ -108,6 +108,37 @@ def test_lexicon_automaton_is_edit_distance():
         assert (distance, -weight) == best if best else weight == 0
 
 
+def plain_figures(lexicon, text):
+    """The figures of a text by looking at every word and every letter on its own."""
+    hits, number = [], 0
+    for line in (text or "").lower().splitlines(keepends=True):
+        quoted_line = line.lstrip().startswith(">")
+        for match in re.finditer(r"\w+", line):
+            weight, edits = toxicity.Lexicon(lexicon.terms, lexicon.harmless).look_up(match.group())
+            if weight:
+                opened, inside = -1, quoted_line
+                for at, letter in enumerate(line):
+                    if opened >= 0 and letter in toxicity.BOTH + toxicity.CLOSE:
+                        inside = inside or opened <= match.start() < at
+                        opened = -1
+                    elif letter in toxicity.OPEN + toxicity.BOTH:
+                        opened = at
+                hits.append((number, weight, edits, inside))
+            number += 1
+    sums = [np.log1p(sum(w for _, w, e, q in hits if (e, q) == (edits, quoted))) for edits in (0, 1) for quoted in (False, True)]
+    near = max((sum(abs(a - b) <= toxicity.WINDOW for b, *_ in hits) - 1 for a, *_ in hits), default=0)
+    return [*sums, sums[0] > 0, sums[2] > 0, np.log1p(near)]
+
+
+def test_figures_against_a_plain_scan():
+    lexicon, rng = toxicity.Lexicon({"idiot": 2.0, "stupid*": 1.5, "moron": 3.0, "ass": 1.0}, frozenset({"marron"})), random.Random(4)
+    pieces = ["idiot", "idoit", "idit", "stupidly", "stupd", "marron", "moron", "morron", "ass", "as", "fine", "\n", "> ", '"', "“", "”", ", ", " "]
+    for _ in range(400):
+        text = " ".join(rng.choice(pieces) for _ in range(rng.randint(0, 40)))
+        assert np.allclose(toxicity.figures(lexicon, text), plain_figures(lexicon, text)), text
+    assert toxicity.figures(lexicon, None).tolist() == toxicity.figures(lexicon, "").tolist() == [0] * toxicity.FIGURES
+
+
 def test_quotation_is_told_from_abuse():
     lexicon = toxicity.Lexicon({"idiot": 3.0})
     abuse = toxicity.figures(lexicon, "You are an idiot and you know it")
@@ -421,6 +452,52 @@ def test_gradients_are_those_of_the_loss():
         assert abs((sides[0] - sides[1]) / 2e-2 - grads[number][at]) < 1e-4
 
 
+def plain_chances(net, text):
+    """Chances at each byte of a window, one number at a time, as the layers are defined."""
+    hidden = net.new.shape[-1]
+    told = []
+    for way in range(2):
+        state, own = [0.0] * hidden, []
+        for code in text if way == 0 else text[::-1]:
+            gate = [min(1, max(0, net.gates_in[way, code, j] + 0.5 + sum(state[i] * net.gates[way, i, j] for i in range(hidden))))
+                    for j in range(2 * hidden)]
+            raw = [net.new_in[way, code, j] + gate[hidden + j] * sum(state[i] * net.new[way, i, j] for i in range(hidden))
+                   for j in range(hidden)]
+            state = [gate[j] * state[j] + (1 - gate[j]) * raw[j] / (1 + abs(raw[j])) for j in range(hidden)]
+            own.append(state)
+        told.append(own if way == 0 else own[::-1])
+    out = []
+    for ahead, back in zip(*told):
+        logits = [net.bias[k] + sum(ahead[i] * net.out[0, i, k] + back[i] * net.out[1, i, k] for i in range(hidden))
+                  for k in range(len(net.languages))]
+        powers = np.exp(np.array(logits) - max(logits))
+        out.append(powers / powers.sum())
+    return out
+
+
+def test_labels_and_pooling_against_a_plain_network(monkeypatch):
+    monkeypatch.setattr(language, "WINDOW", 16)
+    monkeypatch.setattr(language, "LANE_BLOCK", 3)
+    net, rng = language.initial(["a", "b", "c"], 4), np.random.default_rng(1)
+    net.bias[:] = [0.1, -0.2, 0.3]
+    texts = [bytes(rng.integers(0, 256, size).tolist()) for size in (0, 1, 15, 16, 17, 50, 100)]
+    for text, chance in zip(texts, language.pooled(net, texts)):
+        codes = [*text, *[language.PAD] * (-len(text) % 16)]
+        plain = [row for start in range(0, len(codes), 16) for row in plain_chances(net, codes[start: start + 16])][: len(text)]
+        assert np.allclose(chance, np.mean(plain, 0) if plain else 0, atol=1e-5)
+    codes = rng.integers(0, 257, (16, 5)).astype(np.int16)
+    chance = language.label_positions(net, codes)
+    for lane in range(5):
+        assert np.allclose(chance[:, lane], plain_chances(net, codes[:, lane]), atol=1e-5)
+
+
+def test_more_languages_than_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    rows = [(n, f"{'xyz'[n % 3] * 5} text {n}", "abc"[n % 3] if n < 20 else "a") for n in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(language.training_windows(frame)[1]) == {"a", "b"}
+
+
 def test_language_held_out(spark):
     rows = language.op7_language_id(spark, MIDDLE).join(table(spark, MIDDLE, "documents").select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in rows if r["held_out"]]
