@@ -50,11 +50,19 @@ def _broken_product(product: Column) -> Column:
 FEED = "feed"
 
 
-def parsed(pages: DataFrame) -> DataFrame:
-    """Pages with their body as a VARIANT, null where it is no JSON.
+def parsed(pages: DataFrame, keep_body: bool = False) -> DataFrame:
+    """Pages with their body as a VARIANT, null where it is no JSON, and what accounting needs of its text.
 
     Write it out: facts and decoding then read the typed column, and no body is parsed twice."""
-    return pages if FEED in pages.columns else pages.withColumn(FEED, F.try_parse_json("body"))
+    if FEED in pages.columns:
+        return pages
+    told = pages.withColumns({
+        FEED: F.try_parse_json("body"),
+        "n_bytes": F.octet_length("body").cast("bigint"),
+        "body_start": F.left("body", F.lit(BODY_START)),
+        "content": F.xxhash64("http_status", "body"),
+    })
+    return told if keep_body else told.drop("body")
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
@@ -66,11 +74,10 @@ def page_facts(pages: DataFrame) -> DataFrame:
         | _not_a_list(F.col("feed"), "$.products")
         | F.exists("products", _broken_product)
     )
-    start = F.left("body", F.lit(BODY_START))
     error = (
         F.when(F.col("http_status").isNull(), F.format_string("no response on page %d", "page"))
         .when(~status_ok, F.format_string(HTTP_ERROR, "http_status", "page"))
-        .when(F.col("feed").isNull(), F.format_string(UNPARSEABLE_ERROR, "page", start))
+        .when(F.col("feed").isNull(), F.format_string(UNPARSEABLE_ERROR, "page", "body_start"))
         .when(unusable, F.format_string("unusable feed on page %d", "page"))
     )
     variants = F.aggregate(
@@ -81,8 +88,7 @@ def page_facts(pages: DataFrame) -> DataFrame:
         *RUN_KEY, "page", "fetched_at", "http_status",
         F.size("products").cast("bigint").alias("n_products"),
         variants.alias("n_variants"),
-        F.octet_length("body").cast("bigint").alias("n_bytes"),
-        F.xxhash64("http_status", "body").alias("content"),
+        "n_bytes", "content",
         F.coalesce(unusable & status_ok, F.lit(False)).alias("misshapen"),
         error.alias("error"),
     )

@@ -60,7 +60,7 @@ def ingest_batch(
         recorded = False
     together = arrived if waiting is None else arrived.unionByName(waiting)
     with scratch(spark, "ingest") as work:
-        here = materialize(ingest.parsed(store.evolve(together, PAGES)), "pages", work)
+        here = materialize(ingest.parsed(store.evolve(together, PAGES), keep_body=True), "pages", work)
         facts = materialize(ingest.page_facts(here), "page-facts", work)
         begun = starts
         if starts is not None and recorded:
@@ -77,7 +77,7 @@ def ingest_batch(
         if wait_days is not None:
             newest = here.agg(F.max("fetched_at")).first()[0]
             open_pages = open_pages.where(F.col("fetched_at") >= days_before(here, "fetched_at", newest, wait_days))
-        open_pages.drop(ingest.FEED).write.mode("overwrite").parquet(f"{folder}/pending/{store.BATCH}={epoch}")
+        open_pages.select(PAGES.names).write.mode("overwrite").parquet(f"{folder}/pending/{store.BATCH}={epoch}")
         stored = store.read_observations(spark, f"{folder}/observations")
         tallied = quality.tally(stored.where(F.col(store.BATCH) == str(epoch)))
         store.upsert_outcomes(spark, f"{folder}/field_outcomes", tallied, runs)
