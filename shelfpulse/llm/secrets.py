@@ -6,12 +6,14 @@ only (blob, rule version) pairs that the ledger lacks, once per blob however man
 share it, and findings are joined back to all paths.
 
 Null text counts as empty. Rows may repeat; each gets its own result row. A null path is kept.
-An empty table gives an empty result. Other columns are ignored.
+An empty table gives an empty result. Other columns are ignored by the scan and kept, whatever their names, by `redact`.
+A text of any length may hold any number of findings: the work for n of them grows with n log n.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,33 +47,43 @@ RULES = (
     Rule("hex", "[0-9a-f]{16,}", 0, 16),
 )
 
+# Code points in a block of a text that is redacted: 2 to this power.
+BLOCK_BITS = 9
+
 LEDGER = "blob binary, rules array<string>, spans array<struct<start:int,kind:string,end:int,rule:string>>"
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is worked out once, however often `use` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(structs: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Every struct of an array combined with all before it.
+
+    A step combines places 1, 2, 4, ... apart, so an array of n is written log2(n) times and not once per place."""
+    def steps(whole: Column) -> Column:
+        count = F.ceil(F.log2(F.greatest(F.size(whole), F.lit(1)))).cast("int")
+        reach = F.transform(F.sequence(F.lit(0), count), lambda step: F.call_function("shiftleft", F.lit(1), step))
+        return F.aggregate(reach, whole, lambda done, back: F.transform(done, lambda own, place: F.when(
+            place >= back, combine(F.get(done, place - back), own)).otherwise(own)))
+
+    return _bound(structs, steps)
+
+
 def _spans(text: Column, rule: Rule) -> Column:
     """Spans of one rule in code points: pieces between matches and matches give all places."""
-    pattern = F.lit(rule.pattern)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    lengths = F.zip_with(
-        F.transform(F.split(text, rule.pattern, -1), F.length), F.transform(found, F.length),
-        lambda gap, own: F.struct(gap.alias("gap"), F.coalesce(own, F.lit(0)).alias("own")),
-    )
-    kept = F.transform(found, lambda match: F.length(F.regexp_extract(match, rule.pattern, rule.group)))
-    nothing = F.array().cast("array<struct<start:int,kind:string,end:int,rule:string>>")
-    walked = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("at"), nothing.alias("out")),
-        lambda state, step: F.struct(
-            (state["at"] + step["gap"] + step["own"]).alias("at"),
-            F.when(step["own"] > 0, F.concat(state["out"], F.array(F.struct(
-                (state["at"] + step["gap"]).alias("start"), F.lit(rule.kind).alias("kind"),
-                (state["at"] + step["gap"] + step["own"]).alias("end"), F.lit(rule.version).alias("rule"),
-            )))).otherwise(state["out"]).alias("out"),
-        ),
-    )["out"]
-    pairs = F.zip_with(walked, kept, lambda span, size: F.struct(span.alias("span"), size.alias("size")))
-    long = F.transform(F.filter(pairs, lambda pair: pair["size"] >= rule.least), lambda pair: pair["span"])
-    return F.when(text.rlike(rule.pattern), long).otherwise(nothing)
+    found = F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), lambda match: F.struct(
+        F.length(match).alias("own"), F.length(F.regexp_extract(match, rule.pattern, rule.group)).alias("size")))
+    steps = F.zip_with(F.transform(F.split(text, rule.pattern, -1), F.length), found, lambda gap, match: F.struct(
+        (gap + F.coalesce(match["own"], F.lit(0))).alias("end"), match["own"].alias("own"), match["size"].alias("size")))
+    placed = _running(steps, lambda before, own: F.struct(
+        (before["end"] + own["end"]).alias("end"), own["own"].alias("own"), own["size"].alias("size")))
+    spans = F.transform(F.filter(placed, lambda step: step["size"] >= rule.least), lambda step: F.struct(
+        (step["end"] - step["own"]).alias("start"), F.lit(rule.kind).alias("kind"),
+        step["end"].alias("end"), F.lit(rule.version).alias("rule")))
+    return F.when(text.rlike(rule.pattern), spans).otherwise(
+        F.array().cast("array<struct<start:int,kind:string,end:int,rule:string>>"))
 
 
 def address(versions: DataFrame, path: str = "doc_id", text: str = "text") -> DataFrame:
@@ -155,6 +167,29 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(findings(versions, ledger))
 
 
+def _masked(text: Column, spans: Column, mask: str) -> Column:
+    """`text` with `mask` for every run of touching or overlapping `spans` (by start).
+
+    The text is cut into blocks first, so that a piece of it is found without counting from the text's start."""
+    def piece(blocks: Column, start: Column, stop: Column) -> Column:
+        block = F.shiftright(start, BLOCK_BITS)
+        near = F.array_join(F.slice(blocks, block + 1, F.shiftright(stop, BLOCK_BITS) - block + 1), "")
+        return F.substring(near, start - F.call_function("shiftleft", block, F.lit(BLOCK_BITS)) + 1, stop - start)
+
+    def kept(reached: Column) -> Column:
+        """Start and stop of what stays: between runs, and after the last."""
+        between = F.transform(reached, lambda span, place: F.struct(
+            F.coalesce(F.get(reached, place - 1)["end"], F.lit(-1)).alias("start"), span["start"].alias("stop")))
+        return F.concat(F.filter(between, lambda gap: gap["start"] < gap["stop"]), F.array(F.struct(
+            F.get(reached, F.size(reached) - 1)["end"].alias("start"), F.length(text).alias("stop"))))
+
+    reached = _running(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))),
+                       lambda before, own: F.struct(own["start"].alias("start"), F.greatest(before["end"], own["end"]).alias("end")))
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << BLOCK_BITS}}}"), F.lit(0))
+    return _bound(cut, lambda blocks: F.array_join(F.transform(
+        _bound(reached, kept), lambda gap: piece(blocks, F.greatest(gap["start"], F.lit(0)), gap["stop"])), mask))
+
+
 def redact(documents: DataFrame, folder: str, mask: str = "[secret]") -> DataFrame:
     """`documents` with every found span replaced by `mask`; overlapping spans become one mask.
 
@@ -162,24 +197,11 @@ def redact(documents: DataFrame, folder: str, mask: str = "[secret]") -> DataFra
     versions = address(documents)
     found = findings(versions, update_ledger(versions, folder)).where(F.size("spans") > 0).select(
         "blob", "spans").dropDuplicates(["blob"])
-    merged = F.aggregate(
-        "spans", F.array().cast("array<struct<start:int,end:int>>"),
-        lambda out, s: F.when(
-            (F.size(out) > 0) & (F.get(out, F.size(out) - 1)["end"] >= s["start"]),
-            F.concat(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))), F.array(F.struct(
-                F.get(out, F.size(out) - 1)["start"].alias("start"),
-                F.greatest(F.get(out, F.size(out) - 1)["end"], s["end"]).alias("end")))),
-        ).otherwise(F.concat(out, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))))
     text = F.coalesce("text", F.lit(""))
-    cut = F.aggregate(
-        "__merged", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda state, s: F.struct(s["end"].alias("at"), F.concat(
-            state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(mask)).alias("out")))
-    whole = F.concat(cut["out"], F.substring(text, cut["at"] + 1, F.length(text)))
-    blob = F.unhex(F.sha2(text.cast("binary"), 256))
-    joined = documents.withColumn("__blob", blob).join(
-        found.select(F.col("blob").alias("__blob"), merged.alias("__merged")), "__blob", "left")
-    changed = {"text": whole, "n_chars": F.length(whole).cast("long")}
-    return joined.select(*(
-        F.when(F.col("__merged").isNull(), F.col(name)).otherwise(changed[name]).alias(name)
-        if name in changed else F.col(name) for name in documents.columns))
+    joined = documents.select(F.struct("*").alias("row"), text.alias("text"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("blob"))
+    changed = _bound(_masked(F.col("text"), F.col("spans"), mask), lambda whole: F.struct(
+        whole.alias("text"), F.length(whole).cast("long").alias("n_chars")))
+    new = joined.join(found, "blob", "left").select("row", F.when(F.col("spans").isNotNull(), changed).alias("new"))
+    return new.select(*(
+        (F.when(F.col("new").isNull(), F.col("row")[name]).otherwise(F.col("new")[name]) if name in ("text", "n_chars")
+         else F.col("row")[name]).alias(name) for name in documents.columns))

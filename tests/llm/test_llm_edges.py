@@ -94,6 +94,20 @@ def test_secrets(spark, documents, tmp_path):
     assert clean.columns == documents.columns and clean.count() == len(TEXTS)
     assert {r["text"] for r in clean.where("doc_id = 10").collect()} == {"[secret] [secret]"}
     assert secrets.redact(empty(documents), f"{tmp_path}/ledger").count() == 0
+    taken = documents.select("*", *(F.lit(n).alias(name) for n, name in enumerate(("blob", "row", "__blob", "path")) if name != "row"))
+    kept = secrets.redact(taken, f"{tmp_path}/ledger")
+    assert kept.columns == taken.columns and {(r["blob"], r["__blob"], r["path"]) for r in kept.collect()} == {(0, 2, 3)}
+
+
+def test_secrets_many_in_one_text(spark, tmp_path):
+    count, one = 100_000, "é token=abcdefghijkl12345 "
+    frame = spark.createDataFrame([(1, one * count, 0)], "doc_id long, text string, n_chars long")
+    versions = secrets.address(frame)
+    row = secrets.digest(secrets.findings(versions, secrets.update_ledger(versions, f"{tmp_path}/ledger"))).first()
+    spans = [f"assign:{len(one) * n + 2}:{len(one) * (n + 1) - 1}" for n in range(count)]
+    assert row["n_assign"] == count and row["spans"] == ",".join(spans)
+    clean = secrets.redact(frame, f"{tmp_path}/ledger").first()
+    assert clean["text"] == "é [secret] " * count and clean["n_chars"] == 11 * count
 
 
 def test_bpe(documents):
