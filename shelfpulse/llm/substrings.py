@@ -9,7 +9,8 @@ prefixes (see suffixes.py): suffixes with 200 bytes in common with a neighbour m
 
 An anchor in more than `CROWD` different surroundings (a common phrase of 120 to 199 bytes) does not fit a shard; the
 windows of its places are compared by 128-bit hashes in a grouping instead, which spreads them and finds the same.
-Anchors and equal surroundings are matched by 64-bit hashes each, 128 bits together; repeats found in shards are byte by byte.
+Anchors and equal surroundings are matched by 64-bit hashes each, 128 bits together, rows are told apart by 128 bits;
+repeats found in shards are byte by byte.
 
 Null text counts as empty. Texts shorter than 200 bytes have no repeats. Rows that are equal in id and text are copies of
 each other. An empty table gives an empty result. Other columns are ignored. Matches never cross documents.
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +33,7 @@ from shelfpulse.llm.suffixes import common_prefixes, suffix_array
 LEAST, ANCHOR = 200, 120
 SIDE = LEAST - ANCHOR
 SHARD_BYTES, CROWD = 3 << 20, 10_000
+ROW = ["row", "twin"]
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -64,41 +66,42 @@ def anchors_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     return text.astype(np.int64), place - start[text], drawn[place].view(np.int64), around.view(np.int64)
 
 
-def _row() -> F.Column:
-    return F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("row")
+def _row() -> list[Column]:
+    """The two halves of a row's 128 bits: hashes of its id and text from two seeds."""
+    own = "doc_id", F.coalesce("text", F.lit(""))
+    return [F.xxhash64(*own).alias("row"), F.xxhash64(F.lit(1), *own).alias("twin")]
 
 
 def anchors(documents: DataFrame) -> DataFrame:
-    """h (anchor), c (its surroundings), row and place of every anchor of every document."""
+    """h (anchor), c (its surroundings), row, twin and place of every anchor of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             text, place, h, c = anchors_of([(t or "").encode() for t in batch.column("text").to_pylist()])
-            rows = batch.column("row").to_numpy()[text]
-            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), pa.array(rows, pa.int64()),
-                                              pa.array(place.astype(np.int32))], names=["h", "c", "row", "place"])
+            rows = [pa.array(batch.column(name).to_numpy()[text], pa.int64()) for name in ROW]
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), *rows, pa.array(place.astype(np.int32))],
+                                             names=["h", "c", *ROW, "place"])
 
-    return documents.select(_row(), "text").mapInArrow(run, "h long, c long, row long, place int")
+    return documents.select(*_row(), "text").mapInArrow(run, "h long, c long, row long, twin long, place int")
 
 
 def _surroundings(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes around the wanted places: h, row, start, n, crowded and data."""
+    """The bytes around the wanted places: h, row, twin, start, n, crowded and data."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            out: tuple[list, ...] = ([], [], [], [], [], [])
-            for row, text, places in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(),
-                                         batch.column("places").to_pylist(), strict=True):
+            out: tuple[list, ...] = ([], [], [], [], [], [], [])
+            for row, twin, text, places in zip(*(batch.column(name).to_pylist() for name in (*ROW, "text", "places")), strict=True):
                 data = (text or "").encode()
                 for p in places:
                     start = max(0, p["place"] - SIDE)
-                    for column, value in zip(out, (p["h"], row, start, p["n"], p["crowded"], data[start: p["place"] + LEAST]), strict=True):
+                    for column, value in zip(out, (p["h"], row, twin, start, p["n"], p["crowded"], data[start: p["place"] + LEAST]), strict=True):
                         column.append(value)
-            kinds = pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()
+            kinds = pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)],
-                                             names=["h", "row", "start", "n", "crowded", "data"])
+                                             names=["h", *ROW, "start", "n", "crowded", "data"])
 
-    places = wanted.groupBy("row").agg(F.collect_list(F.struct("place", "h", "n", "crowded")).alias("places"))
-    joined = documents.select(_row(), "text").join(places.hint("shuffle_hash"), "row")
-    return joined.mapInArrow(run, "h long, row long, start int, n long, crowded boolean, data binary")
+    places = wanted.groupBy(*ROW).agg(F.collect_list(F.struct("place", "h", "n", "crowded")).alias("places"))
+    joined = documents.select(*_row(), "text").join(places.hint("shuffle_hash"), ROW)
+    return joined.mapInArrow(run, "h long, row long, twin long, start int, n long, crowded boolean, data binary")
 
 
 def repeated_starts(data: list[bytes], row: np.ndarray, start: np.ndarray, copies: np.ndarray) -> list[np.ndarray]:
@@ -138,7 +141,7 @@ def as_spans(starts: np.ndarray) -> list[int]:
 
 
 def _in_shards(held: DataFrame) -> DataFrame:
-    """row and spans of the repeats that the suffix array of each shard shows."""
+    """row, twin and spans of the repeats that the suffix array of each shard shows."""
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         kept: list[pa.Table] = []
         size = 0
@@ -161,15 +164,17 @@ def _in_shards(held: DataFrame) -> DataFrame:
         for shard in shards(batches):
             if not shard.num_rows:
                 continue
-            row = shard.column("row").to_numpy()
-            starts = repeated_starts(shard.column("data").to_pylist(), row, shard.column("start").to_numpy().astype(np.int64),
+            row = [shard.column(name).to_numpy() for name in ROW]
+            number = np.unique(np.column_stack(row), axis=0, return_inverse=True)[1].ravel()
+            starts = repeated_starts(shard.column("data").to_pylist(), number, shard.column("start").to_numpy().astype(np.int64),
                                      shard.column("n").to_numpy())
             spans = [as_spans(s) for s in starts]
             has = np.flatnonzero([bool(s) for s in spans])
-            yield pa.RecordBatch.from_arrays([pa.array(row[has]), pa.array([spans[n] for n in has], pa.list_(pa.int32()))], names=["row", "spans"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(half[has]) for half in row), pa.array([spans[n] for n in has], pa.list_(pa.int32()))],
+                                             names=[*ROW, "spans"])
 
-    dealt = held.where("not crowded").select("h", "row", "start", "n", "data").repartition("h").sortWithinPartitions("h")
-    return dealt.mapInArrow(run, "row long, spans array<int>")
+    dealt = held.where("not crowded").select("h", *ROW, "start", "n", "data").repartition("h").sortWithinPartitions("h")
+    return dealt.mapInArrow(run, "row long, twin long, spans array<int>")
 
 
 def _by_window(held: DataFrame) -> DataFrame:
@@ -184,35 +189,37 @@ def _by_window(held: DataFrame) -> DataFrame:
             at = offset + np.repeat(np.cumsum(sizes) - sizes, count)
             first = span_hash(prefix_sums(joined), at, at + LEAST)
             second = span_hash(prefix_sums(joined.astype(np.uint64) * joined + np.uint64(7)), at, at + LEAST)
-            row, start, n = (np.repeat(batch.column(name).to_numpy(), count) for name in ("row", "start", "n"))
+            row, twin, start, n = (np.repeat(batch.column(name).to_numpy(), count) for name in (*ROW, "start", "n"))
             yield pa.RecordBatch.from_arrays([
-                pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(row),
-                pa.array((start + offset).astype(np.int32)), pa.array(n)], names=["a", "b", "row", "start", "n"])
+                pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), pa.array(row), pa.array(twin),
+                pa.array((start + offset).astype(np.int32)), pa.array(n)], names=["a", "b", *ROW, "start", "n"])
 
-    windows = held.where("crowded").select("row", "start", "n", "data").mapInArrow(run, "a long, b long, row long, start int, n long")
-    twice = windows.groupBy("a", "b").agg(*(f("row").alias(f"row_{f.__name__}") for f in (F.min, F.max)),
-                                          *(f("start").alias(f"start_{f.__name__}") for f in (F.min, F.max)), F.max("n").alias("n")).where(
-        "row_min <> row_max or start_min <> start_max or n > 1").select("a", "b")
-    return windows.join(twice, ["a", "b"], "left_semi").select("row", F.array("start", F.col("start") + LEAST).alias("spans"))
+    windows = held.where("crowded").select(*ROW, "start", "n", "data").mapInArrow(
+        run, "a long, b long, row long, twin long, start int, n long")
+    edges = [f(name).alias(f"{name}_{f.__name__}") for name in (*ROW, "start") for f in (F.min, F.max)]
+    twice = windows.groupBy("a", "b").agg(*edges, F.max("n").alias("n")).where(
+        "row_min <> row_max or twin_min <> twin_max or start_min <> start_max or n > 1").select("a", "b")
+    return windows.join(twice, ["a", "b"], "left_semi").select(*ROW, F.array("start", F.col("start") + LEAST).alias("spans"))
 
 
 def repeats(documents: DataFrame) -> DataFrame:
-    """row (see _row) and spans: start and stop, in turn, of repeated runs; runs may overlap and go past the text's end."""
+    """row, twin (see _row) and spans: start and stop, in turn, of repeated runs; runs may overlap and go past the text's end."""
     folder = new_folder(documents.sparkSession, "substrings")
     found = anchors(documents)
     often = found.groupBy("h").count().where("count > 1").select("h")
     places = materialize(found.join(often.hint("shuffle_hash"), "h", "left_semi"), "places", folder)
     around = materialize(places.groupBy("h", "c").agg(
-        F.count("*").alias("n"), F.min("row").alias("row"), F.min_by("place", "row").alias("place")), "around", folder)
+        F.count("*").alias("n"), F.min("row").alias("row"), *(F.min_by(name, "row").alias(name) for name in ("twin", "place"))),
+        "around", folder)
     several = around.groupBy("h").agg(F.count("*").alias("m")).where("m > 1")
-    wanted = around.join(several, "h").select("h", "row", "place", "n", (F.col("m") > CROWD).alias("crowded"))
+    wanted = around.join(several, "h").select("h", *ROW, "place", "n", (F.col("m") > CROWD).alias("crowded"))
     held = materialize(_surroundings(documents, wanted), "surroundings", folder)
     same = places.join(around.where("n > 1").select("h", "c"), ["h", "c"], "left_semi").select(
-        "row", F.array(F.greatest(F.col("place") - SIDE, F.lit(0)), F.col("place") + LEAST).alias("spans"))
+        *ROW, F.array(F.greatest(F.col("place") - SIDE, F.lit(0)), F.col("place") + LEAST).alias("spans"))
     marked = same.unionByName(_in_shards(held))
     if not held.where("crowded").isEmpty():
         marked = marked.unionByName(_by_window(held))
-    return materialize(marked.groupBy("row").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans", folder)
+    return materialize(marked.groupBy(*ROW).agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans", folder)
 
 
 def union(spans: list[int], size: int) -> list[tuple[int, int]]:
@@ -246,7 +253,7 @@ def without_repeats(documents: DataFrame, kept: bool = False) -> DataFrame:
     fields = [documents.schema["doc_id"], *(T.StructField(name, T.LongType()) for name in ("n_bytes", "n_removed", "n_spans")),
               T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.BinaryType())][: 5 + kept]
     names = [field.name for field in fields]
-    joined = documents.select("doc_id", "text", _row()).join(repeats(documents).hint("shuffle_hash"), "row", "left")
+    joined = documents.select("doc_id", "text", *_row()).join(repeats(documents).hint("shuffle_hash"), ROW, "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(run, T.StructType(fields))
 
 

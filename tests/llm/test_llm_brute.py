@@ -58,6 +58,18 @@ def kept_bytes(texts):
     return out
 
 
+def test_rows_with_one_half_of_their_hash_in_common(spark, monkeypatch):
+    rng = random.Random(4)
+    first, second = random_text(rng, 90), random_text(rng, 90)
+    rows = [(1, random_text(rng, 200) + first), (2, second + random_text(rng, 50)), (3, first + " between them " + second), (4, random_text(rng))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = sorted(map(tuple, substrings.without_repeats(frame).collect()))
+    assert [row[2] > 200 for row in plain] == [True, True, True, False]
+    own = substrings._row
+    monkeypatch.setattr(substrings, "_row", lambda: [F.when(F.col("doc_id") <= 2, 0).otherwise(own()[0]).alias("row"), own()[1]])
+    assert sorted(map(tuple, substrings.without_repeats(frame).collect())) == plain
+
+
 @pytest.mark.parametrize("crowd", [10_000, 1])
 def test_substrings(spark, monkeypatch, crowd):
     monkeypatch.setattr(substrings, "CROWD", crowd)
