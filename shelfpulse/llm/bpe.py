@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfpulse.llm.common import slices, table
+from shelfpulse.llm.common import slices, spare, table
 
 VOCABULARY = "byte_bpe_50k.json"
 # Fixed value: the pre-split pattern of the byte-level format.
@@ -206,16 +206,17 @@ def _encoder(spark: SparkSession, path: str) -> Callable[[], Automaton]:
 def encode(documents: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` (none may be called ids) and ids array<int> of every row."""
     automaton = _encoder(documents.sparkSession, path)
+    column = spare(keep, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = automaton()
-        for batch in slices(batches, "__text", 4 << 20):
-            flat = [b"".join([e[0] for e in coder.entries(t)]) if t else b"" for t in batch.column("__text").to_pylist()]
+        for batch in slices(batches, column, 4 << 20):
+            flat = [b"".join([e[0] for e in coder.entries(t)]) if t else b"" for t in batch.column(column).to_pylist()]
             offsets = np.cumsum([0, *(len(ids) // 4 for ids in flat)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(flat), "<i4")))
             yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in keep), ids], names=[*keep, "ids"])
 
-    picked = documents.select(*keep, F.col(text).alias("__text"))
+    picked = documents.select(*keep, F.col(text).alias(column))
     schema = T.StructType([*(documents.schema[name] for name in keep), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
     return picked.mapInArrow(run, schema)
 
@@ -225,11 +226,12 @@ def round_trip(documents: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id
     automaton = _encoder(documents.sparkSession, path)
     added = [T.StructField("ids", T.ArrayType(T.IntegerType(), False)), T.StructField("n_tokens", T.LongType()),
              T.StructField("same", T.BooleanType())]
+    column = spare(keep, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = automaton()
-        for batch in slices(batches, "__text"):
-            texts = batch.column("__text").to_pylist()
+        for batch in slices(batches, column):
+            texts = batch.column(column).to_pylist()
             entries = [coder.entries(t) if t else [] for t in texts]
             flat = [b"".join([e[0] for e in row]) for row in entries]
             sizes = [len(ids) // 4 for ids in flat]
@@ -240,21 +242,22 @@ def round_trip(documents: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id
                 [*(batch.column(name) for name in keep), ids, pa.array(sizes, pa.int64()), pa.array(same)],
                 names=[*keep, *(field.name for field in added)])
 
-    picked = documents.select(*keep, F.col("text").alias("__text"))
+    picked = documents.select(*keep, F.col("text").alias(column))
     return picked.mapInArrow(run, T.StructType([*(documents.schema[name] for name in keep), *added]))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep` (none may be called text) and the text that each row's ids spell (null ids: empty)."""
     automaton = _encoder(encoded.sparkSession, path)
+    column = spare(keep, "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = automaton()
         for batch in batches:
-            texts = [coder.decode_bytes(row or []).decode("utf-8", "replace") for row in batch.column("__ids").to_pylist()]
+            texts = [coder.decode_bytes(row or []).decode("utf-8", "replace") for row in batch.column(column).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in keep), pa.array(texts, pa.string())], names=[*keep, "text"])
 
-    picked = encoded.select(*keep, F.col(ids).alias("__ids"))
+    picked = encoded.select(*keep, F.col(ids).alias(column))
     schema = T.StructType([*(encoded.schema[name] for name in keep), T.StructField("text", T.StringType())])
     return picked.mapInArrow(run, schema)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import uuid
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import wraps
 from pathlib import Path
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from shelfpulse.session import delete_folder, folder_exists, new_folder
 
 __all__ = ["delete_folder", "folder_exists", "materialize", "new_folder", "table", "crc_mod",
-           "bucketed", "ship", "shipped", "slices", "mix", "prefix_sums", "span_hash"]
+           "bucketed", "ship", "shipped", "slices", "spare", "mix", "prefix_sums", "span_hash"]
 
 
 _shipped: set[str] = set()
@@ -95,6 +95,14 @@ def crc_mod(doc_id: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def spare(taken: Iterable[str], name: str) -> str:
+    """`name`, led by underscores until no column in `taken` is called so, in any case."""
+    used = {own.lower() for own in taken}
+    while name in used:
+        name = f"_{name}"
+    return name
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in record batches of about `limit` bytes of `column`, however long its values."""
     for batch in batches:

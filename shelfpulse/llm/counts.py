@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfpulse.llm.bpe import PRE_SPLIT, byte_letters, vocabulary_path
-from shelfpulse.llm.common import slices, table
+from shelfpulse.llm.common import slices, spare, table
 
 # Terminal counts that a worker keeps; beyond that it starts afresh (results do not change).
 KNOWN = 700_000
@@ -107,16 +107,17 @@ def _counter(source: bytes) -> Counter:
 def token_counts(documents: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep`, n_pretokens and n_tokens of every row."""
     shared = documents.sparkSession.sparkContext.broadcast(Path(path).read_bytes())
+    column = spare(keep, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(shared.value)
-        for batch in slices(batches, "__text", 4 << 20):
-            words, tokens = counter.count(batch.column("__text").to_pylist())
+        for batch in slices(batches, column, 4 << 20):
+            words, tokens = counter.count(batch.column(column).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in keep), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())],
                 names=[*keep, "n_pretokens", "n_tokens"])
 
-    picked = documents.select(*keep, F.col(text).alias("__text"))
+    picked = documents.select(*keep, F.col(text).alias(column))
     return picked.mapInArrow(run, T.StructType([*(documents.schema[name] for name in keep),
                                                 T.StructField("n_pretokens", T.LongType()), T.StructField("n_tokens", T.LongType())]))
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfpulse.llm.common import crc_mod, slices, table
+from shelfpulse.llm.common import crc_mod, slices, spare, table
 
 UNKNOWN = "und"
 WINDOW, HIDDEN = 128, 10
@@ -267,10 +267,11 @@ _letter = regex.compile(r"\p{L}").search
 def identify(documents: DataFrame, net: Network | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep`, lang_pred and score of every row; only the text decides."""
     shared, known_languages = documents.sparkSession.sparkContext.broadcast(net), net is not None
+    column = spare(keep, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text", 4 << 20):
-            texts = batch.column("__text").to_pylist()
+        for batch in slices(batches, column, 4 << 20):
+            texts = batch.column(column).to_pylist()
             known = [known_languages and t is not None and _letter(t) is not None for t in texts]
             names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
             if any(known):
@@ -282,7 +283,7 @@ def identify(documents: DataFrame, net: Network | None, text: str = "text", keep
                 [*(batch.column(name) for name in keep), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=[*keep, "lang_pred", "score"])
 
-    picked = documents.select(*keep, F.col(text).alias("__text"))
+    picked = documents.select(*keep, F.col(text).alias(column))
     schema = T.StructType([*(documents.schema[name] for name in keep), T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
     return picked.mapInArrow(run, schema)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfpulse.llm.common import crc_mod, slices, table
+from shelfpulse.llm.common import crc_mod, slices, spare, table
 
 TOXIC, CLEAN = 2_500, 5_000
 STEMS, ENTRIES, WINDOW, KNOWN = range(4, 9), 2_000, 8, 600_000
@@ -314,17 +314,18 @@ PRIOR = np.array([-3.0, 1.5, 0.75, 1.0, 0.5, 1.0, 0.5, 0.5])
 def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns `keep`, score and predicted (1 from a score of 0.5) of every row."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
+    column = spare(keep, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        for batch in slices(batches, "__text"):
-            rows = np.array([figures(own.lexicon, text) for text in batch.column("__text").to_pylist()]).reshape(-1, FIGURES)
+        for batch in slices(batches, column):
+            rows = np.array([figures(own.lexicon, text) for text in batch.column(column).to_pylist()]).reshape(-1, FIGURES)
             scores = own.score(rows)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(name) for name in keep), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
                 names=[*keep, "score", "predicted"])
 
-    picked = documents.select(*keep, F.col("text").alias("__text"))
+    picked = documents.select(*keep, F.col("text").alias(column))
     return picked.mapInArrow(run, T.StructType([*(documents.schema[name] for name in keep),
                                                 T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
 

@@ -217,3 +217,24 @@ def test_pipeline_stages(spark, documents, benchmark, tmp_path):
             assert docs.columns == documents.columns
         last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
         assert all(row["same"] for row in last) and bool(last) == (start is documents)
+
+
+def test_columns_called_as_the_operators_call_theirs(spark, documents, labels):
+    """Kept columns come out as they went in."""
+    names = ("doc_id", "text", "_text", "__text", "ids_", "TEXT_")
+    taken = documents.select("doc_id", "text", *(F.lit(n).alias(name) for n, name in enumerate(names) if n > 1))
+    net = language.fit(documents.where("text is null or length(text) < 1000").select("text", "lang"))
+    results = (
+        bpe.encode(taken, bpe.vocabulary_path(), keep=names), bpe.round_trip(taken, bpe.vocabulary_path(), keep=names),
+        counts.token_counts(taken, bpe.vocabulary_path(), keep=names), language.identify(taken, net, keep=names),
+        toxicity.score(taken, toxicity.fit(documents, labels), keep=names),
+    )
+    for result in results:
+        rows = result.collect()
+        assert result.columns[: len(names)] == list(names) and len(rows) == len(TEXTS)
+        assert {tuple(r)[2: len(names)] for r in rows} == {(2, 3, 4, 5)}
+        assert sorted(((r["doc_id"], r["text"]) for r in rows), key=str) == sorted(TEXTS, key=str)
+    encoded = bpe.encode(documents, bpe.vocabulary_path()).withColumn("__ids", F.lit(7)).withColumn("_ids", F.lit(8))
+    back = bpe.decode(encoded, bpe.vocabulary_path(), keep=("doc_id", "ids", "__ids", "_ids")).collect()
+    assert {(r["__ids"], r["_ids"]) for r in back} == {(7, 8)}
+    assert sorted(((r["doc_id"], r["text"]) for r in back), key=str) == sorted(((i, t or "") for i, t in TEXTS), key=str)
