@@ -81,12 +81,16 @@ def maybe_similar(drawn: np.ndarray, share: float) -> np.ndarray:
     return same / used >= share - 5 * np.sqrt(share * (1 - share) / used)
 
 
+# Bytes of text hashed at once: a worker keeps eight tables of 8 bytes for each place of the longest slice (or text).
+TEXT_SLICE = 3 << 16
+
+
 def cards(documents: DataFrame) -> DataFrame:
     """doc_id, seen (a hash of the text), key (of the shingle set), n (its size), sampled paths and sketch of each row."""
     seeds = mix(np.arange(1, RUNS + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_SLICE):
             sets, keys = keyed_sets(batch.column("text").to_pylist())
             sizes = np.array([len(s) for s in sets], np.int64)
             tokens = np.concatenate([*sets, np.zeros(0, np.uint64)])
@@ -127,7 +131,7 @@ def _crowded(rows: DataFrame) -> DataFrame:
 def _tokens(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """key, n and tokens (8-byte hashes, sorted) of the wanted classes, read from one member's text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", TEXT_SLICE):
             sets, keys = keyed_sets(batch.column("text").to_pylist())
             own = pa.array(keys, pa.binary())
             right = pa.compute.equal(own, batch.column("key"))  # a repeated id may stand for other texts

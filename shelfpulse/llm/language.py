@@ -297,7 +297,7 @@ def accepted(documents: DataFrame, net: Network | None, least: float | None = No
     shared, known_languages = documents.sparkSession.sparkContext.broadcast(net), net is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, 4 << 20):
+        for batch in slices(batches, text):
             texts = batch.column(text).to_pylist()
             keep = np.array([known_languages and t is not None and _letter(t) is not None for t in texts], bool)
             if keep.any():
