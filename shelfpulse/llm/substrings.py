@@ -62,7 +62,8 @@ def anchors_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     least = least[np.concatenate([[True], least[1:] != least[:-1]])] if len(least) else least
     place = np.unique((least & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64))
     text = owner[place]
-    around = span_hash(sums, np.maximum(start[text], place - SIDE), np.minimum(stop[text], place + LEAST))
+    left, right = np.maximum(start[text], place - SIDE), np.minimum(stop[text], place + LEAST)
+    around = mix(span_hash(sums, left, right) ^ (right - left).astype(np.uint64))  # lengths apart, whatever zeros they end in
     return text.astype(np.int64), place - start[text], drawn[place].view(np.int64), around.view(np.int64)
 
 
@@ -111,7 +112,7 @@ def repeated_starts(data: list[bytes], row: np.ndarray, start: np.ndarray, copie
     stop = np.cumsum(sizes + 1) - 1
     text[stop] = 1  # between two surroundings
     text[-1] = 0
-    array = suffix_array(text, LEAST)
+    array = suffix_array(text)
     common = common_prefixes(text, array, LEAST)
     owner = np.repeat(np.arange(len(data)), sizes + 1)
     ordered = array[array < len(owner)]

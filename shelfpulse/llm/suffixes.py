@@ -3,7 +3,8 @@
 Suffixes are classified as smaller (S) or larger (L) than their successor; the leftmost S suffixes of each run
 cut the text into substrings, which are sorted by inducing, bucket by bucket, and named. The text of names is sorted
 in turn, in rounds that each join two names into one of twice the length (its alphabet has too many buckets to walk),
-until all differ or the names are as long as the matches asked for. The order of the names induces that of all suffixes.
+until all differ. The order of the names induces that of all suffixes. It is whole: common prefixes are carried from one
+suffix to the next, which does not hold where suffixes that agree far enough stand in any order.
 """
 
 from __future__ import annotations
@@ -81,10 +82,8 @@ def _prepend(array: np.ndarray, tail: np.ndarray, text: np.ndarray, items: np.nd
         tail -= count
 
 
-def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
-    """Starts of all suffixes in order; the last value must be 0 and no other one.
-
-    With a `depth`, suffixes that agree on so many values may come in any order."""
+def suffix_array(text: np.ndarray) -> np.ndarray:
+    """Starts of all suffixes in order; the last value must be 0 and no other one."""
     size = int(text.max()) + 1
     smaller = smaller_types(text)
     first = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1  # the last suffix is one of them
@@ -102,10 +101,6 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     names[ordered] = np.cumsum(fresh)
     most, reach = int(names.max()) + 1, 1
     while most < len(first):
-        if depth is not None:
-            far = np.minimum(np.arange(len(first)) + reach, len(first) - 1)
-            if ((first[far] - first >= depth) | (far == len(first) - 1)).all():
-                break
         ahead = np.zeros(len(first), np.int64)
         ahead[:-reach] = names[reach:] + 1
         pair = names * (most + 1) + ahead

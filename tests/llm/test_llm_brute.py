@@ -44,6 +44,34 @@ def test_suffix_array_and_common_prefixes():
             assert common[b] == same
 
 
+def test_repeated_starts_of_passages_that_go_on_differently():
+    """Windows next to the end of a long repeat are not repeats themselves."""
+    for seed in range(40):
+        rng = random.Random(seed)
+        letters = [b"ab", b"abcdefgh ", bytes(range(256)), b"etaoin shrdlu"][seed % 4]
+        draw = lambda most: bytes(rng.choice(letters) for _ in range(rng.randint(1, most)))
+        pieces = [draw(400) for _ in range(6)]
+        data = [(b"".join(rng.choice(pieces) if rng.random() < 0.6 else draw(150) for _ in range(12)) + draw(150) + bytes(200))[: rng.randint(200, 2000)]
+                for _ in range(40)]
+        row, start = np.arange(len(data)), np.array([rng.randint(0, 50) for _ in data], np.int64)
+        places = {}
+        for number, d in enumerate(data):
+            for s in range(len(d) - 199):
+                places.setdefault(d[s: s + 200], []).append((number, s))
+        want = [[] for _ in data]
+        for number, s in sorted(p for at in places.values() if len(at) > 1 for p in at):
+            want[number].append(int(start[number]) + s)
+        got = substrings.repeated_starts(data, row, start, np.ones(len(data), np.int64))
+        assert [s.tolist() for s in got] == want
+
+
+def test_anchors_tell_lengths_apart():
+    """The hash of surroundings that start and end in the text: a lower first byte and a zero more."""
+    body = random_text(random.Random(7), 400).encode()[:209]
+    found = [set(substrings.anchors_of([t])[3].tolist()) for t in (b"b" + body, b"a" + body + b"\0")]
+    assert not found[0] & found[1]
+
+
 def kept_bytes(texts):
     data = [t.encode() for t in texts]
     windows = Counter(d[s: s + 200] for d in data for s in range(len(d) - 199))
