@@ -14,10 +14,17 @@ from shelfpulse.session import micros
 
 RUN_KEY = ("run_id", "merchant")
 _NO_ITEMS = "array<variant>"
-
-
-def _item(value: str, path: str) -> Column:
-    return F.try_variant_get(F.col(value), path, "variant")
+# What is read of a feed, each list in one cast. An item of a list as VARIANT is built anew with all it holds, so only
+# values that are told apart by their kind stay one. Items that are no object, and lists that are none, come out as null.
+_SHAPE = "array<struct<variants:array<struct<id:boolean>>>>"
+_VARIANT = (
+    "struct<id:variant,title:variant,sku:variant,price:variant,compare_at_price:variant,available:variant,"
+    "featured_image:struct<src:string>>"
+)
+_PRODUCTS = (
+    "array<struct<id:variant,handle:string,title:variant,vendor:string,product_type:string,"
+    f"images:array<struct<src:string>>,variants:array<{_VARIANT}>>>"
+)
 
 
 def _type(value: Column) -> Column:
@@ -65,28 +72,38 @@ def parsed(pages: DataFrame, keep_body: bool = False) -> DataFrame:
     return told if keep_body else told.drop("body")
 
 
+def _any_broken(shape: Column) -> Column:
+    """Whether a product of the feed is broken. `shape` tells it of most: the feed's items are looked at one by one only
+    where one is no object, and its lists of variants where one is missing or no list."""
+    no_object = F.exists(shape, lambda p: p.isNull() | F.exists(F.coalesce(
+        p["variants"], F.array().cast("array<struct<id:boolean>>")), lambda v: v.isNull()))
+    lists = F.try_variant_get(F.col(FEED), "$.products", "array<struct<variants:variant>>")
+    return F.when(no_object, F.exists(_list(F.col(FEED), "$.products"), _broken_product)).when(
+        F.exists(shape, lambda p: p["variants"].isNull()),
+        F.exists(lists, lambda p: _has_value(p["variants"]) & F.try_variant_get(
+            p["variants"], "$", "array<struct<id:boolean>>").isNull())).otherwise(F.lit(False))
+
+
 def page_facts(pages: DataFrame) -> DataFrame:
     """What each landed page holds or why it is unusable, without its body."""
-    parsed_pages = parsed(pages).withColumn("products", _list(F.col(FEED), "$.products"))
+    parsed_pages = parsed(pages).withColumn("products", F.try_variant_get(F.col(FEED), "$.products", _SHAPE))
     status_ok = F.col("http_status").between(200, 299)
-    unusable = (
-        F.is_variant_null("feed")
-        | _not_a_list(F.col("feed"), "$.products")
-        | F.exists("products", _broken_product)
-    )
+    no_list = F.col("products").isNull() & _has_value(F.try_variant_get(F.col(FEED), "$.products", "variant"))
+    parsed_pages = parsed_pages.withColumn(
+        "unusable", F.is_variant_null(FEED) | no_list | F.coalesce(_any_broken(F.col("products")), F.lit(False)))
+    unusable = F.col("unusable")
     error = (
         F.when(F.col("http_status").isNull(), F.format_string("no response on page %d", "page"))
         .when(~status_ok, F.format_string(HTTP_ERROR, "http_status", "page"))
         .when(F.col("feed").isNull(), F.format_string(UNPARSEABLE_ERROR, "page", "body_start"))
         .when(unusable, F.format_string("unusable feed on page %d", "page"))
     )
-    variants = F.aggregate(
-        "products", F.lit(0).cast("bigint"),
-        lambda n, p: n + F.size(_list(p, "$.variants")),
-    )
+    variants = F.coalesce(F.aggregate(
+        "products", F.lit(0).cast("bigint"), lambda n, p: n + F.coalesce(F.array_size(p["variants"]), F.lit(0)),
+    ), F.lit(0).cast("bigint"))
     return parsed_pages.select(
         *RUN_KEY, "page", "fetched_at", "http_status",
-        F.size("products").cast("bigint").alias("n_products"),
+        F.coalesce(F.array_size("products"), F.lit(0)).cast("bigint").alias("n_products"),
         variants.alias("n_variants"),
         "n_bytes", "content",
         F.coalesce(unusable & status_ok, F.lit(False)).alias("misshapen"),
@@ -193,28 +210,23 @@ def derive_runs(
     )
 
 
-def _text(value: str, path: str) -> Column:
-    return F.try_variant_get(F.col(value), path, "string")
+def _text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
 
 
-def _id(value: str) -> Column:
-    there = _item(value, "$.id")
-    return F.coalesce(
-        _text(value, "$.id"), F.when(F.is_variant_null(there), "null"), F.lit("undefined")
-    )
+def _id(value: Column) -> Column:
+    return F.coalesce(_text(value), F.when(F.is_variant_null(value), "null"), F.lit("undefined"))
 
 
-def _money(value: str, path: str) -> Column:
+def _money(value: Column) -> Column:
     """Price as text; a number in scientific notation is written out."""
-    there = _item(value, path)
-    digits = F.format_string("%.20f", F.try_variant_get(F.col(value), path, "double"))
+    digits = F.format_string("%.20f", F.try_variant_get(value, "$", "double"))
     written_out = F.regexp_replace(digits, r"\.?0+\z", "")
-    return F.when(_type(there) == "DOUBLE", written_out).otherwise(_text(value, path))
+    return F.when(_type(value) == "DOUBLE", written_out).otherwise(_text(value))
 
 
-def _sent_as_text(value: str, path: str) -> Column:
-    there = _item(value, path)
-    return F.when(_has_value(there), _type(there) == "STRING")
+def _sent_as_text(value: Column) -> Column:
+    return F.when(_has_value(value), _type(value) == "STRING")
 
 
 def decode_pages(pages: DataFrame, runs: DataFrame) -> DataFrame:
@@ -234,39 +246,42 @@ def decode_pages(pages: DataFrame, runs: DataFrame) -> DataFrame:
     once = read.where("copied").dropDuplicates([*RUN_KEY, "page"])
     listed = read.where("NOT copied").unionByName(once).select(
         *RUN_KEY, "page", "currency", "observed_at",
-        _list(F.col(FEED), "$.products").alias("products"),
+        F.try_variant_get(F.col(FEED), "$.products", _PRODUCTS).alias("products"),
     )
-    sizes = F.transform("products", lambda p: F.size(_list(p, "$.variants")))
+    sizes = F.transform("products", lambda p: F.coalesce(F.array_size(p["variants"]), F.lit(0)))
     before = F.aggregate(F.slice("sizes", F.lit(1), F.col("product_no")), F.lit(0), lambda n, m: n + m)
     products = listed.withColumn("sizes", sizes).select(
         *RUN_KEY, "page", "currency", "observed_at", "sizes",
         F.posexplode("products").alias("product_no", "product"),
-    ).withColumn("before", before).drop("sizes", "product_no")
-    variants = products.select(
-        *RUN_KEY, "currency", "observed_at", "product", "page", "before",
-        F.posexplode(_list(F.col("product"), "$.variants")).alias("variant_no", "item"),
     )
+    # What variants share is worked out once for each product.
+    variants = products.select(
+        *RUN_KEY, "page", "currency", "observed_at", before.alias("before"),
+        _id(F.col("product.id")).alias("product_ext_id"),
+        F.col("product.handle").alias("handle"),
+        _text(F.col("product.title")).alias("title"),
+        F.col("product.vendor").alias("vendor"),
+        F.col("product.product_type").alias("product_type"),
+        F.get("product.images", F.lit(0))["src"].alias("product_image"),
+        _sent_as_text(F.col("product.title")).alias("title_is_text"),
+        F.col("product.variants").alias("variants"),
+    ).select("*", F.posexplode("variants").alias("variant_no", "item")).drop("variants")
     place = F.col("page").cast("bigint") * (1 << 31) + F.col("before") + F.col("variant_no")
-    is_flag = _type(_item("item", "$.available")) == "BOOLEAN"
+    available = F.col("item.available")
     return variants.select(
-        place.alias("id"), *RUN_KEY,
-        _id("product").alias("product_ext_id"),
-        _id("item").alias("variant_ext_id"),
-        _text("product", "$.handle").alias("handle"),
-        _text("product", "$.title").alias("title"),
-        _text("item", "$.title").alias("variant_title"),
-        _text("product", "$.vendor").alias("vendor"),
-        _text("product", "$.product_type").alias("product_type"),
-        _text("item", "$.sku").alias("sku"),
-        _money("item", "$.price").alias("price_raw"),
-        _money("item", "$.compare_at_price").alias("compare_at_raw"),
+        place.alias("id"), *RUN_KEY, "product_ext_id",
+        _id(F.col("item.id")).alias("variant_ext_id"),
+        "handle", "title",
+        _text(F.col("item.title")).alias("variant_title"),
+        "vendor", "product_type",
+        _text(F.col("item.sku")).alias("sku"),
+        _money(F.col("item.price")).alias("price_raw"),
+        _money(F.col("item.compare_at_price")).alias("compare_at_raw"),
         "currency",
-        F.when(is_flag, F.try_variant_get("item", "$.available", "boolean")).alias("available"),
-        image_of(
-            _text("item", "$.featured_image.src"), _text("product", "$.images[0].src")
-        ).alias("image_url"),
-        _sent_as_text("item", "$.sku").alias("sku_is_text"),
-        _sent_as_text("product", "$.title").alias("title_is_text"),
-        _sent_as_text("item", "$.title").alias("variant_title_is_text"),
+        F.when(_type(available) == "BOOLEAN", F.try_variant_get(available, "$", "boolean")).alias("available"),
+        image_of(F.col("item.featured_image.src"), F.col("product_image")).alias("image_url"),
+        _sent_as_text(F.col("item.sku")).alias("sku_is_text"),
+        "title_is_text",
+        _sent_as_text(F.col("item.title")).alias("variant_title_is_text"),
         "observed_at",
     )

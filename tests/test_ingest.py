@@ -74,6 +74,29 @@ def test_decode_keeps_json_types(spark):
     assert graded["k"].price_status == "ok" and graded["undefined"].variant_title_status == "invalid"
 
 
+def test_lists_are_read_in_one_cast(spark):
+    """No list is built anew as VARIANT for each value read from it, and products are done with before their variants."""
+    landed, runs, _ = account(spark, [(1, "a", 1, 200, feed(product(1, {"id": 1})))])
+    plan = ingest.decode_pages(landed, runs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array<variant>" not in plan
+    above, _, _ = plan.partition("posexplode(variants")
+    assert "images" not in above and "vendor" in above
+
+
+def test_odd_lists_and_items(spark):
+    """Items that are no object are readings without a value; nulls, and lists that are none, make a feed unusable."""
+    kept = [5, {"id": 1, "variants": [7, "x", [], {"id": 2}]}, {"id": 2}, {"id": 3, "variants": None}]
+    bodies = [feed(*kept), feed(*kept, None), feed({"variants": [{}, None]}), feed({"variants": 5}), feed({"variants": {}}),
+              json.dumps({"products": 5}), json.dumps({"products": None}), "[]", "null"]
+    landed, runs, _ = account(spark, [(n, "a", 1, 200, body) for n, body in enumerate(bodies)], page_limit=9)
+    facts = {r.run_id: (r.n_products, r.n_variants, r.misshapen) for r in ingest.page_facts(landed).collect()}
+    assert [facts[n][2] for n in range(len(bodies))] == [False, True, True, True, True, True, False, False, True]
+    assert facts[0] == (4, 4, False) and facts[6] == facts[7] == (0, 0, False)
+    rows = sorted(ingest.decode_pages(landed, runs).where("run_id = 0").collect(), key=lambda r: r.id)
+    assert [(r.id - (1 << 31), r.product_ext_id, r.variant_ext_id) for r in rows] == [
+        (0, "1", "undefined"), (1, "1", "undefined"), (2, "1", "undefined"), (3, "1", "2")]
+
+
 def test_run_ends_at_first_short_page(spark):
     full, short = feed(product(1, {"id": 1}), product(2, {"id": 2})), feed(product(3, {"id": 3}))
     _, _, runs = account(spark, [
