@@ -20,7 +20,9 @@ from shelfpulse.operators import quality, retention
 from shelfpulse.schemas import (
     FIELD_OUTCOMES, OBSERVATIONS, OBSERVED_DAY, PAGES, RETENTION_DAYS, SERIES_KEY,
 )
-from shelfpulse.session import delete_folder, folder_exists, mark, move, numbered, subfolders, utc_day
+from shelfpulse.session import (
+    delete_folder, folder_exists, mark, materialize, move, numbered, scratch, subfolders, utc_day,
+)
 
 RUN_DAY = "run_date"
 BATCH = "batch"
@@ -53,13 +55,16 @@ def append_observations(observations: DataFrame, path: str, batch: str) -> None:
     """Append the readings of one batch; repeating a batch replaces it. Bloom filters tell which files hold a run.
 
     Ranges of day and series put each day into few files, a large day into several,
-    and lay the rows of a series side by side.
+    and lay the rows of a series side by side. Ranges are drawn from the rows before these are dealt, so the rows
+    are written out first and worked out once.
     """
+    spark = observations.sparkSession
     rows = evolve(typed_prices(observations), OBSERVATIONS)
-    dated = rows.withColumns({OBSERVED_DAY: utc_day(F.col("observed_at")), BATCH: F.lit(batch)})
     order = (OBSERVED_DAY, *SERIES_KEY, "observed_at")
-    ranged = dated.repartitionByRange(*order).sortWithinPartitions(*order)
-    _dynamic(ranged, path, OBSERVED_DAY, BATCH)
+    with scratch(spark, "append") as work:
+        dated = materialize(rows.withColumn(OBSERVED_DAY, utc_day(F.col("observed_at"))), "readings", work)
+        ranged = dated.withColumn(BATCH, F.lit(batch)).repartitionByRange(*order).sortWithinPartitions(*order)
+        _dynamic(ranged, path, OBSERVED_DAY, BATCH)
 
 
 # A rewritten batch carries this in its name, and in a column the batch that each row landed in.
@@ -192,18 +197,20 @@ def _replace_outcomes(
 ) -> None:
     """Replace stored outcomes that share `key` with a fresh one, in one commit.
 
-    Only days holding one of the fresh runs are read and rewritten.
+    Only days holding one of the fresh runs are read and rewritten. The fresh ones are written out
+    first: they are asked for several times, and counted from readings once.
     """
     columns = [*FIELD_OUTCOMES.names, RUN_DAY]
     days = runs.select(F.col("id").alias("run_id"), utc_day(F.col("started_at")).alias(RUN_DAY))
-    rows = evolve(fresh, FIELD_OUTCOMES).join(days, "run_id").select(*columns)
-    if folder_exists(spark, path):
-        touched = rows.select(RUN_DAY).distinct()
-        kept = read_outcomes(spark, path).join(touched, RUN_DAY, "left_semi").join(
-            rows.select(*key).distinct(), key, "left_anti"
-        )
-        rows = kept.select(*columns).unionByName(rows)
-    _dynamic(rows.repartitionByRange(RUN_DAY, "run_id"), path, RUN_DAY)
+    with scratch(spark, "outcomes") as work:
+        rows = materialize(evolve(fresh, FIELD_OUTCOMES).join(days, "run_id").select(*columns), "fresh", work)
+        if folder_exists(spark, path):
+            touched = rows.select(RUN_DAY).distinct()
+            kept = read_outcomes(spark, path).join(touched, RUN_DAY, "left_semi").join(
+                rows.select(*key).distinct(), key, "left_anti"
+            )
+            rows = materialize(kept.select(*columns).unionByName(rows), "rows", work)
+        _dynamic(rows.repartitionByRange(RUN_DAY, "run_id"), path, RUN_DAY)
 
 
 def upsert_outcomes(spark: SparkSession, path: str, outcomes: DataFrame, runs: DataFrame) -> None:
