@@ -126,20 +126,22 @@ def publish(
     versions = numbered(spark, folder, VERSION)
     target = f"{folder}/{VERSION}={max(versions, default=0) + 1}"
     stamp = F.current_timestamp() if generated_at is None else generated_at
-    about = meta(runs, stamp)
     record, products_folder = f"{target}/snapshot", f"{target}/catalogue"
     with scratch(spark, "publish") as work:
+        # Written out first: a sorted write draws its ranges from the rows before it deals them, and runs are asked for often.
+        runs = materialize(runs, "runs", work)
+        about = meta(runs, stamp)
         found = changes.history(observations) if fresh is None else fresh
         before = read_published_changes(spark, f"{last}/snapshot/changes", work)
         if last is not None:
             _put_aside(spark, f"{last}/snapshot", f"{record}/unreadable", work)
-        merged = changes.merge(before, found)
+        merged = materialize(changes.merge(before, found), "merged", work)
         latest, product_rows = catalogue.folded(observations, work)
 
         write_json(about, f"{record}/meta")
         write_json(published(registry), f"{record}/merchants")
         write_json(runs.select(*RUN_COLUMNS).orderBy("started_at", "id"), f"{record}/runs")
-        fields = quality.field_quality(outcomes)
+        fields = materialize(quality.field_quality(outcomes), "fields", work)
         write_json(fields.orderBy("merchant", *quality.least_reliable_first()), f"{record}/fields")
         write_changes(merged, f"{record}/changes")
         write_json(catalogue.totals(latest), f"{record}/totals")

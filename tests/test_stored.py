@@ -87,6 +87,30 @@ def test_publish_changes_of_the_stream(spark, tables, tmp_path):
     assert kept.count() == found.count()
 
 
+def counted(rows, counter):
+    """`rows`, each of which adds one to `counter` whenever it is worked out."""
+    def run(batches):
+        for batch in batches:
+            counter.add(batch.num_rows)
+            yield batch
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def test_rows_are_worked_out_once(spark, tables, tmp_path):
+    """Readings that are stored, outcomes that are upserted and runs that are published, whatever sorts or asks for them."""
+    obs, runs, tallied = tables.obs().where("id < 500"), tables.evruns(), quality.tally(tables.obs())
+    counters = [spark.sparkContext.accumulator(0) for _ in range(4)]
+    store.append_observations(counted(obs, counters[0]), f"{tmp_path}/store", "0")
+    assert counters[0].value == obs.count()
+    store.upsert_outcomes(spark, f"{tmp_path}/outcomes", tallied, runs)
+    store.upsert_outcomes(spark, f"{tmp_path}/outcomes", counted(tallied, counters[1]), runs)
+    assert counters[1].value == tallied.count()
+    whole = store.evolve(runs, RUNS)
+    snapshot.publish(f"{tmp_path}/public", tables.registry(), counted(whole, counters[2]), counted(tallied, counters[3]), obs)
+    assert (counters[2].value, counters[3].value) == (whole.count(), tallied.count())
+
+
 def test_outcomes_are_upserted_by_key(spark, tables, tmp_path):
     path, runs = str(tmp_path / "outcomes"), tables.evruns()
     first = tables.oldout()
