@@ -34,6 +34,9 @@ LINKED = struct_of(
     " prev_price double, prev_price_text string, prev_available boolean, has_prev boolean, late boolean"
 )
 _linked = Row(*LINKED.names)
+# What a reading comes in as, read by place: a name is searched for anew in every row.
+_READING = ("id", *SERIES_KEY, "title", "variant_title", "observed_at", *COMPARED, "micros")
+_PASSED, _VALUES_AT = slice(0, 6), slice(6, 6 + len(COMPARED))
 
 
 class LastReading(StatefulProcessor):
@@ -49,14 +52,13 @@ class LastReading(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:
         last = self.last.get()
         timer = last[-1] if last else None
-        for row in sorted(rows, key=lambda r: (r["micros"], r["id"])):
-            at, values = (row["micros"], row["id"]), tuple(row[name] for name in COMPARED)
+        for row in sorted(rows, key=lambda r: (r[-1], r[0])):
+            at, values = (row[-1], row[0]), tuple(row[_VALUES_AT])
             late = last is not None and at < (last[0], last[1])
             follows = last is not None and not late and (
-                self.keep_ms is None or row["micros"] - last[0] <= 1000 * self.keep_ms)
+                self.keep_ms is None or at[0] - last[0] <= 1000 * self.keep_ms)
             before = tuple(last[2:5]) if follows else (None,) * len(COMPARED)
-            yield _linked(*(row[name] for name in ("id", *SERIES_KEY, "title", "variant_title", "observed_at")),
-                          *values, *before, follows, late)
+            yield _linked(*row[_PASSED], *values, *before, follows, late)
             if not late:
                 last = (*at, *values, timer)
         if last is not None:
@@ -80,7 +82,7 @@ class LastReading(StatefulProcessor):
 def linked(readings: DataFrame, keep_days: float | None = None) -> DataFrame:
     """A stream of stored readings, each with its predecessor from the state."""
     split = changes.price_readings(readings).withColumn("observed_at", F.col("observed_at").cast("timestamp"))
-    timed = split.withColumn("micros", F.unix_micros("observed_at"))
+    timed = split.withColumn("micros", F.unix_micros("observed_at")).select(*_READING)
     if keep_days is not None:
         timed = timed.withWatermark("observed_at", f"{round(keep_days * 86_400)} seconds")
     return timed.groupBy(*SERIES_KEY).transformWithState(

@@ -107,3 +107,23 @@ def test_copies_of_pages(spark, tmp_path):
         landing.start_deduplicated(spark, landed, once, checkpoint, "5 minutes").awaitTermination()
     assert sorted((r.run_id, r.page) for r in spark.read.parquet(once).collect()) == [(1, 1), (1, 2), (2, 1), (2, 2)]
     assert [(r.run_id, r.page) for r in landing.late_pages(spark, landed, once).collect()] == [(3, 1)]
+
+
+def test_readings_are_read_by_place():
+    """A reading needs no names, which are searched for anew in every row."""
+    class Last:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    processor = state.LastReading(None)
+    processor.last = Last()
+    rows = [(1, "m", "v", "T", "V", None, 2.0, None, True, 50), (0, "m", "v", "T", "V", None, 1.0, "x", False, 40)]
+    found = [r.asDict() for r in processor.handleInputRows(("m", "v"), iter(rows), None)]
+    assert [(r["id"], r["price"], r["prev_price"], r["prev_price_text"], r["prev_available"], r["has_prev"]) for r in found] == [
+        (0, 1.0, None, None, None, False), (1, 2.0, 1.0, "x", False, True)]
+    assert processor.last.value == (50, 1, 2.0, None, True, None)
