@@ -8,12 +8,13 @@ language and goes in the first.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 from shelfpulse.llm import bpe, decontamination, jaccard, language, secrets
-from shelfpulse.llm.common import materialize, new_folder, shipped, table
+from shelfpulse.llm.common import materialize, new_folder, shipped, small_batches, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +42,22 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, bpe.vocabulary_path(), ("doc_id", "lang", "source"))
 
 
+def in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """`stage` after `ship` and `small_batches`."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return shipped(run)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("language", shipped(known_language)),
-    ("near_duplicates", shipped(one_of_each_group)),
-    ("decontamination", shipped(no_benchmark)),
-    ("secrets", shipped(no_secrets)),
-    ("tokens", shipped(token_ids)),
+    ("language", in_small_batches(known_language)),
+    ("near_duplicates", in_small_batches(one_of_each_group)),
+    ("decontamination", in_small_batches(no_benchmark)),
+    ("secrets", in_small_batches(no_secrets)),
+    ("tokens", in_small_batches(token_ids)),
 ]
 
 # No SQL: a trained network decides in the first stage. tests/llm compares the rest with brute force.

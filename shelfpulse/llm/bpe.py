@@ -22,6 +22,7 @@ import hashlib
 import json
 from array import array
 from collections.abc import Callable, Iterator
+from contextlib import AbstractContextManager, contextmanager
 from functools import lru_cache
 from pathlib import Path
 
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfpulse.llm.common import slices, spare, table
+from shelfpulse.llm.common import give_back, slices, spare, table
 
 VOCABULARY = "byte_bpe_50k.json"
 # Fixed value: the pre-split pattern of the byte-level format.
@@ -186,6 +187,11 @@ class Automaton:
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join([self.labels[number] for number in ids])
 
+    def forget(self) -> None:
+        """Drop the remembered words and transitions; they only save time."""
+        self.words.clear()
+        self.table.clear()
+
 
 @lru_cache(maxsize=2)
 def _compiled(source: bytes) -> Automaton:
@@ -198,9 +204,21 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return str(public_tokenizers.path(name))
 
 
-def _encoder(spark: SparkSession, path: str) -> Callable[[], Automaton]:
+@contextmanager
+def _at_work(source: bytes) -> Iterator[Automaton]:
+    """The automaton for one task. A worker outlives it and serves other operators: what the task's texts taught the
+    automaton, hundreds of megabytes, must not stay there."""
+    coder = _compiled(source)
+    try:
+        yield coder
+    finally:
+        coder.forget()
+        give_back()
+
+
+def _encoder(spark: SparkSession, path: str) -> Callable[[], AbstractContextManager[Automaton]]:
     shared = spark.sparkContext.broadcast(Path(path).read_bytes())
-    return lambda: _compiled(shared.value)
+    return lambda: _at_work(shared.value)
 
 
 def encode(documents: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -209,12 +227,12 @@ def encode(documents: DataFrame, path: str, text: str = "text", keep: tuple[str,
     column = spare(keep, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = automaton()
-        for batch in slices(batches, column, 4 << 20):
-            flat = [b"".join([e[0] for e in coder.entries(t)]) if t else b"" for t in batch.column(column).to_pylist()]
-            offsets = np.cumsum([0, *(len(ids) // 4 for ids in flat)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(flat), "<i4")))
-            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in keep), ids], names=[*keep, "ids"])
+        with automaton() as coder:
+            for batch in slices(batches, column, 4 << 20):
+                flat = [b"".join([e[0] for e in coder.entries(t)]) if t else b"" for t in batch.column(column).to_pylist()]
+                offsets = np.cumsum([0, *(len(ids) // 4 for ids in flat)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(flat), "<i4")))
+                yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in keep), ids], names=[*keep, "ids"])
 
     picked = documents.select(*keep, F.col(text).alias(column))
     schema = T.StructType([*(documents.schema[name] for name in keep), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
@@ -229,18 +247,18 @@ def round_trip(documents: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id
     column = spare(keep, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = automaton()
-        for batch in slices(batches, column):
-            texts = batch.column(column).to_pylist()
-            entries = [coder.entries(t) if t else [] for t in texts]
-            flat = [b"".join([e[0] for e in row]) for row in entries]
-            sizes = [len(ids) // 4 for ids in flat]
-            ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]).astype(np.int32)),
-                                           pa.array(np.frombuffer(b"".join(flat), "<i4")))
-            same = [b"".join([e[2] for e in row]) == (t or "").encode() for row, t in zip(entries, texts, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name) for name in keep), ids, pa.array(sizes, pa.int64()), pa.array(same)],
-                names=[*keep, *(field.name for field in added)])
+        with automaton() as coder:
+            for batch in slices(batches, column):
+                texts = batch.column(column).to_pylist()
+                entries = [coder.entries(t) if t else [] for t in texts]
+                flat = [b"".join([e[0] for e in row]) for row in entries]
+                sizes = [len(ids) // 4 for ids in flat]
+                ids = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]).astype(np.int32)),
+                                               pa.array(np.frombuffer(b"".join(flat), "<i4")))
+                same = [b"".join([e[2] for e in row]) == (t or "").encode() for row, t in zip(entries, texts, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(name) for name in keep), ids, pa.array(sizes, pa.int64()), pa.array(same)],
+                    names=[*keep, *(field.name for field in added)])
 
     picked = documents.select(*keep, F.col("text").alias(column))
     return picked.mapInArrow(run, T.StructType([*(documents.schema[name] for name in keep), *added]))
@@ -252,10 +270,10 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", keep: tuple[str, ...
     column = spare(keep, "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = automaton()
-        for batch in batches:
-            texts = [coder.decode_bytes(row or []).decode("utf-8", "replace") for row in batch.column(column).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in keep), pa.array(texts, pa.string())], names=[*keep, "text"])
+        with automaton() as coder:
+            for batch in batches:
+                texts = [coder.decode_bytes(row or []).decode("utf-8", "replace") for row in batch.column(column).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in keep), pa.array(texts, pa.string())], names=[*keep, "text"])
 
     picked = encoded.select(*keep, F.col(ids).alias(column))
     schema = T.StructType([*(encoded.schema[name] for name in keep), T.StructField("text", T.StringType())])
@@ -267,18 +285,18 @@ def codec_digest(documents: DataFrame, path: str) -> DataFrame:
     automaton = _encoder(documents.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = automaton()
-        for batch in slices(batches, "text"):
-            counts, ids, texts = [], [], []
-            for text in batch.column("text").to_pylist():
-                entries = coder.entries(text) if text else []
-                counts.append(sum([len(e[0]) for e in entries]) // 4)
-                ids.append(hashlib.sha256(",".join([e[1] for e in entries]).encode()).hexdigest())
-                spelled = b"".join([e[2] for e in entries]).decode("utf-8", "replace")
-                texts.append(hashlib.sha256(spelled.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        with automaton() as coder:
+            for batch in slices(batches, "text"):
+                counts, ids, texts = [], [], []
+                for text in batch.column("text").to_pylist():
+                    entries = coder.entries(text) if text else []
+                    counts.append(sum([len(e[0]) for e in entries]) // 4)
+                    ids.append(hashlib.sha256(",".join([e[1] for e in entries]).encode()).hexdigest())
+                    spelled = b"".join([e[2] for e in entries]).decode("utf-8", "replace")
+                    texts.append(hashlib.sha256(spelled.encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())],
+                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = T.StructType([
         documents.schema["doc_id"], T.StructField("n_tokens", T.LongType()),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
+import sys
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from shelfpulse.session import delete_folder, folder_exists, new_folder
 
 __all__ = ["delete_folder", "folder_exists", "materialize", "new_folder", "table", "crc_mod",
-           "bucketed", "ship", "shipped", "slices", "spare", "mix", "prefix_sums", "span_hash"]
+           "bucketed", "give_back", "ship", "shipped", "slices", "small_batches", "spare", "mix", "prefix_sums", "span_hash"]
 
 
 _shipped: set[str] = set()
@@ -53,6 +55,16 @@ def shipped(job: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
+# Texts go to a Python worker in batches, which lie in the JVM and in the worker at once; Spark's default is 64 MB.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of at most `BATCH_BYTES` from now on, unless the session was given a size of its own."""
+    if BATCH not in spark.conf.getAll:
+        spark.conf.set(BATCH, BATCH_BYTES)
+
+
 # A written table needs its query's shuffle files no more; on a cluster that ignores it they stay until collected.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -103,18 +115,30 @@ def spare(taken: Iterable[str], name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Return to the system what this process's allocators hold unused.
+
+    A Python worker outlives its tasks, and all workers of an executor share its memory with the JVM."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in record batches of about `limit` bytes of `column`, however long its values."""
-    for batch in batches:
-        sizes = np.fromiter(
-            (len(value.as_buffer() or b"") if value.is_valid else 0 for value in batch.column(column)),
-            np.int64, batch.num_rows,
-        )
-        block = np.cumsum(sizes) // limit
-        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
-        for start, stop in zip(cuts, cuts[1:], strict=False):
-            if stop > start:
-                yield batch.slice(start, stop - start)
+    try:
+        for batch in batches:
+            sizes = np.fromiter(
+                (len(value.as_buffer() or b"") if value.is_valid else 0 for value in batch.column(column)),
+                np.int64, batch.num_rows,
+            )
+            block = np.cumsum(sizes) // limit
+            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
+            for start, stop in zip(cuts, cuts[1:], strict=False):
+                if stop > start:
+                    yield batch.slice(start, stop - start)
+    finally:
+        give_back()
 
 
 # Odd multipliers of a 64-bit finalizer and of the rolling hash.
