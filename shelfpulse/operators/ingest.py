@@ -57,19 +57,18 @@ def _broken_product(product: Column) -> Column:
 FEED = "feed"
 
 
-def parsed(pages: DataFrame, keep_body: bool = False) -> DataFrame:
+def parsed(pages: DataFrame) -> DataFrame:
     """Pages with their body as a VARIANT, null where it is no JSON, and what accounting needs of its text.
 
     Write it out: facts and decoding then read the typed column, and no body is parsed twice."""
     if FEED in pages.columns:
         return pages
-    told = pages.withColumns({
+    return pages.withColumns({
         FEED: F.try_parse_json("body"),
         "n_bytes": F.octet_length("body").cast("bigint"),
         "body_start": F.left("body", F.lit(BODY_START)),
         "content": F.xxhash64("http_status", "body"),
-    })
-    return told if keep_body else told.drop("body")
+    }).drop("body")
 
 
 def _any_broken(shape: Column) -> Column:
@@ -229,22 +228,24 @@ def _sent_as_text(value: Column) -> Column:
     return F.when(_has_value(value), _type(value) == "STRING")
 
 
-def decode_pages(pages: DataFrame, runs: DataFrame) -> DataFrame:
+def decode_pages(pages: DataFrame, runs: DataFrame, copied: DataFrame | None = None) -> DataFrame:
     """Readings of the successful runs, one row per variant, still as the feed sent them.
 
     `runs` comes from `derive_runs`; written out first, it is small enough for the
     planner to broadcast, so page bodies are not shuffled; only those of runs with
-    copied pages are. `id` orders the readings of a run, which all share one
+    copied pages are. `copied` has those of `runs` with copied pages, where they are written out
+    on their own: they are few, so where `runs` is large, bodies are shuffled once and not twice. `id` orders the readings of a run, which all share one
     `observed_at`, and is their own within it: page and place on the page, of which a
     body has fewer than 2**31.
     """
-    good = runs.where("ok = 1").select(
-        F.col("id").alias("run_id"), "merchant", "last_page", "currency", "copied",
-        F.col("finished_at").alias("observed_at"),
-    )
-    read = parsed(pages).join(good, list(RUN_KEY)).where(F.col("page") <= F.col("last_page"))
-    once = read.where("copied").dropDuplicates([*RUN_KEY, "page"])
-    listed = read.where("NOT copied").unionByName(once).select(
+    def read(of: DataFrame) -> DataFrame:
+        good = of.where("ok = 1").select(
+            F.col("id").alias("run_id"), "merchant", "last_page", "currency", F.col("finished_at").alias("observed_at"),
+        )
+        return parsed(pages).join(good, list(RUN_KEY)).where(F.col("page") <= F.col("last_page"))
+
+    once = read((runs if copied is None else copied).where("copied")).dropDuplicates([*RUN_KEY, "page"])
+    listed = read(runs.where("NOT copied")).unionByName(once).select(
         *RUN_KEY, "page", "currency", "observed_at",
         F.try_variant_get(F.col(FEED), "$.products", _PRODUCTS).alias("products"),
     )

@@ -179,8 +179,15 @@ class Tables:
     def registry(self) -> DataFrame:
         return self._sql(BOTH["registry"], supplier=self.given("supplier"), nation=self.given("nation"))
 
-    def pages(self) -> DataFrame:
-        return self._sql(FEED, lineitem=self.given("lineitem"), orders=self.given("orders"))
+    def pages(self, part: int = 0, parts: int = 1) -> DataFrame:
+        """The landed pages, or one of several parts of them by shop: a shop's pages hold its own orders and lines only.
+
+        Orders without a key, which make pages of no run, are in no part."""
+        def of_part(name: str, key: str) -> DataFrame:
+            rows = self.given(name)
+            return rows if parts == 1 else rows.where(F.expr(f"pmod({key} DIV {SHOP_PRODUCTS}, {parts})") == part)
+
+        return self._sql(FEED, lineitem=of_part("lineitem", "l_orderkey"), orders=of_part("orders", "o_orderkey"))
 
     def starts(self) -> DataFrame:
         return self._sql(STARTS, supplier=self.given("supplier"))

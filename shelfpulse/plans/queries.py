@@ -11,7 +11,7 @@ from shelfpulse.functions import text
 from shelfpulse.operators import catalogue, changes, constraints, ingest, quality, report, retention
 from shelfpulse.plans.fixtures import PAGE_PRODUCTS, Tables
 from shelfpulse.schemas import FIELDS, OBSERVATIONS, PAGES, RUNS
-from shelfpulse.session import materialize, new_folder
+from shelfpulse.session import CODEC, delete_folder, freed_shuffles, materialize, new_folder
 from shelfpulse.sources import registry as merchants
 from shelfpulse.sources import maintained, snapshot, store
 from shelfpulse.streaming import changes as change_stream
@@ -459,16 +459,25 @@ def feed_grades(t: Tables) -> DataFrame:
 
 # --- streaming --------------------------------------------------------------
 
+# The pages that land are built in so many parts, to hold the shuffle files of one part at a time.
+LANDED_PARTS = 4
+
+
 def _taken_in(t: Tables, name: str, wave: Column) -> str:
-    """The folder of a store that took in the landed pages wave by wave, in ascending order of `wave`."""
-    spark, folder = t.spark, new_folder(t.spark, name)
-    pages, registry = materialize(store.evolve(t.pages(), PAGES), "landed"), t.registry()
+    """The folder of a store that took in the landed pages wave by wave, in ascending order of `wave`.
+
+    Each wave's pages are built when they land, so no other copy of them lies beside; all go when all are taken in."""
+    spark, folder, registry = t.spark, new_folder(t.spark, name), t.registry()
     for number in (0, 1):
-        pages.where(wave == number).write.mode("append").parquet(f"{folder}/landing")
+        for part in range(LANDED_PARTS):
+            landing = store.evolve(t.pages(part, LANDED_PARTS), PAGES).where(wave == number)
+            with freed_shuffles(spark):
+                landing.write.mode("append").options(**CODEC).parquet(f"{folder}/landing")
         page_stream.start_ingest(
             spark, f"{folder}/landing", registry, f"{folder}/store", f"{folder}/checkpoint",
             PAGE_PRODUCTS, starts=t.starts(),
         ).awaitTermination()
+    delete_folder(spark, f"{folder}/landing")
     return f"{folder}/store"
 
 

@@ -86,15 +86,36 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/shelfpulse/{name}-{uuid.uuid4().hex}"
 
 
+# A written table needs its query's shuffle files no more; on a cluster that ignores it they stay until collected.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Zstandard needs less disk than the default codec.
+CODEC = {"compression": "zstd"}
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is written inside go with its query, not when the driver collects its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def materialize(df: DataFrame, name: str, within: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Cuts the lineage so that lost executors do not recompute it, and gives the
-    planner the real size of the table for its join choices.
+    planner the real size of the table for its join choices. Its shuffle files go at once.
     """
     spark = df.sparkSession
     folder = new_folder(spark, name) if within is None else f"{within}/{name}"
-    df.write.mode("overwrite").parquet(folder)
+    with freed_shuffles(spark):
+        df.write.mode("overwrite").options(**CODEC).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections import Counter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,7 +21,7 @@ from shelfpulse.schemas import (
     FIELD_OUTCOMES, OBSERVATIONS, OBSERVED_DAY, PAGES, RETENTION_DAYS, SERIES_KEY,
 )
 from shelfpulse.session import (
-    delete_folder, folder_exists, mark, materialize, move, numbered, scratch, subfolders, utc_day,
+    CODEC, delete_folder, folder_exists, freed_shuffles, mark, materialize, move, numbered, scratch, subfolders, utc_day,
 )
 
 RUN_DAY = "run_date"
@@ -56,15 +56,46 @@ def append_observations(observations: DataFrame, path: str, batch: str) -> None:
 
     Ranges of day and series put each day into few files, a large day into several,
     and lay the rows of a series side by side. Ranges are drawn from the rows before these are dealt, so the rows
-    are written out first and worked out once.
+    are written out first and worked out once. Groups of whole days are dealt one after the other, each committed alone.
     """
-    spark = observations.sparkSession
-    rows = evolve(typed_prices(observations), OBSERVATIONS)
-    order = (OBSERVED_DAY, *SERIES_KEY, "observed_at")
-    with scratch(spark, "append") as work:
-        dated = materialize(rows.withColumn(OBSERVED_DAY, utc_day(F.col("observed_at"))), "readings", work)
-        ranged = dated.withColumn(BATCH, F.lit(batch)).repartitionByRange(*order).sortWithinPartitions(*order)
-        _dynamic(ranged, path, OBSERVED_DAY, BATCH)
+    with scratch(observations.sparkSession, "append") as work:
+        append_written(written_out(observations, work), path, batch)
+
+
+# About so many readings are dealt at once, or those of one day, so that shuffle files do not grow with the batch.
+DEALT_ROWS = 20_000_000
+# What is worked out from other columns once the rows are dealt, so that it is not shuffled.
+_TYPED = ("price", "compare_at_price")
+
+
+def written_out(observations: DataFrame, work: str) -> DataFrame:
+    """The readings of one batch in the folder `work`, as `append_written` takes them; nothing reads `observations` later."""
+    as_sent = T.StructType([f for f in OBSERVATIONS if f.name not in _TYPED])
+    return materialize(evolve(observations, as_sent), "readings", work)
+
+
+def append_written(readings: DataFrame, path: str, batch: str) -> None:
+    """Append the readings of one batch that `written_out` gave; see `append_observations`."""
+    order, day = (OBSERVED_DAY, *SERIES_KEY, "observed_at"), utc_day(F.col("observed_at"))
+    for within in _groups_of_days(readings.groupBy(day.alias("day")).count().sort("day").collect(), day):  # a row for each day
+        dealt = readings.where(within).repartitionByRange(day, *order[1:])
+        rows = evolve(typed_prices(dealt), OBSERVATIONS).withColumns({OBSERVED_DAY: day, BATCH: F.lit(batch)})
+        _dynamic(rows.sortWithinPartitions(*order), path, OBSERVED_DAY, BATCH)
+
+
+def _groups_of_days(counts: list, day: Column) -> list[Column]:
+    """A condition for each group of neighbouring days of about `DEALT_ROWS` rows, from (day, rows) in ascending order, no
+    day first."""
+    lasts, rows = [], 0
+    for place, (at, count) in enumerate(counts):
+        rows += count
+        if at is not None and rows >= DEALT_ROWS and place < len(counts) - 1:
+            lasts.append(F.lit(at))
+            rows = 0
+    if not lasts:
+        return [F.lit(True)]
+    between = [(day > low) & (day <= high) for low, high in zip(lasts, lasts[1:], strict=False)]
+    return [day.isNull() | (day <= lasts[0]), *between, day > lasts[-1]]
 
 
 # A rewritten batch carries this in its name, and in a column the batch that each row landed in.
@@ -98,7 +129,8 @@ def _replace(spark: SparkSession, path: str, kept: DataFrame | None, replaced: l
         rows = kept.withColumns({LANDED: landed, BATCH: F.lit(name)})
         order = (OBSERVED_DAY, *SERIES_KEY, "observed_at")
         ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-        ranged.write.mode("append").options(**BLOOM).partitionBy(OBSERVED_DAY, BATCH).parquet(path)
+        with freed_shuffles(spark):
+            ranged.write.mode("append").options(**CODEC, **BLOOM).partitionBy(OBSERVED_DAY, BATCH).parquet(path)
     draft = f"{path}/{_STAGED}/{name}/replaced"
     spark.createDataFrame(replaced, _REPLACED).coalesce(1).write.mode("overwrite").json(draft)
     move(spark, draft, f"{path}/{_COMMITTED}/{name}/replaced")
@@ -155,8 +187,9 @@ BLOOM = {"parquet.bloom.filter.enabled#run_id": "true", "parquet.bloom.filter.ex
 
 def _dynamic(df: DataFrame, path: str, *partition: str) -> None:
     """Replace exactly the partitions present in `df`."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**BLOOM)
-    writer.partitionBy(*partition).parquet(path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**CODEC, **BLOOM)
+    with freed_shuffles(df.sparkSession):
+        writer.partitionBy(*partition).parquet(path)
 
 
 # So many run ids are looked up by their values; more meet the readings in a join.
